@@ -6,11 +6,13 @@ from storyloom.llm.neardup import op3_near_duplicates
 from storyloom.llm.packing import op8_best_two_fit
 from storyloom.llm.quality import op4_quality_rules
 from storyloom.llm.secret_scan import op7_secret_spans
+from storyloom.llm.token_store import op5_token_store
 from storyloom.llm.toxicity import op10_toxic_segments
 
 QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_quality_rules": op4_quality_rules,
+    "op5_token_store": op5_token_store,
     "op7_secret_spans": op7_secret_spans,
     "op8_best_two_fit": op8_best_two_fit,
     "op10_toxic_segments": op10_toxic_segments,
