@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm.common import Memo, Scratch, mix64, read
+from storyloom.llm.common import MASK, Memo, Scratch, mix64, read
 
 
 @dataclass(frozen=True)
@@ -76,25 +76,33 @@ def shingles(text: str | None, memo: Memo, k: int) -> np.ndarray:
     return np.unique(out)
 
 
-def sketch(items: np.ndarray, registers: int, base: float) -> np.ndarray:
-    """SetSketch of hashed items: uint16 registers, larger for larger sets.
+def sketch(sets: list[np.ndarray], registers: int, base: float) -> np.ndarray:
+    """SetSketches of sets of hashed items: a row of uint16 registers each, larger for larger sets.
 
     Every item is a Poisson process whose points go to random registers, so that
     each register holds the least of independent exponentials.  Points beyond the
-    largest register's minimum change nothing, so the process stops there.
+    set's last register to be reached change nothing, so its processes stop there.
+    An empty set's registers are 0.
     """
-    least = np.full(registers, np.inf)
-    state = mix64(items ^ np.uint64(0x5E7C3A11D00DFEED))
-    time = np.zeros(len(items))
-    while len(state):
-        state = mix64(state + np.uint64(0x9E3779B97F4A7C15))
-        time = time - np.log(((state >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / registers
-        where = (mix64(state ^ np.uint64(0xA24BAED4963EE407)) % np.uint64(registers)).astype(np.int64)
-        np.minimum.at(least, where, time)
-        going = time < least.max()
-        state, time = state[going], time[going]
-    # registers grow with the set; 32768 stands for a point at 1
-    return np.clip(np.floor(32768 - np.log(least) / math.log(base)), 0, 65535).astype(np.uint16)
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    item = mix64(np.concatenate([*sets, np.zeros(0, np.uint64)]) ^ np.uint64(0x5E7C3A11D00DFEED))
+    least = np.full(len(sets) * registers, np.inf)
+    time = np.zeros(len(item))
+    drawn, points = 0, 1
+    while len(item):
+        k = np.arange(drawn + 1, drawn + points + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        u = mix64(item[:, None] + k)
+        times = time[:, None] - np.cumsum(np.log(((u >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53), axis=1) / registers
+        where = ((u * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(40)) * np.uint64(registers) >> np.uint64(24)).astype(np.int64)
+        np.minimum.at(least, (owner[:, None] * registers + where).ravel(), times.ravel())
+        time = times[:, -1]
+        going = time < least.reshape(len(sets), registers).max(axis=1)[owner]
+        item, time, owner = item[going], time[going], owner[going]
+        drawn, points = drawn + points, min(2 * points, 32)
+    # 32768 stands for a point at 1
+    out = np.clip(np.floor(32768 - np.log(least) / math.log(base)), 0, 65535)
+    return np.where(np.isinf(least), 0, out).astype(np.uint16).reshape(len(sets), registers)
 
 
 def joint_similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, base: float) -> np.ndarray:
@@ -113,7 +121,7 @@ def joint_similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarra
         return -np.log(1 - np.clip(x, 0, 1) * (base - 1) / base) / log_b
 
     low, high = np.zeros(len(a)), np.minimum(u / v, v / u)
-    for _ in range(30):
+    for _ in range(14):
         j = (low + high) / 2
         x, y = u - v * j, v - u * j
         px, py = np.maximum(p(x), 1e-12), np.maximum(p(y), 1e-12)
@@ -143,25 +151,51 @@ def one_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
 
 
+def small_set(items: np.ndarray) -> bytes:
+    """The set with hashes cut short: never fewer in common than the full sets have."""
+    return np.unique(items.astype(np.uint16 if len(items) <= 2000 else np.uint32)).tobytes() if len(items) else b""
+
+
+def common(a: bytes, na: int, b: bytes, nb: int) -> int:
+    """At least the size of the intersection of two full sets, from their short forms."""
+    x, y = (np.frombuffer(s, np.uint16 if n <= 2000 else np.uint32) for s, n in ((a, na), (b, nb)))
+    if x.dtype != y.dtype:
+        x, y = (np.unique(v.astype(np.uint16)) for v in (x, y))
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both + max(na - len(x), nb - len(y), 0)
+
+
+def in_slices(batch: pa.RecordBatch, rows: int = 1000):
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def sketched(docs: DataFrame, params: NearDupParams) -> DataFrame:
     """doc_id, n (set size), lo and hi (digest of the set; null if empty), regs."""
 
     def run(batches):
         memo = Memo(hash_word)
-        for batch in batches:
-            out = {k: [] for k in ("n", "lo", "hi", "regs")}
-            for text in batch.column("text").to_pylist():
-                items = shingles(text, memo, params.words)
-                out["n"].append(len(items))
-                digest = xxhash.xxh3_128_intdigest(items.tobytes()) if len(items) else None
-                out["lo"].append(None if digest is None else (digest & (1 << 64) - 1) - (1 << 63))
-                out["hi"].append(None if digest is None else (digest >> 64) - (1 << 63))
-                out["regs"].append(sketch(items, params.registers, params.base).tobytes() if len(items) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out["n"], pa.int64()), pa.array(out["lo"], pa.int64()), pa.array(out["hi"], pa.int64()), pa.array(out["regs"], pa.binary())], names=["doc_id", "n", "lo", "hi", "regs"])
+        for batch in (s for b in batches for s in in_slices(b)):
+            sets = [shingles(text, memo, params.words) for text in batch.column("text").to_pylist()]
+            regs = sketch(sets, params.registers, params.base)
+            digests = [xxhash.xxh3_128_intdigest(x.tobytes()) if len(x) else None for x in sets]
+            half = lambda shift: pa.array([None if d is None else (d >> shift & MASK) - (1 << 63) for d in digests], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), half(0), half(64), pa.array([r.tobytes() if len(x) else None for r, x in zip(regs, sets)], pa.binary())], names=["doc_id", "n", "lo", "hi", "regs"])
 
     return docs.mapInArrow(run, "doc_id long, n long, lo long, hi long, regs binary")
 
 
+def short_sets(texts: DataFrame, params: NearDupParams) -> DataFrame:
+    """id, short: the short form of each text's set."""
+
+    def run(batches):
+        memo = Memo(hash_word)
+        for batch in (s for b in batches for s in in_slices(b)):
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([small_set(shingles(t, memo, params.words)) for t in batch.column("text").to_pylist()], pa.binary())], names=["id", "short"])
+
+    return texts.mapInArrow(run, "id long, short binary")
+
+
 def likely_pairs(pairs: DataFrame, sketches: DataFrame, params: NearDupParams) -> DataFrame:
     """Pairs (a, b) that their sketches don't rule out."""
     side = lambda k: sketches.select(F.col("doc_id").alias(k), F.col("n").alias(f"n{k}"), F.col("regs").alias(f"r{k}"))
@@ -218,11 +252,13 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return labels
 
 
-def across(members: DataFrame, sketches: DataFrame, params: NearDupParams) -> DataFrame:
-    """Likely pairs of different components within buckets: blocks against blocks.
+def across(members: DataFrame, sketches: DataFrame, texts: DataFrame, params: NearDupParams) -> DataFrame:
+    """Pairs of different components within buckets that may be links: blocks against blocks.
 
-    ``members``: bucket, id, component.  In each bucket the largest component is only held
-    against the others, never against itself.
+    ``members``: bucket, band, id, component.  In each bucket the largest component
+    is only held against the others, never against itself, and a pair is looked at
+    in the first bucket that it shares.  The sketches rule most pairs out, the sets
+    in short form nearly all the rest, so what comes out is hardly more than links.
     """
     sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     totals = sizes.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top")).where("parts > 1")
@@ -232,26 +268,35 @@ def across(members: DataFrame, sketches: DataFrame, params: NearDupParams) -> Da
     blocks = F.greatest(F.lit(1), F.ceil(F.col("all") / params.block)).cast("int")
     spot = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    ask = rows.where(F.col("component") != F.col("top.component")).select("bucket", spot(askers).alias("left"), each(blocks).alias("right"), "id", "component", F.lit(True).alias("asks"))
-    tell = rows.select("bucket", each(askers).alias("left"), spot(blocks).alias("right"), "id", "component", F.lit(False).alias("asks"))
-    both = ask.unionByName(tell).join(sketches.select(F.col("doc_id").alias("id"), "n", "regs"), "id")
+    asks = F.col("component") != F.col("top.component")
+    ask = rows.where(asks).select("bucket", "band", spot(askers).alias("left"), each(blocks).alias("right"), "id", "component", F.lit(True).alias("asks"), F.lit(True).alias("other"))
+    tell = rows.select("bucket", "band", each(askers).alias("left"), spot(blocks).alias("right"), "id", "component", F.lit(False).alias("asks"), asks.alias("other"))
+    concerned = rows.select("id").distinct()
+    known = sketches.select(F.col("doc_id").alias("id"), "n", "regs").join(short_sets(texts.join(concerned.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), params), "id")
+    both = ask.unionByName(tell).join(known, "id")
 
     def run(group: pa.Table) -> pa.Table:
         asks = group["asks"].to_numpy()
-        ids, comp, n = (group[c].to_numpy() for c in ("id", "component", "n"))
+        ids, comp, n, other = (group[c].to_numpy() for c in ("id", "component", "n", "other"))
         q, t = np.flatnonzero(asks), np.flatnonzero(~asks)
-        out_a, out_b = [], []
+        found = []
         if len(q) and len(t):
-            regs = np.frombuffer(b"".join(group["regs"].to_pylist()), np.uint16).reshape(len(ids), -1)
-            other = regs[t]
+            band = group["band"][0].as_py()
+            shorts = group["short"].to_pylist()
+            regs = np.frombuffer(b"".join(group["regs"].to_pylist()), np.uint16).reshape(len(ids), params.bands, params.rows)
+            flat = regs.reshape(len(ids), -1)
             for i in q:
-                at = np.flatnonzero((comp[t] != comp[i]) & (ids[t] != ids[i]))
-                at = at[np.minimum(n[t[at]], n[i]) * 100 >= params.percent * np.maximum(n[t[at]], n[i])]
+                # of two that both ask, the lesser id does
+                at = t[(comp[t] != comp[i]) & (~other[t] | (ids[i] < ids[t])) & (100 * np.minimum(n[t], n[i]) >= params.percent * np.maximum(n[t], n[i]))]
+                if len(at):
+                    at = at[likely(np.broadcast_to(flat[i], (len(at), flat.shape[1])), flat[at], np.full(len(at), n[i]), n[at], params)]
                 if len(at):
-                    at = at[likely(np.broadcast_to(regs[i], (len(at), regs.shape[1])), other[at], np.full(len(at), n[i]), n[t[at]], params)]
-                    out_a += np.minimum(ids[t[at]], ids[i]).tolist()
-                    out_b += np.maximum(ids[t[at]], ids[i]).tolist()
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+                    at = at[(regs[at] == regs[i]).all(axis=2).argmax(axis=1) == band]
+                for j in at:
+                    both = common(shorts[i], n[i], shorts[j], n[j])
+                    if 100 * both >= params.percent * (n[i] + n[j] - both):
+                        found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
 
     return both.groupBy("bucket", "left", "right").applyInArrow(run, "a long, b long").distinct()
 
@@ -267,9 +312,10 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFra
     sets = scratch.table(sets, "sets")
     sketches = scratch.table(rows.select("doc_id", "n", "lo", "hi", "regs").join(sets.select("lo", "hi", F.col("rep").alias("doc_id")), ["doc_id", "lo", "hi"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n", "regs"), "sketches")
     width = 2 * params.rows
-    banded = sketches.select("doc_id", F.explode(F.expr(f"transform(sequence(0, {params.bands - 1}), i -> xxhash64(i, substring(regs, i * {width} + 1, {width})))")).alias("bucket"))
+    keys = F.expr(f"transform(sequence(0, {params.bands - 1}), i -> xxhash64(i, substring(regs, i * {width} + 1, {width})))")
+    banded = sketches.select("doc_id", F.posexplode(keys).alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = scratch.table(banded.join(shared, "bucket").select("bucket", F.col("doc_id").alias("id"), "size"), "members")
+    members = scratch.table(banded.join(shared, "bucket").select("bucket", "band", F.col("doc_id").alias("id"), "size"), "members")
     # the text of every class that has company at all, moved once
     company = members.groupBy("id").agg(F.sum("size").alias("company"))
     company = scratch.table(company, "company")
@@ -280,8 +326,8 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFra
     stars = members.join(hubs, "bucket").where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     links = scratch.table(verified(likely_pairs(stars, sketches, params), near, params), "links-1")
     first = components(links, scratch, "first")
-    labelled = members.join(first, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    more = scratch.table(across(labelled, sketches, params), "pairs-2")
+    labelled = members.join(first, "id", "left").select("bucket", "band", "id", F.coalesce("component", "id").alias("component"))
+    more = scratch.table(across(labelled, sketches, near, params), "pairs-2")
     found = scratch.table(verified(more, near, params), "links-2")
     final = components(links.unionByName(found), scratch, "last")
 
