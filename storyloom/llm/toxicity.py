@@ -39,6 +39,10 @@ class ToxicityParams:
     prior: float = 8.0
     #: Nodes of the lexicon in fewer documents aren't kept.
     min_docs: int = 3
+    #: Nor are those that differ from what their stem says by fewer standard errors.
+    least_z: float = 2.5
+    #: Nor are stems of whose toxic documents one longer node has this share: they are that node's, not a family's.
+    one_child: float = 0.8
     #: Scores nearer to 0 than this count as 0, then each word costs the drift.
     floor: float = 0.8
     drift: float = 0.25
@@ -70,6 +74,16 @@ def nodes(word: str) -> list[str]:
     return [word[:k] for k in STEMS if k < len(word)] + [word + "$"]
 
 
+def word_scores(words: list[str], memo: Memo) -> np.ndarray:
+    """Scores of a text's words; a word that counts for toxic counts a half, a third and so on when it comes again."""
+    scores = np.fromiter(map(memo.__getitem__, words), dtype=np.float64, count=len(words))
+    times: Counter = Counter()
+    for i in np.flatnonzero(scores > 0).tolist():
+        times[words[i]] += 1
+        scores[i] /= times[words[i]]
+    return scores
+
+
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, score), by the linear scan of Ruzzo and Tompa."""
     total = np.concatenate(([0.0], np.cumsum(scores)))
@@ -103,7 +117,7 @@ def features(found: list[tuple[int, int, float]]) -> tuple[float, float]:
 
 def score_text(text: str | None, memo: Memo, model: ToxicityModel) -> tuple[float, list[tuple[int, int, float]]]:
     words = LETTERS.findall((text or "").lower())
-    scores = np.fromiter(map(memo.__getitem__, words), dtype=np.float64, count=len(words))
+    scores = word_scores(words, memo)
     found = evidence(maximal_segments(scores), len(words), model)
     best, total = features(found)
     return float(logistic(model.fit[0] + model.fit[1] * best + model.fit[2] * total)), found
@@ -141,11 +155,22 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
     known = dict(zip(table["node"], zip(table["n"], table["toxic"])))
     n, toxic = known.pop("", (0, 0))
     model = ToxicityModel(params=params, root=(toxic + 0.5) / (n + 1) if n else 0.5)
+    # what each node backs off to, and the most toxic documents that one of the nodes above a stem has
+    shorter = {node: nodes(node[:-1])[:-1] if node.endswith("$") else [node[:k] for k in STEMS if k < len(node)] for node in known}
+    child: Counter = Counter()
+    for node, stems in shorter.items():
+        if stems:
+            child[stems[-1]] = max(child[stems[-1]], known[node][1])
     for node in sorted(known, key=lambda x: (x.endswith("$"), len(x))):
+        n, toxic = known[node]
+        if not node.endswith("$") and toxic and child[node] >= params.one_child * toxic:
+            continue
         up = model.root
-        for shorter in nodes(node[:-1])[:-1] if node.endswith("$") else [node[:k] for k in STEMS if k < len(node)]:
-            up = model.weights.get(shorter, up)
-        model.weights[node] = (known[node][1] + params.prior * up) / (known[node][0] + params.prior)
+        for stem in shorter[node]:
+            up = model.weights.get(stem, up)
+        good, bad = n - toxic + params.prior * (1 - up), toxic + params.prior * up
+        if abs(math.log(bad / good) - math.log(up / (1 - up))) >= params.least_z * math.sqrt(1 / bad + 1 / good):
+            model.weights[node] = bad / (n + params.prior)
     calibrate(rows, model)
     return model
 
@@ -160,7 +185,7 @@ def calibrate(rows: DataFrame, model: ToxicityModel) -> None:
             for text, label, part in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "part"))):
                 if part == 0:
                     words = LETTERS.findall((text or "").lower())
-                    scores = np.fromiter(map(memo.__getitem__, words), dtype=np.float64, count=len(words))
+                    scores = word_scores(words, memo)
                     out["label"].append(int(label))
                     out["n"].append(len(words))
                     out["segments"].append([s for _, _, s in maximal_segments(scores)])
