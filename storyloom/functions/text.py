@@ -66,7 +66,7 @@ def wiki_to_markdown(text: Column, compat: bool = False) -> Column:
         return t
 
     inline = lambda t: F.regexp_replace(F.regexp_replace(t, r"\*([^*\n]+)\*", "**$1**"), r"\{\{([^}]+)\}\}", "`$1`")
-    return lists(inline(headings(text))) if compat else headings(lists(inline(text)))
+    return lists(inline(headings(text))) if compat else headings(inline(lists(text)))
 
 
 def truncated(text: Column, n: int) -> Column:

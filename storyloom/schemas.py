@@ -1,13 +1,11 @@
-"""Declared schemas: stories, usage, transcripts and the six extracted indexes."""
+"""Declared schemas, in DDL: stories, usage, transcripts and the six extracted indexes."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
 SECTION = "struct<content:string,word_count:int,char_count:int,line_count:int>"
-STORY = StructType.fromDDL(f"story_id string, sprint string, sprint_no int, summary string, metadata map<string,string>, sections map<string,{SECTION}>, file_path string, file_size bigint, total_word_count int, estimated_tokens bigint")
-USAGE = StructType.fromDDL("ts timestamp_ntz, day date, user string, kind string, model string, max_mode string, input_with_cache bigint, input_without_cache bigint, cache_read bigint, output_tokens bigint, total_tokens bigint, cost double, source_file string, line bigint")
-MESSAGE = StructType.fromDDL("role string, message struct<content:array<struct<type:string,text:string,name:string,input:map<string,string>>>>")
+STORY = f"story_id string, sprint string, sprint_no int, summary string, metadata map<string,string>, sections map<string,{SECTION}>, file_path string, file_size bigint, total_word_count int, estimated_tokens bigint"
+USAGE = "ts timestamp_ntz, day date, user string, kind string, model string, max_mode string, input_with_cache bigint, input_without_cache bigint, cache_read bigint, output_tokens bigint, total_tokens bigint, cost double, source_file string, line bigint"
+MESSAGE = "role string, message struct<content:array<struct<type:string,text:string,name:string,input:map<string,string>>>>"
 
 #: Array, key and fields of each index, as its schema declares them.
 INDEXES = {

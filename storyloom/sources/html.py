@@ -132,16 +132,16 @@ def links(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.lateralJoin(Links(F.col(html).outer())).drop(html)
 
 
-def first_content(test) -> Column:
-    """Content of the first cell that passes; null if none does."""
-    return F.get(F.filter("cells", test), F.lit(0))["content"]
+def first_content(cls: str) -> Column:
+    """Content of the first cell of exactly this class; null if there is none."""
+    return F.get(F.filter("cells", lambda c: c["class"] == cls), F.lit(0))["content"]
 
 
 def fields_exact(rows: DataFrame, id_pattern: str = T.STORY_ID) -> DataFrame:
     """Fields by the exact class of the first such cell; the key is an id, or else the stripped text."""
     columns = []
     for cls, name in fixed.CELL_FIELDS.items():
-        content = first_content(lambda c, cls=cls: c["class"] == cls)
+        content = first_content(cls)
         if name == "issue_key":
             found = F.regexp_extract(content, f"({id_pattern})", 1)
             content = F.when(found != "", found).otherwise(F.trim(content))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import xml.etree.ElementTree as ET
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -28,20 +28,23 @@ def folder_counts(files: DataFrame) -> DataFrame:
     return files.select(folder.alias("folder")).where("folder is not null").groupBy("folder").agg(F.count("*").alias("files")).withColumn("label", F.coalesce(labels[F.col("folder")], F.col("folder")))
 
 
-@pandas_udf("string")
-def xml_label(xml: pd.Series) -> pd.Series:
+def xml_label(xml: Column) -> Column:
     """Text of the first ``label`` below the root; null if there is none or the XML is broken."""
 
-    def one(x):
-        try:
-            for e in ET.fromstring(x):
-                if e.tag.rpartition("}")[2] == "label":
-                    return (e.text or "").strip() or None
-        except (ET.ParseError, TypeError):
-            pass
-        return None
+    @pandas_udf("string")
+    def labels(texts: pd.Series) -> pd.Series:
+        def one(x):
+            try:
+                for e in ET.fromstring(x):
+                    if e.tag.rpartition("}")[2] == "label":
+                        return (e.text or "").strip() or None
+            except (ET.ParseError, TypeError):
+                pass
+            return None
 
-    return xml.map(one)
+        return texts.map(one)
+
+    return labels(xml)
 
 
 def object_dictionary(spark: SparkSession, root: str) -> DataFrame:
@@ -55,7 +58,7 @@ def object_dictionary(spark: SparkSession, root: str) -> DataFrame:
     paths = scan(spark, root).withColumn("api_name", F.regexp_extract("file_path", here, 1)).where("api_name <> ''").withColumn("folder", F.regexp_extract("file_path", r"^(.*/objects/[^/]+)/", 1))
     first = paths.groupBy("api_name").agg(F.min("folder").alias("folder"))
     fields = paths.join(first, ["api_name", "folder"]).groupBy("api_name", "folder").agg(F.count_if(F.endswith("file_path", F.lit(".field-meta.xml"))).alias("field_count"))
-    labels = own.withColumn("folder", F.regexp_extract("file_path", r"^(.*/objects/[^/]+)/", 1)).groupBy("folder").agg(F.min_by("xml", "file_path").alias("xml")).select("folder", xml_label("xml").alias("label"))
+    labels = own.withColumn("folder", F.regexp_extract("file_path", r"^(.*/objects/[^/]+)/", 1)).groupBy("folder").agg(F.min_by("xml", "file_path").alias("xml")).select("folder", xml_label(F.col("xml")).alias("label"))
     api = F.col("api_name")
     words = T.split_camel(T.base_name(api))
     rows = fields.join(labels, "folder", "left").withColumn("label", F.coalesce("label", F.array_join(words, " ")))
