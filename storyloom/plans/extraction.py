@@ -136,6 +136,68 @@ class FileExtractor:
         return read(self.spark, self.answers, self.index)
 
 
+class CallExtractor:
+    """Sends each request through ``call`` (prompt, settings -> text) from the executors, with retries.
+
+    Answers are written as they come by the job's commit; requests that an earlier
+    run has answered in ``done`` aren't sent again.  ``call`` must be picklable.
+    """
+
+    name = "call"
+
+    def __init__(self, call, done: DataFrame | None = None, config: ExtractionConfig | None = None, pause: float = 2.0):
+        self.call, self.done, self.config, self.pause, self.batches = call, done, config or ExtractionConfig(), pause, {}
+
+    def submit(self, requests: DataFrame) -> str:
+        batch = batch_id(requests)
+        todo = pending(requests, self.done) if self.done is not None else requests
+        call, retries, retry_on, pause = self.call, self.config.max_retries, self.config.retry_on, self.pause
+
+        def run(frames):
+            import time
+
+            import pandas as pd
+
+            for frame in frames:
+                out = []
+                for r in frame.itertuples():
+                    for k in range(retries):
+                        try:
+                            out.append((r.custom_id, "success", call(r.prompt, r.model, r.max_tokens, r.temperature), None))
+                            break
+                        except Exception as e:
+                            if k + 1 == retries or not any(w in str(e) for w in retry_on):
+                                out.append((r.custom_id, "error", None, str(e)))
+                                break
+                            time.sleep(pause * 2**k)
+                yield pd.DataFrame(out, columns=["custom_id", "status", "output", "error"])
+
+        self.batches[batch] = cut(todo.mapInPandas(run, "custom_id string, status string, output string, error string"))
+        return batch
+
+    def poll(self, batch: str) -> str:
+        return "completed" if batch in self.batches else "failed"
+
+    def collect(self, batch: str) -> DataFrame:
+        new = self.batches[batch]
+        return new if self.done is None else self.done.select(*new.columns).unionByName(new)
+
+
+def wait(extractor: Extractor, batch: str, every: float = 10.0, most: float = 86_400.0) -> str:
+    """Polls until the batch is completed or failed, or ``most`` seconds have gone."""
+    import time
+
+    end = time.time() + most
+    while (state := extractor.poll(batch)) not in ("completed", "failed") and time.time() < end:
+        time.sleep(every)
+    return state
+
+
+def sub_batches(requests: DataFrame, size: int = 10) -> DataFrame:
+    """Adds sub_batch: requests in groups of ``size`` by id, as providers take them."""
+    return chunked(requests, ["custom_id"], size).withColumnRenamed("chunk", "sub_batch").drop("ordinal")
+
+
 def batch_id(requests: DataFrame) -> str:
     """The same for the same requests, so that a second run finds what the first has done."""
     row = requests.agg(F.sum(F.xxhash64("custom_id", "prompt").cast("decimal(38,0)")).alias("h"), F.count("*").alias("n")).head()
@@ -229,6 +291,11 @@ def build(stories: DataFrame, index: str, template: str, extractor: Extractor, o
     batch = extractor.submit(asked)
     if extractor.poll(batch) != "completed":
         raise RuntimeError(f"{batch} isn't complete; collect it later")
+    return collected(extractor, batch, index)
+
+
+def collected(extractor: Extractor, batch: str, index: str) -> DataFrame:
+    """The merged index of a batch's answers; valid rows only."""
     answers = extractor.collect(batch)
     if "parsed" not in answers.columns:
         from storyloom.sources.responses import salvaged

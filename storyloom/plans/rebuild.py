@@ -62,6 +62,27 @@ def write_stories(flat: DataFrame, path: str, force: bool = False) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sprint").parquet(path)
 
 
+def export_markdown(flat: DataFrame, folder: str, fields: dict[str, str], sections: dict[str, str]) -> None:
+    """A file for each story, ``<sprint>/stories/<id>.md``, written by the executors.
+
+    ``folder`` must be one that they all share, such as a mounted file system.
+    """
+    rows = flat.select("sprint", "story_id", stories.to_markdown(flat, fields, sections).alias("text"))
+
+    def save(part):
+        import os
+
+        for r in part:
+            here = os.path.join(folder, r["sprint"], "stories")
+            os.makedirs(here, exist_ok=True)
+            whole = os.path.join(here, f"{r['story_id']}.md")
+            with open(f"{whole}.new", "w", encoding="utf-8") as f:
+                f.write(r["text"])
+            os.replace(f"{whole}.new", whole)  # a task that runs twice leaves one whole file
+
+    rows.foreachPartition(save)
+
+
 def steps(spark: SparkSession, flat: DataFrame, out: str, traceability: str | None = None) -> list[Step]:
     """The usual steps over flat stories: stories, criteria, solutions, components, epics, references, traceability, sprints."""
     parts = maps.exploded(flat, "components", r"[,;\n/|]", "component")

@@ -48,6 +48,18 @@ def write(path: str, content: str | dict) -> None:
             json.dump(content, f, indent=2, ensure_ascii=False, default=str)
 
 
+def spliced(text: str, heading: str, table: str) -> str:
+    """``text`` with the section under ``heading`` replaced by the table, or with both at its end."""
+    lines = text.splitlines()
+    marks = [i for i, x in enumerate(lines) if x.strip() == heading.strip()]
+    if not marks:
+        return text.rstrip("\n") + f"\n\n{heading}\n\n{table}\n"
+    at = marks[0]
+    level = len(heading) - len(heading.lstrip("#"))
+    end = next((i for i in range(at + 1, len(lines)) if lines[i].startswith("#") and len(lines[i]) - len(lines[i].lstrip("#")) <= level), len(lines))
+    return "\n".join([*lines[: at + 1], "", table, "", *lines[end:]]).rstrip("\n") + "\n"
+
+
 def corpus_advice(sprints: list[dict[str, Any]], mean_quality: float, orphans: int) -> list[str]:
     """What to do about thin sprints, low quality and orphaned components."""
     out = [f"{s['sprint']}: only {s['ac_pct']} % of the stories have acceptance criteria" for s in sprints if s["ac_pct"] < 70]

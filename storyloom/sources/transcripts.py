@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,15 @@ from storyloom.sources.stories import decoded_path
 ITEM = "struct<role:string,message:struct<content:array<struct<type:string,text:string,name:string,input:map<string,string>>>>>"
 
 
+def discover(workspace: str, root: str) -> str | None:
+    """The folder below ``root`` whose name, letters and digits only, begins most like the workspace's path; None without any likeness."""
+    plain = lambda x: re.sub(r"[^a-z0-9]", "", x.lower())
+    want = plain(os.path.abspath(workspace))
+    likeness = {n: len(os.path.commonprefix([plain(n), want])) for n in sorted(os.listdir(root)) if os.path.isdir(os.path.join(root, n))} if os.path.isdir(root) else {}
+    best = max(likeness, key=likeness.get, default=None)
+    return os.path.join(root, best) if best and likeness[best] else None
+
+
 def scan(spark: SparkSession, root: str) -> DataFrame:
     """conversation_id, is_subagent, line_no, role, content; blank and broken lines and plain-text contents are left out."""
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").text(root, wholetext=True)

@@ -208,3 +208,43 @@ def test_rebuild_and_report(spark, tmp_path):
     assert report.corpus_advice([{"sprint": "S", "ac_pct": 10, "solution_pct": 90}], 50, 0)[0].startswith("S: only 10 %")
     rebuild.write_stories(s, str(tmp_path / "out" / "stories"))
     assert spark.read.parquet(str(tmp_path / "out" / "stories")).count() == 2
+
+
+def test_calls_with_retries(spark, tmp_path):
+    asked = spark.createDataFrame([("g-000", "good", "m", 1, 0.0), ("g-001", "bad", "m", 1, 0.0), ("g-002", "late", "m", 1, 0.0), ("g-003", "done", "m", 1, 0.0)], "custom_id string, prompt string, model string, max_tokens int, temperature double")
+    marker = str(tmp_path / "seen")
+
+    def call(prompt, model, max_tokens, temperature):
+        import os
+
+        if prompt == "bad":
+            raise ValueError("no")
+        if prompt == "late" and not os.path.exists(marker):
+            open(marker, "w").close()
+            raise ValueError("timeout")
+        return json.dumps({"terms": [TERM | {"term": prompt}]})
+
+    done = spark.createDataFrame([("g-003", "success", json.dumps({"terms": [TERM]}), None)], "custom_id string, status string, output string, error string")
+    extractor = extraction.CallExtractor(call, done, pause=0.0)
+    batch = extractor.submit(asked)
+    assert extraction.wait(extractor, batch) == "completed" and extraction.wait(extractor, "x", most=0) == "failed"
+    assert {r["custom_id"]: r["status"] for r in extractor.collect(batch).collect()} == {"g-000": "success", "g-001": "error", "g-002": "success", "g-003": "success"}
+    assert sorted(r["term"] for r in extraction.collected(extractor, batch, "glossary").collect()) == ["PHI", "good", "late"]
+    assert sorted(r["sub_batch"] for r in extraction.sub_batches(asked, 3).collect()) == [0, 0, 0, 1]
+
+
+def test_splice_and_export(spark, tmp_path):
+    assert report.spliced("# T\n## A\nold\n## B\nkeep\n", "## A", "| new |") == "# T\n## A\n\n| new |\n\n## B\nkeep\n"
+    assert report.spliced("# T\n", "## A", "| new |").endswith("## A\n\n| new |\n")
+    s = flat(spark, {"story_id": "AA-1", "sprint": "Sprint 1", "summary": "one", "description": "h1. Head"})
+    rebuild.export_markdown(s, str(tmp_path), {"Status": "status"}, {"Description": "description"})
+    assert (tmp_path / "Sprint 1" / "stories" / "AA-1.md").read_text() == "# AA-1: one\n\n\n## Description\n\n# Head\n"
+
+
+def test_transcript_folder(tmp_path):
+    from storyloom.sources import transcripts
+
+    for n in ("home-me-work", "home-me"):
+        (tmp_path / n).mkdir()
+    assert transcripts.discover("/home/me/work", str(tmp_path)).endswith("home-me-work")
+    assert transcripts.discover("/zzz", str(tmp_path)) is None and transcripts.discover("/x", str(tmp_path / "no")) is None
