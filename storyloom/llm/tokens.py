@@ -2,9 +2,9 @@
 
 The two families of public tokenizer files cut a text into words before they
 merge anything, so a word's ids don't depend on its neighbours.  Words met
-before come from the cache, new ones go to the library in batches.  A text with
-any character outside the plain Latin range goes to the library whole, so no
-rule about other scripts is repeated here.
+before come from the cache, new ones go to the library's model one by one.  A
+text with any character outside the plain Latin range goes to the library
+whole, so no rule about other scripts is repeated here.
 """
 
 from __future__ import annotations
@@ -12,23 +12,34 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
-import regex
 
 #: Characters for which cutting here and in the library is the same beyond doubt.
 PLAIN = re.compile("[^\t\n\x20-\x7e\xa1-\xac\xae-įı-ɏ–—‘-”…]")
-#: How each family cuts words; fixed by the tokenizer files.
-BYTE_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-PLAIN_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: The letters and numbers among them.
+LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+#: How each family cuts words, by the expression in its file.
+CUTS = {
+    "": re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"),
+    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+": re.compile(rf"[{LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+"),
+}
+
+
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level models: itself if it prints, else the next from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(rest)}
 
 
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids, as bytes."""
 
-    def __init__(self, path: str, size: int = 400_000):
+    def __init__(self, path: str, size: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -37,43 +48,40 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
-        self.lower = False
-        self.words = None
-        if norm is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
-            self.words = BYTE_WORDS
-        elif norm is not None and pre.get("type") == "Sequence" and PLAIN_WORDS.pattern in json.dumps(pre).replace("\\\\", "\\"):
-            self.words, self.lower = PLAIN_WORDS, True
+        steps = [(p.get("type"), (p.get("pattern") or {}).get("Regex"), p.get("add_prefix_space", False), p.get("use_regex")) for p in pre.get("pretokenizers", [pre])]
+        plain = norm is None, [n.get("type") for n in (norm or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        self.words, self.lower = None, False
+        if spec["model"].get("type") == "BPE" and plain[0] and steps == [("ByteLevel", None, False, True)]:
+            self.words = CUTS[""]
+        elif spec["model"].get("type") == "BPE" and plain[1] and len(steps) == 2 and steps[1] == ("ByteLevel", None, False, False):
+            self.words, self.lower = CUTS.get(steps[0][1]), True
+        self.table, self.model = byte_letters(), self.library.model
         self.half, self.new, self.old = size // 2, {}, {}
 
-    def library_ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text; null counts as empty."""
-        cut: list[list[str] | None] = []
-        odd = []
-        for i, text in enumerate(texts):
-            text = text or ""
-            if self.words is None or PLAIN.search(text):
-                cut.append(None)
-                odd.append(i)
-            else:
-                cut.append(self.words.findall(text.lower() if self.lower else text))
-        wanted = set().union(*(c for c in cut if c))
-        if len(self.new) + len(wanted) > self.half:
+    def word(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            letters = word.encode().decode("latin-1").translate(self.table)
+            ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        if len(self.new) >= self.half:
             self.old, self.new = self.new, {}
-        missing = []
-        for w in wanted.difference(self.new):
-            got = self.old.get(w)
-            if got is None:
-                missing.append(w)
-            else:
-                self.new[w] = got
-        self.new.update(zip(missing, self.library_ids(missing)))
-        out = [b"".join(map(self.new.__getitem__, c)) if c is not None else b"" for c in cut]
-        for i, ids in zip(odd, self.library_ids([texts[i] for i in odd])):
-            out[i] = ids
-        return out
+        self.new[word] = ids
+        return ids
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids of a text; null counts as empty."""
+        text = text or ""
+        if self.words is None or PLAIN.search(text):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        words = self.words.findall(text.lower() if self.lower else text)
+        ids = list(map(self.new.get, words))
+        at = -1
+        try:
+            while True:
+                at = ids.index(None, at + 1)
+                ids[at] = self.new.get(words[at]) or self.word(words[at])
+        except ValueError:  # none is missing any more
+            return b"".join(ids)
 
 
 @lru_cache(maxsize=2)
@@ -82,14 +90,9 @@ def encoder(name: str) -> Encoder:
     return Encoder(name if os.sep in name else public_tokenizers.path(name))
 
 
-def encoded(texts: list[str | None], name: str, end: int, slice_chars: int = 2_000_000):
-    """Yields each text's ids and the end id, a bounded number of characters at a time."""
+def encoded(texts: list[str | None], name: str, end: int):
+    """Yields each text's ids and the end id."""
     last = np.array([end], dtype="<u4").tobytes()
-    batch, chars = [], 0
+    machine = encoder(name)
     for text in texts:
-        batch.append(text)
-        chars += len(text or "")
-        if chars >= slice_chars:
-            yield from (ids + last for ids in encoder(name).encode(batch))
-            batch, chars = [], 0
-    yield from (ids + last for ids in encoder(name).encode(batch))
+        yield machine.encode(text) + last
