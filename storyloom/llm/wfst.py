@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -55,16 +57,21 @@ class Transducer:
         self.bpe = model.trainer_spec.model_type == pb.TrainerSpec.BPE
         normal = {kind.NORMAL, kind.USER_DEFINED}
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type in normal}
+        self.letters = {p for p in self.ids if len(p) == 1}
         self.score = [p.score for p in model.pieces]
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kind.BYTE}
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == kind.UNKNOWN)
-        self.longest = max(map(len, self.ids))
+        self.pieces = ahocorasick.Automaton()
+        for piece, i in self.ids.items():
+            self.pieces.add_word(piece, (len(piece), i))
+        self.pieces.make_automaton()
         self.surface = [bytes([int(p.piece[3:5], 16)]) if p.type == kind.BYTE else p.piece.replace(META, " ").encode() if p.type in normal else b"" if p.type == kind.CONTROL else model.trainer_spec.unk_surface.encode() for p in model.pieces]
         self.text = [p.piece for p in model.pieces]
-        self.worst = min((s for s in self.score if s > -1e6), default=0.0) - 10.0
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # by the piece before, the last one for the start: which pieces stay as they are after it
+        self.after: list[dict[int, bool]] = [{} for _ in range(len(self.text) + 1)]
+        self.n_pairs = 0
         self.cut = CUT if self.safe() else re.compile(r".+", re.DOTALL)
-        self.memo = Memo(self.unit, 400_000)
+        self.memo = Memo(self.unit, 800_000)
 
     def safe(self) -> bool:
         """Whether no piece runs across a cut: each is all of one match."""
@@ -83,27 +90,24 @@ class Transducer:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def arc_cost(self, last: int, piece: int) -> float:
-        """Of taking ``piece`` after ``last`` (-1: at the start of a unit)."""
-        if not self.bpe:
-            return -self.score[piece]
-        key = (last, piece)
-        ok = self.pairs.get(key)
-        if ok is None:
-            if len(self.pairs) > 1_000_000:
-                self.pairs.clear()
-            want = [self.text[piece]] if last < 0 else [self.text[last], self.text[piece]]
-            ok = self.pairs[key] = self.merged("".join(want)) == want
-        return 0.0 if ok else INF
+    def stays(self, last: int, piece: int) -> bool:
+        """Whether merging leaves ``piece`` after ``last`` (-1: at the start of a unit) as it is."""
+        if self.n_pairs > 2_000_000:
+            self.n_pairs, self.after = 0, [{} for _ in self.after]
+        want = [self.text[piece]] if last < 0 else [self.text[last], self.text[piece]]
+        ok = self.after[last][piece] = self.merged("".join(want)) == want
+        self.n_pairs += 1
+        return ok
 
     def unit(self, text: str) -> bytes:
         """Ids of a unit, little-endian unsigned 32-bit: the shortest path of its lattice."""
         out, at = [], 0
-        for i, c in enumerate(text):  # characters without a piece stand alone
-            if c not in self.ids:
-                out += self.path(text[at:i]) + self.fallback(c)
-                at = i + 1
-        return np.array(out + self.path(text[at:]), dtype="<u4").tobytes()
+        if not self.letters.issuperset(text):  # characters without a piece stand alone
+            for i, c in enumerate(text):
+                if c not in self.letters:
+                    out += self.path(text[at:i]) + self.fallback(c)
+                    at = i + 1
+        return array("I", out + self.path(text[at:])).tobytes()
 
     def fallback(self, char: str) -> list[int]:
         if not self.bytes:
@@ -111,24 +115,31 @@ class Transducer:
         return [self.bytes[b] for b in char.encode("utf-8", "surrogatepass")]
 
     def path(self, text: str) -> list[int]:
-        cost: list[float] = [0.0] + [INF] * len(text)
-        last = [-1] * (len(text) + 1)
-        ids = self.ids
-        for end in range(1, len(text) + 1):
-            for start in range(max(0, end - self.longest), end):
-                piece = ids.get(text[start:end])
-                if piece is not None and cost[start] < INF:
-                    c = cost[start] + self.arc_cost(last[start], piece)
-                    if c < cost[end]:
-                        cost[end], last[end] = c, piece
-                        if self.bpe:
-                            break
+        """Ids of the shortest path: arcs come from the compiled pieces, ordered by where they end."""
+        last: list[int | None] = [-1] + [None] * len(text)
+        if self.bpe:  # costs are 0 or infinity: the first arc that reaches a place is the only one
+            after = self.after
+            for end, length, piece in self.arcs(text):
+                if last[end] is None and (before := last[end - length]) is not None:
+                    ok = after[before].get(piece)
+                    if ok or ok is None and self.stays(before, piece):
+                        last[end] = piece
+        else:
+            cost = [0.0] + [INF] * len(text)
+            for end, length, piece in self.arcs(text):
+                c = cost[end - length] - self.score[piece]
+                if c < cost[end]:
+                    cost[end], last[end] = c, piece
         out, end = [], len(text)
         while end:
             out.append(last[end])
             end -= len(self.text[last[end]])
         return out[::-1]
 
+    def arcs(self, text: str):
+        """(end, length, id) of every piece in the text."""
+        return [(at + 1, length, piece) for at, (length, piece) in self.pieces.iter(text)]
+
     def normalised(self, text: str) -> str:
         if self.squeeze:
             text = re.sub(" +", " ", text).strip(" ")
