@@ -111,7 +111,11 @@ def component_coverage(documented: DataFrame, queries: DataFrame, text: str = "q
     ``documented``: component, stories.  A query mentions a component if one of its terms is part of the name.
     """
     terms = queries.select(F.explode(T.terms(F.col(text))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    asked = terms.join(F.broadcast(documented.select("component")), F.contains(F.lower("component"), F.col("term"))).groupBy("component").agg(F.sum("n").alias("queries"))
+    # "is part of" as an equi-join: names are short, so all their parts are few, and neither side is broadcast
+    low = F.lower("component")
+    parts = F.flatten(F.transform(F.sequence(F.lit(1), F.length(low)), lambda i: F.transform(F.sequence(F.lit(3), F.greatest(F.length(low) - i + 1, F.lit(3))), lambda n: F.substring(low, i, n))))
+    named = documented.select("component", F.explode(F.array_distinct(parts)).alias("term"))
+    asked = terms.join(named, "term").groupBy("component").agg(F.sum("n").alias("queries"))
     out = documented.join(asked, "component", "left").withColumn("queries", F.coalesce("queries", F.lit(0)))
     verdict = F.when((F.col("stories") >= 20) & (F.col("queries") < 3), "over").when((F.col("stories") <= 2) & (F.col("queries") >= 2), "under")
     return out.withColumn("verdict", F.coalesce(verdict, F.lit("balanced")))
