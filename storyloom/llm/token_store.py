@@ -46,11 +46,11 @@ class StoreParams:
     tokenizer: str = "byte_bpe_50k.json"
     end: int = 2
     #: Tokens of a segment, and of a block at least before it is closed.
-    segment: int = 1 << 16
+    segment: int = 1 << 17
     block: int = 1 << 18
     #: Tokens of a shard, about.
     shard: int = 1 << 24
-    lanes: int = 512
+    lanes: int = 1024
 
 
 @dataclass
@@ -155,18 +155,25 @@ def read_block(body: bytes, table: Table, segments: range | None = None) -> tupl
 
 
 def tokenised(docs: DataFrame, params: StoreParams) -> DataFrame:
-    """doc_id, ids (unsigned 16-bit where they fit, else 32-bit, as ``wide`` says) of every row."""
+    """doc_id, ids (unsigned 16-bit where they fit, else 32-bit, as ``wide`` says) of every row.
+
+    Each task ends with a row of its own: ``counts`` has how often each id occurred in it.
+    """
+    kind = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("wide", pa.bool_()), ("counts", pa.binary())])
 
     def run(batches):
+        total = np.zeros(1, dtype=np.int64)
         for batch in batches:
-            ids, wide = [], []
-            for got in encoded(batch.column("text").to_pylist(), params.tokenizer, params.end):
-                x = np.frombuffer(got, "<u4")
-                wide.append(bool(x.max() > 0xFFFF))
-                ids.append(got if wide[-1] else x.astype("<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(wide, pa.bool_())], names=["doc_id", "ids", "wide"])
+            got = [np.frombuffer(x, "<u4") for x in encoded(batch.column("text").to_pylist(), params.tokenizer, params.end)]
+            seen = np.bincount(np.concatenate([*got, np.zeros(0, "<u4")]), minlength=len(total))
+            seen[: len(total)] += total
+            total = seen
+            wide = [bool(x.max() > 0xFFFF) for x in got]
+            ids = [x.tobytes() if w else x.astype("<u2").tobytes() for x, w in zip(got, wide)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(wide, pa.bool_()), pa.nulls(len(ids), pa.binary())], schema=kind)
+        yield pa.RecordBatch.from_pydict({"doc_id": [None], "ids": [None], "wide": [None], "counts": [total.astype("<i8").tobytes()]}, schema=kind)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary, wide boolean")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary, wide boolean, counts binary")
 
 
 def widened(ids: bytes, wide: bool) -> bytes:
@@ -177,17 +184,13 @@ def counted(rows: DataFrame) -> np.ndarray:
     """How often each id occurs; as many numbers as the vocabulary has ids."""
 
     def run(batches):
-        total = np.zeros(1, dtype=np.int64)
         for batch in batches:
-            for ids, wide in zip(batch.column("ids").to_pylist(), batch.column("wide").to_pylist()):
-                got = np.bincount(np.frombuffer(ids, "<u4" if wide else "<u2"))
-                if len(got) > len(total):
-                    total = np.concatenate((total, np.zeros(len(got) - len(total), np.int64)))
-                total[: len(got)] += got
-        here = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"id": here, "n": total[here]})
-
-    got = rows.select("ids", "wide").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+            for counts in batch.column("counts").to_pylist():
+                n = np.frombuffer(counts, "<i8")
+                here = np.flatnonzero(n)
+                yield pa.RecordBatch.from_pydict({"id": here, "n": n[here]})
+
+    got = rows.where("counts is not null").select("counts").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(int(max(got["id"].to_numpy(), default=-1)) + 1, dtype=np.int64)
     counts[got["id"].to_numpy()] = got["n"].to_numpy()
     return counts
@@ -226,7 +229,7 @@ def write(docs: DataFrame, scratch: Scratch, params: StoreParams = StoreParams()
         if docs:
             yield close()
 
-    ordered = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "ids")
+    ordered = rows.where("counts is null").select("doc_id", "ids", "wide").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "ids")
     out = ordered.mapInArrow(run, "shard int, block int, at long, tokens long, doc_ids array<long>, body binary")
     blocks = scratch.table(out, "blocks")
     scratch.drop("ids")

@@ -36,10 +36,14 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(rest)}
 
 
+#: What stands for a space.
+SPACE = chr(byte_letters()[32])
+
+
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids, as bytes."""
 
-    def __init__(self, path: str, size: int = 600_000):
+    def __init__(self, path: str, size: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -61,7 +65,10 @@ class Encoder:
     def word(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            letters = word.encode().decode("latin-1").translate(self.table)
+            if word.isascii() and word.lstrip(" ").isalnum():  # most are; their bytes stand for themselves
+                letters = word.replace(" ", SPACE)
+            else:
+                letters = word.encode().decode("latin-1").translate(self.table)
             ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
         if len(self.new) >= self.half:
             self.old, self.new = self.new, {}
