@@ -103,7 +103,10 @@ def newton_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: in
 
 
 class Memo(dict):
-    """A bounded cache of ``make(key)``; when full, the older half of what is in use goes."""
+    """A bounded cache of ``make(key)`` for short keys; when full, the older half of what is in use goes."""
+
+    #: Longer keys aren't kept: their number would bound nothing.
+    LONGEST = 100
 
     def __init__(self, make: Callable, size: int = 300_000):
         super().__init__()
@@ -113,6 +116,8 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        if len(key) > self.LONGEST:
+            return value
         if len(self) >= self.half:
             self.old = dict(self)
             self.clear()

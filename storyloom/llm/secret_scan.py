@@ -151,26 +151,39 @@ def search(index: DataFrame, rule: Rule) -> DataFrame | None:
     return met.where("n = size").select("doc_id").distinct()
 
 
-def spans_of(text: str, matches: str, pieces: str, rule: Rule, rank: int) -> Column:
+#: Matches that are gathered at a time, so that a text with very many costs little more for each.
+RUN = 500
+
+
+def spans_of(matches: str, pieces: str, rule: Rule, rank: int) -> Column:
     """Spans of a rule: between the matches lie the pieces, so lengths add up to offsets."""
     pattern = rule.pattern.replace("\\", "\\\\").replace("'", "\\'")
-    body = f"length(element_at({matches}, i))" if rule.group == 0 else f"length(regexp_extract(element_at({matches}, i), '{pattern}', {rule.group}))"
-    return F.expr(f"""
+    span = "struct<start:int,rank:int,end:int,kind:string>"
+    match = f"element_at({matches}, i)"
+    body = f"length({match})" if rule.group == 0 else f"length(regexp_extract({match}, '{pattern}', {rule.group}))"
+    start = f"acc.at + length(element_at({pieces}, i))"
+    run = f"""
         aggregate(
-          sequence(1, size({matches})),
-          named_struct('at', 0, 'out', cast(array() as array<struct<start:int,rank:int,end:int,kind:string>>)),
+          sequence(b * {RUN} + 1, least(size({matches}), (b + 1) * {RUN})),
+          named_struct('at', all.at, 'out', cast(array() as array<{span}>)),
           (acc, i) -> named_struct(
-            'at', acc.at + length(element_at({pieces}, i)) + length(element_at({matches}, i)),
+            'at', {start} + length({match}),
             'out', if({body} >= {rule.least}, array_append(acc.out, named_struct(
-              'start', acc.at + length(element_at({pieces}, i)), 'rank', {rank},
-              'end', acc.at + length(element_at({pieces}, i)) + length(element_at({matches}, i)), 'kind', '{rule.kind}')), acc.out)),
-          acc -> acc.out)""")
+              'start', {start}, 'rank', {rank}, 'end', {start} + length({match}), 'kind', '{rule.kind}')), acc.out)))"""
+    return F.expr(f"""
+        aggregate(
+          sequence(0, cast((size({matches}) - 1) div {RUN} as int)),
+          named_struct('at', 0, 'out', cast(array() as array<array<{span}>>)),
+          (all, b) -> transform(array({run}), r -> named_struct('at', r.at, 'out', array_append(all.out, r.out)))[0],
+          all -> flatten(all.out))""")
 
 
 def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES, out: str = "spans") -> DataFrame:
     """``docs`` with ``out``: array of (start, rank, end, kind) by start, then by the rules' order.
 
-    Columns that begin with ``__s`` are the operator's own while it works.
+    Columns that begin with ``__s`` are the operator's own while it works.  Write
+    the result before filtering on the spans: a filter that the optimizer pushes
+    below would work them out anew for every match.
     """
     own = docs.columns
     rows = docs.withColumn("__st", F.coalesce("text", F.lit(""))).withColumn("__sh", held_trigrams(F.col("__st"), rules))
@@ -178,7 +191,7 @@ def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES, out: str = "spans") -
     rows = rows.withColumns({f"__sm{k}": F.when(fulfils(F.col("__sh"), r), F.regexp_extract_all("__st", F.lit(r.pattern), F.lit(0))).otherwise(none) for k, r in enumerate(rules)})
     rows = rows.withColumns({f"__sp{k}": F.when(F.size(f"__sm{k}") > 0, F.split("__st", r.pattern, -1)).otherwise(none) for k, r in enumerate(rules)})
     empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
-    rows = rows.withColumns({f"__ss{k}": F.when(F.size(f"__sm{k}") > 0, spans_of("__st", f"__sm{k}", f"__sp{k}", r, k)).otherwise(empty) for k, r in enumerate(rules)})
+    rows = rows.withColumns({f"__ss{k}": F.when(F.size(f"__sm{k}") > 0, spans_of(f"__sm{k}", f"__sp{k}", r, k)).otherwise(empty) for k, r in enumerate(rules)})
     return rows.select(*own, F.array_sort(F.concat(*(F.col(f"__ss{k}") for k in range(len(rules))))).alias(out))
 
 

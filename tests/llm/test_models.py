@@ -350,7 +350,8 @@ def test_pipeline(spark, tmp_path):
 def test_memo_is_bounded():
     made = []
     memo = Memo(lambda k: made.append(k) or k * 2, 10)
-    assert [memo[k % 4] for k in range(40)] == [(k % 4) * 2 for k in range(40)] and made == [0, 1, 2, 3]
+    assert [memo[str(k % 4)] for k in range(40)] == [str(k % 4) * 2 for k in range(40)] and made == list("0123")
     for k in range(100):
-        memo[k]
+        memo[str(k)]
+    assert memo["x" * 200] and "x" * 200 not in memo
     assert len(memo) + len(memo.old) <= 11
