@@ -164,16 +164,23 @@ def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParam
 def train(index: list[np.ndarray], share: list[np.ndarray], y: np.ndarray, params: QualityParams) -> tuple[np.ndarray, float]:
     """Logistic regression on sparse rows by full-batch Adam, both labels with the same weight."""
     size = 2 << params.bits
-    rows = np.repeat(np.arange(len(index)), [len(i) for i in index])
-    flat, value = np.concatenate([*index, np.zeros(0, np.int32)]), np.concatenate([*share, np.zeros(0, np.float32)]).astype(np.float64)
-    used, at = np.unique(flat, return_inverse=True)
+    counts = np.array([len(i) for i in index])
+    starts, filled = np.concatenate(([0], np.cumsum(counts)[:-1])), counts > 0
+    flat, value = np.concatenate([*index, np.zeros(0, np.int32)]), np.concatenate([*share, np.zeros(0, np.float32)])
+    used = np.flatnonzero(np.bincount(flat, minlength=size))
+    place = np.zeros(size, dtype=np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    at = place[flat]
+    del flat
     weight = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     w, bias = np.zeros(len(used)), 0.0
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     for t in range(1, params.steps + 1):
-        z = bias + np.bincount(rows, weights=w[at] * value, minlength=len(y))
+        z = np.full(len(y), bias)
+        if filled.any():
+            z[filled] += np.add.reduceat(w[at] * value, starts[filled])
         error = (logistic(z) - y) * weight
-        grad = np.bincount(at, weights=value * error[rows], minlength=len(used)) + params.ridge * w
+        grad = np.bincount(at, weights=value * np.repeat(error, counts), minlength=len(used)) + params.ridge * w
         gb = error.sum()
         m, v, mb, vb = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb**2
         fix, fix2 = 1 - 0.9**t, 1 - 0.99**t
