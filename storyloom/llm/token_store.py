@@ -46,11 +46,11 @@ class StoreParams:
     tokenizer: str = "byte_bpe_50k.json"
     end: int = 2
     #: Tokens of a segment, and of a block at least before it is closed.
-    segment: int = 1 << 17
-    block: int = 1 << 18
+    segment: int = 1 << 18
+    block: int = 1 << 19
     #: Tokens of a shard, about.
     shard: int = 1 << 24
-    lanes: int = 1024
+    lanes: int = 2048
 
 
 @dataclass
@@ -155,7 +155,7 @@ def read_block(body: bytes, table: Table, segments: range | None = None) -> tupl
 
 
 def tokenised(docs: DataFrame, params: StoreParams) -> DataFrame:
-    """doc_id, ids (unsigned 16-bit where they fit, else 32-bit, as ``wide`` says) of every row.
+    """doc_id, ids (unsigned 16-bit where they fit, else 32-bit, as ``wide`` says) of every row, alike within a batch.
 
     Each task ends with a row of its own: ``counts`` has how often each id occurred in it.
     """
@@ -163,13 +163,17 @@ def tokenised(docs: DataFrame, params: StoreParams) -> DataFrame:
 
     def run(batches):
         total = np.zeros(1, dtype=np.int64)
-        for batch in batches:
-            got = [np.frombuffer(x, "<u4") for x in encoded(batch.column("text").to_pylist(), params.tokenizer, params.end)]
-            seen = np.bincount(np.concatenate([*got, np.zeros(0, "<u4")]), minlength=len(total))
+        for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
+            got = list(encoded(batch.column("text").to_pylist(), params.tokenizer, params.end))
+            flat = np.frombuffer(b"".join(got), "<u4")
+            seen = np.bincount(flat, minlength=len(total))
             seen[: len(total)] += total
             total = seen
-            wide = [bool(x.max() > 0xFFFF) for x in got]
-            ids = [x.tobytes() if w else x.astype("<u2").tobytes() for x, w in zip(got, wide)]
+            big = len(flat) > 0 and int(flat.max()) > 0xFFFF
+            wide, ids = [big] * len(got), got
+            if not big:
+                raw, ends = flat.astype("<u2").tobytes(), np.cumsum([len(x) // 2 for x in got]).tolist()
+                ids = [raw[a:b] for a, b in zip([0, *ends], ends)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(wide, pa.bool_()), pa.nulls(len(ids), pa.binary())], schema=kind)
         yield pa.RecordBatch.from_pydict({"doc_id": [None], "ids": [None], "wide": [None], "counts": [total.astype("<i8").tobytes()]}, schema=kind)
 

@@ -43,7 +43,7 @@ SPACE = chr(byte_letters()[32])
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids, as bytes."""
 
-    def __init__(self, path: str, size: int = 1_000_000):
+    def __init__(self, path: str, size: int = 1_600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -70,6 +70,8 @@ class Encoder:
             else:
                 letters = word.encode().decode("latin-1").translate(self.table)
             ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        if len(word) > 100:  # their number would bound nothing
+            return ids
         if len(self.new) >= self.half:
             self.old, self.new = self.new, {}
         self.new[word] = ids
