@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from storyloom.llm import neardup, packing, quality, token_store, tokens, toxicity, wfst
-from storyloom.llm.common import Memo, Scratch
+from storyloom.llm.common import Memo, Scratch, logistic, newton_logistic
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LABELS = "doc_id long, quality int, toxic int"
@@ -347,6 +347,15 @@ def test_pipeline(spark, tmp_path):
     assert {r["doc_id"] for r in out.select("doc_id").distinct().collect()} == set(left)
 
 
+@pytest.mark.parametrize("gap", [1e-3, 1.0, 500.0])
+def test_calibration_of_separable_rows(gap):
+    y = np.array([0.0] * 10 + [1.0] * 300)
+    z = np.where(y > 0, gap, -gap) + np.linspace(0, gap / 10, 310)
+    w = newton_logistic(np.column_stack((np.ones(310), z)), y)
+    p = logistic(w[0] + w[1] * z)
+    assert w[1] > 0 and p[y > 0].min() > 0.9 and p[y == 0].max() < 0.3
+
+
 def test_memo_is_bounded():
     made = []
     memo = Memo(lambda k: made.append(k) or k * 2, 10)
