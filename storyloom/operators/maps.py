@@ -60,9 +60,11 @@ def epic_quality(scored: DataFrame, epic: str = "epic", score: str = "quality_sc
     return scored.where(F.trim(epic) != "").groupBy(epic).agg(F.count("*").alias("stories"), F.round(F.avg(score), 1).alias("mean_quality")).orderBy(F.desc("stories"), epic).limit(k)
 
 
-def with_text(stories: DataFrame, column: str, limit: int = 200) -> DataFrame:
-    """Index of a section: stories that have it, by sprint and key, cut to ``limit`` characters."""
-    return stories.where(F.trim(F.coalesce(column, F.lit(""))) != "").select("sprint", "story_id", "summary", T.truncated(F.col(column), limit).alias(column)).orderBy("sprint", "story_id")
+def with_text(stories: DataFrame, column: str) -> DataFrame:
+    """Index of a section: stories that have it, with the whole of it, by sprint and key."""
+    section = F.regexp_replace(F.coalesce(column, F.lit("")), r"^\s+|\s+$", "").alias(column)
+    more = [c for c in ("status", "components") if c in stories.columns]
+    return stories.select("sprint", "story_id", "summary", *more, section).where(F.col(column) != "").orderBy("sprint", "story_id")
 
 
 def reference_edges(stories: DataFrame, pattern: str = T.STORY_ID, known_only: bool = False) -> DataFrame:

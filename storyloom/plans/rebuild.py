@@ -94,6 +94,13 @@ def steps(spark: SparkSession, flat: DataFrame, out: str, traceability: str | No
 
         return go
 
+    def sections(name: str, title: str, column: str) -> Callable[[], None]:
+        def go():
+            maps.with_text(flat, column).write.mode("overwrite").parquet(f"{out}/{name}")
+            report.write_sections(f"{out}/{name}.md", title, spark.read.parquet(f"{out}/{name}"), column)
+
+        return go
+
     def trace() -> None:
         if traceability:
             rows = tables.header_union(tables.table_rows(tables.scan(spark, traceability)))
@@ -106,8 +113,8 @@ def steps(spark: SparkSession, flat: DataFrame, out: str, traceability: str | No
 
     return [
         Step("stories", lambda: write_stories(flat, f"{out}/stories", True)),
-        Step("acceptance criteria", table("criteria", "Acceptance criteria", maps.with_text(flat, "acceptance_criteria"))),
-        Step("solutions", table("solutions", "Solutions", maps.with_text(flat, "solution"))),
+        Step("acceptance criteria", sections("criteria", "Acceptance criteria", "acceptance_criteria")),
+        Step("solutions", sections("solutions", "Solutions", "solution")),
         Step("components", table("components", "Components", maps.hot(parts, "component", 1))),
         Step("epics", table("epics", "Epics", maps.frequency(maps.epics(flat), "epic_name"))),
         Step("references", edges),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -48,6 +49,27 @@ def write(path: str, content: str | dict) -> None:
             json.dump(content, f, indent=2, ensure_ascii=False, default=str)
 
 
+def write_sections(path: str, title: str, rows: DataFrame, column: str) -> int:
+    """A document with each row's whole section in a fence under its sprint and key; how many there were.
+
+    Rows come in order of sprint, key and text, and are streamed from the driver, a partition at a time.
+    """
+    n, sprint = 0, None
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(f"# {title}\n")
+        for r in rows.orderBy("sprint", "story_id", "summary", column).toLocalIterator():
+            if not n or r["sprint"] != sprint:
+                sprint = r["sprint"]
+                f.write(f"\n## {sprint or 'Unknown'}\n")
+            fence = "`" * max(3, 1 + max(map(len, re.findall("`+", r[column])), default=0))  # longer than any in the text
+            f.write(f"\n### {r['story_id']} — {r['summary'] or ''}".rstrip() + f"\n\n_Status: {r['status'] or 'Unknown'} · Components: {r['components'] or 'None'}_\n\n{fence}\n{r[column]}\n{fence}\n")
+            n += 1
+        if not n:
+            f.write("\n_None._\n")
+    return n
+
+
 def spliced(text: str, heading: str, table: str) -> str:
     """``text`` with the section under ``heading`` replaced by the table, or with both at its end."""
     lines = text.splitlines()

@@ -210,6 +210,16 @@ def test_rebuild_and_report(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "stories")).count() == 2
 
 
+def test_section_indexes_hold_whole_texts(spark, tmp_path):
+    long = "Given a | b\n" + "x" * 5000 + "\n```\ncode\n```\nthe end"
+    s = flat(spark, {"story_id": "AA-1", "sprint": "Sprint 1", "acceptance_criteria": f"\n {long}\n", "solution": long}, {"story_id": "AA-2", "sprint": "Sprint 1", "acceptance_criteria": " \n"})
+    steps = rebuild.steps(spark, s, str(tmp_path / "out"))
+    assert rebuild.run(steps) == 0, [x.error for x in steps]
+    for name, column in (("criteria", "acceptance_criteria"), ("solutions", "solution")):
+        assert [(r["story_id"], r[column]) for r in spark.read.parquet(str(tmp_path / "out" / name)).collect()] == [("AA-1", long)]
+        assert f"\n````\n{long}\n````\n" in (tmp_path / "out" / f"{name}.md").read_text()
+
+
 def test_calls_with_retries(spark, tmp_path):
     asked = spark.createDataFrame([("g-000", "good", "m", 1, 0.0), ("g-001", "bad", "m", 1, 0.0), ("g-002", "late", "m", 1, 0.0), ("g-003", "done", "m", 1, 0.0)], "custom_id string, prompt string, model string, max_tokens int, temperature double")
     marker = str(tmp_path / "seen")
