@@ -58,11 +58,11 @@ def clean_markup(text: Column, compat: bool = False) -> Column:
 
 def wiki_to_markdown(text: Column, compat: bool = False) -> Column:
     """Headings, bold, code and lists of wiki mark-up in markdown; ``compat`` turns first-level headings into lists, too."""
-    lists = lambda t: F.regexp_replace(F.regexp_replace(t, r"(?m)^\*\s", "- "), r"(?m)^#\s", "1. ")
+    lists = lambda t: F.regexp_replace(F.regexp_replace(t, r"(?d)(?m)^\*\s", "- "), r"(?d)(?m)^#\s", "1. ")
 
     def headings(t: Column) -> Column:
         for n in range(1, 7):
-            t = F.regexp_replace(t, rf"(?m)^h{n}\.\s*", "#" * n + " ")
+            t = F.regexp_replace(t, rf"(?d)(?m)^h{n}\.\s*", "#" * n + " ")
         return t
 
     inline = lambda t: F.regexp_replace(F.regexp_replace(t, r"\*([^*\n]+)\*", "**$1**"), r"\{\{([^}]+)\}\}", "`$1`")

@@ -520,6 +520,19 @@ def md_roundtrip(spark, sf_dir):
     return parsed.select("story_id", "summary", "components", "type")
 
 
+@query()
+def md_roundtrip_whole(spark, sf_dir):
+    """Every document's whole text as its section, there and back: all sections that it is parsed into, by their digest."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("story_id"), F.get(F.split(text, "\r\n?|\n"), F.lit(0)).alias("summary"), F.col("source").alias("c"), F.col("lang").alias("t"), text.alias("d"))
+    files = rows.select(F.concat(F.lit("/Sprint 1/stories/"), "story_id", F.lit(".md")).alias("file_path"), F.lit(0).cast("bigint").alias("file_size"), F.lit("Sprint 1").alias("sprint"), stories.to_markdown(rows, {"Components": "c", "Type": "t"}, {"Description": "d"}).alias("text"))
+    parsed = stories.parse(files, id_pattern=r"^\d+(?=:)")
+    field = lambda k: F.coalesce(F.col("metadata")[k], F.lit(""))
+    whole = F.array_join(F.transform(F.map_entries("sections"), lambda e: F.concat(e["key"], F.lit("\n"), e["value"]["content"])), "\n## ")
+    return parsed.select("story_id", "summary", field("Components").alias("components"), field("Type").alias("type"), F.size("sections").alias("sections"), F.length(whole).alias("chars"), F.md5(whole).alias("digest"))
+
+
 # --- lookups ----------------------------------------------------------------
 
 

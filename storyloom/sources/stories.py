@@ -43,8 +43,8 @@ def last_wins(pairs: Column) -> Column:
 
 def section_struct(body: Column) -> Column:
     content = F.trim(F.regexp_replace(body, r"^\s+|\s+$", ""))
-    lines = F.size(F.filter(F.split(content, "\n"), lambda x: F.trim(x) != ""))
-    return F.struct(content.alias("content"), T.word_count(content).cast("int").alias("word_count"), F.length(content).alias("char_count"), lines.cast("int").alias("line_count"))
+    lines = lambda c: F.size(F.filter(F.split(c, "\n"), lambda x: F.trim(x) != ""))
+    return T.let(content, lambda c: F.struct(c.alias("content"), T.word_count(c).cast("int").alias("word_count"), F.length(c).alias("char_count"), lines(c).cast("int").alias("line_count")))
 
 
 def parse(files: DataFrame, id_pattern: str = T.STORY_ID, compat: bool = False) -> DataFrame:
@@ -54,10 +54,10 @@ def parse(files: DataFrame, id_pattern: str = T.STORY_ID, compat: bool = False)
     ``compat`` takes metadata lines anywhere in the text, not just before the first section.
     """
     body = F.regexp_replace(F.col("text"), "\r\n?", "\n")
-    preamble = body if compat else F.element_at(F.split(body, r"(?m)^## ", 2), 1)
+    preamble = body if compat else F.element_at(F.split(body, r"(?d)(?m)^## ", 2), 1)
     line = F.lit(r"(?d)(?m)^- \*\*(.+?)\*\*:[ \t]*(.*)$")
     pairs = F.transform(F.regexp_extract_all(preamble, line, F.lit(0)), lambda m: F.struct(F.regexp_extract(m, r"(?d)^- \*\*(.+?)\*\*:[ \t]*(.*)$", 1).alias("key"), F.trim(F.regexp_extract(m, r"(?d)^- \*\*(.+?)\*\*:[ \t]*(.*)$", 2)).alias("value")))
-    parts = F.split(body, r"(?m)^## ")
+    parts = F.split(body, r"(?d)(?m)^## ")
     cut = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
     sections = F.transform(cut, lambda s: F.struct(F.trim(F.element_at(F.split(s, "\n", 2), 1)).alias("key"), section_struct(F.coalesce(F.get(F.split(s, "\n", 2), F.lit(1)), F.lit(""))).alias("value")))
     title = F.trim(F.regexp_extract(body, r"(?d)(?m)^# (.+)$", 1))
@@ -94,5 +94,5 @@ def flat(stories: DataFrame) -> DataFrame:
 def to_markdown(stories: DataFrame, fields: dict[str, str], sections: dict[str, str]) -> Column:
     """A story's markdown: title, metadata that isn't blank, cleaned sections that aren't."""
     meta = [F.when(~F.trim(F.coalesce(c, F.lit(""))).isin("", "&nbsp;"), F.concat(F.lit(f"- **{name}**: "), F.trim(c))) for name, c in ((n, F.col(k)) for n, k in fields.items())]
-    body = [F.when(F.trim(F.coalesce(c, F.lit(""))) != "", F.concat(F.lit(f"\n## {name}\n\n"), T.wiki_to_markdown(T.clean_markup(c)))) for name, c in ((n, F.col(k)) for n, k in sections.items())]
+    body = [F.when(F.trim(F.coalesce(c, F.lit(""))) != "", F.concat(F.lit(f"\n## {name}\n\n"), T.wiki_to_markdown(T.clean_markup(F.regexp_replace(c, "\r\n?", "\n"))))) for name, c in ((n, F.col(k)) for n, k in sections.items())]
     return F.concat(F.concat_ws("\n", F.concat(F.lit("# "), F.col("story_id"), F.lit(": "), F.col("summary")), F.lit(""), *meta, *body), F.lit("\n"))
