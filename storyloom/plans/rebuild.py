@@ -87,10 +87,10 @@ def steps(spark: SparkSession, flat: DataFrame, out: str, traceability: str | No
     """The usual steps over flat stories: stories, criteria, solutions, components, epics, references, traceability, sprints."""
     parts = maps.exploded(flat, "components", r"[,;\n/|]", "component")
 
-    def table(name: str, title: str, df: DataFrame) -> Callable[[], None]:
+    def table(name: str, title: str, df: DataFrame, order: list) -> Callable[[], None]:
         def go():
             df.write.mode("overwrite").parquet(f"{out}/{name}")
-            report.write(f"{out}/{name}.md", report.document(title, {title: report.records(spark.read.parquet(f"{out}/{name}"))}))
+            report.write_table(f"{out}/{name}.md", title, spark.read.parquet(f"{out}/{name}").orderBy(*order))
 
         return go
 
@@ -104,20 +104,22 @@ def steps(spark: SparkSession, flat: DataFrame, out: str, traceability: str | No
     def trace() -> None:
         if traceability:
             rows = tables.header_union(tables.table_rows(tables.scan(spark, traceability)))
-            table("traceability", "Traceability", rows)()
+            rows.write.mode("overwrite").parquet(f"{out}/traceability")
+            placed = rows.withColumn("__n", F.monotonically_increasing_id()).orderBy("Source", "__n")  # the files' own order
+            report.write_table(f"{out}/traceability.md", "Traceability", placed.drop("__n"))
 
     def edges() -> None:
         found = maps.reference_edges(flat, known_only=True)
-        table("references", "References", found)()
+        table("references", "References", found, ["from", "to", "sprint"])()
         report.write(f"{out}/references.mmd", maps.mermaid(found))
 
     return [
         Step("stories", lambda: write_stories(flat, f"{out}/stories", True)),
         Step("acceptance criteria", sections("criteria", "Acceptance criteria", "acceptance_criteria")),
         Step("solutions", sections("solutions", "Solutions", "solution")),
-        Step("components", table("components", "Components", maps.hot(parts, "component", 1))),
-        Step("epics", table("epics", "Epics", maps.frequency(maps.epics(flat), "epic_name"))),
+        Step("components", table("components", "Components", maps.hot(parts, "component", 1), [F.desc("stories"), "component"])),
+        Step("epics", table("epics", "Epics", maps.frequency(maps.epics(flat), "epic_name"), [F.desc("n"), "epic_name"])),
         Step("references", edges),
         Step("traceability", trace),
-        Step("sprints", table("sprints", "Sprints", profile.status_summary(flat))),
+        Step("sprints", table("sprints", "Sprints", profile.status_summary(flat), ["sprint"])),
     ]

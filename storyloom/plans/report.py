@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def records(df: DataFrame, most: int = 1000) -> list[dict[str, Any]]:
-    """At most ``most`` rows: a report shows the top of a table; the table itself is a sink's."""
-    return [r.asDict(recursive=True) for r in df.limit(most).collect()]
+def records(df: DataFrame, most: int | None = None) -> list[dict[str, Any]]:
+    """The rows in their order, the first ``most`` only if asked."""
+    return [r.asDict(recursive=True) for r in (df if most is None else df.limit(most)).toLocalIterator()]
 
 
 def cell(value: Any) -> str:
@@ -23,11 +23,19 @@ def cell(value: Any) -> str:
     return text.replace("\n", " ").replace("|", "\\|")
 
 
+def table_head(names: list[str]) -> str:
+    return "| " + " | ".join(names) + " |\n|" + "---|" * len(names)
+
+
+def table_line(row: dict[str, Any], names: list[str]) -> str:
+    return "| " + " | ".join(cell(row[n]) for n in names) + " |"
+
+
 def markdown_table(rows: list[dict[str, Any]]) -> str:
     if not rows:
         return "_None._"
     names = list(rows[0])
-    return "\n".join(["| " + " | ".join(names) + " |", "|" + "---|" * len(names), *("| " + " | ".join(cell(r[n]) for n in names) + " |" for r in rows)])
+    return "\n".join([table_head(names), *(table_line(r, names) for r in rows)])
 
 
 def document(title: str, sections: dict[str, list[dict[str, Any]]], advice: list[str] | None = None) -> str:
@@ -49,6 +57,20 @@ def write(path: str, content: str | dict) -> None:
             json.dump(content, f, indent=2, ensure_ascii=False, default=str)
 
 
+def write_table(path: str, title: str, rows: DataFrame) -> int:
+    """A document of all rows in their order, streamed from the driver, a partition at a time; how many there were."""
+    n, names = 0, rows.columns
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(f"# {title}\n\n## {title}\n\n")
+        for r in rows.toLocalIterator():
+            f.write(("" if n else table_head(names) + "\n") + table_line(r.asDict(recursive=True), names) + "\n")
+            n += 1
+        if not n:
+            f.write("_None._\n")
+    return n
+
+
 def write_sections(path: str, title: str, rows: DataFrame, column: str) -> int:
     """A document with each row's whole section in a fence under its sprint and key; how many there were.
 
@@ -103,9 +125,9 @@ def usage_advice(overview: dict[str, Any], cache: dict[str, Any], outliers: int)
 
 
 def keyword_taxonomy(acronyms: DataFrame, personas: DataFrame, processes: DataFrame, integrations: DataFrame, bigrams: DataFrame, objects: DataFrame) -> dict[str, Any]:
-    """The taxonomy that retrieval reads: at most 100 objects, 50 processes and 50 bigrams."""
+    """The taxonomy that retrieval reads: at most 100 objects, 50 processes and 50 bigrams, all of the rest."""
     top = lambda df, by, k: records(df.orderBy(F.desc(by), df.columns[0]), k)
     return {
-        "acronyms": top(acronyms, "n", 1000), "personas": top(personas, "n", 1000), "processes": top(processes, "n", 50),
-        "integrations": top(integrations, "n", 1000), "bigrams": top(bigrams, "docs", 50), "objects": top(objects, "stories", 100),
+        "acronyms": top(acronyms, "n", None), "personas": top(personas, "n", None), "processes": top(processes, "n", 50),
+        "integrations": top(integrations, "n", None), "bigrams": top(bigrams, "docs", 50), "objects": top(objects, "stories", 100),
     }

@@ -220,6 +220,24 @@ def test_section_indexes_hold_whole_texts(spark, tmp_path):
         assert f"\n````\n{long}\n````\n" in (tmp_path / "out" / f"{name}.md").read_text()
 
 
+def test_documents_and_taxonomy_hold_all_rows(spark, tmp_path):
+    s = flat(spark, *({"story_id": f"AA-{i}", "sprint": "Sprint 1", "components": f"c{i:04d}", "acceptance_criteria": "c", "solution": f"see AA-{i + 1}"} for i in range(1205)))
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "one.md").write_text("| Req |\n|---|\n" + "".join(f"| R{i} |\n" for i in range(1205, 0, -1)))
+    out = tmp_path / "out"
+    steps = rebuild.steps(spark, s, str(out), str(tmp_path / "t"))
+    assert rebuild.run(steps) == 0, [x.error for x in steps]
+    firsts = lambda name: [x.split(" | ")[0].strip("| ") for x in (out / f"{name}.md").read_text().splitlines() if x.startswith("| ")][1:]
+    assert firsts("components") == [f"c{i:04d}" for i in range(1205)]
+    assert firsts("references") == sorted(f"AA-{i}" for i in range(1205))
+    assert [x for x in (out / "traceability.md").read_text().splitlines() if x.startswith("| one")] == [f"| one.md | R{i} |" for i in range(1205, 0, -1)]
+    for name in ("criteria", "solutions"):
+        assert [x for x in (out / f"{name}.md").read_text().splitlines() if x.startswith("### ")] == sorted(f"### AA-{i} —" for i in range(1205))
+    many = spark.range(1205).selectExpr("concat('w', id) AS word", "id AS n", "id AS docs", "id AS stories")
+    got = {k: len(v) for k, v in report.keyword_taxonomy(many, many, many, many, many, many).items()}
+    assert got == {"acronyms": 1205, "personas": 1205, "processes": 50, "integrations": 1205, "bigrams": 50, "objects": 100}
+
+
 def test_calls_with_retries(spark, tmp_path):
     asked = spark.createDataFrame([("g-000", "good", "m", 1, 0.0), ("g-001", "bad", "m", 1, 0.0), ("g-002", "late", "m", 1, 0.0), ("g-003", "done", "m", 1, 0.0)], "custom_id string, prompt string, model string, max_tokens int, temperature double")
     marker = str(tmp_path / "seen")
