@@ -74,16 +74,6 @@ def nodes(word: str) -> list[str]:
     return [word[:k] for k in STEMS if k < len(word)] + [word + "$"]
 
 
-def word_scores(words: list[str], memo: Memo) -> np.ndarray:
-    """Scores of a text's words; a word that counts for toxic counts a half, a third and so on when it comes again."""
-    scores = np.fromiter(map(memo.__getitem__, words), dtype=np.float64, count=len(words))
-    times: Counter = Counter()
-    for i in np.flatnonzero(scores > 0).tolist():
-        times[words[i]] += 1
-        scores[i] /= times[words[i]]
-    return scores
-
-
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, score), by the linear scan of Ruzzo and Tompa."""
     total = np.concatenate(([0.0], np.cumsum(scores)))
@@ -102,6 +92,25 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, right - left) for a, b, left, right in found]
 
 
+def passages(words: list[str], memo: Memo) -> tuple[np.ndarray, list[tuple[int, int, float]]]:
+    """Scores of a text's words and its maximal segments.
+
+    Segments are found on whole scores.  Inside one, a word that counts for toxic counts a half, a third and so on when
+    it comes again, and the segment's score is that of its best part; what stands in other segments doesn't matter.
+    """
+    scores = np.fromiter(map(memo.__getitem__, words), dtype=np.float64, count=len(words))
+    found = maximal_segments(scores)
+    for k, (a, b, _) in enumerate(found):
+        here = [i for i in range(a, b) if scores[i] > 0] if b - a > 1 else []
+        if len({words[i] for i in here}) < len(here):
+            times: Counter = Counter()
+            for i in here:
+                times[words[i]] += 1
+                scores[i] /= times[words[i]]
+            found[k] = a, b, max(s for _, _, s in maximal_segments(scores[a:b]))
+    return scores, found
+
+
 def evidence(segments: list[tuple[int, int, float]], n: int, model: ToxicityModel) -> list[tuple[int, int, float]]:
     """Segments with -ln of the number as good by chance in a text of ``n`` words, if significant."""
     least = -math.log(model.params.significance)
@@ -117,8 +126,7 @@ def features(found: list[tuple[int, int, float]]) -> tuple[float, float]:
 
 def score_text(text: str | None, memo: Memo, model: ToxicityModel) -> tuple[float, list[tuple[int, int, float]]]:
     words = LETTERS.findall((text or "").lower())
-    scores = word_scores(words, memo)
-    found = evidence(maximal_segments(scores), len(words), model)
+    found = evidence(passages(words, memo)[1], len(words), model)
     best, total = features(found)
     return float(logistic(model.fit[0] + model.fit[1] * best + model.fit[2] * total)), found
 
@@ -185,10 +193,10 @@ def calibrate(rows: DataFrame, model: ToxicityModel) -> None:
             for text, label, part in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "part"))):
                 if part == 0:
                     words = LETTERS.findall((text or "").lower())
-                    scores = word_scores(words, memo)
+                    scores, found = passages(words, memo)
                     out["label"].append(int(label))
                     out["n"].append(len(words))
-                    out["segments"].append([s for _, _, s in maximal_segments(scores)])
+                    out["segments"].append([s for _, _, s in found])
                     out["bins"].append(np.bincount(np.clip(np.round(scores * 4), -40, 40).astype(np.int64) + 40, minlength=81).tolist())
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("label", pa.int32()), ("n", pa.int64()), ("segments", pa.list_(pa.float64())), ("bins", pa.list_(pa.int64()))]))
 

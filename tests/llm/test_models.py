@@ -186,6 +186,25 @@ def test_segments_are_the_maximal_ones(scores):
     assert all(x[1] <= y[0] for x, y in zip(got, got[1:]))
 
 
+def test_equal_passages_of_a_long_text_count_the_same():
+    bad = "vile nasty awful cruel filthy".split()
+    model = toxicity.ToxicityModel(weights={w + "$": 0.95 for w in bad}, decay=1.0, scale=1e-3, fit=(-3.0, 1.0, 1.0))
+    clean = " ".join(["plain words go on here"] * 200)
+    passage = " ".join(bad)
+    score = lambda text: toxicity.score_text(text, Memo(model.word_score), model)
+    _, found = score(f"{passage} {clean} {passage} {clean} {passage}")
+    assert [(a, b) for a, b, _ in found] == [(0, 5), (1005, 1010), (2010, 2015)]
+    assert len({round(e, 9) for _, _, e in found}) == 1
+    # words met singly before take nothing from a dense passage
+    singly = f" {clean} ".join(bad)
+    late, alone = score(f"{singly} {clean} {passage}")[1], score(" ".join(["plain"] * 5005) + f" {passage}")[1]
+    assert len(late) == len(alone) == 1 and late[0][2] >= alone[0][2] - 0.1
+    # inside one segment a repeated word counts less each time
+    once, often = score("plain " * 19 + "vile")[1], score("vile " * 20)[1]
+    best = model.word_score("vile")
+    assert toxicity.passages(["vile"] * 20, Memo(model.word_score))[1][0][2] < 5 * best and len(often) >= len(once)
+
+
 def test_toxicity_on_held_out_rows(spark):
     rows, labels = labelled(spark, 400)
     got = toxicity.score(rows, toxicity.fit(rows, labels)).join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).collect()
