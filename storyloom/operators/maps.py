@@ -36,10 +36,21 @@ def top_per(rows: DataFrame, group: str, value: str, k: int) -> DataFrame:
 
 
 def inverted(rows: DataFrame, value: str, key: str = "story_id", span: str = "sprint") -> DataFrame:
-    """Number of keys and of spans of each value; the pairs themselves are ``rows``, however many one value has."""
+    """Number of keys and of spans of each value; ``members`` has the keys themselves."""
     return rows.groupBy(value).agg(F.count_distinct(key).alias("stories"), F.count_distinct(span).alias("spans"))
 
 
+def members(rows: DataFrame, value: str, key: str = "story_id", span: str = "sprint", more: dict[str, int | None] | None = None) -> DataFrame:
+    """The inverted map: a row for each (value, key, span), however many one value has.
+
+    ``more`` are further columns, cut to so many characters where a number is given; of several rows the last in order stands.
+    """
+    short = [(F.col(c) if n is None else F.left(F.coalesce(c, F.lit("")), F.lit(n))).alias(c) for c, n in (more or {}).items()]
+    if not short:
+        return rows.select(value, key, span).distinct()
+    return rows.groupBy(value, key, span).agg(F.max(F.struct(*short)).alias("__m")).select(value, key, span, "__m.*")
+
+
 def hot(rows: DataFrame, value: str, least: int = 2, key: str = "story_id", span: str = "sprint") -> DataFrame:
     """Values of ``least`` keys or more, with their sorted distinct spans."""
     spans = F.array_sort(F.collect_set(span))  # as many as there are spans, not rows

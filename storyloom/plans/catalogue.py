@@ -298,6 +298,11 @@ def component_story_map(spark, sf_dir):
     return maps.inverted(component_rows(spark, sf_dir), "component", "story", "span")
 
 
+@query(f"WITH {ROWS} SELECT DISTINCT component, story, span FROM r")
+def component_story_pairs(spark, sf_dir):
+    return maps.members(component_rows(spark, sf_dir), "component", "story", "span")
+
+
 @query(f"WITH {ROWS} SELECT component, count(DISTINCT story) AS stories, list_sort(list(DISTINCT span)) AS spans FROM r GROUP BY component HAVING count(DISTINCT story) >= 2")
 def hot_components(spark, sf_dir):
     return maps.hot(component_rows(spark, sf_dir), "component", 2, "story", "span")

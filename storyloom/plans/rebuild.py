@@ -87,6 +87,8 @@ def steps(spark: SparkSession, flat: DataFrame, out: str, traceability: str | No
     """The usual steps over flat stories: stories, criteria, solutions, components, epics, references, traceability, sprints."""
     parts = maps.exploded(flat, "components", r"[,;\n/|]", "component")
 
+    named = maps.epics(flat)
+
     def table(name: str, title: str, df: DataFrame, order: list) -> Callable[[], None]:
         def go():
             df.write.mode("overwrite").parquet(f"{out}/{name}")
@@ -118,7 +120,9 @@ def steps(spark: SparkSession, flat: DataFrame, out: str, traceability: str | No
         Step("acceptance criteria", sections("criteria", "Acceptance criteria", "acceptance_criteria")),
         Step("solutions", sections("solutions", "Solutions", "solution")),
         Step("components", table("components", "Components", maps.hot(parts, "component", 1), [F.desc("stories"), "component"])),
-        Step("epics", table("epics", "Epics", maps.frequency(maps.epics(flat), "epic_name"), [F.desc("n"), "epic_name"])),
+        Step("stories of components", table("component_stories", "Stories of components", maps.members(parts, "component", more={"status": None, "summary": 70}), ["component", "sprint", "story_id"])),
+        Step("epics", table("epics", "Epics", maps.frequency(named, "epic_name"), [F.desc("n"), "epic_name"])),
+        Step("stories of epics", table("epic_stories", "Stories of epics", maps.members(named, "epic_name", more={"status": None, "components": 60}), ["epic_name", "sprint", "story_id"])),
         Step("references", edges),
         Step("traceability", trace),
         Step("sprints", table("sprints", "Sprints", profile.status_summary(flat), ["sprint"])),

@@ -220,6 +220,22 @@ def test_section_indexes_hold_whole_texts(spark, tmp_path):
         assert f"\n````\n{long}\n````\n" in (tmp_path / "out" / f"{name}.md").read_text()
 
 
+def test_inverted_maps_hold_their_stories(spark, tmp_path):
+    s = flat(
+        spark,
+        {"story_id": "AA-1", "sprint": "Sprint 1", "components": "x; y, x", "summary": "Epic: Pay. " + "s" * 100, "status": "Done"},
+        {"story_id": "AA-1", "sprint": "Sprint 2", "components": "x", "summary": "t"}, {"story_id": "AA-2", "sprint": "Sprint 1", "components": "x" * 90, "summary": "Epic: Pay"},
+    )
+    steps = rebuild.steps(spark, s, str(tmp_path / "out"))
+    assert rebuild.run(steps) == 0, [x.error for x in steps]
+    rows = lambda name: sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out" / name)).collect())
+    assert rows("component_stories") == sorted([
+        ("x", "AA-1", "Sprint 1", "Done", ("Epic: Pay. " + "s" * 100)[:70]), ("x", "AA-1", "Sprint 2", "", "t"), ("y", "AA-1", "Sprint 1", "Done", ("Epic: Pay. " + "s" * 100)[:70]), ("x" * 90, "AA-2", "Sprint 1", "", "Epic: Pay"),
+    ])
+    assert rows("epic_stories") == [("Pay", "AA-1", "Sprint 1", "Done", "x; y, x"), ("Pay", "AA-2", "Sprint 1", "", "x" * 60), ("_Unassigned_", "AA-1", "Sprint 2", "", "x")]
+    assert (tmp_path / "out" / "component_stories.md").read_text().count("| AA-1 |") == 3
+
+
 def test_documents_and_taxonomy_hold_all_rows(spark, tmp_path):
     s = flat(spark, *({"story_id": f"AA-{i}", "sprint": "Sprint 1", "components": f"c{i:04d}", "acceptance_criteria": "c", "solution": f"see AA-{i + 1}"} for i in range(1205)))
     (tmp_path / "t").mkdir()
