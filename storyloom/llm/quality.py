@@ -127,7 +127,7 @@ def judge(text: str | None, memo: Memo, model: QualityModel) -> tuple[BaseStats,
 
 
 def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> QualityModel:
-    """Trains on four fifths of the bounded sample and calibrates on the last.
+    """Trains on four fifths of the bounded sample and calibrates on scores out of fold of all five.
 
     Without labels of both kinds the model says the share of good labels for every text.
     """
@@ -154,10 +154,16 @@ def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParam
         return model
     index = [x.values.to_numpy() for x in got["index"]]
     share = [x.values.to_numpy() for x in got["share"]]
-    model.weights, model.bias = train([index[i] for i in np.flatnonzero(part)], [share[i] for i in np.flatnonzero(part)], y[part > 0], params)
-    z = np.array([model.bias + float(model.weights[i] @ s) for i, s in zip(index, share)])
-    held = part == 0 if min((y[part == 0] == k).sum() for k in (0, 1)) >= 20 else part >= 0  # few rows: on all of them
-    model.scale = tuple(float(v) for v in newton_logistic(np.column_stack((np.ones(held.sum()), z[held])), y[held]))
+    z = np.zeros(len(y))
+    for k in range(4, -1, -1):  # each part by a model of the others; the last of them is the one that stays
+        rest = np.flatnonzero(part != k)
+        model.weights, model.bias = train([index[i] for i in rest], [share[i] for i in rest], y[rest], params)
+        for i in np.flatnonzero(part == k):
+            z[i] = model.bias + float(model.weights[index[i]] @ share[i])
+    base, slope = (float(v) for v in newton_logistic(np.column_stack((np.ones(len(y)), z)), y))
+    if slope <= 0:  # scores that say nothing about rows not trained on: the share of good ones
+        base, slope = float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))), 0.0
+    model.scale = base, slope
     return model
 
 

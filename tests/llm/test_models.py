@@ -186,6 +186,15 @@ def test_segments_are_the_maximal_ones(scores):
     assert all(x[1] <= y[0] for x, y in zip(got, got[1:]))
 
 
+def test_quality_of_few_rows_is_calibrated_on_scores_out_of_fold(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice([f"w{k}" for k in range(300)]) for _ in range(60)) for _ in range(120)]
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS)
+    labels = spark.createDataFrame([(i, int(i % 8 != 0), 0) for i in range(120)], LABELS)  # nothing in the texts says which
+    got = quality.score(rows, quality.fit(rows, labels)).collect()
+    assert all(r["probability"] > 0.3 for r in got), sorted(r["probability"] for r in got)[:20]
+
+
 def test_equal_passages_of_a_long_text_count_the_same():
     bad = "vile nasty awful cruel filthy".split()
     model = toxicity.ToxicityModel(weights={w + "$": 0.95 for w in bad}, decay=1.0, scale=1e-3, fit=(-3.0, 1.0, 1.0))
