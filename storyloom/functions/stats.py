@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from storyloom.tables import running
+
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
     """The first ``k`` rows of each group; ``order`` must leave no ties for stable results."""
@@ -14,22 +16,29 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int,
 def exclusive_quantiles(df: DataFrame, column: str, n: int = 10, group: list[str] | None = None) -> DataFrame:
     """Cut points 1..n-1 by the exclusive method: one row for each (q, value), per group.
 
-    The ranks come from counts of distinct values, so what is sorted and summed up
-    is one row for each value and not one for each row.  Groups of fewer than two
-    values have no cut points.
+    Ranks come from counts of distinct values, summed up in ranges of (group, value), so no task sees all values, nor
+    all of a group.  Groups of fewer than two values have no cut points.
     """
     group = group or []
     counts = df.where(F.col(column).isNotNull()).groupBy(*group, F.col(column).cast("double").alias("x")).agg(F.count("*").alias("c"))
-    upto = F.sum("c").over(Window.partitionBy(*group).orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.withColumn("high", upto).withColumn("low", F.col("high") - F.col("c") + 1)
-    total = ranked.groupBy(*group).agg(F.max("high").alias("n_rows")).where("n_rows >= 2")
-    i = F.col("q")
-    cuts = total.withColumn("q", F.explode(F.sequence(F.lit(1), F.lit(n - 1))))
-    cuts = cuts.withColumn("j", F.least(F.greatest(F.floor(i * (F.col("n_rows") + 1) / n), F.lit(1)), F.col("n_rows") - 1)).withColumn("delta", i * (F.col("n_rows") + 1) - F.col("j") * n)
-    on = [F.col(f"r.{g}").eqNullSafe(F.col(f"c.{g}")) for g in group]
+    ranked = running(counts, [*group, "x"], F.col("c"), "high").withColumn("low", F.col("high") - F.col("c") + 1)
+    total = ranked.groupBy(*group).agg((F.min("low") - 1).alias("before"), (F.max("high") - F.min("low") + 1).alias("n_rows"))
+    if group:
+        on = [F.col(f"r.{g}").eqNullSafe(F.col(f"t.{g}")) for g in group]
+        placed = ranked.alias("r").join(total.alias("t"), on).select("r.*", "before", "n_rows")
+    else:
+        one = total.head()  # one row
+        placed = ranked.withColumns({c: F.lit((one and one[c]) or 0).cast("long") for c in ("before", "n_rows")})
+
+    def cut(q: Column) -> Column:
+        j = F.least(F.greatest(F.floor(q * (F.col("n_rows") + 1) / n), F.lit(1)), F.col("n_rows") - 1)
+        return F.struct(q.alias("q"), j.alias("j"), (q * (F.col("n_rows") + 1) - j * n).alias("delta"))
+
+    placed = placed.where("n_rows >= 2").withColumns({c: F.col(c) - F.col("before") for c in ("low", "high")})
+    near = F.filter(F.transform(F.sequence(F.lit(1), F.lit(n - 1)), cut), lambda c: (F.col("low") <= c["j"] + 1) & (F.col("high") >= c["j"]))
+    rows = placed.select(*group, "x", "low", "high", F.explode(near).alias("c")).select(*group, "x", "low", "high", "c.*")
     at = lambda place: F.max(F.when((F.col("low") <= place) & (F.col("high") >= place), F.col("x")))
-    joined = F.broadcast(cuts).alias("c").join(ranked.alias("r"), on) if group else ranked.alias("r").crossJoin(F.broadcast(cuts).alias("c"))
-    both = joined.groupBy(*(F.col(f"c.{g}").alias(g) for g in group), "q", "delta").agg(at(F.col("j")).alias("a"), at(F.col("j") + 1).alias("b"))
+    both = rows.groupBy(*group, "q", "delta").agg(at(F.col("j")).alias("a"), at(F.col("j") + 1).alias("b"))
     return both.select(*group, F.col("q").cast("int").alias("q"), ((F.col("a") * (n - F.col("delta")) + F.col("b") * F.col("delta")) / n).alias("value"))
 
 

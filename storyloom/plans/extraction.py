@@ -6,13 +6,15 @@ import json
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from storyloom.functions import text as T
 from storyloom.operators.dedup import keep_first, keep_last
-from storyloom.schemas import INDEXES
-from storyloom.tables import cut
+from storyloom.schemas import INDEXES, index_schema
+from storyloom.sources.responses import salvaged, unfenced
+from storyloom.tables import cut, running
 
 # What the indexes' schemas require, their enumerations and least sizes.
 REQUIRED = {
@@ -54,17 +56,9 @@ def formatted(stories: DataFrame) -> Column:
 def chunked(rows: DataFrame, order: list[str], size: int) -> DataFrame:
     """Adds ordinal (from 1) and chunk (from 0), in ``order``.
 
-    Places are counted in ranges: the range's number of rows before it, and the
-    place within, so that no task sees all rows.
+    Places are counted in ranges, so that no task sees all rows.
     """
-    # the ranges are sampled, so they are fixed before they are used twice
-    ranged = cut(rows.repartitionByRange(*order).withColumn("__r", F.spark_partition_id()))
-    counts = ranged.groupBy("__r").agg(F.count("*").alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bases = counts.select("__r", before.alias("__b"))
-    out = ranged.withColumn("__i", F.row_number().over(Window.partitionBy("__r").orderBy(*order))).join(F.broadcast(bases), "__r")
-    out = out.withColumn("ordinal", (F.col("__b") + F.col("__i")).cast("long")).drop("__r", "__i", "__b")
-    return out.withColumn("chunk", F.floor((F.col("ordinal") - 1) / size).cast("long"))
+    return running(rows, order, F.lit(1), "ordinal").withColumn("chunk", F.floor((F.col("ordinal") - 1) / size).cast("long"))
 
 
 def requests(stories: DataFrame, index: str, template: str, order: list[str], config: ExtractionConfig | None = None, context: str = "") -> DataFrame:
@@ -183,6 +177,65 @@ class CallExtractor:
         return new if self.done is None else self.done.select(*new.columns).unionByName(new)
 
 
+class Client(Protocol):
+    """A provider of batches; picklable, for the executors talk to it."""
+
+    def send(self, requests: list[dict]) -> str:
+        """Takes a sub-batch and names it."""
+
+    def state(self, name: str) -> str:
+        """completed, failed, or anything else while it goes on."""
+
+    def answers(self, name: str) -> list[dict]:
+        """custom_id, status, output, error of each request."""
+
+
+class ProviderExtractor:
+    """Sends requests to a provider in sub-batches of ``size``, each from one task, and asks for all of them."""
+
+    name = "provider"
+
+    def __init__(self, client: Client, size: int = 10):
+        self.client, self.size, self.batches = client, size, {}
+
+    def submit(self, requests: DataFrame) -> str:
+        batch, client = batch_id(requests), self.client
+        columns = requests.columns
+
+        def send(frame):
+            import pandas as pd
+
+            name = client.send(frame[columns].to_dict("records"))
+            return pd.DataFrame({"sub_batch": [int(frame["sub_batch"].iloc[0])], "name": [name]})
+
+        self.batches[batch] = cut(sub_batches(requests, self.size).groupBy("sub_batch").applyInPandas(send, "sub_batch long, name string"))
+        return batch
+
+    def poll(self, batch: str) -> str:
+        if batch not in self.batches:
+            return "failed"
+        client = self.client
+
+        def ask(frames):
+            for frame in frames:
+                yield frame[["name"]].assign(name=frame["name"].map(client.state))
+
+        states = {r["name"] for r in self.batches[batch].select("name").mapInPandas(ask, "name string").distinct().collect()}  # the few states there are
+        return "failed" if "failed" in states else "completed" if states <= {"completed"} else "in_progress"
+
+    def collect(self, batch: str) -> DataFrame:
+        client = self.client
+
+        def fetch(frames):
+            import pandas as pd
+
+            for frame in frames:
+                for name in frame["name"]:
+                    yield pd.DataFrame(client.answers(name), columns=["custom_id", "status", "output", "error"])
+
+        return cut(self.batches[batch].select("name").mapInPandas(fetch, "custom_id string, status string, output string, error string"))
+
+
 def wait(extractor: Extractor, batch: str, every: float = 10.0, most: float = 86_400.0) -> str:
     """Polls until the batch is completed or failed, or ``most`` seconds have gone."""
     import time
@@ -267,30 +320,84 @@ def validation_summary(checked: DataFrame, most: int = 20) -> tuple[DataFrame, l
     return counts, [r["p"] for r in first.collect()]
 
 
+def check(value: Column, kind: DataType, path: str, required: list[str] = []) -> Column:
+    """What is wrong with a JSON value (a variant) of the given kind; nothing if it isn't there."""
+    found, given = F.schema_of_variant(value), value.isNotNull() & ~F.is_variant_null(value)
+    none = F.array().cast("array<string>")
+    wrong = lambda name: F.array(F.lit(f"{path} should be {name}"))
+    if isinstance(kind, StringType):
+        return F.when(given & (found != "STRING"), wrong("text")).otherwise(none)
+    if isinstance(kind, ArrayType):
+        inner = F.flatten(F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: check(x, kind.elementType, f"{path}[]", required)))
+        return F.when(given & ~F.startswith(found, F.lit("ARRAY")), wrong("a list")).when(given, inner).otherwise(none)
+    if isinstance(kind, StructType):
+        each = []
+        for f in kind:
+            child = F.try_variant_get(value, f"$.{f.name}", "variant")
+            if f.name in required:
+                each.append(F.when(child.isNull() | F.is_variant_null(child), F.array(F.lit(f"{path}.{f.name} is missing"))).otherwise(none))
+            each.append(check(child, f.dataType, f"{path}.{f.name}"))
+        return F.when(given & ~F.startswith(found, F.lit("OBJECT")), wrong("an object")).when(given, F.concat(*each)).otherwise(none)
+    return none
+
+
+def response_problems(raw: Column, index: str, most: int = 5) -> Column:
+    """What the index's schema finds wrong in a response's JSON: kinds of values at every depth, and what must be there."""
+    array = INDEXES[index][0]
+    value = F.try_parse_json(unfenced(raw))
+    rows = F.try_variant_get(value, f"$.{array}", "variant")
+    kind = StructType.fromDDL(index_schema(index).removeprefix("struct<").removesuffix(">"))[array].dataType
+    return (
+        F.when(value.isNull(), F.array(F.lit("not JSON")))
+        .when(rows.isNull() | F.is_variant_null(rows), F.array(F.lit(f"{array} is missing")))
+        .otherwise(F.slice(check(rows, kind, array, REQUIRED[index]), 1, most))
+    )
+
+
+def validate_responses(responses: DataFrame, index: str, raw: str = "output", most: int = 20) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """total, valid and invalid responses, and the first problems by custom_id; one without success is invalid."""
+    good = F.col("status") == "success"
+    checked = responses.select("custom_id", good.alias("good"), F.when(good, response_problems(F.col(raw), index)).otherwise(F.array().cast("array<string>")).alias("problems"))
+    valid = F.count_if(F.col("good") & (F.size("problems") == 0))
+    counts = checked.agg(F.count("*").alias("total"), valid.alias("valid"), (F.count("*") - valid).alias("invalid"))
+    first = checked.select("custom_id", F.posexplode("problems").alias("at", "problem")).orderBy("custom_id", "at").limit(most)
+    return counts, [(r["custom_id"], r["problem"]) for r in first.collect()]
+
+
+#: Rows that are joined to one file of JSON; larger indexes stay in the parts that the executors write.
+ONE_FILE = 100_000
+
+
 def write_index(rows: DataFrame, index: str, path: str) -> int:
-    """One JSON file: kind, total and rows; how many there were.
+    """The rows as JSON, a line each, in parts by the executors in the folder ``<path>.d``; how many there were.
 
-    Rows are streamed to the file from the driver, a partition at a time.
+    An index of ``ONE_FILE`` rows or fewer is joined to one file at ``path`` as well: kind, total and rows.
     """
     array = INDEXES[index][0]
-    n = 0
-    with open(path, "w", encoding="utf-8") as f:
-        f.write('{\n  "index_type": %s,\n  "%s": [' % (json.dumps(index), array))
-        for row in rows.toLocalIterator():
-            f.write(("," if n else "") + "\n    " + json.dumps(row.asDict(recursive=True), ensure_ascii=False))
-            n += 1
-        f.write('\n  ],\n  "total_%s": %d\n}\n' % (array, n))
+    parts = f"{path}.d"
+    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(parts)
+    n = rows.sparkSession.read.text(parts).count()
+    if n <= ONE_FILE:
+        with open(path, "w", encoding="utf-8") as f:
+            f.write('{\n  "index_type": %s,\n  "%s": [' % (json.dumps(index), array))
+            for k, row in enumerate(rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).toLocalIterator()):
+                f.write(("," if k else "") + "\n    " + row["value"])
+            f.write('\n  ],\n  "total_%s": %d\n}\n' % (array, n))
     return n
 
 
-def build(stories: DataFrame, index: str, template: str, extractor: Extractor, order: list[str], dry_run: bool = False, context: str = "") -> DataFrame | int:
-    """Requests, answers, checks and the merged index; of a dry run the number of requests."""
+def build(stories: DataFrame, index: str, template: str, extractor: Extractor, order: list[str], dry_run: bool = False, context: str = "", every: float = 10.0, most: float = 86_400.0) -> DataFrame | int:
+    """Requests, answers, checks and the merged index; of a dry run the number of requests.
+
+    Polls ``every`` so many seconds until the batch is completed, for ``most`` at most; one that isn't by then can be collected later.
+    """
     asked = requests(stories, index, template, order, context=context)
     if dry_run:
         return asked.count()
     batch = extractor.submit(asked)
-    if extractor.poll(batch) != "completed":
-        raise RuntimeError(f"{batch} isn't complete; collect it later")
+    state = wait(extractor, batch, every, most)
+    if state != "completed":
+        raise RuntimeError(f"{batch} is {state}")
     return collected(extractor, batch, index)
 
 
@@ -298,8 +405,6 @@ def collected(extractor: Extractor, batch: str, index: str) -> DataFrame:
     """The merged index of a batch's answers; valid rows only."""
     answers = extractor.collect(batch)
     if "parsed" not in answers.columns:
-        from storyloom.sources.responses import salvaged
-
         answers = answers.withColumn("parsed", salvaged(F.col("output"), index)).withColumn("status", F.when(F.col("parsed").isNull(), "error").otherwise(F.col("status")))
     if answers.where("status = 'success'").isEmpty():
         raise RuntimeError("no answer was usable")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.functions import text as T
+from storyloom.tables import running
 
 SPRINT = r"([^/]*[Ss]print[^/]*)/stories/[^/]*$"
 
@@ -26,9 +27,9 @@ def sprint_number(sprint: Column) -> Column:
     return F.regexp_extract(sprint, r"(\d+)", 1).try_cast("int")
 
 
-def ordinal(order: list[Column]) -> Column:
-    """Place in the corpus, from 1."""
-    return F.row_number().over(Window.orderBy(*order))
+def in_order(stories: DataFrame, order: tuple[str, ...] = ("sprint", "file_path")) -> DataFrame:
+    """Adds ordinal: the place in the corpus, from 1, counted in ranges."""
+    return running(stories, list(order), F.lit(1), "ordinal")
 
 
 def last_wins(pairs: Column) -> Column:
@@ -79,6 +80,24 @@ def parse(files: DataFrame, id_pattern: str = T.STORY_ID, compat: bool = False)
     )
 
 
+def retrieval_view(files: DataFrame, id_pattern: str = T.STORY_ID) -> DataFrame:
+    """story_id, summary, sprint, components, epic, labels, text of every story, as retrieval reads them.
+
+    A title without an id gives no summary, and an id is then looked for in the file's name.
+    """
+    rows = parse(files, id_pattern)
+    known = F.regexp_extract(F.regexp_extract(F.regexp_replace("text", "\r\n?", "\n"), r"(?d)^# (.+)", 1), f"({id_pattern})", 1) != ""
+    stem = F.regexp_extract("file_path", r"([^/]+)\.md$", 1)
+    named = F.nullif(F.regexp_extract(stem, f"({id_pattern})", 1), F.lit(""))
+    titles = files.select("file_path", known.alias("__known"))
+    rows = rows.join(titles, "file_path")
+    story_id = F.when(F.col("__known"), F.col("story_id")).otherwise(F.coalesce(named, stem))
+    summary = F.when(F.col("__known"), F.col("summary")).otherwise("")
+    meta = lambda k: F.coalesce(F.col("metadata")[k], F.lit("")).alias(k.lower())
+    text = T.searchable_text(story_id, summary, *(F.col("sections")[k]["content"] for k in ("Description", "Acceptance Criteria", "Solution", "Build Components")))
+    return rows.select(story_id.alias("story_id"), F.left(summary, F.lit(200)).alias("summary"), "sprint", meta("Components"), meta("Epic"), meta("Labels"), text.alias("text"))
+
+
 def flat(stories: DataFrame) -> DataFrame:
     """One plain column for each common field and section, empty text where there is none."""
     meta = lambda k: F.coalesce(F.col("metadata")[k], F.lit("")).alias(k.lower().replace(" ", "_"))

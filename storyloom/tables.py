@@ -1,16 +1,33 @@
-"""Tables in the shared folder, to cut lineage."""
+"""Tables in the shared folder, to cut lineage; sums in an order over all rows."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` from a checkpoint in the session's shared folder; one on this machine only where none is named."""
+    """``df`` from a checkpoint in the session's shared folder; a temporary one only on one machine that names none."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not named and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="storyloom-"))
     return df.checkpoint()
+
+
+def running(rows: DataFrame, order: list[str | Column], value: Column, name: str) -> DataFrame:
+    """Adds ``name``: the sum of ``value`` over all rows up to each one in ``order``, which should leave no ties.
+
+    Rows are dealt out in ranges, and what lies before a range is one row each, so that no task sees all rows.
+    """
+    # the ranges are sampled, so they are fixed before they are used twice
+    ranged = cut(rows.repartitionByRange(*order).withColumn("__r", F.spark_partition_id()).withColumn("__v", value))
+    sums = ranged.groupBy("__r").agg(F.sum("__v").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    near = Window.partitionBy("__r").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = ranged.withColumn("__s", F.sum("__v").over(near)).join(F.broadcast(sums.select("__r", before.alias("__b"))), "__r")
+    return out.withColumn(name, F.col("__b") + F.col("__s")).drop("__r", "__v", "__s", "__b")
