@@ -80,6 +80,14 @@ INTENTS = {
     "workspace_tooling": [r"(?:script|split|parse|index|analyze|corpus|RAG|token|semantic)", r"(?:template|workspace|cursor|rule|skill)"],
 }
 
+# Questions and their intents where nobody has asked any yet.
+FALLBACK_QUERIES = [
+    ("clinician onboarding platform event", "component_search"), ("client contracting agreement process", "knowledge_query"),
+    ("facility agreement rate changes", "knowledge_query"), ("approval flow clinician contract", "component_search"),
+    ("offboarding clinician platform event", "component_search"), ("HPF report email scheduling", "component_search"),
+    ("UAT defects testing issues", "test_planning"), ("Agentforce agent configuration", "knowledge_query"),
+]
+
 # Words of labels, environments before processes.
 ENVIRONMENT_WORDS = "uat prod qa smoke regression test hypercare".split()
 PROCESS_WORDS = "onboarding offboarding contracting maintenance scheduling approval migration integration client provider clinician facility opportunity agreement termination".split()

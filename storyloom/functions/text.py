@@ -35,6 +35,16 @@ def terms(text: Column, stop: list[str] = fixed.STOP_WORDS["retrieval"], least:
     return F.filter(words(F.lower(text)), lambda w: (F.length(w) >= least) & ~_in(w, stop))
 
 
+def frequencies(tokens: Column) -> Column:
+    """Distinct tokens with how often each occurs: (term, tf), found in the row itself, without a shuffle."""
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(starts, lambda b: F.transform(b, lambda i, k: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(b, k + 1), F.size(s)) - i).cast("bigint").alias("tf"))))
+
+    return F.when(F.size(tokens) > 0, let(F.sort_array(tokens), runs)).otherwise(F.array().cast("array<struct<term:string,tf:bigint>>"))
+
+
 def estimated_tokens(n_words: Column) -> Column:
     return (n_words * F.lit(1.3)).cast("bigint")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from storyloom.functions import stats
 from storyloom.functions import text as T
+from storyloom.tables import cut
 
 
 def exploded(rows: DataFrame, column: str, separators: str = "[,;]+", name: str = "value") -> DataFrame:
@@ -14,10 +15,11 @@ def exploded(rows: DataFrame, column: str, separators: str = "[,;]+", name: str
     return rows.withColumn(name, F.explode(T.split_values(F.coalesce(column, F.lit("")), separators)))
 
 
-def frequency(rows: DataFrame, value: str, k: int | None = None) -> DataFrame:
-    """Values by number of rows, most frequent first, ties by value."""
-    out = rows.groupBy(value).agg(F.count("*").alias("n")).orderBy(F.desc("n"), value)
-    return out.limit(k) if k else out
+def frequency(rows: DataFrame, value: str, k: int | None = None, ordinal: str | None = None) -> DataFrame:
+    """Values by number of rows, most frequent first, ties by value; with an ``ordinal`` by where they first occur in the corpus."""
+    first = [F.min(ordinal).alias("__first")] if ordinal else []
+    out = rows.groupBy(value).agg(F.count("*").alias("n"), *first).orderBy(F.desc("n"), *(["__first"] if ordinal else []), value)
+    return (out.limit(k) if k else out).select(value, "n")
 
 
 def orphans(rows: DataFrame, value: str) -> DataFrame:
@@ -109,21 +111,22 @@ def missing(values: DataFrame, documented: DataFrame, on: str) -> DataFrame:
     return values.select(on).distinct().join(documented.select(on), on, "left_anti")
 
 
-def call_chain(edges: DataFrame, start: DataFrame, most: int = 8) -> DataFrame:
+def call_chain(edges: DataFrame, start: DataFrame) -> DataFrame:
     """Elements reached from ``start`` (name) along ``edges`` (from, to), with the least number of steps.
 
-    Of versions of one name (``Name_2``) the highest stands.  ``most`` is the
-    depth of a chain of metadata kinds, of which there are few.
+    Of versions of one name (``Name_2``) the highest stands.  Each round goes on from what it has found for the first
+    time, until there is nothing new, so chains of any length and rings end.
     """
     versioned = edges.select("from", F.regexp_replace("to", r"_\d+$", "").alias("name"), F.coalesce(F.regexp_extract("to", r"_(\d+)$", 1).try_cast("int"), F.lit(0)).alias("version"), "to")
-    newest = versioned.groupBy("from", "name").agg(F.max_by("to", "version").alias("to"))
-    seen = start.select(F.col("name").alias("node"), F.lit(0).alias("steps")).distinct()
-    front = seen
-    for step in range(1, most + 1):
-        nxt = front.join(newest, front["node"] == newest["from"]).select(F.col("to").alias("node"), F.lit(step).alias("steps")).distinct()
-        front = nxt
-        seen = seen.unionByName(nxt)
-    return seen.groupBy("node").agg(F.min("steps").alias("steps"))
+    newest = cut(versioned.groupBy("from", "name").agg(F.max_by("to", "version").alias("to")).select("from", "to").distinct())
+    front = seen = cut(start.select(F.col("name").alias("node"), F.lit(0).alias("steps")).distinct())
+    step = 0
+    while not front.isEmpty():
+        step += 1
+        met = front.join(newest, front["node"] == newest["from"]).select(F.col("to").alias("node")).distinct()
+        front = cut(met.join(seen.select("node"), "node", "left_anti").withColumn("steps", F.lit(step)))
+        seen = seen.unionByName(front)
+    return seen
 
 
 def prior_touchpoints(rows: DataFrame, value: str, span: str, key: str) -> DataFrame:

@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.functions import fixed, stats
 from storyloom.functions import text as T
 from storyloom.operators import topics
+from storyloom.operators.phrases import mentions
+from storyloom.tables import cut
+
+
+#: Terms of an idf table that is broadcast, at most: some 50 MB.
+VOCABULARY = 1_000_000
 
 
 def weights(docs: DataFrame, key: str, text: str, idf: DataFrame | None = None, stop: list[str] = fixed.STOP_WORDS["retrieval"]) -> tuple[DataFrame, DataFrame]:
-    """Postings (key, term, w = tf * idf) and the idf table; terms without an idf are left out."""
+    """Postings (key, term, w = tf * idf) and the idf table; terms without an idf are left out.
+
+    A table of ``VOCABULARY`` terms or fewer is broadcast, so that a document's postings stay where it lies and its
+    norm is added up there; a larger one is joined by term.
+    """
     counts = topics.term_counts(docs, key, text, stop)
-    idf = topics.idf_table(counts, topics.corpus_size(docs), None) if idf is None else idf
-    return counts.join(idf.select("term", "idf"), "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w")), idf
+    if idf is None:
+        idf = cut(topics.idf_table(counts, topics.corpus_size(docs), None))
+    small = idf.limit(VOCABULARY + 1).count() <= VOCABULARY
+    table = idf.select("term", "idf")
+    return counts.join(F.broadcast(table) if small else table, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w")), idf
 
 
 def norms(postings: DataFrame, key: str) -> DataFrame:
@@ -34,24 +47,30 @@ def cosine(queries: DataFrame, docs: DataFrame, q: str, d: str) -> DataFrame:
 
 
 def expanded(queries: DataFrame, q: str, text: str, acronyms: DataFrame, objects: DataFrame) -> DataFrame:
-    """Queries with meanings of their acronyms and labels and names of the objects they mention appended."""
-    words = queries.select(q, F.explode(F.array_distinct(T.words(F.col(text)))).alias("word")).withColumn("acronym", F.upper("word"))
-    a = words.join(F.broadcast(acronyms.select("acronym", "meaning")), "acronym").select(q, F.col("meaning").alias("more"))
-    o = queries.join(F.broadcast(objects.select("api_name", "label")), F.contains(F.lower(text), F.lower("label")) | F.contains(F.lower(text), F.lower("api_name"))).select(q, F.explode(F.array("label", "api_name")).alias("more"))
-    extra = a.unionByName(o).distinct().groupBy(q).agg(F.array_join(F.array_sort(F.collect_set("more")), " ").alias("more"))
+    """Queries with the meanings of the acronyms in them, each time that one occurs, and with names and labels of the objects they mention."""
+    capitals = F.regexp_extract_all(text, F.lit("[A-Z]{2,5}"), F.lit(0))
+    a = queries.select(q, F.explode(capitals).alias("acronym")).join(acronyms.select("acronym", "meaning"), "acronym").select(q, F.col("meaning").alias("more"))
+    spoken = F.replace(F.regexp_replace(F.lower("api_name"), "__[ce]", ""), F.lit("_"), F.lit(" "))
+    names = objects.where(F.coalesce("label", F.lit("")) != "").select("api_name", "label", F.explode(F.array_distinct(F.array(F.lower("label"), spoken))).alias("term"))
+    o = mentions(queries, q, text, names).join(names, "term").select(q, "api_name", "label").distinct().select(q, F.concat_ws(" ", "api_name", "label").alias("more"))
+    extra = a.unionByName(o).groupBy(q).agg(F.array_join(F.array_sort(F.collect_list("more")), " ").alias("more"))  # a question's own words bound it
     return queries.join(extra, q, "left").withColumn(text, F.concat_ws(" ", text, "more")).drop("more")
 
 
 def boost(queries: DataFrame, docs: DataFrame, q: str, d: str, q_text: str, d_text: str, terms: DataFrame, most: float = 0.15) -> DataFrame:
-    """(q, d, boost): min(most, shared / in query * most) over taxonomy terms found in both texts.
+    """(q, d, boost): min(most, shared / in query * most) over taxonomy terms of the query that the document has, too.
 
-    Each side is matched with the terms by itself, and the two meet on the term.
+    ``terms``: term and, if there is one, also (an acronym's meaning, which counts in the document as well).  Only terms
+    that some query has are looked for in documents, each side is matched by itself, and the two meet on the term.
     """
-    t = F.broadcast(terms.select(F.lower("term").alias("tax")).distinct())
-    in_q = queries.join(t, F.contains(F.lower(q_text), F.col("tax"))).select(q, "tax").distinct()
-    in_d = docs.join(t, F.contains(F.lower(d_text), F.col("tax"))).select(d, "tax").distinct()
+    also = F.lower("also") if "also" in terms.columns else F.lit(None).cast("string")
+    entries = terms.select(F.lower("term").alias("tax"), also.alias("also")).where("tax <> ''").distinct()
+    in_q = mentions(queries, q, q_text, entries.withColumnRenamed("tax", "term")).join(entries, F.col("term") == F.col("tax")).select(q, "tax", "also")
+    asked = in_q.select("tax", "also").distinct().select("tax", "also", F.explode(F.array_distinct(F.array_compact(F.array("tax", "also")))).alias("term"))
+    in_d = mentions(docs, d, d_text, asked).join(asked, "term").select(d, F.col("tax").alias("found"), F.col("also").alias("found_also")).distinct()
     checks = in_q.groupBy(q).agg(F.count("*").alias("checks"))
-    shared = in_q.join(in_d, "tax").groupBy(q, d).agg(F.count("*").alias("shared"))
+    same = (F.col("tax") == F.col("found")) & F.col("also").eqNullSafe(F.col("found_also"))
+    shared = in_q.join(in_d, same).groupBy(q, d).agg(F.count("*").alias("shared"))
     return shared.join(checks, q).select(q, d, F.least(F.lit(most), F.col("shared") / F.col("checks") * most).alias("boost"))
 
 
@@ -69,6 +88,14 @@ def eligible(queries: DataFrame, text: str = "query") -> DataFrame:
     return queries.where((F.length(text) >= 10) & ~F.array_contains(kinds, "workspace_tooling"))
 
 
+def questions(asked: DataFrame | None, spark: SparkSession) -> DataFrame:
+    """query_id, query, intents: the eligible questions, or the fixed ones if there are none."""
+    if asked is not None and not (rows := eligible(asked)).isEmpty():
+        return rows
+    rows = [(i, q, [intent]) for i, (q, intent) in enumerate(fixed.FALLBACK_QUERIES)]
+    return spark.createDataFrame(rows, "query_id long, query string, intents array<string>")
+
+
 def best_of(queries: DataFrame, top: DataFrame, q: str) -> DataFrame:
     return queries.select(q).join(top.groupBy(q).agg(F.max("sim").alias("best")), q, "left").withColumn("best", F.coalesce("best", F.lit(0.0)))
 

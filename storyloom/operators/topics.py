@@ -7,19 +7,26 @@ from pyspark.sql import functions as F
 
 from storyloom.functions import fixed, stats
 from storyloom.functions import text as T
+from storyloom.operators.phrases import mentions
 
 
 def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", stop: list[str] = fixed.STOP_WORDS["base"], keep: list[str] | None = None) -> DataFrame:
-    """key, term, tf; ``keep`` are further columns of the document."""
-    rows = docs.select(key, *(keep or []), F.explode(T.terms(F.col(text), stop)).alias("term"))
-    return rows.groupBy(key, *(keep or []), "term").agg(F.count("*").alias("tf"))
+    """key, term, tf of each row of ``docs``, of which ``key`` is the key; ``keep`` are further columns of the document.
+
+    A document's terms are counted where it lies, so nothing is shuffled by document.
+    """
+    return docs.select(key, *(keep or []), F.explode(T.frequencies(T.terms(F.col(text), stop))).alias("t")).select(key, *(keep or []), "t.term", "t.tf")
 
 
 def idf_table(counts: DataFrame, n: DataFrame, noise: float | None = 0.8) -> DataFrame:
     """term, df, idf = ln(N / (1 + df)); terms in more than ``noise`` of the documents are left out."""
-    df = counts.groupBy("term").agg(F.count("*").alias("df"))
-    out = df.crossJoin(F.broadcast(n)).withColumn("idf", F.log(F.col("n_docs") / (1 + F.col("df"))))
-    return (out.where(F.col("df") <= noise * F.col("n_docs")) if noise is not None else out).select("term", "df", "idf")
+    return with_idf(counts.groupBy("term").agg(F.count("*").alias("df")), n, noise).select("term", "df", "idf")
+
+
+def with_idf(terms: DataFrame, n: DataFrame, noise: float | None = 0.8) -> DataFrame:
+    """``terms`` (term, df, ...) with their idf, those in more than ``noise`` of the documents left out."""
+    out = terms.crossJoin(F.broadcast(n)).withColumn("idf", F.log(F.col("n_docs") / (1 + F.col("df"))))
+    return (out.where(F.col("df") <= noise * F.col("n_docs")) if noise is not None else out).drop("n_docs")
 
 
 def corpus_size(docs: DataFrame) -> DataFrame:
@@ -35,15 +42,17 @@ def fold_plurals(counts: DataFrame) -> DataFrame:
     return folded.groupBy(*(c for c in counts.columns if c != "tf")).agg(F.sum("tf").alias("tf"))
 
 
-def top_terms(counts: DataFrame, idf: DataFrame, k: int = 30) -> DataFrame:
-    """Terms by their sum of tf * idf over the corpus."""
-    sums = counts.groupBy("term").agg(F.sum("tf").alias("tf"))
-    return sums.join(idf, "term").select("term", "df", "tf", F.round(F.col("tf") * F.col("idf"), 4).alias("score")).orderBy(F.desc("score"), "term").limit(k)
+def top_terms(counts: DataFrame, n: DataFrame, k: int = 30, noise: float | None = 0.8) -> DataFrame:
+    """Terms by their sum of tf * idf over the corpus; df and tf come from one aggregate of one scan."""
+    sums = counts.groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
+    return with_idf(sums, n, noise).select("term", "df", "tf", F.round(F.col("tf") * F.col("idf"), 4).alias("score")).orderBy(F.desc("score"), "term").limit(k)
 
 
-def top_terms_by(counts: DataFrame, idf: DataFrame, group: str, k: int = 5) -> DataFrame:
-    """The best terms of each group, with the corpus's idf."""
-    sums = counts.groupBy(group, "term").agg(F.sum("tf").alias("tf")).join(idf, "term")
+def top_terms_by(counts: DataFrame, n: DataFrame, group: str, k: int = 5, noise: float | None = 0.8) -> DataFrame:
+    """The best terms of each group, with the corpus's idf, which is summed up from the groups'."""
+    own = counts.groupBy(group, "term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
+    idf = with_idf(own.groupBy("term").agg(F.sum("df").alias("df")), n, noise).select("term", "idf")
+    sums = own.join(idf, "term")
     return stats.top_per_group(sums.select(group, "term", F.round(F.col("tf") * F.col("idf"), 4).alias("score")), [group], [F.desc("score"), F.col("term")], k)
 
 
@@ -124,27 +133,43 @@ def integration_support(docs: DataFrame, key: str, text: str, objects: DataFrame
     pairs = docs.where(F.rlike(F.lower(text), F.lit("|".join(t.lower() for t in fixed.ECOSYSTEM_TERMS)))).select(F.col(key), F.explode(found).alias("integration"))
     if objects is not None:
         spaces = objects.where("namespace is not null").select(F.col("namespace").alias("integration")).distinct()
-        pairs = pairs.unionByName(docs.join(F.broadcast(spaces), F.contains(F.lower(text), F.lower("integration"))).select(F.col(key), "integration"))
+        named = mentions(docs, key, text, spaces.withColumnRenamed("integration", "term"))
+        pairs = pairs.unionByName(named.join(spaces.withColumn("term", F.lower("integration")), "term").select(key, "integration"))
     return supported(pairs, "integration", key, least)
 
 
-def object_references(docs: DataFrame, objects: DataFrame, key: str = "story_id", text: str = "text", span: str = "sprint") -> DataFrame:
-    """api_name, label, stories and sprints that name it; objects that nobody names have 0.
+def object_mentions(docs: DataFrame, objects: DataFrame, key: str = "story_id", text: str = "text", span: str = "sprint") -> DataFrame:
+    """key, span, api_name of every object that a text names.
 
     One-word variants (five letters, no filler) join on the texts' words, longer
-    ones (eight letters) are looked for as phrases with the dictionary broadcast:
-    an object dictionary is bounded by the metadata it describes.
+    ones (eight letters) are looked for as phrases; see ``phrases.mentions``.
     """
     variants = objects.select("api_name", F.explode("search_variants").alias("variant"))
     single = variants.where(~F.contains("variant", F.lit(" ")) & (F.length("variant") >= 5) & ~F.col("variant").isin(*fixed.COMMON_OBJECT_WORDS))
     phrase = variants.where(F.contains("variant", F.lit(" ")) & (F.length("variant") >= 8))
     words = docs.select(F.col(key), F.col(span), F.explode(F.array_distinct(T.words(F.lower(text)))).alias("variant"))
-    hits = words.join(F.broadcast(single), "variant").select(key, span, "api_name")
-    hits = hits.unionByName(docs.join(F.broadcast(phrase), F.contains(F.lower(text), F.col("variant"))).select(key, span, "api_name"))
-    counts = hits.groupBy("api_name").agg(F.count_distinct(key).alias("stories"), F.count_distinct(span).alias("sprints"))
+    hits = words.join(single, "variant").select(key, span, "api_name")
+    found = mentions(docs, key, text, phrase.withColumnRenamed("variant", "term")).join(phrase.withColumn("term", F.lower("variant")), "term")
+    return hits.unionByName(found.join(docs.select(key, span), key).select(key, span, "api_name")).distinct()
+
+
+def object_references(docs: DataFrame, objects: DataFrame, key: str = "story_id", text: str = "text", span: str = "sprint") -> DataFrame:
+    """api_name, label, stories and sprints that name it; objects that nobody names have 0."""
+    counts = object_mentions(docs, objects, key, text, span).groupBy("api_name").agg(F.count_distinct(key).alias("stories"), F.count_distinct(span).alias("sprints"))
     return objects.select("api_name", "label").join(counts, "api_name", "left").fillna(0, ["stories", "sprints"])
 
 
+def object_story_index(docs: DataFrame, objects: DataFrame, key: str = "story_id", text: str = "text", span: str = "sprint") -> tuple[DataFrame, DataFrame]:
+    """The cross-lookup of objects and stories, in two tables.
+
+    First label, api_name, stories, sprints: one object for each label, see ``by_label``; then label, api_name and a
+    row for each story that names the object, however many.
+    """
+    one = by_label(object_references(docs, objects, key, text, span))
+    pairs = object_mentions(docs, objects, key, text, span).select("api_name", key, span).join(one.select("api_name", "label"), "api_name")
+    return one, pairs.select("label", "api_name", key, span)
+
+
 def by_label(references: DataFrame) -> DataFrame:
     """One object for each label: the most named, ties by name."""
     return references.groupBy("label").agg(F.min_by(F.struct("api_name", "stories", "sprints"), F.struct(-F.col("stories"), F.col("api_name"))).alias("o")).select("label", "o.*")
