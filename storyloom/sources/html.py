@@ -1,4 +1,4 @@
-"""Issue tables of HTML exports: a table function for the markup, column functions for the fields."""
+"""Issue tables of HTML exports: a parser in Arrow batches for the markup, column functions for the fields."""
 
 from __future__ import annotations
 
@@ -7,10 +7,10 @@ from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
 
 from storyloom.functions import fixed
 from storyloom.functions import text as T
+from storyloom.sources.parsed import exploded
 from storyloom.sources.stories import decoded_path, sprint_number
 
 
@@ -71,45 +71,39 @@ class IssueTable(HTMLParser):
         self.cell = None
 
 
-@udtf(returnType="row_no: int, cells: array<struct<class:string,content:string>>")
-class IssueRows:
-    def eval(self, html: str, rich: bool):
-        if html:
-            parser = IssueTable(rich)
-            parser.feed(html)
-            parser.close()
-            for i, row in enumerate(parser.rows, 1):
-                yield i, [(c["class"], c["content"]) for c in row]
+def cells_of(html: str, rich: bool) -> list[tuple[int, list[dict]]]:
+    """Rows of a page's issue tables, from 1, with the class and content of each cell."""
+    parser = IssueTable(rich)
+    parser.feed(html)
+    parser.close()
+    return list(enumerate(parser.rows, 1))
 
 
-@udtf(returnType="link_no: int, href: string, words: string")
-class Links:
-    """Links of a page in their order, with their text on one line."""
-
-    def eval(self, html: str):
-        if not html:
-            return
-        found: list[list] = []
+class LinkParser(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found: list[tuple[str, list[str]]] = []
+        self.inside = False
 
-        class Parser(HTMLParser):
-            inside = False
+    def handle_starttag(self, tag, attrs):
+        if tag == "a" and (href := dict(attrs).get("href")):
+            self.found.append((href, []))
+            self.inside = True
 
-            def handle_starttag(self, tag, attrs):
-                if tag == "a" and (href := dict(attrs).get("href")):
-                    found.append([href, []])
-                    self.inside = True
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.inside = False
 
-            def handle_endtag(self, tag):
-                if tag == "a":
-                    self.inside = False
+    def handle_data(self, data):
+        if self.inside and self.found:
+            self.found[-1][1].append(data)
 
-            def handle_data(self, data):
-                if self.inside and found:
-                    found[-1][1].append(data)
 
-        Parser().feed(html)
-        for i, (href, words) in enumerate(found, 1):
-            yield i, href, re.sub(r"\s+", " ", "".join(words)).strip()
+def links_of(html: str) -> list[tuple[int, str, str]]:
+    """Links of a page in their order, with their text on one line."""
+    parser = LinkParser()
+    parser.feed(html)
+    return [(i, href, re.sub(r"\s+", " ", "".join(words)).strip()) for i, (href, words) in enumerate(parser.found, 1)]
 
 
 def scan(spark: SparkSession, root: str, pattern: str = "*.html", first_only: bool = False) -> DataFrame:
@@ -125,11 +119,11 @@ def scan(spark: SparkSession, root: str, pattern: str = "*.html", first_only: bo
 
 def issue_rows(pages: DataFrame, rich: bool = True, html: str = "html") -> DataFrame:
     """Each page's rows of its issue tables, with the page's other columns."""
-    return pages.lateralJoin(IssueRows(F.col(html).outer(), F.lit(rich))).drop(html)
+    return exploded(pages, html, lambda page: cells_of(page, rich), "row_no int, cells array<struct<class:string,content:string>>")
 
 
 def links(pages: DataFrame, html: str = "html") -> DataFrame:
-    return pages.lateralJoin(Links(F.col(html).outer())).drop(html)
+    return exploded(pages, html, links_of, "link_no int, href string, words string")
 
 
 def first_content(cls: str) -> Column:
@@ -146,7 +140,8 @@ def fields_exact(rows: DataFrame, id_pattern: str = T.STORY_ID) -> DataFrame:
             found = F.regexp_extract(content, f"({id_pattern})", 1)
             content = F.when(found != "", found).otherwise(F.trim(content))
         columns.append(content.alias(name))
-    return rows.select("sprint", sprint_number(F.col("sprint")).alias("sprint_no"), *columns)
+    place = [c for c in ("file_path", "row_no") if c in rows.columns]
+    return rows.select("sprint", sprint_number(F.col("sprint")).alias("sprint_no"), *columns, *place)
 
 
 def fields_hinted(rows: DataFrame, id_pattern: str = T.STORY_ID, hints: dict[str, list[str]] | None = None) -> DataFrame:

@@ -20,12 +20,17 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
     return files.select(decoded_path(F.col("path")).alias("file_path"))
 
 
-def folder_counts(files: DataFrame) -> DataFrame:
-    """Files by the first known folder in their path, with the folder's label."""
+def by_folder(files: DataFrame) -> DataFrame:
+    """folder and file_path of the files below a known folder; the first in the path counts."""
     known = F.array(*map(F.lit, fixed.FOLDER_LABELS))
     folder = F.get(F.filter(F.split("file_path", "/"), lambda p: F.array_contains(known, p)), F.lit(0))
+    return files.select(folder.alias("folder"), "file_path").where("folder is not null")
+
+
+def folder_counts(files: DataFrame) -> DataFrame:
+    """Files by the first known folder in their path, with the folder's label."""
     labels = F.create_map(*(F.lit(x) for kv in fixed.FOLDER_LABELS.items() for x in kv))
-    return files.select(folder.alias("folder")).where("folder is not null").groupBy("folder").agg(F.count("*").alias("files")).withColumn("label", F.coalesce(labels[F.col("folder")], F.col("folder")))
+    return by_folder(files).groupBy("folder").agg(F.count("*").alias("files")).withColumn("label", F.coalesce(labels[F.col("folder")], F.col("folder")))
 
 
 def xml_label(xml: Column) -> Column:

@@ -57,15 +57,23 @@ def sidecar(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_prompts(requests: DataFrame, folder: str) -> int:
-    """Prompts for a manual run, one text file each, and a manifest; how many there are."""
+    """Prompts for a manual run, one text file each, written by the executors, and a manifest of their ids; how many there are.
+
+    ``folder`` must be one that they all share, such as a mounted file system.
+    """
     os.makedirs(folder, exist_ok=True)
+
+    def save(part):
+        for r in part:
+            whole = os.path.join(folder, r["custom_id"] + ".prompt.md")
+            with open(f"{whole}.new", "w", encoding="utf-8") as f:
+                f.write(r["prompt"])
+            os.replace(f"{whole}.new", whole)  # a task that runs twice leaves one whole file
+
+    requests.select("custom_id", "prompt").foreachPartition(save)
     n = 0
-    names = []
-    for row in requests.select("custom_id", "prompt").orderBy("custom_id").toLocalIterator():
-        with open(os.path.join(folder, row["custom_id"] + ".prompt.md"), "w", encoding="utf-8") as f:
-            f.write(row["prompt"])
-        names.append(row["custom_id"])
-        n += 1
     with open(os.path.join(folder, "manifest.txt"), "w", encoding="utf-8") as f:
-        f.write("\n".join(names))
+        for row in requests.select("custom_id").orderBy("custom_id").toLocalIterator():  # ids only, a partition at a time
+            f.write(row["custom_id"] + "\n")
+            n += 1
     return n
