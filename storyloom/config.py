@@ -33,72 +33,13 @@ def merged(base: dict, over: dict) -> dict:
     return out
 
 
-def scalar(text: str) -> Any:
-    text = text.strip()
-    if text[:1] in "\"'" and text[-1:] == text[:1] and len(text) > 1:
-        return text[1:-1]
-    low = text.lower()
-    if low in ("true", "yes"):
-        return True
-    if low in ("false", "no"):
-        return False
-    if low in ("", "null", "~"):
-        return None
-    for kind in (int, float):
-        try:
-            return kind(text)
-        except ValueError:
-            pass
-    return text
-
-
-def without_comment(line: str) -> str:
-    quote = ""
-    for i, c in enumerate(line):
-        if c in "\"'" and (not quote or quote == c):
-            quote = "" if quote else c
-        elif c == "#" and not quote and (i == 0 or line[i - 1] in " \t"):
-            return line[:i]
-    return line
-
-
-def plain_yaml(text: str) -> dict:
-    """Nested mappings and lists of scalars: what settings need where no YAML library is."""
-    root: dict = {}
-    stack: list[tuple[int, Any]] = [(-1, root)]
-    lines = [x for x in (without_comment(line).rstrip() for line in text.splitlines()) if x.strip()]
-    for n, line in enumerate(lines):
-        depth = len(line) - len(line.lstrip())
-        body = line.strip()
-        while stack[-1][0] >= depth:
-            stack.pop()
-        holder = stack[-1][1]
-        if body.startswith("- "):
-            if isinstance(holder, list):
-                holder.append(scalar(body[2:]))
-            continue
-        key, _, value = body.partition(":")
-        key = str(scalar(key))
-        if value.strip():
-            holder[key] = scalar(value)
-        else:
-            follows = lines[n + 1].strip() if n + 1 < len(lines) else ""
-            holder[key] = [] if follows.startswith("- ") else {}
-            stack.append((depth, holder[key]))
-    return root
-
-
 def load(start: str | None = None) -> dict:
     root = find_root(start)
     for mark in MARKS:
         if (root / mark).exists():
-            text = (root / mark).read_text(encoding="utf-8")
-            try:
-                import yaml
+            import yaml  # settings files need it, nothing else does
 
-                found = yaml.safe_load(text) or {}
-            except ImportError:
-                found = plain_yaml(text)
+            found = yaml.safe_load((root / mark).read_text(encoding="utf-8")) or {}
             return merged(DEFAULTS, found) | {"root": str(root)}
     return deepcopy(DEFAULTS) | {"root": str(root)}
 

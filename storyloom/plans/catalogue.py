@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.functions import fixed, stats
 from storyloom.functions import text as T
 from storyloom.operators import conversations, dedup, lookups, maps, profile, retrieval, topics, usage
 from storyloom.plans import extraction
-from storyloom.sources import html, stories
+from storyloom.sources import html, stories, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,8 +56,7 @@ TERMS = f"""
 
 def counted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, sf_dir, "documents")
-    counts = topics.term_counts(docs, "doc_id", "text", fixed.STOP_WORDS["base"], ["source"])
-    return counts, topics.idf_table(counts, topics.corpus_size(docs))
+    return topics.term_counts(docs, "doc_id", "text", fixed.STOP_WORDS["base"], ["source"]), topics.corpus_size(docs)
 
 
 # --- topics -----------------------------------------------------------------
@@ -79,7 +78,8 @@ def tfidf_top_terms_by_source(spark, sf_dir):
     sizes AS (SELECT term, count(*) AS docs FROM best GROUP BY term HAVING count(*) >= 3 ORDER BY docs DESC, term LIMIT 15)
     SELECT term, docs, list(doc_id ORDER BY doc_id)[1:5] AS examples FROM best JOIN sizes USING (term) GROUP BY term, docs""")
 def dominant_term_clusters(spark, sf_dir):
-    return topics.clusters(*counted(spark, sf_dir))
+    counts, n = counted(spark, sf_dir)
+    return topics.clusters(counts, topics.idf_table(counts, n))
 
 
 @query(f"""WITH counts AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({tokens_sql("text", "base")}) AS term FROM documents) GROUP BY ALL),
@@ -120,21 +120,51 @@ def gerund_terms(spark, sf_dir):
     return topics.supported(docs.select("doc_id", F.explode(T.title_gerunds(F.col("title"))).alias("gerund")), "gerund", "doc_id", 3)
 
 
-@query("""WITH m AS (SELECT doc_id, unnest(regexp_extract_all(text, 'the ([a-z]{3,12})[.,]', 1)) AS role FROM documents)
-    SELECT role, count(DISTINCT doc_id) AS n FROM m GROUP BY role HAVING count(DISTINCT doc_id) >= 2""")
-def role_support(spark, sf_dir):
-    found = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("the ([a-z]{3,12})[.,]"), F.lit(1)))).alias("role")
-    return table(spark, sf_dir, "documents").select("doc_id", found).groupBy("role").agg(F.count("*").alias("n")).where("n >= 2")
+PERSONAS = r"regexp_extract_all(text, '[Aa]s\s+(?:a|an)\s+([A-Za-z][A-Za-z\s/\-]{2,40}?)(?:\s*[,.]|\s+(?:I|i|we|We)\s)', 1)"
+
+
+@query(f"""WITH p AS (SELECT DISTINCT doc_id, unnest(list_filter(list_transform({PERSONAS}, lambda r: lower(trim(r))), lambda r: length(r) BETWEEN 3 AND 50 AND NOT regexp_matches(r, 'user who|person who|member of'))) AS persona FROM documents)
+    SELECT persona, count(*) AS n, list(doc_id ORDER BY doc_id)[1:5] AS examples FROM p GROUP BY persona HAVING count(*) >= 2""")
+def persona_support(spark, sf_dir):
+    return topics.persona_support(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 # --- profile ----------------------------------------------------------------
 
 
-@query(f"""SELECT count(*) AS docs, CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes, CAST(sum({WORDS}) AS BIGINT) AS words, CAST(sum(CAST(trunc({WORDS} * 1.3::DOUBLE) AS BIGINT)) AS BIGINT) AS tokens,
-    round(avg(CASE WHEN {WORDS} > 3 THEN {WORDS} END), 0) AS avg_words, round(count(*) FILTER ({WORDS} > 3) / count(*) * 100, 1) AS present_pct FROM documents""")
+def as_stories(docs: DataFrame) -> DataFrame:
+    """Documents as parsed stories: the first line described, the whole as criteria, and as solution but of every third."""
+    part = lambda c: F.struct(c.alias("content"), T.word_count(c).cast("int").alias("word_count"), F.length(c).alias("char_count"), F.lit(1).alias("line_count"))
+    text = F.coalesce("text", F.lit(""))
+    n = T.word_count(text)
+    solution = F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(text)
+    sections = F.create_map(F.lit("Description"), part(F.element_at(F.split(text, "\n"), 1)), F.lit("Acceptance Criteria"), part(text), F.lit("Solution"), part(solution))
+    metadata = F.create_map(F.lit("Components"), F.col("source"), F.lit("Assignee"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise(" "))
+    return docs.select(F.col("doc_id").cast("string").alias("story_id"), F.col("source").alias("sprint"), metadata.alias("metadata"), sections.alias("sections"), F.octet_length("text").cast("bigint").alias("file_size"), n.cast("int").alias("total_word_count"), T.estimated_tokens(n).alias("estimated_tokens"))
+
+
+_W = {"Description": "len(regexp_extract_all(split_part(text, chr(10), 1), '[a-zA-Z]{2,}'))", "Acceptance Criteria": WORDS, "Solution": f"CASE WHEN doc_id % 3 = 0 THEN 0 ELSE {WORDS} END"}
+_META = {"Components": "trim(source) <> ''", "Assignee": "doc_id % 2 = 0 AND trim(lang) <> ''"}
+_COVERAGE = " UNION ALL ".join(
+    [f"SELECT 'section' AS kind, '{name}' AS name, count(*) FILTER ({_W.get(name, 0)} > 3) AS stories, round(count(*) FILTER ({_W.get(name, 0)} > 3) / count(*) * 100, 1) AS pct, round(coalesce(avg({_W.get(name, 0)}) FILTER ({_W.get(name, 0)} > 3), 0), 0) AS avg_words FROM documents" for name in fixed.SECTIONS]
+    + [f"SELECT 'metadata', '{name}', count(*) FILTER ({_META.get(name, 'false')}), round(count(*) FILTER ({_META.get(name, 'false')}) / count(*) * 100, 1), NULL::DOUBLE FROM documents" for name in fixed.METADATA_KEYS]
+)
+
+
+@query(_COVERAGE)
 def corpus_coverage(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select(F.octet_length("text").alias("b"), T.word_count(F.col("text")).alias("w"))
-    return rows.agg(F.count("*").alias("docs"), F.sum("b").alias("bytes"), F.sum("w").alias("words"), F.sum(T.estimated_tokens(F.col("w"))).alias("tokens"), F.round(F.avg(F.when(F.col("w") > 3, F.col("w"))), 0).alias("avg_words"), stats.percent(F.count_if(F.col("w") > 3), F.count("*")).alias("present_pct"))
+    return profile.coverage(as_stories(table(spark, sf_dir, "documents")))
+
+
+@query(f"SELECT source AS sprint, count(*) AS stories, round(count(*) FILTER ({_W['Acceptance Criteria']} > 3) / count(*) * 100, 1) AS ac_pct, round(count(*) FILTER ({_W['Solution']} > 3) / count(*) * 100, 1) AS solution_pct FROM documents GROUP BY source")
+def coverage_by_source(spark, sf_dir):
+    return profile.coverage_by_sprint(as_stories(table(spark, sf_dir, "documents")))
+
+
+@query(f"""SELECT count(*) AS stories, CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes, round(sum(octet_length(encode(text))) / 1048576, 2) AS mb, CAST(sum({WORDS}) AS BIGINT) AS words, CAST(sum(CAST(trunc({WORDS} * 1.3::DOUBLE) AS BIGINT)) AS BIGINT) AS tokens,
+    round(avg(round(({' + '.join(_W.values())}) / greatest({WORDS}, 1), 2)), 2) AS richness FROM documents""")
+def corpus_density(spark, sf_dir):
+    return profile.density(as_stories(table(spark, sf_dir, "documents")))
 
 
 @query(f"""SELECT source, count(*) AS stories, CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes, round(avg({WORDS}), 0) AS avg_words, round(avg(CAST(trunc({WORDS} * 1.3::DOUBLE) AS BIGINT)), 0) AS avg_tokens FROM documents GROUP BY source""")
@@ -342,10 +372,27 @@ def prior_touchpoints(spark, sf_dir):
     return maps.prior_touchpoints(rows, "l_partkey", "month", "l_orderkey")
 
 
-@query("""WITH p AS (SELECT DISTINCT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS target FROM pages) SELECT page_id AS "from", target AS "to" FROM p""")
+def referring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as stories that name orders, parts and suppliers by id."""
+    name = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
+    items = table(spark, sf_dir, "lineitem")
+    solution = F.concat_ws(" ", F.lit("see"), name("OK-", "l_orderkey"), F.lit("and"), F.concat(F.lit("OK-"), (F.col("l_orderkey") + F.col("l_linenumber") - 3).cast("string")))
+    return items.select(name("OK-", "l_orderkey").alias("story_id"), F.col("l_linestatus").alias("sprint"), solution.alias("solution"), name("uses PT-", "l_partkey").alias("acceptance_criteria"), name("from SU-", "l_suppkey").alias("summary"))
+
+
+EDGES = """o AS (SELECT 'OK-' || l_orderkey AS "from", l_linestatus AS sprint, l_orderkey + l_linenumber - 3 AS other, 'PT-' || l_partkey AS part, 'SU-' || l_suppkey AS supplier FROM lineitem),
+    edges AS (SELECT "from", 'OK-' || other AS "to", sprint FROM o WHERE other >= 0 AND 'OK-' || other <> "from" UNION ALL SELECT "from", part, sprint FROM o UNION ALL SELECT "from", supplier, sprint FROM o)"""
+
+
+@query(f'WITH {EDGES} SELECT "from", "to", sprint FROM edges')
 def reference_edges(spark, sf_dir):
-    found = F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1)))).alias("to")
-    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("from"), found)
+    return maps.reference_edges(referring(spark, sf_dir))
+
+
+@query(f"""WITH {EDGES} SELECT DISTINCT "to" FROM edges WHERE "to" LIKE 'OK-%' AND "to" NOT IN (SELECT 'OK-' || l_orderkey FROM lineitem)""")
+def dangling_references(spark, sf_dir):
+    stories = referring(spark, sf_dir)
+    return maps.dangling(maps.reference_edges(stories, known_only=True), stories)
 
 
 @query("""SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) AS INTEGER) AS link_no, href FROM (SELECT page_id, unnest(l) AS href, unnest(range(1, len(l) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) AS l FROM pages))""")
@@ -353,29 +400,42 @@ def html_links(spark, sf_dir):
     return html.links(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "link_no", "href")
 
 
-@query("""SELECT 'nation' AS "Source", n_name AS name, CAST(n_regionkey AS VARCHAR) AS region, '' AS balance FROM nation UNION ALL SELECT 'region', r_name, CAST(r_regionkey AS VARCHAR), '' FROM region
-    UNION ALL SELECT 'supplier', s_name, '', CAST(CAST(round(s_acctbal * 100) AS BIGINT) AS VARCHAR) FROM supplier""")
+@query("""SELECT 'nation-' || n_nationkey || '.md' AS "Source", n_name AS "Name", CAST(n_regionkey AS VARCHAR) AS "Region", '' AS "Balance" FROM nation UNION ALL SELECT 'region.md', r_name, CAST(r_regionkey AS VARCHAR), '' FROM region
+    UNION ALL SELECT 'supplier-' || s_suppkey || '.md', s_name, '', CAST(CAST(round(s_acctbal * 100) AS BIGINT) AS VARCHAR) FROM supplier""")
 def union_headers(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").select(F.lit("nation").alias("Source"), F.col("n_name").alias("name"), F.col("n_regionkey").cast("string").alias("region"))
-    r = table(spark, sf_dir, "region").select(F.lit("region").alias("Source"), F.col("r_name").alias("name"), F.col("r_regionkey").cast("string").alias("region"))
-    s = table(spark, sf_dir, "supplier").select(F.lit("supplier").alias("Source"), F.col("s_name").alias("name"), F.round(F.col("s_acctbal") * 100).cast("bigint").cast("string").alias("balance"))
-    return n.unionByName(r).unionByName(s, allowMissingColumns=True).fillna("")
+    """Markdown files with one table each, all parsed and put side by side by their headers."""
+    line = lambda *cells: F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    file = lambda head, rows: F.concat_ws("\n", F.lit(f"# {head[0]}\n\n| {' | '.join(head)} |\n|{'---|' * len(head)}"), rows, F.lit("\nend"))
+    text = lambda c: F.col(c).cast("string")
+    nation, region, supplier = (table(spark, sf_dir, t) for t in ("nation", "region", "supplier"))
+    n = nation.select(F.concat(F.lit("nation-"), text("n_nationkey"), F.lit(".md")).alias("source"), file(["Name", "Region"], line(text("n_name"), text("n_regionkey"))).alias("text"))
+    five = region.agg(F.array_sort(F.collect_list(line(text("r_name"), text("r_regionkey")))).alias("rows"))  # five rows at any scale
+    r = five.select(F.lit("region.md").alias("source"), file(["Name", "Region"], F.array_join("rows", "\n")).alias("text"))
+    cents = F.round(F.col("s_acctbal") * 100).cast("bigint").cast("string")
+    s = supplier.select(F.concat(F.lit("supplier-"), text("s_suppkey"), F.lit(".md")).alias("source"), file(["Name", "Balance"], line(text("s_name"), cents)).alias("text"))
+    return tables.header_union(tables.table_rows(n.unionByName(r).unionByName(s)))
 
 
 # --- retrieval --------------------------------------------------------------
 
-COSINE = f"""
+def cosine_sql(questions: str = "benchmark", boost: str = "") -> str:
+    """CTEs up to ``top`` and ``best``: the questions' five best documents; ``boost`` is a table (item_id, doc_id, boost)."""
+    total = "sims" if not boost else f"(SELECT item_id, doc_id, coalesce(sim, 0) + coalesce(boost, 0) AS sim FROM sims FULL JOIN {boost} USING (item_id, doc_id))"
+    return f"""
     dc AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({tokens_sql("text", "retrieval")}) AS term FROM documents) GROUP BY ALL),
-    qc AS (SELECT item_id, term, count(*) AS tf FROM (SELECT item_id, unnest({tokens_sql("text", "retrieval")}) AS term FROM benchmark) GROUP BY ALL),
+    qc AS (SELECT item_id, term, count(*) AS tf FROM (SELECT item_id, unnest({tokens_sql("text", "retrieval")}) AS term FROM {questions}) GROUP BY ALL),
     i AS (SELECT term, ln((SELECT count(*) FROM documents) / (1 + count(*))) AS idf FROM dc GROUP BY term),
     dw AS (SELECT doc_id, term, tf * idf AS w FROM dc JOIN i USING (term)), qw AS (SELECT item_id, term, tf * idf AS w FROM qc JOIN i USING (term)),
     dn AS (SELECT doc_id, sqrt(sum(w * w)) AS n FROM dw GROUP BY 1), qn AS (SELECT item_id, sqrt(sum(w * w)) AS n FROM qw GROUP BY 1),
     dots AS (SELECT item_id, doc_id, sum(qw.w * dw.w) AS dot FROM qw JOIN dw USING (term) GROUP BY ALL),
     sims AS (SELECT item_id, doc_id, CASE WHEN qn.n > 0 AND dn.n > 0 THEN dot / (qn.n * dn.n) ELSE 0 END AS sim FROM dots JOIN qn USING (item_id) JOIN dn USING (doc_id)),
-    top AS (SELECT item_id, doc_id, round(sim, 4) AS sim, row_number() OVER (PARTITION BY item_id ORDER BY round(sim, 4) DESC, doc_id) AS rank FROM sims WHERE sim > 0.01 QUALIFY rank <= 5),
+    top AS (SELECT item_id, doc_id, round(sim, 4) AS sim, row_number() OVER (PARTITION BY item_id ORDER BY round(sim, 4) DESC, doc_id) AS rank FROM {total} WHERE sim > 0.01 QUALIFY rank <= 5),
     best AS (SELECT item_id, coalesce(max(sim), 0) AS best FROM benchmark LEFT JOIN top USING (item_id) GROUP BY 1)"""
 
 
+COSINE = cosine_sql()
+
+
 def top_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, asked = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     postings, idf = retrieval.weights(docs, "doc_id", "text")
@@ -404,15 +464,53 @@ def retrieval_by_source(spark, sf_dir):
     return retrieval.coverage_by_sprint(top_matches(spark, sf_dir), table(spark, sf_dir, "documents"), "doc_id", "source")
 
 
-@query("""WITH t AS (SELECT DISTINCT lower(p_brand) AS tax FROM part UNION SELECT unnest(['mit license', 'apache license', 'password', 'the other'])),
-    q AS (SELECT DISTINCT item_id, tax FROM benchmark JOIN t ON contains(lower(text), tax)), d AS (SELECT DISTINCT doc_id, tax FROM documents JOIN t ON contains(lower(text), tax)),
-    c AS (SELECT item_id, count(*) AS checks FROM q GROUP BY 1)
-    SELECT item_id, doc_id, round(least(0.15, count(*) / any_value(checks) * 0.15), 6) AS boost FROM q JOIN d USING (tax) JOIN c USING (item_id) GROUP BY item_id, doc_id""")
+#: A taxonomy for the questions at hand: names of nations by their first two letters, regions as objects, a few phrases.
+TAXONOMY = """acronyms AS (SELECT n_name[1:2] AS acronym, min(n_name) AS meaning FROM nation GROUP BY 1),
+    t AS (SELECT lower(acronym) AS tax, lower(meaning) AS also FROM acronyms UNION SELECT lower(p_brand), NULL FROM part UNION SELECT unnest(['mit license', 'apache license', 'password', 'the other']), NULL),
+    q AS (SELECT item_id, tax, also FROM benchmark JOIN t ON contains(lower(text), tax)), d AS (SELECT doc_id, tax, also FROM documents JOIN t ON contains(lower(text), tax) OR contains(lower(text), also)),
+    c AS (SELECT item_id, count(*) AS checks FROM q GROUP BY 1),
+    boosts AS (SELECT item_id, doc_id, least(0.15, count(*) / any_value(checks) * 0.15) AS boost FROM q JOIN d ON q.tax = d.tax AND q.also IS NOT DISTINCT FROM d.also JOIN c USING (item_id) GROUP BY item_id, doc_id)"""
+
+
+def taxonomy(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Acronyms with meanings, objects, and all terms that boost."""
+    acronyms = table(spark, sf_dir, "nation").groupBy(F.left("n_name", F.lit(2)).alias("acronym")).agg(F.min("n_name").alias("meaning"))
+    objects = table(spark, sf_dir, "region").select(F.concat(F.replace("r_name", F.lit(" "), F.lit("_")), F.lit("__c")).alias("api_name"), F.initcap("r_name").alias("label"))
+    more = table(spark, sf_dir, "part").select(F.col("p_brand").alias("term")).distinct().unionByName(spark.createDataFrame([(x,) for x in ("mit license", "apache license", "password", "the other")], "term string"))
+    return acronyms, objects, acronyms.select(F.col("acronym").alias("term"), F.col("meaning").alias("also")).unionByName(more, allowMissingColumns=True)
+
+
+def boosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = table(spark, sf_dir, "benchmark").withColumnRenamed("text", "q_text")
+    return retrieval.boost(asked, table(spark, sf_dir, "documents"), "item_id", "doc_id", "q_text", "text", taxonomy(spark, sf_dir)[2])
+
+
+@query(f"WITH {TAXONOMY} SELECT item_id, doc_id, round(boost, 6) AS boost FROM boosts")
 def taxonomy_boost(spark, sf_dir):
-    brands = table(spark, sf_dir, "part").select(F.col("p_brand").alias("term")).distinct()
-    terms = brands.unionByName(spark.createDataFrame([(x,) for x in ("mit license", "apache license", "password", "the other")], "term string"))
-    out = retrieval.boost(table(spark, sf_dir, "benchmark").withColumnRenamed("text", "q_text"), table(spark, sf_dir, "documents"), "item_id", "doc_id", "q_text", "text", terms)
-    return out.withColumn("boost", F.round("boost", 6))
+    return boosts(spark, sf_dir).withColumn("boost", F.round("boost", 6))
+
+
+EXPANDED = """a AS (SELECT item_id, meaning AS more FROM (SELECT item_id, unnest(regexp_extract_all(text, '[A-Z]{2,5}')) AS acronym FROM benchmark) JOIN acronyms USING (acronym)),
+    o AS (SELECT item_id, replace(r_name, ' ', '_') || '__c ' || r_name AS more FROM benchmark JOIN region ON contains(lower(text), lower(r_name))),
+    asked AS (SELECT item_id, concat_ws(' ', text, more) AS text FROM benchmark LEFT JOIN (SELECT item_id, string_agg(more, ' ') AS more FROM (SELECT * FROM a UNION ALL SELECT * FROM o) GROUP BY 1) USING (item_id))"""
+
+
+@query(f"WITH {TAXONOMY}, {EXPANDED}, {cosine_sql('asked', 'boosts')} SELECT item_id, doc_id, sim, rank FROM top")
+def retrieval_with_taxonomy(spark, sf_dir):
+    """The reference's whole ranking: expanded questions, cosine, boost by the taxonomy."""
+    docs, asked = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    acronyms, objects, _ = taxonomy(spark, sf_dir)
+    postings, idf = retrieval.weights(docs, "doc_id", "text")
+    questions, _ = retrieval.weights(retrieval.expanded(asked, "item_id", "text", acronyms, objects), "item_id", "text", idf)
+    return retrieval.matches(retrieval.cosine(questions, postings, "item_id", "doc_id"), boosts(spark, sf_dir), "item_id", "doc_id")
+
+
+@query(f"WITH {COSINE}, gap AS (SELECT item_id FROM best WHERE best < 0.5) SELECT term, count(*) AS n FROM (SELECT unnest({tokens_sql('text', 'retrieval')}) AS term FROM benchmark JOIN gap USING (item_id)) GROUP BY term ORDER BY n DESC, term LIMIT 20")
+def gap_terms(spark, sf_dir):
+    """The terms of questions whose best match isn't excellent; below 0.1 there are hardly any on these tables."""
+    asked = table(spark, sf_dir, "benchmark")
+    best = retrieval.best_of(asked, top_matches(spark, sf_dir), "item_id")
+    return retrieval.gap_terms(best.where("best < 0.5"), asked, "item_id", "text")
 
 
 # --- conversations ----------------------------------------------------------
@@ -477,18 +575,53 @@ def render_prompt_sizes(spark, sf_dir):
     return asked.select("custom_id", F.length("prompt").alias("prompt_chars"), "n_stories")
 
 
+def ordered(docs: DataFrame, **columns: Column | str) -> DataFrame:
+    """Documents as rows of an index's responses, in the order of their ids."""
+    return docs.select(F.struct("doc_id", F.lit(0).alias("p")).alias("__o"), *((F.lit(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()))
+
+
+@query("""WITH u AS (SELECT upper(trim(source)) AS k, list_sort(list(DISTINCT lang)) AS found_in, list_sort(list(DISTINCT left(text, 2))) AS synonyms FROM documents GROUP BY 1)
+    SELECT source AS term, CAST(doc_id AS VARCHAR) AS definition, found_in, synonyms FROM documents JOIN u ON upper(trim(source)) = k QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id) = 1""")
+def assemble_glossary(spark, sf_dir):
+    rows = ordered(table(spark, sf_dir, "documents"), term=F.col("source"), definition=F.col("doc_id").cast("string"), found_in=F.array("lang"), synonyms=F.array(F.left("text", F.lit(2))))
+    return extraction.assemble(rows, "glossary")
+
+
+@query("SELECT source AS id, CAST(doc_id AS VARCHAR) AS summary, lang AS action_type FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) = 1")
+def assemble_summaries(spark, sf_dir):
+    return extraction.assemble(ordered(table(spark, sf_dir, "documents"), id=F.col("source"), summary=F.col("doc_id").cast("string"), action_type=F.col("lang")), "story_summaries")
+
+
+@query("SELECT source AS story_id, source || '-' || lang AS rule_id, CAST(n_chars AS VARCHAR) AS trigger FROM documents QUALIFY row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) = 1")
+def assemble_rules(spark, sf_dir):
+    return extraction.assemble(ordered(table(spark, sf_dir, "documents"), story_id=F.col("source"), rule_id=F.concat_ws("-", "source", "lang"), trigger=F.col("n_chars").cast("string")), "business_rules")
+
+
+@query("SELECT source AS from_story, lang AS to_story, 'r' || doc_id % 3 AS relationship, CAST(doc_id AS VARCHAR) AS reason FROM documents QUALIFY row_number() OVER (PARTITION BY source, lang, doc_id % 3 ORDER BY doc_id) = 1")
+def assemble_links(spark, sf_dir):
+    kind = F.concat(F.lit("r"), (F.col("doc_id") % 3).cast("string"))
+    return extraction.assemble(ordered(table(spark, sf_dir, "documents"), from_story=F.col("source"), to_story=F.col("lang"), relationship=kind, reason=F.col("doc_id").cast("string")), "cross_story_links")
+
+
+@query("""WITH u AS (SELECT lang, list_sort(list(DISTINCT source)) AS query_variations, list_sort(list(DISTINCT CAST(doc_id % 10 AS VARCHAR))) AS relevant_stories FROM documents GROUP BY 1)
+    SELECT lang AS intent_id, CAST(doc_id AS VARCHAR) AS canonical_question, query_variations, relevant_stories FROM documents JOIN u USING (lang) QUALIFY row_number() OVER (PARTITION BY lang ORDER BY doc_id) = 1""")
+def assemble_intents(spark, sf_dir):
+    rows = ordered(table(spark, sf_dir, "documents"), intent_id=F.col("lang"), canonical_question=F.col("doc_id").cast("string"), query_variations=F.array("source"), relevant_stories=F.array((F.col("doc_id") % 10).cast("string")))
+    return extraction.assemble(rows, "intent_mapping")
+
+
 @query("SELECT source, lang, doc_id, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) = 1")
-def assemble_first_wins(spark, sf_dir):
+def keep_first(spark, sf_dir):
     return dedup.keep_first(table(spark, sf_dir, "documents").select("source", "lang", "doc_id", "n_chars"), ["source", "lang"], ["doc_id"])
 
 
 @query("SELECT source, doc_id, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) = 1")
-def assemble_last_wins(spark, sf_dir):
+def keep_last(spark, sf_dir):
     return dedup.keep_last(table(spark, sf_dir, "documents").select("source", "doc_id", "n_chars"), ["source"], ["doc_id"])
 
 
 @query("SELECT source, list_sort(list(DISTINCT lang)) AS langs FROM documents GROUP BY source")
-def assemble_set_union(spark, sf_dir):
+def array_union(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("source", F.array("lang").alias("langs"))
     return dedup.array_union(rows, ["source"], "langs")
 
@@ -510,36 +643,40 @@ def validate_rules(spark, sf_dir):
     return extraction.problems(rows, "story_summaries", {"action_type": ["en", "fr"]}).agg(F.count("*").alias("rows"), F.count_if(F.size("problems") == 0).alias("valid"))
 
 
-@query("SELECT doc_id, length(trim(replace(replace(replace(text, '{color:red}', ''), '{color}', ''), chr(10) || chr(10) || chr(10), chr(10) || chr(10)))) AS n FROM documents WHERE NOT contains(text, '-')")
-def markup_clean(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where(~F.contains("text", F.lit("-")))  # the strike rules need look-ahead, which the twin lacks
-    return docs.select("doc_id", F.length(T.clean_markup(F.col("text"))).alias("n"))
+def _cleaned_sql() -> str:
+    """Struck text and colours without look-ahead: a dash before a space, a stop or the end is marked first, and marks that struck nothing are dashes again."""
+    text = "regexp_replace(trim(text), '(?is)<s\\b[^>]*>.*?</s>|<strike\\b[^>]*>.*?</strike>|<del\\b[^>]*>.*?</del>', '', 'g')"
+    text = f"regexp_replace({text}, '(?is)<span[^>]*line-through[^>]*>.*?</span>', '', 'g')"
+    text = f"regexp_replace({text}, '-([ \\n.,;:)]|$)', chr(1) || '\\1', 'g')"
+    text = f"regexp_replace({text}, '(^|[ \\n(])[-\\x01]([^ \\n\\x01-]|[^ \\n\\x01-][^\\n]*?[^ \\n\\x01-])\\x01', '\\1', 'g')"
+    return f"regexp_replace(regexp_replace(replace({text}, chr(1), '-'), '\\{{color(:[^}}]+)?\\}}', '', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')"
 
 
-@query()
-def markup_clean_whole(spark, sf_dir):
-    """All documents, those with dashes too, for whose strike rules ``markup_clean``'s twin has no look-ahead."""
+@query(f"SELECT doc_id, length(x) AS n, md5(x) AS digest FROM (SELECT doc_id, {_cleaned_sql()} AS x FROM documents)")
+def markup_clean(spark, sf_dir):
     cleaned = T.clean_markup(F.col("text"))
     return table(spark, sf_dir, "documents").select("doc_id", F.length(cleaned).alias("n"), F.md5(cleaned).alias("digest"))
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) AS story_id, split_part(text, chr(10), 1) AS summary, source AS components, lang AS type FROM documents WHERE NOT contains(text, chr(13)) AND trim(split_part(text, chr(10), 1)) <> ''")
-def md_roundtrip(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where(~F.contains("text", F.lit("\r")) & (F.trim(F.element_at(F.split("text", "\n"), 1)) != ""))
-    rows = docs.select(F.col("doc_id").cast("string").alias("story_id"), F.element_at(F.split("text", "\n"), 1).alias("summary"), F.col("source").alias("c"), F.col("lang").alias("t"), F.lit("Described.").alias("d"))
+def written_and_parsed(docs: DataFrame) -> DataFrame:
+    """Every document's whole text as a story's section, written as markdown and parsed again."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("story_id"), F.get(F.split(text, "\r\n?|\n"), F.lit(0)).alias("summary"), F.col("source").alias("c"), F.col("lang").alias("t"), text.alias("d"))
     files = rows.select(F.concat(F.lit("/Sprint 1/stories/"), "story_id", F.lit(".md")).alias("file_path"), F.lit(0).cast("bigint").alias("file_size"), F.lit("Sprint 1").alias("sprint"), stories.to_markdown(rows, {"Components": "c", "Type": "t"}, {"Description": "d"}).alias("text"))
-    parsed = stories.flat(stories.parse(files, id_pattern=r"^\d+(?=:)"))
-    return parsed.select("story_id", "summary", "components", "type")
+    return stories.parse(files, id_pattern=r"^\d+(?=:)")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS story_id, trim(split_part(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10), 1)) AS summary, trim(source) AS components, trim(lang) AS type FROM documents")
+def md_roundtrip(spark, sf_dir):
+    """What SQL can say of the round trip: title and fields of every row; ``md_roundtrip_whole`` has the sections."""
+    field = lambda k: F.coalesce(F.col("metadata")[k], F.lit(""))
+    return written_and_parsed(table(spark, sf_dir, "documents")).select("story_id", "summary", field("Components").alias("components"), field("Type").alias("type"))
 
 
 @query()
 def md_roundtrip_whole(spark, sf_dir):
     """Every document's whole text as its section, there and back: all sections that it is parsed into, by their digest."""
-    docs = table(spark, sf_dir, "documents")
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("story_id"), F.get(F.split(text, "\r\n?|\n"), F.lit(0)).alias("summary"), F.col("source").alias("c"), F.col("lang").alias("t"), text.alias("d"))
-    files = rows.select(F.concat(F.lit("/Sprint 1/stories/"), "story_id", F.lit(".md")).alias("file_path"), F.lit(0).cast("bigint").alias("file_size"), F.lit("Sprint 1").alias("sprint"), stories.to_markdown(rows, {"Components": "c", "Type": "t"}, {"Description": "d"}).alias("text"))
-    parsed = stories.parse(files, id_pattern=r"^\d+(?=:)")
+    parsed = written_and_parsed(table(spark, sf_dir, "documents"))
     field = lambda k: F.coalesce(F.col("metadata")[k], F.lit(""))
     whole = F.array_join(F.transform(F.map_entries("sections"), lambda e: F.concat(e["key"], F.lit("\n"), e["value"]["content"])), "\n## ")
     return parsed.select("story_id", "summary", field("Components").alias("components"), field("Type").alias("type"), F.size("sections").alias("sections"), F.length(whole).alias("chars"), F.md5(whole).alias("digest"))

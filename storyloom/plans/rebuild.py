@@ -10,9 +10,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storyloom.functions import text as T
 from storyloom.operators import maps, profile
 from storyloom.plans import report
-from storyloom.sources import html, stories, tables
+from storyloom.sources import html, metadata, stories, tables
 
 
 @dataclass
@@ -42,7 +43,11 @@ def from_pages(spark: SparkSession, root: str, pattern: str = "*.html") -> DataF
     rows = html.fields_exact(html.issue_rows(html.scan(spark, root, pattern)))
     names = {"story_id": "issue_key", "type": "issue_type"}
     columns = ["story_id", "sprint", "sprint_no", "summary", "status", "priority", "assignee", "components", "epic", "labels", "type", "story_points", "description", "acceptance_criteria", "solution"]
-    return rows.where(F.coalesce("issue_key", F.lit("")) != "").select(*(F.coalesce(names.get(c, c), F.lit("")).alias(c) if c != "sprint_no" else F.col(c) for c in columns))
+    return rows.where(F.coalesce("issue_key", F.lit("")) != "").select(*(F.coalesce(names.get(c, c), F.lit("")).alias(c) if c != "sprint_no" else F.col(c) for c in columns), *PLACE)
+
+
+#: Where a row was read, which says what of several rows of one story is the last.
+PLACE = ["file_path", "row_no"]
 
 
 def from_markdown(spark: SparkSession, root: str) -> DataFrame:
@@ -50,9 +55,15 @@ def from_markdown(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_stories(flat: DataFrame, path: str, force: bool = False) -> None:
-    """Stories by sprint, the last of one id standing; sprints that are there already are left, unless ``force``."""
+    """Stories by sprint, the last of one id standing; sprints that are there already are left, unless ``force``.
+
+    The last is that of the greatest file and row, or, where they aren't known, the greatest by its columns, so the
+    same rows give the same stories however they are dealt out.
+    """
     session = flat.sparkSession
-    rows = flat.withColumn("__n", F.monotonically_increasing_id()).groupBy("sprint", "story_id").agg(F.max_by(F.struct(*(c for c in flat.columns if c not in ("sprint", "story_id"))), "__n").alias("r")).select("story_id", "r.*", "sprint")
+    fields = [c for c in flat.columns if c not in ("sprint", "story_id", *PLACE)]
+    order = F.struct(*(c for c in PLACE if c in flat.columns), *fields)
+    rows = flat.groupBy("sprint", "story_id").agg(F.max_by(F.struct(*fields), order).alias("r")).select("story_id", "r.*", "sprint")
     hadoop = session.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not force and hadoop.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
         there = session.read.parquet(path).select("sprint").distinct()
@@ -83,8 +94,17 @@ def export_markdown(flat: DataFrame, folder: str, fields: dict[str, str], sectio
     rows.foreachPartition(save)
 
 
-def steps(spark: SparkSession, flat: DataFrame, out: str, traceability: str | None = None) -> list[Step]:
-    """The usual steps over flat stories: stories, criteria, solutions, components, epics, references, traceability, sprints."""
+def story_index(flat: DataFrame) -> DataFrame:
+    """The master index: every story, its summary, status and components on one line, and what sections it has."""
+    has = lambda c: F.when(F.trim(F.coalesce(c, F.lit(""))) != "", "Yes").otherwise("No")
+    short = lambda c, n: T.truncated(F.coalesce(c, F.lit("")), n).alias(c)
+    return flat.select("story_id", "sprint", short("summary", 60), short("status", 20), short("components", 40), has("acceptance_criteria").alias("has_criteria"), has("solution").alias("has_solution"))
+
+
+def steps(spark: SparkSession, flat: DataFrame, out: str, traceability: str | None = None, metadata_root: str | None = None) -> list[Step]:
+    """The usual steps over flat stories: stories, master index, criteria, solutions, components, epics, references,
+    traceability, sprints, and the catalog of a metadata tree.
+    """
     parts = maps.exploded(flat, "components", r"[,;\n/|]", "component")
 
     named = maps.epics(flat)
@@ -105,17 +125,26 @@ def steps(spark: SparkSession, flat: DataFrame, out: str, traceability: str | No
 
     def trace() -> None:
         if traceability:
-            rows = tables.header_union(tables.table_rows(tables.scan(spark, traceability)))
-            rows.write.mode("overwrite").parquet(f"{out}/traceability")
-            placed = rows.withColumn("__n", F.monotonically_increasing_id()).orderBy("Source", "__n")  # the files' own order
-            report.write_table(f"{out}/traceability.md", "Traceability", placed.drop("__n"))
+            rows = tables.header_union(tables.table_rows(tables.scan(spark, traceability)), numbered=True)
+            rows.drop("row_no").write.mode("overwrite").parquet(f"{out}/traceability")
+            report.write_table(f"{out}/traceability.md", "Traceability", rows.orderBy("Source", "row_no").drop("row_no"))  # the files' own order
 
     def edges() -> None:
         found = maps.reference_edges(flat, known_only=True)
         table("references", "References", found, ["from", "to", "sprint"])()
         report.write(f"{out}/references.mmd", maps.mermaid(found))
 
+    def catalog() -> None:
+        if metadata_root:
+            files = metadata.by_folder(metadata.scan(spark, metadata_root))
+            files.write.mode("overwrite").parquet(f"{out}/catalog")
+            files = spark.read.parquet(f"{out}/catalog")
+            report.write_table(f"{out}/catalog.md", "Metadata by folder", metadata.folder_counts(files).select("folder", "label", "files").orderBy(F.desc("files"), "folder"))
+            report.write_table(f"{out}/catalog-files.md", "Metadata files", files.orderBy("folder", "file_path"))
+
     return [
+        Step("master index", table("story_index", "Stories", story_index(flat), ["sprint", "story_id"])),
+        Step("metadata catalog", catalog),
         Step("stories", lambda: write_stories(flat, f"{out}/stories", True)),
         Step("acceptance criteria", sections("criteria", "Acceptance criteria", "acceptance_criteria")),
         Step("solutions", sections("solutions", "Solutions", "solution")),
