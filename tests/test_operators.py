@@ -4,7 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from storyloom.operators import conversations, dedup, lookups, maps, profile, retrieval, topics, usage
+from storyloom.functions import stats
+from storyloom.operators import conversations, dedup, lookups, maps, phrases, profile, retrieval, topics, usage
 from storyloom.plans import extraction, rebuild, report
 from storyloom.sources import stories
 
@@ -205,11 +206,134 @@ def test_rebuild_and_report(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "stories")).count() == 2
     text = report.document("T", {"S": [{"a": 1234, "b": None}]}, ["do it"])
     assert "| 1,234 |  |" in text and text.endswith("- do it\n")
-    assert report.corpus_advice([{"sprint": "S", "ac_pct": 10, "solution_pct": 90}], 50, 0)[0].startswith("S: only 10 %")
+    sprints = [{"sprint": f"S{i}", "ac_pct": 10 + i, "solution_pct": 90} for i in range(5)]
+    assert report.corpus_advice(sprints, {"Acceptance Criteria": 12.0, "Solution": 90.0}, 50, 3, 2)[0] == "Acceptance Criteria: 88 % of the stories have none; fill in first: S0 (10 %), S1 (11 %), S2 (12 %)"
+    assert len(report.corpus_advice(sprints, {"Acceptance Criteria": 12.0, "Solution": 50.0}, 50, 3, 2)) == 5
+    assert report.corpus_advice([], {"Acceptance Criteria": 70, "Solution": 60}, 60) == ["Nothing critical is missing"]
+    assert len(report.usage_advice({"cost_per_request": 1, "cost": 60, "days": 10}, {"overall_rate": 49}, 6)) == 3
+    assert report.usage_advice({"cost_per_request": 1, "cost": 50, "days": 10}, {"overall_rate": 50}, 5) == ["Usage looks sound"]
+    assert len(report.query_advice([{"intent": "general", "queries": 4}], 10, 51, ["a b"])) == 3 and len(report.query_advice([], 0, 0, [])) == 1
+    assert len(report.retrieval_advice({"queries": 10, "mean_best": 0.1, "no_match": 6}, 4, ["x"], 1.5)) == 5
+    assert report.retrieval_advice({"queries": 10, "mean_best": 0.2, "no_match": 5}, 3, [], 1.0) == ["What is asked is covered"]
     rebuild.write_stories(s, str(tmp_path / "out" / "stories"))
     assert spark.read.parquet(str(tmp_path / "out" / "stories")).count() == 2
 
 
+def test_master_index_catalog_and_last_rows(spark, tmp_path):
+    folder = tmp_path / "force-app" / "objects" / "A__c"
+    folder.mkdir(parents=True)
+    (folder / "A__c.object-meta.xml").write_text("<x/>")
+    rows = [{"story_id": "AA-1", "sprint": "Sprint 1", "summary": "s" * 100, "status": "Done", "acceptance_criteria": "c"}, {"story_id": "AA-2", "sprint": "Sprint 1", "summary": "a|b"}]
+    out = tmp_path / "out"
+    steps = rebuild.steps(spark, flat(spark, *rows), str(out), metadata_root=str(tmp_path / "force-app"))
+    assert rebuild.run(steps) == 0, [x.error for x in steps]
+    index = (out / "story_index.md").read_text()
+    assert f"| AA-1 | Sprint 1 | {'s' * 59}… | Done |  | Yes | No |" in index and "AA-2" in index
+    assert "| objects | Custom Objects & Fields | 1 |" in (out / "catalog.md").read_text() and "A__c.object-meta.xml" in (out / "catalog-files.md").read_text()
+    # of several rows of one story the last in the files stands, however they are dealt out
+    many = flat(spark, *({"story_id": "AA-1", "sprint": "Sprint 1", "summary": f"v{i}"} for i in range(40))).withColumn("file_path", F.lit("f")).withColumn("row_no", F.substring("summary", 2, 9).cast("int"))
+    for n in (1, 7):
+        rebuild.write_stories(many.repartition(n), str(tmp_path / f"s{n}"), True)
+        assert [r["summary"] for r in spark.read.parquet(str(tmp_path / f"s{n}")).collect()] == ["v39"]
+
+
+def test_object_story_index(spark, tmp_path):
+    docs = spark.createDataFrame([(f"A-{i}", "Sprint 1", "the provider network of a claim" if i < 3 else "claim") for i in range(5)], "story_id string, sprint string, text string")
+    objects = spark.createDataFrame([("Claim__c", "Claim", ["claim"]), ("Claim_Old__c", "Claim", ["nobody says this"]), ("Net__c", "Network", ["provider network"]), ("No__c", "No", ["nothing"])], "api_name string, label string, search_variants array<string>")
+    one, pairs = topics.object_story_index(docs, objects)
+    assert {r["label"]: (r["api_name"], r["stories"]) for r in one.collect()} == {"Claim": ("Claim__c", 5), "Network": ("Net__c", 3), "No": ("No__c", 0)}
+    assert pairs.count() == 8
+    assert report.write_object_index(str(tmp_path), one, pairs) == {"objects": 3, "with_stories": 2, "without_stories": 1, "links": 8}
+    assert (tmp_path / "objects.md").read_text().index("Claim__c") < (tmp_path / "objects.md").read_text().index("No__c")
+
+
+def test_mentions_with_small_and_large_dictionaries(spark):
+    texts = spark.createDataFrame([(1, "The ABC of Network claims"), (2, None), (3, "a"), (4, "networks!")], "k int, text string")
+    terms = spark.createDataFrame([("network",), ("BC o",), ("a",), ("ab",), ("s!",), ("",), (None,), ("zebra",), ("claims",)], "term string")
+    want = {(1, "network"), (1, "bc o"), (1, "a"), (1, "ab"), (1, "claims"), (3, "a"), (4, "network"), (4, "s!")}
+    for bound in (100, 0):
+        assert {tuple(r) for r in phrases.mentions(texts, "k", "text", terms, bound).collect()} == want
+
+
+def test_quantiles_by_group(spark):
+    import statistics
+
+    rows = [(g, float(x)) for g in ("a", "b", None) for x in range(17 if g else 5)] + [("one", 1.0)]
+    got = {(r["g"], r["q"]): r["value"] for r in stats.exclusive_quantiles(spark.createDataFrame(rows, "g string, x double"), "x", 4, ["g"]).collect()}
+    want = {(g, i): v for g in ("a", "b", None) for i, v in enumerate(statistics.quantiles([x for k, x in rows if k == g], n=4), 1)}
+    assert got == want
+    assert stats.exclusive_quantiles(spark.createDataFrame([(1.0,)], "x double"), "x").count() == 0
+
+
+def test_chains_of_any_length(spark):
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(14)] + [("n14", "n0")], "from string, to string")
+    got = {r["node"]: r["steps"] for r in maps.call_chain(edges, spark.createDataFrame([("n0",)], "name string")).collect()}
+    assert got == {f"n{i}": i for i in range(15)}
+
+
+def test_ties_in_the_corpus_order(spark):
+    rows = spark.createDataFrame([("b", 1), ("a", 2), ("b", 3), ("a", 4), ("c", 5)], "v string, o int")
+    assert [r["v"] for r in maps.frequency(rows, "v", 2).collect()] == ["a", "b"] and [r["v"] for r in maps.frequency(rows, "v", 2, "o").collect()] == ["b", "a"]
+
+
+def test_build_waits_for_sub_batches(spark, tmp_path):
+    class Provider:
+        """Answers sub-batches through a folder; the first look at each finds it unfinished."""
+
+        def __init__(self, folder):
+            self.folder = folder
+
+        def send(self, requests):
+            import os
+
+            name = f"sub-{requests[0]['custom_id']}"
+            with open(os.path.join(self.folder, name), "w") as f:
+                json.dump([r["custom_id"] for r in requests], f)
+            return name
+
+        def state(self, name):
+            import os
+
+            seen = os.path.join(self.folder, f"{name}.seen")
+            if os.path.exists(seen):
+                return "completed"
+            open(seen, "w").close()
+            return "in_progress"
+
+        def answers(self, name):
+            import os
+
+            with open(os.path.join(self.folder, name)) as f:
+                return [{"custom_id": c, "status": "success", "output": json.dumps({"terms": [TERM | {"term": c}]}), "error": None} for c in json.load(f)]
+
+    s = flat(spark, *({"story_id": f"A-{i:03d}", "summary": f"s{i}"} for i in range(205)))
+    extractor = extraction.ProviderExtractor(Provider(str(tmp_path)), 2)
+    built = extraction.build(s, "glossary", "{{STORIES}}", extractor, ["story_id"], every=0.01)
+    assert sorted(r["term"] for r in built.collect()) == [f"glossary-{i:03d}" for i in range(6)]
+    assert len([x for x in tmp_path.iterdir() if not x.name.endswith(".seen")]) == 3 and extractor.poll("x") == "failed"
+
+
+def test_responses_are_checked_by_kind(spark):
+    good = {"terms": [TERM]}
+    cases = {
+        "a": json.dumps(good), "b": "```json\n" + json.dumps(good) + "\n```", "c": "nonsense", "d": json.dumps({"terms": "x"}), "e": json.dumps({"other": []}), "f": json.dumps({"terms": [TERM | {"found_in": ["x", 3]}, "text"]}),
+        "g": json.dumps({"terms": [{k: v for k, v in TERM.items() if k != "term"} | {"category": 5, "expansion": None}]}),
+    }
+    rows = spark.createDataFrame([(k, "success", v) for k, v in cases.items()] + [("z", "error", None)], "custom_id string, status string, output string")
+    counts, first = extraction.validate_responses(rows, "glossary")
+    assert tuple(counts.head()) == (8, 2, 6)
+    assert first == [("c", "not JSON"), ("d", "terms should be a list"), ("e", "terms is missing"), ("f", "terms[].found_in[] should be text"), ("f", "terms[] should be an object"), ("g", "terms[].term is missing"), ("g", "terms[].expansion is missing"), ("g", "terms[].category should be text")]
+    variants = {"equivalence_groups": [{"canonical": "a", "category": "c", "variants": [{"phrase": "p", "relationship": 1}, "x"]}]}
+    _, first = extraction.validate_responses(spark.createDataFrame([("a", "success", json.dumps(variants))], "custom_id string, status string, output string"), "semantic_similarity")
+    assert [p for _, p in first] == ["equivalence_groups[].variants[].relationship should be text", "equivalence_groups[].variants[] should be an object"]
+
+
+def test_questions_fall_back(spark):
+    assert retrieval.questions(None, spark).count() == 8
+    asked = spark.createDataFrame([("short",), ("a question that is long enough",)], "query string")
+    assert [r["query"] for r in retrieval.questions(asked, spark).collect()] == ["a question that is long enough"] and retrieval.questions(asked.limit(0), spark).count() == 8
+
+
 def test_section_indexes_hold_whole_texts(spark, tmp_path):
     long = "Given a | b\n" + "x" * 5000 + "\n```\ncode\n```\nthe end"
     s = flat(spark, {"story_id": "AA-1", "sprint": "Sprint 1", "acceptance_criteria": f"\n {long}\n", "solution": long}, {"story_id": "AA-2", "sprint": "Sprint 1", "acceptance_criteria": " \n"})

@@ -58,6 +58,18 @@ def test_markdown_compat_reads_metadata_anywhere(spark, tmp_path):
     assert found["metadata"]["Owner"] == "nobody"
 
 
+def test_retrieval_view_and_order(spark, tmp_path):
+    (tmp_path / "Sprint 3" / "stories").mkdir(parents=True)
+    (tmp_path / "Sprint 3" / "stories" / "INS-0003 note.md").write_text("# no id: here\n\n## Solution\n\nfixed\n\n## Other\n\nleft out\n", encoding="utf-8")
+    files = stories.scan(spark, story_files(tmp_path))
+    found = {r["story_id"]: r for r in stories.retrieval_view(files).collect()}
+    assert set(found) == {"INS-0001", "INS-0002", "INS-0003", "note"}
+    assert found["INS-0003"]["summary"] == "" and found["INS-0003"]["text"] == "INS-0003 fixed"
+    assert found["INS-0001"]["summary"] == "pay claims: fast" and found["INS-0001"]["components"] == "A, B"
+    order = [(r["ordinal"], r["sprint"]) for r in stories.in_order(files).orderBy("ordinal").collect()]
+    assert [n for n, _ in order] == [1, 2, 3, 4] and [s for _, s in order] == sorted(s for _, s in order)
+
+
 def test_markdown_round_trip(spark):
     rows = spark.createDataFrame([("A-1", "title: x", "Done", "Some text here.")], "story_id string, summary string, status string, d string")
     files = rows.select(F.lit("/Sprint 3/stories/A-1.md").alias("file_path"), F.lit(1).cast("bigint").alias("file_size"), F.lit("Sprint 3").alias("sprint"), stories.to_markdown(rows, {"Status": "status"}, {"Description": "d"}).alias("text"))
@@ -96,6 +108,9 @@ def test_markdown_tables(spark, tmp_path):
     assert sorted(map(tuple, rows.collect())) == [("one.md", "", "", "T1", ""), ("one.md", "R1", "INS-1", "", ""), ("one.md", "R2", "", "", ""), ("two.md", "", "INS-2", "", "me")]
     cells = spark.range(1).select(tables.appendix_rows(F.lit("x\n| a | b |\n|---|---|\n| 1 | 2 |\n"), 2)).head()[0]
     assert cells == [["1", "2"]]
+    assert spark.range(1).select(F.size(tables.appendix_rows(F.lit("x"), 2))).head()[0] == 0
+    many = "| a |\n|---|\n" + "| 1 |\n" * 5000
+    assert tables.table_rows(spark.createDataFrame([("m.md", many), ("n.md", None), ("o.md", "no table")], "source string, text string")).count() == 5000
 
 
 def test_transcripts(spark, tmp_path):
@@ -163,11 +178,10 @@ def test_responses(spark, tmp_path):
 
 def test_config(tmp_path):
     text = 'paths:\n  sprints: "s # x"  # note\nextraction:\n  batch_size: 7\n  retry_on:\n    - timeout\nflag: yes\n'
-    assert config.plain_yaml(text) == {"paths": {"sprints": "s # x"}, "extraction": {"batch_size": 7, "retry_on": ["timeout"]}, "flag": True}
     (tmp_path / "workspace.config.yaml").write_text(text)
     (tmp_path / "a" / "b").mkdir(parents=True)
     got = config.load(str(tmp_path / "a" / "b"))
-    assert got["extraction"]["batch_size"] == 7 and got["extraction"]["model"] == "model" and got["root"] == str(tmp_path)
+    assert got["extraction"]["batch_size"] == 7 and got["extraction"]["retry_on"] == ["timeout"] and got["paths"]["sprints"] == "s # x" and got["flag"] is True and got["extraction"]["model"] == "model" and got["root"] == str(tmp_path)
     for n in ("Sprint 10", "Sprint 2", "x"):
         (tmp_path / n).mkdir()
     assert config.sprint_folders(str(tmp_path)) == ["Sprint 2", "Sprint 10"]

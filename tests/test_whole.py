@@ -76,7 +76,7 @@ def test_round_trip_of_whole_texts(spark, tmp_path):
 
 
 def test_markup_of_all_documents(spark, tmp_path):
-    got = catalogue.QUERIES["markup_clean_whole"](spark, documents(spark, tmp_path, TEXTS)).collect()
+    got = catalogue.QUERIES["markup_clean"](spark, documents(spark, tmp_path, TEXTS)).collect()
     want = {k: (None, None) if t is None else (len(cleaned(t)), digest(cleaned(t))) for k, t in enumerate(TEXTS)}
     assert {r["doc_id"]: (r["n"], r["digest"]) for r in got} == want and len(got) == len(TEXTS)
     assert want[11][0] < len(TEXTS[11])  # struck text goes
