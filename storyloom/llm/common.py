@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,23 +23,31 @@ MASK = (1 << 64) - 1
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session has none (tests on one machine) is a temporary one set.
+    Only in a session of one machine that has none (tests) is a temporary one set.
     """
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not place:
         place = spark.sparkContext.getCheckpointDir()
     if not place:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         place = "file://" + tempfile.mkdtemp(prefix="storyloom-")
         spark.sparkContext.setCheckpointDir(place)
     return place.rstrip("/")
 
 
 class Scratch:
-    """Tables written to the shared folder, to cut lineage and to survive lost executors."""
+    """Tables written to the shared folder, to cut lineage and to survive lost executors.
+
+    What a result no longer reads is dropped as soon as it is made, the rest when the session's JVM ends.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        path, store = self._store("")
+        store.mkdirs(path)
+        store.deleteOnExit(path)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -48,10 +58,21 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
-        jvm = self.spark.sparkContext._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            path, store = self._store(name)
+            store.delete(path, True)
+
+    def _store(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.root)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def unused(name: str, taken: list[str]) -> str:
+    """``name``, made longer until no column has it; names differ by more than case."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -123,6 +144,41 @@ def newton_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: in
     return w / scale
 
 
+#: What a worker process keeps from task to task: of one kind at a time, so that its memory is that of one operator.
+_kept: dict = {}
+
+
+def kept(kind: tuple, make: Callable):
+    """``make()``, or what it made in an earlier task of this worker if no other kind came between."""
+    if kind not in _kept:
+        _kept.clear()
+        _kept[kind] = make()
+    return _kept[kind]
+
+
+def give_back() -> None:
+    """Returns to the system what Arrow and the C library hold in reserve."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500, keeps: bool = False) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows; at the end of the task its memory goes back to the system.
+
+    Unless the task ``keeps`` what its worker has from earlier tasks, that goes first.
+    """
+    if not keeps:
+        _kept.clear()
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+    finally:
+        give_back()
+
+
 class Memo(dict):
     """A bounded cache of ``make(key)`` for short keys; when full, the older half of what is in use goes."""
 

@@ -13,6 +13,10 @@
    block, only for pairs across components, so no link is lost and a bucket
    that is one component costs nothing more.
 
+Shingles are compared by 64-bit hashes of 64-bit hashes of their words.  Very
+long texts are whole sets; other columns aren't looked at, and ``keep_one``
+returns them as they are.
+
 Empty sets (no words, null texts) are linked with nothing.  Rows without an id
 can't stand for a class and are left out of the result.  A repeated row is
 returned again, with the class of its text; doc_id is taken as the key of
@@ -30,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm.common import MASK, Memo, Scratch, mix64, read
+from storyloom.llm.common import MASK, Memo, Scratch, mix64, read, sliced, unused
 
 
 @dataclass(frozen=True)
@@ -165,17 +169,12 @@ def common(a: bytes, na: int, b: bytes, nb: int) -> int:
     return both + max(na - len(x), nb - len(y), 0)
 
 
-def in_slices(batch: pa.RecordBatch, rows: int = 1000):
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
-
-
 def sketched(docs: DataFrame, params: NearDupParams) -> DataFrame:
     """doc_id, n (set size), lo and hi (digest of the set; null if empty), regs."""
 
     def run(batches):
         memo = Memo(hash_word)
-        for batch in (s for b in batches for s in in_slices(b)):
+        for batch in sliced(batches):
             sets = [shingles(text, memo, params.words) for text in batch.column("text").to_pylist()]
             regs = sketch(sets, params.registers, params.base)
             digests = [xxhash.xxh3_128_intdigest(x.tobytes()) if len(x) else None for x in sets]
@@ -190,7 +189,7 @@ def short_sets(texts: DataFrame, params: NearDupParams) -> DataFrame:
 
     def run(batches):
         memo = Memo(hash_word)
-        for batch in (s for b in batches for s in in_slices(b)):
+        for batch in sliced(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([small_set(shingles(t, memo, params.words)) for t in batch.column("text").to_pylist()], pa.binary())], names=["id", "short"])
 
     return texts.mapInArrow(run, "id long, short binary")
@@ -201,7 +200,7 @@ def likely_pairs(pairs: DataFrame, sketches: DataFrame, params: NearDupParams) -
     side = lambda k: sketches.select(F.col("doc_id").alias(k), F.col("n").alias(f"n{k}"), F.col("regs").alias(f"r{k}"))
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             if batch.num_rows:
                 ra, rb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("ra", "rb"))
                 ok = likely(ra, rb, batch.column("na").to_numpy(), batch.column("nb").to_numpy(), params)
@@ -216,7 +215,7 @@ def verified(pairs: DataFrame, texts: DataFrame, params: NearDupParams) -> DataF
 
     def run(batches):
         memo = Memo(hash_word)
-        for batch in batches:
+        for batch in sliced(batches):
             ok, last, items = [], None, None
             for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ta", "tb"))):
                 if b != last:
@@ -333,8 +332,9 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFra
 
     of_set = sets.join(final.select(F.col("id").alias("rep"), "component"), "rep", "left").select("lo", "hi", F.coalesce("component", "rep").alias("component_id"))
     scratch.drop("members", "company", "near", "links-1", "links-2", "pairs-2", "sketches")
-    out = rows.select("doc_id", "n", "lo", "hi").join(of_set, ["lo", "hi"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    # empty sets don't take part, however many there are; copies of one set are what AQE splits a skewed join for
+    each = rows.where("lo is not null").select("doc_id", "n", "lo", "hi").join(of_set, ["lo", "hi"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return each.unionByName(rows.where("lo is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,7 +343,28 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def oracle(words: int = 3, percent: int = 85) -> str:
+    """The same rows in DuckDB's SQL: all pairs with a shingle in common, and all that is reachable by links."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+    WITH RECURSIVE cut AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+    items AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - {words - 1}, least(len(w), 1)) + 1), lambda i: array_to_string(w[i : i + {words - 1}], ' '))) AS s FROM cut),
+    sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM items),
+    each AS (SELECT DISTINCT doc_id, len(s) AS n, unnest(s) AS shingle FROM items),
+    pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, x.n + y.n AS n, count(*) AS c FROM each x JOIN each y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+      AND 100 * x.n >= {percent} * y.n AND 100 * y.n >= {percent} * x.n GROUP BY ALL),
+    one_way AS (SELECT a, b FROM pairs WHERE 100 * c >= {percent} * (n - c)),
+    links AS (SELECT a, b FROM one_way UNION ALL SELECT b, a FROM one_way),
+    reach(doc_id, far) AS (SELECT doc_id, doc_id FROM sizes UNION SELECT reach.doc_id, b FROM reach JOIN links ON far = a),
+    least_id AS (SELECT doc_id, min(far) AS component_id FROM reach GROUP BY doc_id)
+    SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN least_id USING (doc_id)"""
+
+
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near-duplicates the least id stays; rows without an id stay."""
-    found = classes(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
-    return docs.join(found, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")
+    """Pipeline stage: of each group of near-duplicates the least id stays; rows without an id stay.
+
+    doc_id is the key: repeated rows of an id that stays all stay, and an id of which any row goes goes whole.
+    """
+    gone = unused("gone", docs.columns)
+    found = classes(docs).where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(found, docs["doc_id"].cast("long") == F.col(gone), "left_anti")

@@ -4,12 +4,13 @@ Documents are tokenised and only those longer than a sequence are cut.  The plan
 is made from the number of pieces of each length, of which there are at most as
 many as a sequence has tokens: fill a bin greedily, the longest piece that fits
 first, then replace its smallest piece by two unpacked ones that fit the widened
-gap more tightly, and use that filling as often as the counts allow.  Pieces of
+gap more tightly, and use that filling as often as bin after bin would get it.  Pieces of
 one length are then numbered, in groups of about the root of their count so
 that a very frequent length is spread out, and number and length give the place.
 
 Null and empty texts are one piece with the end id alone.  Repeated rows and
-null ids are packed like any others.
+null ids are packed like any others.  Very long texts are tokenised whole and cut
+into full pieces and a rest.  Other columns aren't looked at.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from storyloom.llm.common import Scratch, read
-from storyloom.llm.tokens import encoded
+from storyloom.llm.common import Scratch, read, sliced
+from storyloom.llm.tokens import CACHE, encoded
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,8 @@ class PackingParams:
     tokenizer: str = "word_bpe_49k.json"
     end: int = 1
     capacity: int = 4096
+    #: Words that a worker keeps the ids of.
+    cache: int = CACHE
 
 
 @dataclass
@@ -57,9 +60,14 @@ def best_two_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, dict[int,
         if not top:
             return fillings
         used: dict[int, int] = {}
+        most: dict[int, int] = {}  # that the filling had of a length at any time
 
-        def largest(most: int) -> int:
-            n = int(down[most]) if most > 0 else 0
+        def take(n: int, copies: int) -> None:
+            used[n] = used.get(n, 0) + copies
+            most[n] = max(most.get(n, 0), used[n])
+
+        def largest(room: int) -> int:
+            n = int(down[room]) if room > 0 else 0
             while n and used.get(n, 0) >= left[n]:
                 n = int(down[n - 1])
             return n
@@ -67,19 +75,21 @@ def best_two_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, dict[int,
         gap = capacity
         while gap and (n := largest(gap)):
             copies = int(min(gap // n, left[n] - used.get(n, 0)))
-            used[n] = used.get(n, 0) + copies
+            take(n, copies)
             gap -= n * copies
-        while gap and len(used) + max(used.values()) > 2 - (len(used) == 1 and max(used.values()) > 1):
+        while gap and sum(used.values()) > 1:
             small = min(used)
             pair = tightest_pair(left, used, small, gap + small)
             if pair is None or sum(pair) <= small:
                 break
             used[small] -= 1
-            used = {n: c for n, c in used.items() if c}
+            if not used[small]:
+                del used[small]
             for n in pair:
-                used[n] = used.get(n, 0) + 1
+                take(n, 1)
             gap += small - sum(pair)
-        times = int(min(left[n] // c for n, c in used.items()))
+        # as often as the same pieces would be taken and put back again
+        times = int(min((left[n] - most[n]) // c for n, c in used.items())) + 1
         for n, c in used.items():
             left[n] -= times * c
         dirty = any(not left[n] for n in used)
@@ -134,9 +144,9 @@ def pieces(docs: DataFrame, params: PackingParams) -> DataFrame:
     width = 4 * params.capacity
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, keeps=True):
             out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded(batch.column("text").to_pylist(), params.tokenizer, params.end)):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded(batch.column("text").to_pylist(), params.tokenizer, params.end, params.cache)):
                 for k, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
                     for name, value in zip(out, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part))):
@@ -167,7 +177,7 @@ def pack(docs: DataFrame, params: PackingParams = PackingParams()) -> DataFrame:
 
     def place(batches):
         runs = shared.value
-        for batch in batches:
+        for batch in sliced(batches, 10_000, keeps=True):
             length, number = batch.column("length").to_numpy(), batch.column("number").to_numpy()
             bins, at = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
             for n in np.unique(length):
@@ -187,5 +197,5 @@ def op8_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: all that is left, packed."""
-    return pack(docs)
+    """Pipeline stage: all that is left, packed; workers that did other stages before keep fewer words."""
+    return pack(docs, PackingParams(cache=CACHE // 4))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from storyloom.llm.common import Scratch, read
+from storyloom.llm.common import Scratch, read, sliced
 from storyloom.llm.tokens import encoded
 
 HEAD = struct.Struct("<4sHHIQIII")
@@ -163,7 +163,7 @@ def tokenised(docs: DataFrame, params: StoreParams) -> DataFrame:
 
     def run(batches):
         total = np.zeros(1, dtype=np.int64)
-        for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
+        for batch in sliced(batches, keeps=True):
             got = list(encoded(batch.column("text").to_pylist(), params.tokenizer, params.end))
             flat = np.frombuffer(b"".join(got), "<u4")
             seen = np.bincount(flat, minlength=len(total))

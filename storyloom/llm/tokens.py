@@ -13,11 +13,14 @@ import json
 import os
 import re
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 
+from storyloom.llm.common import kept
+
+#: Words that an encoder keeps the ids of, at most; about 130 bytes each.
+CACHE = 1_600_000
 #: Characters for which cutting here and in the library is the same beyond doubt.
 PLAIN = re.compile("[^\t\n\x20-\x7e\xa1-\xac\xae-įı-ɏ–—‘-”…]")
 #: The letters and numbers among them.
@@ -43,7 +46,7 @@ SPACE = chr(byte_letters()[32])
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids, as bytes."""
 
-    def __init__(self, path: str, size: int = 1_600_000):
+    def __init__(self, path: str, size: int = CACHE):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -93,15 +96,14 @@ class Encoder:
             return b"".join(ids)
 
 
-@lru_cache(maxsize=2)
-def encoder(name: str) -> Encoder:
+def encoder(name: str, size: int = CACHE) -> Encoder:
     """The worker's own encoder, kept from task to task; ``name`` is a path or a public file's name."""
-    return Encoder(name if os.sep in name else public_tokenizers.path(name))
+    return kept((name, size), lambda: Encoder(name if os.sep in name else public_tokenizers.path(name), size))
 
 
-def encoded(texts: list[str | None], name: str, end: int):
+def encoded(texts: list[str | None], name: str, end: int, size: int = CACHE):
     """Yields each text's ids and the end id."""
     last = np.array([end], dtype="<u4").tobytes()
-    machine = encoder(name)
+    machine = encoder(name, size)
     for text in texts:
         yield machine.encode(text) + last

@@ -9,7 +9,9 @@ number of segments as good that chance alone would bring.  A document's score
 adds up its significant segments and is calibrated as a probability.
 
 Null and empty texts have no segment and get the score of a text without one.
-Rows repeated stay repeated; a null id is scored like any other.
+Rows repeated stay repeated; a null id is scored like any other.  Very long
+texts are scanned whole, in time that grows with their length.  Other columns
+aren't looked at, and ``keep_clean`` returns them as they are.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm.common import Memo, id_crc, labelled_sample, logistic, newton_logistic, read
+from storyloom.llm.common import Memo, id_crc, labelled_sample, logistic, newton_logistic, read, sliced
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Lengths of the prefixes that a word's score backs off through.
@@ -75,21 +77,24 @@ def nodes(word: str) -> list[str]:
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (start, end, score), by the linear scan of Ruzzo and Tompa."""
+    """All maximal scoring segments (start, end, score), by the linear scan of Ruzzo and Tompa.
+
+    Each candidate knows the nearest one before it with a smaller sum to its left,
+    so what a search has passed over once is never looked at again.
+    """
     total = np.concatenate(([0.0], np.cumsum(scores)))
-    found: list[tuple[int, int, float, float]] = []
+    found: list[tuple[int, int, float, float, int]] = []
     for i in np.flatnonzero(scores > 0).tolist():
         start, end, left, right = i, i + 1, float(total[i]), float(total[i + 1])
-        while found:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= left:
-                j -= 1
-            if j < 0 or found[j][3] >= right:
-                break
-            start, left = found[j][0], found[j][2]
+        j = len(found) - 1
+        while j >= 0 and found[j][2] >= left:
+            j = found[j][4]
+        while j >= 0 and found[j][3] < right:
+            start, _, left, _, further = found[j]
             del found[j:]
-        found.append((start, end, left, right))
-    return [(a, b, right - left) for a, b, left, right in found]
+            j = further
+        found.append((start, end, left, right, j))
+    return [(a, b, right - left) for a, b, left, right, _ in found]
 
 
 def passages(words: list[str], memo: Memo) -> tuple[np.ndarray, list[tuple[int, int, float]]]:
@@ -147,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
 
     def count(batches):
         seen, toxic, n = Counter(), Counter(), [0, 0]
-        for batch in batches:
+        for batch in sliced(batches):
             for text, label, part in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "part"))):
                 if part:
                     here = {x for w in set(LETTERS.findall((text or "").lower())) for x in nodes(w)}
@@ -188,7 +193,7 @@ def calibrate(rows: DataFrame, model: ToxicityModel) -> None:
 
     def scan(batches):
         memo = Memo(model.word_score)
-        for batch in batches:
+        for batch in sliced(batches):
             out = {"label": [], "n": [], "segments": [], "bins": []}
             for text, label, part in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "part"))):
                 if part == 0:
@@ -239,7 +244,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         model = shared.value
         memo = Memo(model.word_score)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("evidence", pa.float64())]))
-        for batch in batches:
+        for batch in sliced(batches):
             got = [score_text(text, memo, model) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([x[0] for x in got], pa.float64()), pa.array([[dict(zip(("start", "end", "evidence"), s)) for s in x[1]] for x in got], kind)], names=["doc_id", "score", "segments"]
@@ -266,7 +271,7 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     def scan(batches):
         model = shared.value
         memo = Memo(model.word_score)
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.filter(pa.array([score_text(t, memo, model)[0] < 0.5 for t in batch.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(scan, docs.schema)
