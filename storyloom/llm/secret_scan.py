@@ -1,15 +1,19 @@
-"""Secret scans behind a trigram index, in DataFrame functions only.
+"""Secret scans through a trigram inverted index, in DataFrame functions only.
 
 From each rule's regular expression a Boolean query of trigrams is derived: an
-OR of ANDs that every text with a match fulfils.  The index holds, of all
-trigrams in these queries, those that a lower-cased text has; it is split by
-document, so that each partition intersects the postings of its own documents
-and no text is shuffled.  Candidates are verified by the rule's expression, and
-rules without mandatory trigrams scan every text.  ``postings`` and ``search``
-are the same index as a table, for rules that come later.
-
-Null and empty texts have no spans.  Offsets count code points.  Repeated rows
-and null ids are scanned like any other row.
+OR of ANDs that every text with a match fulfils.  One pass over the texts makes
+the index: for each trigram of these queries the documents that hold it (lower-
+cased).  A rule's candidates are found by intersecting postings, and only their
+texts are fetched and verified by the rule's expression.  Rules without
+mandatory trigrams scan every text, in the pass that makes the index.
+
+Postings name a document by doc_id and a hash of its text.  Texts meet their
+candidates in one join; on large inputs Spark's run-time Bloom filter keeps the
+texts of all others out of its shuffle.
+
+Null and empty texts have no spans.  Offsets count code points.  Very long texts
+are scanned whole, their spans gathered in runs.  Repeated rows and null ids are
+scanned like any other row, and other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm.common import read
+from storyloom.llm.common import Scratch, read, unused
 
 #: Strings that a part of an expression may stand for, at most, before it counts as unknown.
 MOST = 64
@@ -29,7 +33,7 @@ MOST = 64
 @dataclass(frozen=True)
 class Rule:
     kind: str
-    #: Means the same in Python's and Java's dialect.
+    #: Means the same in Python's, Java's and DuckDB's dialect.
     pattern: str
     #: A match counts if this group has at least so many characters.
     group: int = 0
@@ -44,7 +48,8 @@ RULES = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{30,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # to the END line if that is the next run of dashes, else the lines of a body without one
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,200}-----END [A-Z ]*PRIVATE KEY-----|(?:[ \t\r\n]+[A-Za-z0-9+/=]{16}[A-Za-z0-9+/=]*){0,60})"),
 )
 #: The first three are the base of the query's contract.
 BASE = 3
@@ -123,32 +128,30 @@ def held_trigrams(text: Column, rules: tuple[Rule, ...]) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"(?=({trie(words)}))"), F.lit(1)))
 
 
-def fulfils(held: Column, rule: Rule) -> Column:
-    """Whether a document's entries fulfil the rule's query."""
-    query = trigram_query(rule.pattern)
-    if not query:
-        return F.lit(True)
-    ands = [F.size(F.array_intersect(held, F.array(*map(F.lit, sorted(s))))) == len(s) for s in query]
-    out = ands[0]
-    for x in ands[1:]:
-        out = out | x
-    return out
+SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 
 
-def postings(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The index as a table: trigram, doc_id; one row for each pair."""
-    return docs.select("doc_id", F.explode(held_trigrams(F.coalesce("text", F.lit("")), rules)).alias("trigram")).distinct()
+def named(docs: DataFrame) -> DataFrame:
+    """id, key, text: how postings name a document, and its text."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
 
 
-def search(index: DataFrame, rule: Rule) -> DataFrame | None:
-    """doc_id of the documents whose postings fulfil the rule's query; None: it must scan fully."""
-    query = trigram_query(rule.pattern)
-    if not query:
-        return None
-    rows = [(t, i, len(s)) for i, s in enumerate(query) for t in s]
-    wanted = F.broadcast(index.sparkSession.createDataFrame(rows, "trigram string, conjunct int, size int"))
-    met = index.join(wanted, "trigram").groupBy("doc_id", "conjunct", "size").agg(F.count_distinct("trigram").alias("n"))
-    return met.where("n = size").select("doc_id").distinct()
+def postings(index: DataFrame) -> DataFrame:
+    """trigram, id, key: the lists of the index."""
+    return index.select(F.explode("held").alias("trigram"), "id", "key")
+
+
+def candidates(lists: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """id, key, wanted: documents in the intersection of the postings of some AND of a rule's query, and those rules."""
+    rows = []
+    for k, rule in enumerate(rules):
+        for c, grams in enumerate(trigram_query(rule.pattern)):
+            rows += [(t, k, c, 1 << i, (1 << len(grams)) - 1) for i, t in enumerate(sorted(grams))]
+    # one row for each trigram of the rules; a bit for each list, so a document that comes again counts once
+    query = F.broadcast(lists.sparkSession.createDataFrame(rows, "trigram string, rule int, conjunct int, bit long, whole long"))
+    met = lists.join(query, "trigram").groupBy("id", "key", "rule", "conjunct", "whole").agg(F.bit_or("bit").alias("have"))
+    return met.where("have = whole").groupBy("id", "key").agg(F.collect_set("rule").alias("wanted"))  # as many as there are rules
 
 
 #: Matches that are gathered at a time, so that a text with very many costs little more for each.
@@ -178,21 +181,43 @@ def spans_of(matches: str, pieces: str, rule: Rule, rank: int) -> Column:
           all -> flatten(all.out))""")
 
 
-def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES, out: str = "spans") -> DataFrame:
-    """``docs`` with ``out``: array of (start, rank, end, kind) by start, then by the rules' order.
-
-    Columns that begin with ``__s`` are the operator's own while it works.  Write
-    the result before filtering on the spans: a filter that the optimizer pushes
-    below would work them out anew for every match.
-    """
-    own = docs.columns
-    rows = docs.withColumn("__st", F.coalesce("text", F.lit(""))).withColumn("__sh", held_trigrams(F.col("__st"), rules))
+def with_spans(rows: DataFrame, rules: tuple[Rule, ...], asked: dict[int, Column], out: str) -> DataFrame:
+    """``rows`` (id, key, text) with the spans of the rules that are ``asked`` of a row, unordered."""
     none = F.array().cast("array<string>")
-    rows = rows.withColumns({f"__sm{k}": F.when(fulfils(F.col("__sh"), r), F.regexp_extract_all("__st", F.lit(r.pattern), F.lit(0))).otherwise(none) for k, r in enumerate(rules)})
-    rows = rows.withColumns({f"__sp{k}": F.when(F.size(f"__sm{k}") > 0, F.split("__st", r.pattern, -1)).otherwise(none) for k, r in enumerate(rules)})
-    empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
-    rows = rows.withColumns({f"__ss{k}": F.when(F.size(f"__sm{k}") > 0, spans_of(f"__sm{k}", f"__sp{k}", r, k)).otherwise(empty) for k, r in enumerate(rules)})
-    return rows.select(*own, F.array_sort(F.concat(*(F.col(f"__ss{k}") for k in range(len(rules))))).alias(out))
+    keep = rows.columns
+    for k, wanted in asked.items():
+        rows = rows.withColumn(f"m{k}", F.when(wanted, F.regexp_extract_all("text", F.lit(rules[k].pattern), F.lit(0))).otherwise(none))
+    for k in asked:
+        rows = rows.withColumn(f"p{k}", F.when(F.size(f"m{k}") > 0, F.split("text", rules[k].pattern, -1)).otherwise(none))
+    each = [F.when(F.size(f"m{k}") > 0, spans_of(f"m{k}", f"p{k}", rules[k], k)).otherwise(F.array().cast(f"array<{SPAN}>")) for k in asked]
+    return rows.select(*keep, F.concat(*each, F.array().cast(f"array<{SPAN}>")).alias(out))
+
+
+def found(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """id, key, spans of every row of ``docs``: spans are (start, rank, end, kind) by start, then by the rules' order."""
+    scratch = Scratch(docs.sparkSession, "secrets")
+    rows = named(docs)
+    full = {k: F.lit(True) for k, r in enumerate(rules) if not trigram_query(r.pattern)}
+    index = scratch.table(with_spans(rows, rules, full, "scanned").withColumn("held", held_trigrams(F.col("text"), rules)).drop("text"), "index")
+    asked = {k: F.array_contains("wanted", k) for k in range(len(rules)) if k not in full}
+    if not asked:
+        return index.select("id", "key", F.array_sort("scanned").alias("spans"))
+    some = scratch.table(candidates(postings(index), rules), "candidates")
+    same = lambda a, b: a["id"].eqNullSafe(b["id"]) & (a["key"] == b["key"])
+    fetched = rows.join(some, same(rows, some)).select(rows["id"], rows["key"], "text", "wanted")
+    # written before it is filtered: a filter pushed below would work the spans out anew for every match
+    checked = scratch.table(with_spans(fetched, rules, asked, "checked").select("id", "key", "checked"), "checked")
+    checked = checked.where(F.size("checked") > 0).groupBy("id", "key").agg(F.first("checked").alias("checked"))  # rows that repeat have the same spans
+    every = index.join(checked, same(index, checked), "left").select(index["id"], index["key"], "scanned", "checked")
+    return every.select("id", "key", F.array_sort(F.concat("scanned", F.coalesce("checked", F.array().cast(f"array<{SPAN}>")))).alias("spans"))
+
+
+def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES, out: str = "spans") -> DataFrame:
+    """``docs`` with its spans as the column ``out``; see ``found``."""
+    spans = found(docs, rules).where(F.size("spans") > 0).groupBy("id", "key").agg(F.first("spans").alias("spans"))
+    text = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    rows = docs.join(spans, docs["doc_id"].cast("long").eqNullSafe(spans["id"]) & (text == spans["key"]), "left")
+    return rows.select(*(docs[c] for c in docs.columns if c != out), F.coalesce(spans["spans"], F.array().cast(f"array<{SPAN}>")).alias(out))
 
 
 def written(spans: Column) -> Column:
@@ -201,10 +226,28 @@ def written(spans: Column) -> Column:
 
 def op7_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's secrets: counts and digest of the base kinds, and all spans."""
-    found = find(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "spans")
+    rows = found(read(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "spans")
     count = lambda k: F.size(F.filter("spans", lambda s: s["rank"] == k)).cast("long").alias(f"n_{RULES[k].kind}")
     base = F.filter("spans", lambda s: s["rank"] < BASE)
-    return found.select("doc_id", *(count(k) for k in range(BASE)), F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+    return rows.select("doc_id", *(count(k) for k in range(BASE)), F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+def oracle(rules: tuple[Rule, ...] = RULES) -> str:
+    """The same rows in DuckDB's SQL: every rule on every text, offsets from the pieces between the matches."""
+    each = []
+    for k, r in enumerate(rules):
+        pattern = "'" + r.pattern.replace("'", "''") + "'"
+        body = "m" if not r.group else f"regexp_extract(m, {pattern}, {r.group})"
+        each.append(f"""SELECT row, {k} AS rank, '{r.kind}' AS kind, "start", "start" + length(m) AS "end" FROM (
+          SELECT row, m, CAST(sum(length(p) + length(m)) OVER (PARTITION BY row ORDER BY i) - length(m) AS BIGINT) AS "start"
+          FROM (SELECT row, unnest(regexp_extract_all(text, {pattern})) AS m, unnest(regexp_split_to_array(text, {pattern})) AS p, generate_subscripts(regexp_split_to_array(text, {pattern}), 1) AS i FROM d) WHERE m IS NOT NULL)
+          WHERE length({body}) >= {r.least}""")
+    said = "string_agg(kind || ':' || \"start\" || ':' || \"end\", ',' ORDER BY \"start\", rank)"
+    counts = ", ".join(f"count(rank) FILTER (rank = {k}) AS n_{r.kind}" for k, r in enumerate(rules[:BASE]))
+    return f"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+        s AS ({" UNION ALL ".join(each)})
+        SELECT doc_id, {counts}, sha256(coalesce({said} FILTER (rank < {BASE}), '')) AS base_sha256, coalesce({said}, '') AS spans
+        FROM d LEFT JOIN s USING (row) GROUP BY row, doc_id"""
 
 
 def redacted(text: Column, spans: Column) -> Column:
@@ -221,9 +264,10 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: all documents, their secrets replaced and n_chars, where there is one, counted again."""
-    found = find(docs, out="__spans")
-    text = F.when(F.size("__spans") > 0, redacted(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
-    out = found.withColumn("text", text)
+    out = unused("spans", docs.columns)
+    rows = find(docs, out=out)
+    some = F.size(out) > 0
+    rows = rows.withColumn("text", F.when(some, redacted(F.col("text"), F.col(out))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        rows = rows.withColumn("n_chars", F.when(some, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return rows.select(*docs.columns)
