@@ -1,16 +1,20 @@
 """Chat formatting by quotation linking.
 
 Nested quote levels (``>`` at the start of lines, also ``> >`` and ``>>``) are
-parsed into passages.  A passage's normalised text (lower-cased words) is hashed
-and joined to the passages that earlier messages of the same conversation wrote
-themselves; the latest such message is what was replied to.  A quotation that
-nobody wrote links nothing, and a message without links answers the one before.
+parsed into passages.  The normalised text (lower-cased words) of a passage and
+of each of its sentences is hashed, and what a message quotes is joined to the
+latest earlier message of the conversation that wrote the same itself.  The
+quoted passage links to the message that has most of its words, if that is half
+of them or more, so a quotation may leave sentences out or run over several
+paragraphs' ends; a part of one sentence links nothing.  What was replied to is
+the message that the outermost linked quotation is of.  A quotation that nobody
+wrote links nothing, and a message without links answers the one before.
 Conversations are returned without quotes, in reply order: each message after
 the one it answers, siblings by turn.
 
 Messages with null conv_id or turn can't be ordered and are left out; null texts
 are empty messages.  Of repeated rows of one turn, the greatest (role, text)
-stands.
+stands.  Very long messages are parsed whole; other columns are left out.
 """
 
 from __future__ import annotations
@@ -23,12 +27,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from storyloom.llm.common import Scratch, read
+from storyloom.llm.common import Scratch, read, sliced
 
 QUOTE = re.compile(r"^[ \t]*((?:>[ \t]?)+)")
+QUOTED = re.compile(r"^[ \t]*>", re.MULTILINE)
 #: "On ..., ... wrote:" before a quotation belongs to it.
-INTRO = re.compile(r"^.{0,200}\b(?:wrote|schrieb|a écrit|escribió):[ \t]*$")
+INTRO = re.compile(r"\b(?:wrote|schrieb|a écrit|escribió):[ \t\r]*$")
 WORDS = re.compile(r"[^\W_]+")
+SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
 @dataclass(frozen=True)
@@ -53,7 +59,7 @@ def passages(text: str | None) -> list[Passage]:
         here = mark.group(1).count(">") if mark else 0
         body = line[mark.end() :] if mark else line
         if here != level or not body.strip():
-            if here > level and lines and INTRO.match(lines[-1]):
+            if here > level and lines and INTRO.search(lines[-1]):
                 lines.pop()
             close()
             level = here
@@ -63,26 +69,49 @@ def passages(text: str | None) -> list[Passage]:
     return out
 
 
-def normal_hash(text: str) -> int | None:
-    """Signed 64-bit hash of the lower-cased words; null without words."""
-    words = WORDS.findall(text.lower())
-    return xxhash.xxh3_64_intdigest(" ".join(words)) - (1 << 63) if words else None
+def normal_hash(words: list[str]) -> int:
+    """Signed 64-bit hash of lower-cased words."""
+    return xxhash.xxh3_64_intdigest(" ".join(words)) - (1 << 63)
+
+
+def keys_of(text: str) -> dict[int, int]:
+    """Hashes of a passage and of its sentences, with their numbers of words; the passage's first, none without words."""
+    out: dict[int, int] = {}
+    for part in (text, *SENTENCE.split(text)):
+        words = WORDS.findall(part.lower())
+        if words:
+            out.setdefault(normal_hash(words), len(words))
+    return out
+
+
+PART = "struct<quote:int,level:int,key:long,words:int,whole:int>"
+
+
+def parts_of(found: list[Passage]) -> list[dict]:
+    """What a message wrote (quote -1, each key once) and what its quoted passages, numbered from 0, are made of."""
+    own = {k: n for p in found if not p.level for k, n in keys_of(p.text).items()}
+    out = [{"quote": -1, "level": 0, "key": k, "words": n, "whole": n} for k, n in own.items()]
+    for p in found:
+        keys = keys_of(p.text) if p.level else {}
+        quote = out[-1]["quote"] + 1 if out else 0
+        whole = next(iter(keys.values()), 0)
+        out += [{"quote": quote, "level": p.level, "key": k, "words": n, "whole": whole} for k, n in keys.items()]
+    return out
 
 
 def parsed(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, body (own text), n_quotes, depth, parts: (level, key) of each passage."""
-    kind = "conv_id long, turn long, role string, body string, depth int, parts array<struct<level:int,key:long>>"
+    """conv_id, turn, role, body (own text), depth, parts: see ``parts_of``."""
+    kind = f"conv_id long, turn long, role string, body string, depth int, parts array<{PART}>"
 
     def run(batches):
-        for batch in batches:
+        kinds = pa.list_(pa.struct([("quote", pa.int32()), ("level", pa.int32()), ("key", pa.int64()), ("words", pa.int32()), ("whole", pa.int32())]))
+        for batch in sliced(batches):
             body, depth, parts = [], [], []
             for text in batch.column("text").to_pylist():
                 found = passages(text)
-                own = [p for p in found if not p.level]
-                body.append((text or "") if len(own) == len(found) else "\n\n".join(p.text for p in own))
+                body.append("\n\n".join(p.text for p in found if not p.level) if QUOTED.search(text or "") else text or "")
                 depth.append(max((p.level for p in found), default=0))
-                parts.append([{"level": p.level, "key": k} for p in found if (k := normal_hash(p.text)) is not None])
-            kinds = pa.list_(pa.struct([("level", pa.int32()), ("key", pa.int64())]))
+                parts.append(parts_of(found))
             yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("turn"), batch.column("role"), pa.array(body, pa.string()), pa.array(depth, pa.int32()), pa.array(parts, kinds)], names=["conv_id", "turn", "role", "body", "depth", "parts"])
 
     rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), "text").where("conv_id is not null and turn is not null")
@@ -111,15 +140,32 @@ def in_stretches(rows: DataFrame, keys: list[str]) -> DataFrame:
     return both.select(*(F.col(f"i.{c}").alias(c) for c in rows.columns if c != "__k"), F.coalesce("before", "__prev").alias("before"), F.coalesce("after", "__next").alias("after"), (F.col("__base") + F.col("index")).alias("index"))
 
 
+def sources(parts: DataFrame) -> DataFrame:
+    """conv_id, turn, key, source: the latest earlier turn that wrote what a turn quotes.
+
+    Writers and quoters of a key stand in one order, where each quoter takes the last writer before it: in its
+    stretch of turns, else from the stretches before, of which there is one row each.  No pairs are made.
+    """
+    own = F.col("quote") < 0
+    events = parts.groupBy("conv_id", "key", "turn").agg(F.max(own).alias("wrote"), F.max(~own).alias("quotes")).withColumn("stretch", F.floor(F.col("turn") / STRETCH))
+    written = F.when(F.col("wrote"), F.col("turn"))
+    near = Window.partitionBy("conv_id", "key", "stretch").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    far = Window.partitionBy("conv_id", "key").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    ends = events.groupBy("conv_id", "key", "stretch").agg(F.max(written).alias("last"), F.max("quotes").alias("any"))
+    before = ends.withColumn("far", F.max("last").over(far)).where("any and far is not null").select("conv_id", "key", "stretch", "far")
+    found = events.withColumn("near", F.max(written).over(near)).where("quotes").join(before, ["conv_id", "key", "stretch"], "left")
+    return found.select("conv_id", "turn", "key", F.coalesce("near", "far").alias("source")).where("source is not null")
+
+
 def linked(rows: DataFrame) -> DataFrame:
     """Adds n_quotes, n_linked, reply_to (turn of the message answered; null at the beginning), before and index."""
-    parts = rows.select("conv_id", "turn", F.explode("parts").alias("part")).select("conv_id", "turn", "part.level", "part.key")
-    wrote = parts.where("level = 0").select("conv_id", "key", F.col("turn").alias("source")).distinct()
-    quoted = parts.where("level > 0")
+    parts = rows.select("conv_id", "turn", F.explode("parts").alias("part")).select("conv_id", "turn", "part.*")
+    meets = parts.where("quote >= 0").join(sources(parts), ["conv_id", "turn", "key"])
+    shares = meets.groupBy("conv_id", "turn", "quote", "level", "whole", "source").agg(F.sum("words").alias("words"))
+    best = shares.groupBy("conv_id", "turn", "quote", "level", "whole").agg(F.max(F.struct("words", "source")).alias("best")).where("2 * best.words >= whole")
     # a quotation at level 1 is of what is answered; deeper ones are of what that answered
-    meets = quoted.join(wrote, ["conv_id", "key"]).where("source < turn").groupBy("conv_id", "turn", "key").agg(F.min("level").alias("level"), F.max("source").alias("source"))
-    found = meets.groupBy("conv_id", "turn").agg(F.min_by("source", F.struct("level", -F.col("source"))).alias("quoted_turn"), F.count("*").alias("n_linked"))
-    counts = rows.withColumn("n_quotes", F.size(F.filter("parts", lambda p: p["level"] > 0)).cast("long"))
+    found = best.groupBy("conv_id", "turn").agg(F.min_by("best.source", F.struct("level", -F.col("best.source"))).alias("quoted_turn"), F.count("*").alias("n_linked"))
+    counts = rows.withColumn("n_quotes", F.aggregate("parts", F.lit(-1), lambda a, p: F.greatest(a, p["quote"])).cast("long") + 1)
     out = in_stretches(counts.drop("parts"), ["conv_id"]).join(found, ["conv_id", "turn"], "left")
     return out.select("conv_id", "turn", "role", "body", "depth", "n_quotes", F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), F.coalesce("quoted_turn", "before").alias("reply_to"), "before", "index")
 
@@ -149,6 +195,8 @@ def reply_order(rows: DataFrame, scratch: Scratch) -> DataFrame:
         tour = scratch.table(tour, f"tour-{k}")
         if k:
             scratch.drop(f"tour-{k - 1}")
+        else:
+            scratch.drop("tree")
         if tour.where("next is not null").isEmpty():
             break
         on = tour.select("conv_id", F.col("way").alias("next"), F.col("next").alias("further"), F.col("left").alias("more"), F.col("climb").alias("climbs"))
@@ -164,8 +212,9 @@ def conversations(messages: DataFrame) -> DataFrame:
     """conv_id, place, turn, role, text (without quotes), reply_to, reply_depth, depth, n_quotes, n_linked."""
     scratch = Scratch(messages.sparkSession, "chat")
     rows = parsed(messages)
-    one = rows.groupBy("conv_id", "turn").agg(F.max_by(F.struct("role", "body", "depth", "parts"), F.struct("role", "body")).alias("m")).select("conv_id", "turn", "m.*")
+    one = rows.groupBy("conv_id", "turn").agg(F.max_by(F.struct("role", "body", "depth", "parts"), F.struct("role", "body", "depth")).alias("m")).select("conv_id", "turn", "m.*")
     rows = scratch.table(linked(scratch.table(one, "messages")), "linked")
+    scratch.drop("messages")
     out = reply_order(rows, scratch)
     return out.select("conv_id", "place", "turn", "role", F.col("body").alias("text"), "reply_to", "reply_depth", "depth", "n_quotes", "n_linked")
 
@@ -173,3 +222,34 @@ def conversations(messages: DataFrame) -> DataFrame:
 def op9_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations without quotes, in reply order."""
     return conversations(read(spark, sf_dir, "conversations"))
+
+
+def oracle() -> str:
+    """The same conversations in DuckDB's SQL: lines to passages, passages and sentences by their words, a walk of the replies."""
+    return r"""
+    WITH RECURSIVE one AS (SELECT DISTINCT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+    lines AS (SELECT conv_id, turn, role, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM one),
+    marked AS (SELECT *, regexp_extract(line, '^[ \t]*(?:>[ \t]?)+') AS mark FROM lines),
+    bare AS (SELECT conv_id, turn, role, text, i, length(mark) - length(replace(mark, '>', '')) AS level, regexp_replace(line[length(mark) + 1 :], '\r+$', '') AS body FROM marked),
+    kept AS (SELECT *, regexp_matches(body, '^\s*$') AS blank, lead(level) OVER w > level AND regexp_matches(body, '\b(?:wrote|schrieb|a écrit|escribió):[ \t\r]*$') AS intro,
+      CASE WHEN lag(level) OVER w IS DISTINCT FROM level OR lag(regexp_matches(body, '^\s*$')) OVER w THEN 1 ELSE 0 END AS fresh FROM bare WINDOW w AS (PARTITION BY conv_id, turn, role, text ORDER BY i)),
+    numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY conv_id, turn, role, text ORDER BY i) AS p FROM kept),
+    passages AS (SELECT conv_id, turn, role, text, p, min(level) AS level, string_agg(body, chr(10) ORDER BY i) AS body FROM numbered WHERE NOT blank AND NOT coalesce(intro, false) GROUP BY ALL),
+    message AS (SELECT conv_id, turn, role, text, max(level) AS depth, string_agg(body, chr(10) || chr(10) ORDER BY p) FILTER (level = 0) AS own FROM passages GROUP BY conv_id, turn, role, text),
+    bodies AS (SELECT o.conv_id, o.turn, o.role, CASE WHEN regexp_matches(o.text, '(?m)^[ \t]*>') THEN coalesce(m.own, '') ELSE o.text END AS body, coalesce(depth, 0) AS depth, o.text
+      FROM one o LEFT JOIN message m ON o.conv_id = m.conv_id AND o.turn = m.turn AND o.role IS NOT DISTINCT FROM m.role AND o.text = m.text),
+    said AS (SELECT * FROM bodies QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY role DESC NULLS LAST, body DESC, depth DESC, text DESC) = 1),
+    own AS (SELECT p.* FROM passages p JOIN said s ON p.conv_id = s.conv_id AND p.turn = s.turn AND p.text = s.text AND p.role IS NOT DISTINCT FROM s.role),
+    cut AS (SELECT conv_id, turn, p, level, body, unnest(list_concat([body], string_split(regexp_replace(body, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)))) AS part FROM own),
+    keyed AS (SELECT conv_id, turn, p, level, regexp_extract_all(lower(body), '[\p{L}\p{N}]+') AS whole, regexp_extract_all(lower(part), '[\p{L}\p{N}]+') AS w FROM cut),
+    keys AS (SELECT DISTINCT conv_id, turn, p, level, len(whole) AS whole, array_to_string(w, ' ') AS key, len(w) AS n FROM keyed WHERE len(w) > 0),
+    meets AS (SELECT q.conv_id, q.turn, q.p, q.level, q.whole, q.key, q.n, max(s.turn) AS source FROM keys q JOIN keys s ON q.conv_id = s.conv_id AND q.key = s.key AND s.level = 0 AND s.turn < q.turn WHERE q.level > 0 GROUP BY ALL),
+    shares AS (SELECT conv_id, turn, p, level, whole, source, sum(n) AS n FROM meets GROUP BY ALL),
+    best AS (SELECT * FROM shares QUALIFY row_number() OVER (PARTITION BY conv_id, turn, p ORDER BY n DESC, source DESC) = 1),
+    linked AS (SELECT conv_id, turn, count(*) AS n_linked, arg_min(source, level * 1000000000000 - source) AS quoted FROM best WHERE 2 * n >= whole GROUP BY ALL),
+    quotes AS (SELECT conv_id, turn, count(DISTINCT p) AS n_quotes FROM keys WHERE level > 0 GROUP BY ALL),
+    replies AS (SELECT s.*, coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked, coalesce(quoted, lag(s.turn) OVER (PARTITION BY s.conv_id ORDER BY s.turn)) AS reply_to
+      FROM said s LEFT JOIN linked USING (conv_id, turn) LEFT JOIN quotes USING (conv_id, turn)),
+    walk(conv_id, turn, path) AS (SELECT conv_id, turn, [turn] FROM replies WHERE reply_to IS NULL UNION ALL SELECT r.conv_id, r.turn, list_append(w.path, r.turn) FROM replies r JOIN walk w ON r.conv_id = w.conv_id AND r.reply_to = w.turn)
+    SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY path) - 1 AS BIGINT) AS place, turn, role, body AS text, reply_to, CAST(len(path) - 1 AS BIGINT) AS reply_depth, CAST(depth AS INTEGER) AS depth,
+      CAST(n_quotes AS BIGINT) AS n_quotes, CAST(n_linked AS BIGINT) AS n_linked FROM replies JOIN walk USING (conv_id, turn)"""

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from storyloom.llm.chat import op9_quotation_links
+from storyloom.llm.chat import oracle as quotation_oracle
 from storyloom.llm.fingerprint import op6_fingerprints
 from storyloom.llm.license_scan import op1_license_scan
 from storyloom.llm.license_scan import oracle as license_oracle
 from storyloom.llm.neardup import op3_near_duplicates
+from storyloom.llm.neardup import oracle as near_duplicate_oracle
 from storyloom.llm.packing import op8_best_two_fit
 from storyloom.llm.quality import op4_quality_rules
 from storyloom.llm.secret_scan import op7_secret_spans
+from storyloom.llm.secret_scan import oracle as secret_oracle
 from storyloom.llm.token_store import op5_token_store
 from storyloom.llm.toxicity import op10_toxic_segments
 from storyloom.llm.wfst import op2_sentencepiece
@@ -27,4 +30,4 @@ QUERIES = {
     "op10_toxic_segments": op10_toxic_segments,
 }
 
-ORACLES: dict[str, str] = {"op1_license_scan": license_oracle()}
+ORACLES: dict[str, str] = {"op1_license_scan": license_oracle(), "op3_near_duplicates": near_duplicate_oracle(), "op7_secret_spans": secret_oracle(), "op9_quotation_links": quotation_oracle()}
