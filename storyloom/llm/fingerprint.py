@@ -13,7 +13,11 @@ half of each once more to the neighbour that it lends its beginning.
 
 Null texts count as empty.  In the order of documents rows without an id come
 last, and rows of one id with different texts by a hash of the text.  Repeated
-rows count once in that order and are returned again.
+rows count once in that order and are returned again.  Very long texts are
+taken whole, each in one row; other columns aren't looked at.
+
+Very many copies of one form are one key of a join: its other side has one row
+for each form and is written before, so that Spark splits the skewed one.
 """
 
 from __future__ import annotations
@@ -27,8 +31,9 @@ from storyloom.llm.common import Scratch, read
 
 #: White space of Unicode that compatibility composition leaves, after the ASCII kinds.
 BLANK = r"\s\x1C-\x1F\x85   "
-#: Rows of a range of ids, about.
+#: Rows of a range of ids, and bytes of a partition of texts, about.
 RANGE = 500_000
+PART = 128 << 20
 
 
 def canonical(text: Column) -> Column:
@@ -44,43 +49,48 @@ def wide_hash(form: Column) -> Column:
     return F.lower(F.concat(half(1), half(2)))
 
 
-def same(a: str, b: str) -> Column:
-    return F.col(a).eqNullSafe(F.col(b))
+#: What names a text in a join, without nulls: those that have no id are told apart by the second.
+NAME = ["id", "no_id", "text_key"]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNull().alias("no_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
 def in_order(keys: DataFrame, scratch: Scratch, rows: int) -> DataFrame:
-    """Adds next_id, next_key, next_hash: of the following row by descending id, round at the end."""
+    """Adds next (id, no_id, text_key, hash): the following row by descending id, round at the end."""
     order = [F.col("doc_id").desc_nulls_last(), F.col("text_key").desc()]
     ranges = max(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // RANGE))
     dealt = scratch.table(keys.repartitionByRange(ranges, *order).withColumn("part", F.spark_partition_id()), "dealt")
-    me = F.struct("doc_id", "text_key", "hash")
+    me = F.struct(*NAME, "hash")
     within = dealt.withColumn("next", F.lead(me).over(Window.partitionBy("part").orderBy(*order)))
     # one row for each range
-    firsts = dealt.groupBy("part").agg(F.min_by(me, F.struct(F.col("doc_id").isNull(), -F.col("doc_id"), -F.col("text_key"))).alias("first"))
+    firsts = dealt.groupBy("part").agg(F.min_by(me, F.struct("no_id", F.bitwise_not("id"), F.bitwise_not("text_key"))).alias("first"))
     over = Window.orderBy("part")
     after = firsts.select("part", F.coalesce(F.lead("first").over(over), F.first("first").over(over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("wrap"))
     out = within.join(F.broadcast(after), "part").withColumn("next", F.coalesce("next", "wrap"))
-    return out.select("doc_id", "text_key", "n_chars", "hash", F.col("next.doc_id").alias("next_id"), F.col("next.text_key").alias("next_key"), F.col("next.hash").alias("next_hash"))
+    return out.select("doc_id", *NAME, "n_chars", "hash", "next")
+
 
+def with_edited(docs: DataFrame, chain: DataFrame, repeated: bool, parts: int) -> DataFrame:
+    """``chain`` with each document's text and edited text; ``own`` and ``twin``, if there, come along.
 
-def with_edited(docs: DataFrame, chain: DataFrame, repeated: bool) -> DataFrame:
-    """``chain`` with each document's text and edited text; ``own`` and ``twin``, if there, come along."""
-    d = docs.alias("d")
+    Texts are dealt to ``parts`` partitions, as many as their bytes need.
+    """
     more = [c for c in ("own", "twin") if c in chain.columns]
+    to = [f"to_{c}" for c in NAME]
     need = F.floor(F.col("n_chars") / 2).cast("int")
-    asked = chain.select(F.col("doc_id").alias("to_id"), F.col("text_key").alias("to_key"), "next_id", "next_key", need.alias("need"), *more)
-    lent = d.join(asked, F.col("d.doc_id").eqNullSafe(F.col("next_id")) & (F.col("d.text_key") == F.col("next_key"))).select("to_id", "to_key", F.left(F.col("d.text"), F.col("need")).alias("lent"), *more)
+    asked = chain.select(*(F.col(c).alias(t) for c, t in zip(NAME, to)), *(F.col(f"next.{c}").alias(c) for c in NAME), need.alias("need"), *more)
+    texts = docs.repartition(parts, *NAME)
+    lent = texts.join(asked.repartition(parts, *NAME), NAME).select(*to, F.left("text", F.col("need")).alias("lent"), *more)
     if repeated:
-        lent = lent.dropDuplicates(["to_id", "to_key"])
-    rows = d.join(lent, F.col("d.doc_id").eqNullSafe(F.col("to_id")) & (F.col("d.text_key") == F.col("to_key")))
-    n = F.char_length(F.col("d.text"))
-    edited = F.concat(F.left(F.col("d.text"), n - F.floor(n / 2).cast("int")), "lent")
-    return rows.select("d.doc_id", "d.text_key", "d.text", edited.alias("edited"), *more)
+        lent = lent.dropDuplicates(to)
+    rows = texts.join(lent.select(*(F.col(t).alias(c) for c, t in zip(NAME, to)), "lent", *more).repartition(parts, *NAME), NAME)
+    n = F.char_length("text")
+    edited = F.concat(F.left("text", n - F.floor(n / 2).cast("int")), "lent")
+    return rows.select("doc_id", *NAME, "text", edited.alias("edited"), *more)
 
 
 def numbered(forms: DataFrame) -> DataFrame | None:
@@ -94,47 +104,56 @@ def numbered(forms: DataFrame) -> DataFrame | None:
 
 def fingerprints(docs: DataFrame, hashed: Callable[[Column], Column] = wide_hash) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    scratch = Scratch(docs.sparkSession, "fingerprints")
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "fingerprints")
     docs = keyed(docs)
-    first = docs.select("doc_id", "text_key", F.char_length("text").cast("long").alias("n_chars"), canonical(F.col("text")).alias("form")).select("doc_id", "text_key", "n_chars", hashed(F.col("form")).alias("hash"))
-    rows = scratch.table(first, "first")
-    keys = rows.dropDuplicates(["doc_id", "text_key"])
-    total = rows.count()
-    chain = scratch.table(in_order(keys, scratch, total), "chain")
-    repeated = chain.count() < total
-    company = chain.groupBy("hash").agg((F.count("*") > 1).alias("own"))
-    twins = chain.groupBy("hash", "next_hash").agg((F.count("*") > 1).alias("twin"))
-    marked = chain.join(company, "hash").join(twins, ["hash", "next_hash"])
-    marked = scratch.table(marked.select("doc_id", "text_key", "n_chars", "next_id", "next_key", "hash", "own", "twin"), "marked")
-
-    forms = with_edited(docs, marked, repeated).select("doc_id", "text_key", "own", "twin", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), canonical(F.col("text")).alias("form"), canonical(F.col("edited")).alias("edited_form"))
+    first = docs.select("doc_id", *NAME, F.char_length("text").cast("long").alias("n_chars"), F.octet_length("text").cast("long").alias("bytes"), canonical(F.col("text")).alias("form"))
+    rows = scratch.table(first.select("doc_id", *NAME, "n_chars", "bytes", hashed(F.col("form")).alias("hash")), "first")
+    total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).head()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total["bytes"] // PART))
+    chain = scratch.table(in_order(rows.dropDuplicates(NAME), scratch, total["n"]), "chain")
+    repeated = chain.count() < total["n"]
+    scratch.drop("first", "dealt")
+    # forms with company, and pairs of neighbours that come again; most don't, and these tables are small
+    company = scratch.table(chain.groupBy("hash").count().where("count > 1").select("hash", F.lit(True).alias("own")), "company")
+    twins = scratch.table(chain.groupBy("hash", F.col("next.hash").alias("next_hash")).count().where("count > 1").select("hash", "next_hash", F.lit(True).alias("twin")), "twins")
+    owned = scratch.table(chain.withColumn("next_hash", F.col("next.hash")).join(company, "hash", "left"), "owned")
+    flag = lambda c: F.coalesce(c, F.lit(False)).alias(c)
+    marked = scratch.table(owned.join(twins, ["hash", "next_hash"], "left").select("doc_id", *NAME, "n_chars", "hash", "next", flag("own"), flag("twin")), "marked")
+    scratch.drop("company", "twins", "owned")
+
+    forms = with_edited(docs, marked, repeated, parts).select("doc_id", *NAME, "own", "twin", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), canonical(F.col("text")).alias("form"), canonical(F.col("edited")).alias("edited_form"))
     forms = forms.withColumns({"hash": hashed(F.col("form")), "edited_hash": hashed(F.col("edited_form")), "unchanged": F.col("form") == F.col("edited_form")})
-    kept = forms.select("doc_id", "text_key", "edited_sha256", "hash", "edited_hash", "unchanged", F.when(F.col("own"), F.col("form")).alias("form"), F.when(F.col("twin") & ~F.col("unchanged"), F.col("edited_form")).alias("edited_form"))
+    kept = forms.select("doc_id", *NAME, "edited_sha256", "hash", "edited_hash", "unchanged", F.when(F.col("own"), F.col("form")).alias("form"), F.when(F.col("twin") & ~F.col("unchanged"), F.col("edited_form")).alias("edited_form"))
     table = scratch.table(kept, "forms")
+    scratch.drop("marked")
 
     # every form but an edited one that is the same as its own original
-    each = table.select("doc_id", "text_key", "hash", "form", F.lit(False).alias("is_edited")).unionByName(table.where("not unchanged").select("doc_id", "text_key", F.col("edited_hash").alias("hash"), F.col("edited_form").alias("form"), F.lit(True).alias("is_edited")))
-    shared = each.select("hash", "doc_id", "text_key", "is_edited").distinct().groupBy("hash").count().where("count > 1").select("hash")
+    each = table.select(*NAME, "hash", "form", F.lit(False).alias("is_edited")).unionByName(table.where("not unchanged").select(*NAME, F.col("edited_hash").alias("hash"), F.col("edited_form").alias("form"), F.lit(True).alias("is_edited")))
+    shared = each.select("hash", *NAME, "is_edited").distinct().groupBy("hash").count().where("count > 1").select("hash")
+    shared = scratch.table(shared, "shared")
     seen = each.where("form is not null").select("hash", "form")
-    unseen = scratch.table(each.where("form is null").join(shared, "hash", "left_semi").select("doc_id", "text_key", "is_edited").distinct(), "unseen")
+    unseen = scratch.table(each.where("form is null").join(shared, "hash", "left_semi").select(*NAME, "is_edited").distinct(), "unseen")
     if not unseen.isEmpty():
-        again = chain.join(unseen.select(F.col("doc_id").alias("u_id"), F.col("text_key").alias("u_key")).distinct(), same("doc_id", "u_id") & (F.col("text_key") == F.col("u_key")), "left_semi")
-        made = with_edited(docs, again, repeated).select(F.explode(F.array("text", "edited")).alias("text")).select(canonical(F.col("text")).alias("form"))
+        again = chain.join(unseen.select(*NAME).distinct(), NAME, "left_semi")
+        made = with_edited(docs, again, repeated, parts).select(F.explode(F.array("text", "edited")).alias("text")).select(canonical(F.col("text")).alias("form"))
         seen = seen.unionByName(made.select(hashed(F.col("form")).alias("hash"), "form"))
     number = numbered(seen)
     if number is None:
-        marks = table.select("doc_id", "text_key", "edited_sha256", F.col("hash").alias("fingerprint"), F.when(F.col("unchanged"), F.col("hash")).otherwise(F.col("edited_hash")).alias("edited_fingerprint"))
+        marks = table.select("doc_id", *NAME, "edited_sha256", F.col("hash").alias("fingerprint"), F.when(F.col("unchanged"), F.col("hash")).otherwise(F.col("edited_hash")).alias("edited_fingerprint"))
     else:
         tail = lambda h, n: F.concat(F.col(h), F.when(F.col(n) > 0, F.concat(F.lit("-"), F.col(n).cast("string"))).otherwise(""))
         by_form = lambda f: number.select(F.sha2(F.col("form").cast("binary"), 256).alias(f"k_{f}"), F.col("hash").alias(f"h_{f}"), F.col("number").alias(f))
-        full = with_edited(docs, chain, repeated).select("doc_id", "text_key", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), canonical(F.col("text")).alias("form"), canonical(F.col("edited")).alias("edited_form"))
+        full = with_edited(docs, chain, repeated, parts).select("doc_id", *NAME, F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), canonical(F.col("text")).alias("form"), canonical(F.col("edited")).alias("edited_form"))
         full = full.withColumns({"hash": hashed(F.col("form")), "edited_hash": hashed(F.col("edited_form")), "k1": F.sha2(F.col("form").cast("binary"), 256), "k2": F.sha2(F.col("edited_form").cast("binary"), 256)})
         full = full.join(by_form("a"), (F.col("k1") == F.col("k_a")) & (F.col("hash") == F.col("h_a")), "left").join(by_form("b"), (F.col("k2") == F.col("k_b")) & (F.col("edited_hash") == F.col("h_b")), "left")
-        marks = full.select("doc_id", "text_key", "edited_sha256", tail("hash", "a").alias("fingerprint"), tail("edited_hash", "b").alias("edited_fingerprint"))
+        marks = full.select("doc_id", *NAME, "edited_sha256", tail("hash", "a").alias("fingerprint"), tail("edited_hash", "b").alias("edited_fingerprint"))
     marks = scratch.table(marks, "marks")
-    one = marks.select(F.col("doc_id").alias("o_id"), F.col("text_key").alias("o_key"), F.col("fingerprint").alias("next_fingerprint")).dropDuplicates(["o_id", "o_key"])
-    of_next = chain.select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"), "n_chars", "next_id", "next_key").join(one, same("next_id", "o_id") & (F.col("next_key") == F.col("o_key")))
-    out = marks.join(of_next, same("doc_id", "c_id") & (F.col("text_key") == F.col("c_key")))
+    scratch.drop("forms", "shared", "unseen")
+    next_name = [F.col(f"next.{c}").alias(f"next_{c}") for c in NAME]
+    one = marks.select(*(F.col(c).alias(f"next_{c}") for c in NAME), F.col("fingerprint").alias("next_fingerprint")).dropDuplicates([f"next_{c}" for c in NAME])
+    of_next = chain.select(*NAME, "n_chars", *next_name).join(one, [f"next_{c}" for c in NAME]).select(*NAME, "n_chars", "next_fingerprint")
+    out = marks.join(of_next, NAME)
     near = lambda a, b: (F.col(a) == F.col(b)).cast("double")
     return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near("fingerprint", "edited_fingerprint").alias("near_edited"), near("fingerprint", "next_fingerprint").alias("near_next"))
 
