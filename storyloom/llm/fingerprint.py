@@ -83,14 +83,14 @@ def with_edited(docs: DataFrame, chain: DataFrame, repeated: bool, parts: int) -
     to = [f"to_{c}" for c in NAME]
     need = F.floor(F.col("n_chars") / 2).cast("int")
     asked = chain.select(*(F.col(c).alias(t) for c, t in zip(NAME, to)), *(F.col(f"next.{c}").alias(c) for c in NAME), need.alias("need"), *more)
-    texts = docs.repartition(parts, *NAME)
+    texts = docs.select(*NAME, "text").repartition(parts, *NAME)  # the same for both joins, so shuffled once
     lent = texts.join(asked.repartition(parts, *NAME), NAME).select(*to, F.left("text", F.col("need")).alias("lent"), *more)
     if repeated:
         lent = lent.dropDuplicates(to)
     rows = texts.join(lent.select(*(F.col(t).alias(c) for c, t in zip(NAME, to)), "lent", *more).repartition(parts, *NAME), NAME)
     n = F.char_length("text")
     edited = F.concat(F.left("text", n - F.floor(n / 2).cast("int")), "lent")
-    return rows.select("doc_id", *NAME, "text", edited.alias("edited"), *more)
+    return rows.select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), *NAME, "text", edited.alias("edited"), *more)
 
 
 def numbered(forms: DataFrame) -> DataFrame | None:
