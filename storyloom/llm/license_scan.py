@@ -14,7 +14,9 @@ Texts that hold none of a few anchor words are passed over first.  The anchors
 are chosen so that no text without them can reach the asked share.
 
 Null and empty texts match nothing.  Repeated rows are one document for the
-scan: the result has one row for each doc_id, text and template.
+scan: the result has one row for each doc_id (null is one, too), text and
+template.  Very long texts are scanned whole, a row for each shingle that some
+template has; other columns aren't looked at.
 """
 
 from __future__ import annotations
@@ -34,6 +36,9 @@ TEMPLATES = {
     "mit-notice": "Released under the MIT License.",
     "mit-licensed": "Licensed under the MIT License.",
     "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+    "mit-disclaimer": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
     "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
@@ -42,6 +47,8 @@ TEMPLATES = {
     "cc-by-4.0-notice": "Licensed under CC BY 4.0.",
     "cc-by-sa-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "bsd-conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "bsd-disclaimer": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+    "apache-2.0-warranty": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     "mpl-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
@@ -103,13 +110,16 @@ def classes_of(templates: dict[str, str], params: LicenseParams) -> list[LengthC
     return out
 
 
-def minima(items: Column, bands: int) -> Column:
-    """One key for each band: its number and the least hash of the items under it."""
-    return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.array_min(F.transform(items, lambda x: F.xxhash64(b, x)))))
+def minima(kind: Column, items: Column, bands: Column) -> Column:
+    """One key for each band of a length class: class, band and the least hash of the items under it."""
+    return F.transform(F.sequence(F.lit(0), bands - 1), lambda b: F.xxhash64(kind, b, F.array_min(F.transform(items, lambda x: F.xxhash64(b, x)))))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, params: LicenseParams = LicenseParams()) -> DataFrame:
-    """doc_id, license, first_word (of its first matching shingle), n_shingles (of the best window), share."""
+    """doc_id, license, first_word (of its first matching shingle), n_shingles (of the best window), share.
+
+    The texts are read and cut once; the length class is a column from there on.
+    """
     spark = docs.sparkSession
     k = params.words
     low = docs.select("doc_id", F.lower("text").alias("low"))
@@ -117,21 +127,22 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, params: License
     cut = marked.select("doc_id", F.xxhash64("low").alias("text_key"), F.regexp_extract_all("low", F.lit("[a-z0-9]+"), F.lit(0)).alias("w")).where(F.size("w") >= k)
     shingle = lambda i: F.concat_ws(" ", F.slice("w", i, k))
     rows = cut.select("doc_id", "text_key", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - k + 1), shingle)).alias("at", "shingle"))
-    found = None
-    for c in classes_of(templates, params):
-        of_class = spark.createDataFrame([(n, list(s)) for n, s in c.templates], "license string, items array<string>")
-        known = of_class.select(F.explode("items").alias("shingle")).distinct()
-        held = rows.join(F.broadcast(known), "shingle", "left_semi")
-        # a shingle lies in every window that starts at most window - k words before it
-        windows = F.sequence(F.greatest(F.lit(0), F.ceil((F.col("at") - (c.window - k)) / c.stride)), F.floor(F.col("at") / c.stride))
-        items = held.select("doc_id", "text_key", F.explode(windows).alias("window"), "at", "shingle").groupBy("doc_id", "text_key", "window").agg(F.collect_set("shingle").alias("items"), F.min("at").alias("first_word"))
-        keys = F.broadcast(of_class.select("license", F.col("items").alias("template"), F.explode(minima(F.col("items"), c.bands)).alias("band")))
-        retrieved = items.withColumn("band", F.explode(minima(F.col("items"), c.bands))).join(keys, "band").groupBy("doc_id", "text_key", "window", "license").agg(F.first("items").alias("items"), F.first("template").alias("template"), F.min("first_word").alias("first_word"))
-        both = F.size(F.array_intersect("items", "template"))
-        exact = retrieved.withColumn("n_shingles", both).where(100 * F.col("n_shingles") >= params.percent * F.size("template"))
-        best = exact.select("doc_id", "text_key", "license", "first_word", "n_shingles", F.size("template").alias("whole"))
-        found = best if found is None else found.unionByName(best)
-    best = found.groupBy("doc_id", "text_key", "license").agg(F.min("first_word").cast("long").alias("first_word"), F.max("n_shingles").cast("long").alias("n_shingles"), F.max("whole").alias("whole"))
+
+    # both are as large as the templates, which are parameters
+    each = [(c.window, c.stride, c.bands, n, list(s)) for c in classes_of(templates, params) for n, s in c.templates]
+    known = spark.createDataFrame(each, "win int, stride int, bands int, license string, template array<string>")
+    shingles = known.select("win", "stride", "bands", F.explode("template").alias("shingle")).distinct()
+    keys = known.select("license", "template", F.explode(minima(F.col("win"), F.col("template"), F.col("bands"))).alias("band"))
+
+    held = rows.join(F.broadcast(shingles), "shingle")
+    # a shingle lies in every window that starts at most win - k words before it
+    windows = F.sequence(F.greatest(F.lit(0), F.ceil((F.col("at") - (F.col("win") - k)) / F.col("stride"))), F.floor(F.col("at") / F.col("stride")))
+    spread = held.select("doc_id", "text_key", "win", "bands", F.explode(windows).alias("window"), "at", "shingle")
+    items = spread.groupBy("doc_id", "text_key", "win", "bands", "window").agg(F.collect_set("shingle").alias("items"), F.min("at").alias("first_word"))  # a window's words at most
+    banded = items.withColumn("band", F.explode(minima(F.col("win"), F.col("items"), F.col("bands"))))
+    retrieved = banded.join(F.broadcast(keys), "band").groupBy("doc_id", "text_key", "win", "window", "license").agg(F.first("items").alias("items"), F.first("template").alias("template"), F.min("first_word").alias("first_word"))
+    exact = retrieved.withColumn("n_shingles", F.size(F.array_intersect("items", "template"))).where(100 * F.col("n_shingles") >= params.percent * F.size("template"))
+    best = exact.groupBy("doc_id", "text_key", "license").agg(F.min("first_word").cast("long").alias("first_word"), F.max("n_shingles").cast("long").alias("n_shingles"), F.max(F.size("template")).alias("whole"))
     return best.select("doc_id", "license", "first_word", "n_shingles", (F.col("n_shingles") / F.col("whole")).alias("share"))
 
 
