@@ -33,7 +33,7 @@ MOST = 64
 @dataclass(frozen=True)
 class Rule:
     kind: str
-    #: Means the same in Python's, Java's and DuckDB's dialect.
+    #: Means the same in Python's and Java's dialect, and in DuckDB's but for private keys.
     pattern: str
     #: A match counts if this group has at least so many characters.
     group: int = 0
@@ -48,8 +48,8 @@ RULES = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{30,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    # to the END line if that is the next run of dashes, else the lines of a body without one
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,200}-----END [A-Z ]*PRIVATE KEY-----|(?:[ \t\r\n]+[A-Za-z0-9+/=]{16}[A-Za-z0-9+/=]*){0,60})"),
+    # to the END line if that is the next mark, else the lines of a body without one; possessive, so that Java needs no stack
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]*PRIVATE KEY-----|(?:[ \t\r\n]+[A-Za-z0-9+/=]{16}[A-Za-z0-9+/=]*)*+)"),
 )
 #: The first three are the base of the query's contract.
 BASE = 3
@@ -232,10 +232,24 @@ def op7_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *(count(k) for k in range(BASE)), F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
+def key_sql(rank: int) -> str:
+    """Private keys without looking ahead: the text is cut at its marks, and a BEGIN looks at what the next mark is."""
+    mark = "'-----BEGIN [A-Z ]*PRIVATE KEY-----|-----(?:BEGIN|END) '"
+    last, lines = "'^[A-Z ]*PRIVATE KEY-----'", "'^(?:[ \\t\\r\\n]+[A-Za-z0-9+/=]{16}[A-Za-z0-9+/=]*)*'"
+    return f"""SELECT row, {rank} AS rank, 'pem' AS kind, "start", "start" + length(m) + CASE WHEN m2 = '-----END ' AND regexp_matches(p3, {last})
+            THEN length(p2) + length(m2) + length(regexp_extract(p3, {last})) ELSE length(regexp_extract(p2, {lines})) END AS "end" FROM (
+          SELECT row, m, lead(p) OVER w AS p2, lead(m) OVER w AS m2, lead(p, 2) OVER w AS p3, CAST(sum(length(p) + coalesce(length(m), 0)) OVER w - length(m) AS BIGINT) AS "start"
+          FROM (SELECT row, unnest(regexp_extract_all(text, {mark})) AS m, unnest(regexp_split_to_array(text, {mark})) AS p, generate_subscripts(regexp_split_to_array(text, {mark}), 1) AS i FROM d) WINDOW w AS (PARTITION BY row ORDER BY i))
+          WHERE regexp_matches(m, 'KEY-----$')"""
+
+
 def oracle(rules: tuple[Rule, ...] = RULES) -> str:
     """The same rows in DuckDB's SQL: every rule on every text, offsets from the pieces between the matches."""
     each = []
     for k, r in enumerate(rules):
+        if r.kind == "pem":
+            each.append(key_sql(k))
+            continue
         pattern = "'" + r.pattern.replace("'", "''") + "'"
         body = "m" if not r.group else f"regexp_extract(m, {pattern}, {r.group})"
         each.append(f"""SELECT row, {k} AS rank, '{r.kind}' AS kind, "start", "start" + length(m) AS "end" FROM (
