@@ -2,11 +2,11 @@
 
 Nested quote levels (``>`` at the start of lines, also ``> >`` and ``>>``) are
 parsed into passages.  The normalised text (lower-cased words) of a passage and
-of each of its sentences is hashed, and what a message quotes is joined to the
-latest earlier message of the conversation that wrote the same itself.  The
-quoted passage links to the message that has most of its words, if that is half
-of them or more, so a quotation may leave sentences out or run over several
-paragraphs' ends; a part of one sentence links nothing.  What was replied to is
+of each of its sentences is hashed.  A quoted passage links to the latest
+earlier message of the conversation that wrote the whole passage itself; if none
+did, to the one that wrote sentences with most of its words, the latest of
+equals, if that is half of them or more.  So a quotation may leave sentences out
+or run over several paragraphs' ends; a part of one sentence links nothing.  What was replied to is
 the message that the outermost linked quotation is of.  A quotation that nobody
 wrote links nothing, and a message without links answers the one before.
 Conversations are returned without quotes, in reply order: each message after
@@ -157,14 +157,41 @@ def sources(parts: DataFrame) -> DataFrame:
     return found.select("conv_id", "turn", "key", F.coalesce("near", "far").alias("source")).where("source is not null")
 
 
-def linked(rows: DataFrame) -> DataFrame:
+def partial(left: DataFrame, own: DataFrame, scratch: Scratch) -> DataFrame:
+    """conv_id, turn, quote, level, source of quotations that nobody wrote whole.
+
+    Messages that wrote the same of the quoted sentences are one class.  A quotation asks the classes that have any of
+    its rarest sentences, as many as half of its words can't do without, counts all its words in each, and finds the
+    latest earlier message of a class in one order of writers and askers.  So the rows are quotations times those
+    classes that could have half of their words, however many messages a class has.
+    """
+    quoted = ["conv_id", "turn", "quote"]
+    asked = left.select("conv_id", "key").distinct()
+    held = own.join(asked, ["conv_id", "key"], "left_semi").groupBy("conv_id", "turn").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    held = scratch.table(held.withColumn("class", F.xxhash64("keys")), "held")
+    classes = held.groupBy("conv_id", "class").agg(F.first("keys").alias("keys")).select("conv_id", "class", F.explode("keys").alias("key"))
+    written = scratch.table(left.join(classes.groupBy("conv_id", "key").agg(F.count("*").alias("held")), ["conv_id", "key"]), "written")
+    commoner = Window.partitionBy(*quoted).orderBy(F.desc("held"), "key").rowsBetween(Window.unboundedPreceding, 0)
+    rare = written.withColumn("rest", F.sum("words").over(commoner)).where("2 * rest >= whole")
+    met = rare.join(classes, ["conv_id", "key"]).select(*quoted, "class").distinct()
+    shares = met.join(written, quoted).join(classes, ["conv_id", "class", "key"]).groupBy(*quoted, "level", "whole", "class").agg(F.sum("words").alias("words")).where("2 * words >= whole")
+    shares = scratch.table(shares, "shares")
+    events = held.select("conv_id", "turn", F.col("class").alias("key"), F.lit(-1).alias("quote")).unionByName(shares.select("conv_id", "turn", F.col("class").alias("key"), "quote"))
+    found = shares.join(sources(events).withColumnRenamed("key", "class"), ["conv_id", "turn", "class"])
+    return found.groupBy(*quoted, "level").agg(F.max(F.struct("words", "source"))["source"].alias("source"))
+
+
+def linked(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Adds n_quotes, n_linked, reply_to (turn of the message answered; null at the beginning), before and index."""
     parts = rows.select("conv_id", "turn", F.explode("parts").alias("part")).select("conv_id", "turn", "part.*")
-    meets = parts.where("quote >= 0").join(sources(parts), ["conv_id", "turn", "key"])
-    shares = meets.groupBy("conv_id", "turn", "quote", "level", "whole", "source").agg(F.sum("words").alias("words"))
-    best = shares.groupBy("conv_id", "turn", "quote", "level", "whole").agg(F.max(F.struct("words", "source")).alias("best")).where("2 * best.words >= whole")
+    whole = parts.where("words = whole")  # all that a message wrote, and of a quotation itself
+    best = whole.where("quote >= 0").join(sources(whole), ["conv_id", "turn", "key"]).select("conv_id", "turn", "quote", "level", "source")
+    best = scratch.table(best, "whole")
+    left = scratch.table(parts.where("quote >= 0 and words < whole").join(best, ["conv_id", "turn", "quote"], "left_anti"), "left")
+    if not left.isEmpty():
+        best = best.unionByName(partial(left, parts.where("quote < 0").select("conv_id", "turn", "key"), scratch))
     # a quotation at level 1 is of what is answered; deeper ones are of what that answered
-    found = best.groupBy("conv_id", "turn").agg(F.min_by("best.source", F.struct("level", -F.col("best.source"))).alias("quoted_turn"), F.count("*").alias("n_linked"))
+    found = best.groupBy("conv_id", "turn").agg(F.min_by("source", F.struct("level", -F.col("source"))).alias("quoted_turn"), F.count("*").alias("n_linked"))
     counts = rows.withColumn("n_quotes", F.aggregate("parts", F.lit(-1), lambda a, p: F.greatest(a, p["quote"])).cast("long") + 1)
     out = in_stretches(counts.drop("parts"), ["conv_id"]).join(found, ["conv_id", "turn"], "left")
     return out.select("conv_id", "turn", "role", "body", "depth", "n_quotes", F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), F.coalesce("quoted_turn", "before").alias("reply_to"), "before", "index")
@@ -213,8 +240,8 @@ def conversations(messages: DataFrame) -> DataFrame:
     scratch = Scratch(messages.sparkSession, "chat")
     rows = parsed(messages)
     one = rows.groupBy("conv_id", "turn").agg(F.max_by(F.struct("role", "body", "depth", "parts"), F.struct("role", "body", "depth")).alias("m")).select("conv_id", "turn", "m.*")
-    rows = scratch.table(linked(scratch.table(one, "messages")), "linked")
-    scratch.drop("messages")
+    rows = scratch.table(linked(scratch.table(one, "messages"), scratch), "linked")
+    scratch.drop("messages", "whole", "left", "held", "written", "shares")
     out = reply_order(rows, scratch)
     return out.select("conv_id", "place", "turn", "role", F.col("body").alias("text"), "reply_to", "reply_depth", "depth", "n_quotes", "n_linked")
 
@@ -243,8 +270,8 @@ def oracle() -> str:
     cut AS (SELECT conv_id, turn, p, level, body, unnest(list_concat([body], string_split(regexp_replace(body, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)))) AS part FROM own),
     keyed AS (SELECT conv_id, turn, p, level, regexp_extract_all(lower(body), '[\p{L}\p{N}]+') AS whole, regexp_extract_all(lower(part), '[\p{L}\p{N}]+') AS w FROM cut),
     keys AS (SELECT DISTINCT conv_id, turn, p, level, len(whole) AS whole, array_to_string(w, ' ') AS key, len(w) AS n FROM keyed WHERE len(w) > 0),
-    meets AS (SELECT q.conv_id, q.turn, q.p, q.level, q.whole, q.key, q.n, max(s.turn) AS source FROM keys q JOIN keys s ON q.conv_id = s.conv_id AND q.key = s.key AND s.level = 0 AND s.turn < q.turn WHERE q.level > 0 GROUP BY ALL),
-    shares AS (SELECT conv_id, turn, p, level, whole, source, sum(n) AS n FROM meets GROUP BY ALL),
+    meets AS (SELECT DISTINCT q.conv_id, q.turn, q.p, q.level, q.whole, q.key, q.n, s.turn AS source FROM keys q JOIN keys s ON q.conv_id = s.conv_id AND q.key = s.key AND s.level = 0 AND s.turn < q.turn WHERE q.level > 0),
+    shares AS (SELECT conv_id, turn, p, level, whole, source, sum(n) + CASE WHEN max(n) = max(whole) THEN 1000000000 ELSE 0 END AS n FROM (SELECT *, max(n) OVER (PARTITION BY conv_id, turn, p, source) AS top FROM meets) WHERE top < whole OR n = whole GROUP BY ALL),
     best AS (SELECT * FROM shares QUALIFY row_number() OVER (PARTITION BY conv_id, turn, p ORDER BY n DESC, source DESC) = 1),
     linked AS (SELECT conv_id, turn, count(*) AS n_linked, arg_min(source, level * 1000000000000 - source) AS quoted FROM best WHERE 2 * n >= whole GROUP BY ALL),
     quotes AS (SELECT conv_id, turn, count(DISTINCT p) AS n_quotes FROM keys WHERE level > 0 GROUP BY ALL),

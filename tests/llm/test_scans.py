@@ -1,6 +1,7 @@
 """License scan, secret scan, fingerprints and quotation linking: SQL's own operators, against brute force."""
 
 import hashlib
+import random
 import re
 import unicodedata
 
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from storyloom.llm import chat, fingerprint, license_scan, secret_scan
+from storyloom.llm.common import Scratch
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -281,6 +283,63 @@ def test_conversations_like_sql(spark):
         assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want.fetchall()))
 
 
+SENTENCES = ["The first one is here.", "A second follows it.", "Third of all!", "Is this four?", "Five."]
+
+
+def repeating(seed):
+    """Messages that repeat few sentences, and quote some of them in any order, often of no message whole."""
+    rng = random.Random(seed)
+    some = lambda n: " ".join(rng.choice(SENTENCES) for _ in range(rng.randrange(1, n)))
+    return [(1 + t % 3, t, "u", "".join("> " + some(4) + "\nfine.\n" if rng.random() < 0.5 else "" for _ in range(2)) + some(5)) for t in range(60)]
+
+
+def plain_links(rows):
+    """What each message answers, from all earlier messages: the one that wrote the whole, else most words by sentences."""
+    words = lambda t: tuple(re.findall(r"[^\W_]+", t.lower()))
+    out = {}
+    for c, t, _, text in rows:
+        links = []
+        for p in chat.passages(text):
+            if not p.level:
+                continue
+            scores = []
+            for c2, t2, _, text2 in rows:
+                if c2 == c and t2 < t:
+                    wrote = {words(x) for o in chat.passages(text2) if not o.level for x in (o.text, *re.split(r"(?<=[.!?])\s+", o.text))}
+                    full = words(p.text) in wrote
+                    n = sum(len(k) for k in {words(x) for x in re.split(r"(?<=[.!?])\s+", p.text)} & wrote)
+                    if full or 2 * n >= len(words(p.text)):
+                        scores.append((full, 0 if full else n, t2))
+            if scores:
+                links.append((p.level, -max(scores)[2]))
+        before = [t2 for c2, t2, *_ in rows if c2 == c and t2 < t]
+        out[c, t] = -min(links)[1] if links else max(before, default=None)
+    return out
+
+
+def test_partial_quotations_like_brute_force(spark):
+    told = [(9, 0, "u", "The river is cold. Nobody swims there. Come back soon."), (9, 1, "a", "Nobody swims there. No."), (9, 2, "a", "Come back soon. Yes."), (9, 3, "a", "The river is cold. Hm."), (9, 4, "u", "> The river is cold. Nobody swims there.\nwell")]
+    assert plain_links(told)[9, 4] == 0
+    spread = [(8, 0, "u", "One two three. Four five six. Seven eight."), (8, 1, "a", "One two three. x"), (8, 2, "a", "Four five six. x"), (8, 3, "u", "> One two three. Four five six. Nine ten eleven.")]
+    for seed in range(3):
+        rows = told + spread + repeating(seed)
+        table = spark.createDataFrame(rows, KIND)
+        got = {(r["conv_id"], r["turn"]): r["reply_to"] for r in chat.conversations(table).collect()}
+        assert got == plain_links(rows)
+        c = duckdb.connect()
+        c.register("conversations", table.toArrow())
+        assert {(r[0], r[2]): r[5] for r in c.sql("SELECT conv_id, place, turn, role, text, reply_to FROM (" + chat.oracle() + ")").fetchall()} == got
+
+
+def test_a_sentence_that_very_many_wrote_is_one_class(spark):
+    rows = [(1, t, "u", "Yes of course. Sure." if t % 2 else "> Yes of course. Not this.\nSure.") for t in range(2000)]
+    parts = chat.parsed(spark.createDataFrame(rows, KIND)).select("conv_id", "turn", F.explode("parts").alias("part")).select("conv_id", "turn", "part.*")
+    scratch = Scratch(spark, "test")
+    got = chat.partial(parts.where("quote >= 0 and words < whole"), parts.where("quote < 0").select("conv_id", "turn", "key"), scratch).collect()
+    assert {r["turn"]: r["source"] for r in got} == {t: t - 1 for t in range(2, 2000, 2)}
+    assert spark.read.parquet(scratch.path("shares")).count() == 1000  # each with the one class of writers
+
+
 def test_a_quotation_by_very_many_makes_no_pairs(spark):
     rows = spark.range(10_000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").cast("int").alias("turn"), F.lit("u").alias("role"), F.lit("> ok\nok").alias("text"))
     parts = chat.parsed(rows).select("conv_id", "turn", F.explode("parts").alias("part")).select("conv_id", "turn", "part.*")
