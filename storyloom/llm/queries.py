@@ -11,6 +11,8 @@ from storyloom.llm.neardup import op3_near_duplicates
 from storyloom.llm.neardup import oracle as near_duplicate_oracle
 from storyloom.llm.packing import op8_best_two_fit
 from storyloom.llm.quality import op4_quality_rules
+from storyloom.llm.repair import op12_structure_repair
+from storyloom.llm.repair import oracle as repair_oracle
 from storyloom.llm.secret_scan import op7_secret_spans
 from storyloom.llm.secret_scan import oracle as secret_oracle
 from storyloom.llm.token_store import op5_token_store
@@ -28,6 +30,13 @@ QUERIES = {
     "op8_best_two_fit": op8_best_two_fit,
     "op9_quotation_links": op9_quotation_links,
     "op10_toxic_segments": op10_toxic_segments,
+    "op12_structure_repair": op12_structure_repair,
 }
 
-ORACLES: dict[str, str] = {"op1_license_scan": license_oracle(), "op3_near_duplicates": near_duplicate_oracle(), "op7_secret_spans": secret_oracle(), "op9_quotation_links": quotation_oracle()}
+ORACLES: dict[str, str] = {
+    "op1_license_scan": license_oracle(),
+    "op3_near_duplicates": near_duplicate_oracle(),
+    "op7_secret_spans": secret_oracle(),
+    "op9_quotation_links": quotation_oracle(),
+    "op12_structure_repair": repair_oracle(),
+}

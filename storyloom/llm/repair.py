@@ -28,7 +28,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.llm.common import Scratch, read, sliced
@@ -44,7 +44,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 LONGEST = (1 << 63) - 1
 
 #: Rows and characters of a chunk, about.
-CHUNK_ROWS, CHUNK_CHARS = 4096, 4 << 20
+CHUNK_ROWS, CHUNK_CHARS = 4096, 1 << 20
 
 
 class Item:
@@ -73,7 +73,7 @@ def arcs(item: Item, state: int) -> Iterator[tuple[str, int, int]]:
     first = item.role[:1]
     if first == "s" and state == 0:
         yield "K", KEEP + cut, 1
-    if first == ("" if state not in STATES else "uuau"[state]):
+    if first == "uuau"[state]:
         yield "K", KEEP + cut, NEXT[state]
     yield "R", REROLE + cut, NEXT[state]
 
@@ -195,8 +195,8 @@ def gaps(rows: DataFrame) -> DataFrame:
     kept = F.when(F.col("n") > 0, F.col("turn"))
     wide = lambda c: c.cast("decimal(38,0)")
     turns = rows.groupBy("conv_id", "turn").agg(F.sum("copies").alias("n"))
-    missing = F.least(wide(F.max(kept)) - wide(F.min(kept)) + 1 - F.count(kept), F.lit(LONGEST)).cast("long")
-    return turns.groupBy("conv_id").agg(F.coalesce(missing, F.lit(0)).cast("long").alias("gaps"))
+    missing = F.least(wide(F.max(kept)) - wide(F.min(kept)) + 1 - F.count(kept), wide(F.lit(LONGEST))).cast("long")
+    return turns.groupBy("conv_id").agg(F.when(F.count(kept) > 0, missing).otherwise(0).cast("long").alias("gaps"))
 
 
 NAME = ["conv_id", "turn", "role", "text"]
@@ -389,8 +389,9 @@ def oracle() -> str:
     keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
     fated AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_concat([4294967295], list_transform(string_split(key, ''), lambda ch: CAST(ascii(ch) AS BIGINT))), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 20 AS fate FROM keyed, tab),
     hurt AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE fate WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM fated WHERE fate <> 0),
-    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen FROM hurt),
-    d AS (SELECT *, role[1] AS initial, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'b' WHEN seen THEN 'd' WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 't' ELSE '' END AS fault FROM placed),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM hurt),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen FROM placed),
+    d AS (SELECT *, role[1] AS initial, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'b' WHEN seen THEN 'd' WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 't' ELSE '' END AS fault FROM ranked),
     rows AS (SELECT *, CASE WHEN fault = 't' THEN {CUT} ELSE 0 END AS cut, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM d),
     walk AS (
       SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'a': ''}} AS p0, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR)) AS p1, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR)) AS p2, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR)) AS p3 FROM (SELECT DISTINCT conv_id FROM rows)
