@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from storyloom.llm.alignment import op13_token_alignment
 from storyloom.llm.chat import op9_quotation_links
 from storyloom.llm.chat import oracle as quotation_oracle
 from storyloom.llm.fingerprint import op6_fingerprints
@@ -17,6 +18,8 @@ from storyloom.llm.secret_scan import op7_secret_spans
 from storyloom.llm.secret_scan import oracle as secret_oracle
 from storyloom.llm.token_store import op5_token_store
 from storyloom.llm.toxicity import op10_toxic_segments
+from storyloom.llm.warc import op11_web_archives
+from storyloom.llm.warc import oracle as archive_oracle
 from storyloom.llm.wfst import op2_sentencepiece
 
 QUERIES = {
@@ -30,7 +33,9 @@ QUERIES = {
     "op8_best_two_fit": op8_best_two_fit,
     "op9_quotation_links": op9_quotation_links,
     "op10_toxic_segments": op10_toxic_segments,
+    "op11_web_archives": op11_web_archives,
     "op12_structure_repair": op12_structure_repair,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {
@@ -38,5 +43,6 @@ ORACLES: dict[str, str] = {
     "op3_near_duplicates": near_duplicate_oracle(),
     "op7_secret_spans": secret_oracle(),
     "op9_quotation_links": quotation_oracle(),
+    "op11_web_archives": archive_oracle(),
     "op12_structure_repair": repair_oracle(),
 }
