@@ -27,6 +27,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -35,14 +36,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from storyloom.llm.common import Scratch, kept, read, sliced
+from storyloom.llm.common import Scratch, give_back, kept, read, sliced
 from storyloom.llm.tokens import byte_letters
 
 META = "▁"
 #: Where a text is cut into units: white space here is all that any of the tokenizers takes for it.
-CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Characters of a block, about.
-BLOCK = 8 << 20
+CUT = re.compile(r"(?<=\S)(?= \S)")
+#: Characters of a block, and units that are encoded at a time, about.
+BLOCK, SLICE = 4 << 20, 20_000
 #: Cuts as the expression of the byte-level family's own pre-tokenizer does; others are refused.
 FAMILY = [("ByteLevel", False, True)]
 
@@ -80,7 +81,7 @@ class ByteLevel:
             self.bytes[i] = bytes(letters[c] for c in piece) if all(c in letters for c in piece) else b""
 
     def encode(self, units: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch(units, add_special_tokens=False)]
+        return [e.ids for e in self.library.encode_batch_fast(units, add_special_tokens=False)]
 
 
 class Pieces:
@@ -116,25 +117,35 @@ class Aligner:
         self.a, self.b = ByteLevel(a), Pieces(b)
         self.length = [np.array([len(x) for x in t.bytes], dtype=np.int64) for t in (self.a, self.b)]
         self.said = [pa.array([str(i) for i in range(len(t.bytes))]) for t in (self.a, self.b)]
-        self.con = duckdb.connect(config={"threads": "1", "memory_limit": "512MB"})
+        self.con = duckdb.connect(config={"threads": "1", "memory_limit": "256MB"})
 
     def units(self, texts: list[str]) -> dict:
         """The alignment of each unit: figures, groups as text, and the links of all units in order as pairs of ids.
 
         ``whole`` says whether a unit's bytes are its tokens'; one that isn't has no tokens.
         """
-        raw = [t.encode() for t in texts]
-        ids = [t.encode(texts) for t in (self.a, self.b)]
-        whole = np.array([all(b"".join(map(t.bytes.__getitem__, own)) == r for t, own in zip((self.a, self.b), pair)) for r, *pair in zip(raw, *ids)], dtype=bool)
+        both = [([], [], []), ([], [], [])]
+        for at in range(0, len(texts), SLICE):
+            part = texts[at : at + SLICE]
+            raw = [t.encode() for t in part]
+            for t, (sizes, flats, good) in zip((self.a, self.b), both):
+                own = t.encode(part)
+                flat = np.array([*chain.from_iterable(own)], dtype=np.int64)
+                made = map(t.bytes.__getitem__, flat.tolist())
+                sizes.append(np.fromiter(map(len, own), dtype=np.int64, count=len(own)))
+                flats.append(flat)
+                same = b"".join(made) == b"".join(raw) and np.array_equal(sums(self.length[t is self.b][flat], sizes[-1]), np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)))
+                good.append(np.ones(len(own), bool) if same else np.array([b"".join(map(t.bytes.__getitem__, x)) == r for x, r in zip(own, raw)], dtype=bool))
+        none = np.zeros(0, np.int64)
+        whole = np.concatenate([none.astype(bool), *both[0][2]]) & np.concatenate([none.astype(bool), *both[1][2]])
         counts, tables = [], []
-        for own, length in zip(ids, self.length):
-            own = [x if ok else [] for x, ok in zip(own, whole.tolist())]
-            n = np.array([len(x) for x in own], dtype=np.int64)
-            flat = np.fromiter((i for x in own for i in x), dtype=np.int64, count=int(n.sum()))
+        for (sizes, flats, _), length in zip(both, self.length):
+            n, flat = np.concatenate([none, *sizes]), np.concatenate([none, *flats])
+            flat, n = flat[np.repeat(whole, n)], np.where(whole, n, 0)
             # all units lie one after another on one line of bytes
             end = np.cumsum(length[flat])
             counts.append(n)
-            tables.append(pa.table({"unit": np.repeat(np.arange(len(own)), n), "s": end - length[flat], "e": end, "id": flat.astype(np.int32)}))
+            tables.append(pa.table({"unit": np.repeat(np.arange(len(n)), n), "s": end - length[flat], "e": end, "id": flat.astype(np.int32)}))
         for name, table in zip("ab", tables):
             self.con.register(name, table)
         links = self.con.sql(ALIGN).fetch_arrow_table()
@@ -176,9 +187,7 @@ def block_of(number: int, doc_ids: list, texts: list, aligner: Aligner) -> pa.Re
     index: dict[str, int] = {}
     runs: list[list[int]] = []
     for text in texts:
-        parts = CUT.split(" " + text) if text else []
-        parts[1:] = [" " + p for p in parts[1:]]
-        runs.append([index.setdefault(p, len(index)) for p in parts])
+        runs.append([index.setdefault(unit, len(index)) for unit in CUT.split(" " + text)] if text else [])
     got = aligner.units(list(index))
     whole = got["whole"].tolist()
     runs = [x if all(map(whole.__getitem__, x)) else [] for x in runs]
@@ -219,6 +228,7 @@ def blocks_of(docs: DataFrame, a: str, b: str, size: int) -> DataFrame:
                 if chars >= size:
                     yield block_of(number, names, texts, aligner)
                     number, names, texts, chars = number + 1, [], [], 0
+                    give_back()
         if names:
             yield block_of(number, names, texts, aligner)
 
