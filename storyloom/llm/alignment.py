@@ -48,13 +48,16 @@ BLOCK, SLICE = 4 << 20, 20_000
 FAMILY = [("ByteLevel", False, True)]
 
 ALIGN = """
-    SELECT *, CAST(sum(CASE WHEN of_a AND of_b THEN 1 ELSE 0 END) OVER (ORDER BY pos) - 1 AS BIGINT) AS grp FROM (
+    SELECT *, CAST(sum(CASE WHEN of_a AND of_b THEN 1 ELSE 0 END) OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING) - 1 AS BIGINT) AS grp FROM (
       SELECT a.unit, a.s AS pos, a.id AS a, b.id AS b, true AS of_a, a.s = b.s AS of_b FROM a ASOF JOIN b ON a.s >= b.s
       UNION ALL
       SELECT b.unit, b.s AS pos, a.id AS a, b.id AS b, false AS of_a, true AS of_b FROM b JOIN a ON a.s < b.s AND b.s < a.e
     ) ORDER BY pos"""
 
 
+FIGURES = ("n_a", "n_b", "n_groups", "n_links")
+
+
 def place(name: str) -> str:
     return name if os.sep in name else public_tokenizers.path(name)
 
@@ -64,6 +67,7 @@ class ByteLevel:
 
     def __init__(self, name: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import tiktoken
         from tokenizers import Tokenizer
 
         with open(place(name), encoding="utf-8") as f:
@@ -72,16 +76,23 @@ class ByteLevel:
         steps = [(p.get("type"), p.get("add_prefix_space", False), p.get("use_regex", True)) for p in pre.get("pretokenizers", [pre])]
         if spec["model"].get("type") != "BPE" or spec.get("normalizer") is not None or steps != FAMILY:
             raise ValueError("only byte-level BPE without a normaliser")
-        self.library = Tokenizer.from_file(place(name))
-        self.library.encode_special_tokens = True
+        vocab, merges = spec["model"]["vocab"], [m.split(" ") if isinstance(m, str) else m for m in spec["model"].get("merges", [])]
         letters = {chr(c): b for b, c in byte_letters().items()}
-        vocab = self.library.get_vocab(with_added_tokens=False)
         self.bytes = [b""] * (max(vocab.values(), default=-1) + 1)
         for piece, i in vocab.items():
             self.bytes[i] = bytes(letters[c] for c in piece) if all(c in letters for c in piece) else b""
+        ordered = [vocab.get(a + b) for a, b in merges]
+        if ordered == list(range(256, 256 + len(merges))) and all(len(self.bytes[i]) == 1 for i in range(256)):
+            # ids are the ranks of the merges, so the faster library gives the same ones
+            ranks = {self.bytes[i]: i for i in range(256 + len(merges))}
+            self.one = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        else:
+            library = Tokenizer.from_file(place(name))
+            library.encode_special_tokens = True
+            self.one = lambda unit: library.encode(unit, add_special_tokens=False).ids
 
     def encode(self, units: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(units, add_special_tokens=False)]
+        return [*map(self.one, units)]
 
 
 class Pieces:
@@ -124,25 +135,23 @@ class Aligner:
 
         ``whole`` says whether a unit's bytes are its tokens'; one that isn't has no tokens.
         """
-        both = [([], [], []), ([], [], [])]
-        for at in range(0, len(texts), SLICE):
-            part = texts[at : at + SLICE]
-            raw = [t.encode() for t in part]
-            for t, (sizes, flats, good) in zip((self.a, self.b), both):
-                own = t.encode(part)
-                flat = np.array([*chain.from_iterable(own)], dtype=np.int64)
-                made = map(t.bytes.__getitem__, flat.tolist())
-                sizes.append(np.fromiter(map(len, own), dtype=np.int64, count=len(own)))
-                flats.append(flat)
-                same = b"".join(made) == b"".join(raw) and np.array_equal(sums(self.length[t is self.b][flat], sizes[-1]), np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)))
-                good.append(np.ones(len(own), bool) if same else np.array([b"".join(map(t.bytes.__getitem__, x)) == r for x, r in zip(own, raw)], dtype=bool))
-        none = np.zeros(0, np.int64)
-        whole = np.concatenate([none.astype(bool), *both[0][2]]) & np.concatenate([none.astype(bool), *both[1][2]])
+        parts = [self.aligned(texts[at : at + SLICE]) for at in range(0, len(texts), SLICE)] or [self.aligned([])]
+        out = {c: np.concatenate([p[c] for p in parts]) for c in ("whole", *FIGURES, "a", "b")}
+        return out | {"said": [x for p in parts for x in p["said"]]}
+
+    def aligned(self, texts: list[str]) -> dict:
+        """The same for a slice of units, which lie one after another on one line of bytes."""
+        raw, ids, whole = [t.encode() for t in texts], [], np.ones(len(texts), bool)
+        sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        for t, length in zip((self.a, self.b), self.length):
+            own = t.encode(texts)
+            n, flat = np.fromiter(map(len, own), dtype=np.int64, count=len(own)), np.array([*chain.from_iterable(own)], dtype=np.int64)
+            if b"".join(map(t.bytes.__getitem__, flat.tolist())) != b"".join(raw) or not np.array_equal(sums(length[flat], n), sizes):
+                whole &= np.array([b"".join(map(t.bytes.__getitem__, x)) == r for x, r in zip(own, raw)], dtype=bool)
+            ids.append((n, flat))
         counts, tables = [], []
-        for (sizes, flats, _), length in zip(both, self.length):
-            n, flat = np.concatenate([none, *sizes]), np.concatenate([none, *flats])
+        for (n, flat), length in zip(ids, self.length):
             flat, n = flat[np.repeat(whole, n)], np.where(whole, n, 0)
-            # all units lie one after another on one line of bytes
             end = np.cumsum(length[flat])
             counts.append(n)
             tables.append(pa.table({"unit": np.repeat(np.arange(len(n)), n), "s": end - length[flat], "e": end, "id": flat.astype(np.int32)}))
@@ -164,7 +173,6 @@ class Aligner:
         return {"whole": whole, "n_a": counts[0], "n_b": counts[1], "n_groups": n_groups, "n_links": np.bincount(unit, minlength=len(texts)), "said": said.to_pylist(), "a": links["a"].to_numpy(), "b": links["b"].to_numpy()}
 
 
-FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 BLOCK_KIND = pa.schema([
     ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sha", pa.list_(pa.string())), *((c, pa.list_(pa.int64())) for c in FIGURES), ("n_units", pa.list_(pa.int32())),
     ("units", pa.binary()), ("links", pa.binary()), ("unit_links", pa.binary()), ("pairs", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())]))),
