@@ -1,30 +1,112 @@
-"""Which terms of a dictionary stand in which texts."""
+"""Which terms of a dictionary stand in which texts, in one pass over each text."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from storyloom.tables import written
+
+#: Characters of a dictionary whose automaton each worker holds, at most: some 60 bytes a character.
+BOUND = 2_000_000
+#: Characters of a gram, and terms of a hot gram that are looked for together, about.
+GRAM, PART = 3, 64
+#: Grams that are sent to all workers, so that texts name these only, at most.
+GRAMS = 500_000
+
+#: The automaton that a worker used last, by the name of its dictionary.
+_built: dict[str, object] = {}
+
+
+def automaton(name: str, terms: list[str]):
+    """Finds all terms of a list in a text in one pass; made once in a worker."""
+    if name not in _built:
+        import ahocorasick
+
+        machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i, term in enumerate(terms):
+            machine.add_word(term, i)
+        machine.make_automaton()
+        _built.clear()
+        _built[name] = machine
+    return _built[name]
+
+
+def by_automaton(low: DataFrame, key: str, terms: list[str]) -> DataFrame:
+    """key, term of the lower-cased texts ``__low``, by an automaton of the terms."""
+    import pyarrow as pa
+
+    shared, name = low.sparkSession.sparkContext.broadcast(terms), uuid.uuid4().hex
 
-#: Terms of a dictionary that is broadcast, at most; a larger one meets the texts on their letters.
-BOUND = 20_000
+    def run(batches):
+        machine, names = automaton(name, shared.value), pa.array(shared.value, pa.string())
+        for batch in batches:
+            rows, found = [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                here = {t for _, t in machine.iter(text)}
+                rows += [i] * len(here)
+                found += here
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), names.take(pa.array(found, pa.int64()))], names=[key, "term"])
+
+    return low.select(key, "__low").mapInArrow(run, StructType([low.schema[key], StructField("term", StringType())]))
+
+
+def grams(low: DataFrame, key: str, sizes: list[int], only: list[str] | None = None) -> DataFrame:
+    """key, gram: the different grams of each text of the given sizes, or those of them in ``only``."""
+    import pyarrow as pa
+
+    shared = low.sparkSession.sparkContext.broadcast(frozenset(only)) if only is not None else None
+
+    def run(batches):
+        for batch in batches:
+            rows, found = [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                here = {text[k : k + n] for n in sizes for k in range(len(text) - n + 1)}
+                here = here & shared.value if shared else here
+                rows += [i] * len(here)
+                found += here
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(found, pa.string())], names=[key, "gram"])
+
+    return low.select(key, "__low").mapInArrow(run, StructType([low.schema[key], StructField("gram", StringType())]))
+
+
+def by_rarest_gram(low: DataFrame, key: str, terms: DataFrame, part: int = PART, most: int = GRAMS) -> DataFrame:
+    """The same for a dictionary that no worker could hold.
+
+    Each term is looked for in the texts that have its rarest gram, by the numbers of texts that have each; a term
+    shorter than a gram is one.  A gram that very many terms chose is split into parts, each a key of the join.
+    """
+    cuts = F.when(F.length("term") < GRAM, F.array("term")).otherwise(F.transform(F.sequence(F.lit(1), F.length("term") - GRAM + 1), lambda i: F.substring("term", i, F.lit(GRAM))))
+    asked = written(terms.select("term", F.explode(F.array_distinct(cuts)).alias("gram")))
+    sizes = [r["n"] for r in asked.select(F.length("gram").alias("n")).distinct().collect()]  # three at most
+    counts = grams(low, key, sizes).groupBy("gram").agg(F.count("*").alias("texts"))
+    held = asked.join(counts, "gram", "left")
+    # a term with a gram that no text has is in none
+    rarest = held.groupBy("term").agg(F.min_by("gram", F.struct(F.coalesce("texts", F.lit(0)), F.col("gram"))).alias("gram"), (F.count("*") == F.count("texts")).alias("all")).where("all")
+    chosen = written(rarest.select("term", "gram"))
+    parts = written(chosen.groupBy("gram").agg(F.ceil(F.count("*") / part).cast("int").alias("parts")))
+    few = parts.select("gram").limit(most + 1).collect() if parts.limit(most + 1).count() <= most else None
+    named = grams(low, key, sizes, [r["gram"] for r in few] if few is not None else None)
+    spread = named.join(parts, "gram").select(key, "gram", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    lists = chosen.join(parts, "gram").withColumn("part", F.pmod(F.xxhash64("term"), F.col("parts")).cast("int")).groupBy("gram", "part").agg(F.collect_list("term").alias("terms"))
+    met = spread.join(lists, ["gram", "part"]).select(F.col(key).alias("__key"), F.explode("terms").alias("term"))
+    return low.join(met, F.col(key).eqNullSafe(F.col("__key"))).where(F.contains("__low", F.col("term"))).select(key, "term")
 
 
 def mentions(texts: DataFrame, key: str, text: str, terms: DataFrame, bound: int = BOUND) -> DataFrame:
     """key, term: the lower-cased ``terms`` that stand anywhere in a text, case aside.
 
-    Dictionaries are counted first.  One of ``bound`` terms or fewer is broadcast.  Of a larger one, each term meets
-    the texts that have its first three letters in an equi-join, and what meets is compared; the result is the same.
+    A dictionary of ``bound`` characters or fewer, which is counted first, is an automaton that every worker holds, so
+    that a text is read once however many terms there are.  A larger one is an index by each term's rarest gram; the
+    result is the same.  Null texts are empty, null and empty terms stand nowhere.
     """
     terms = terms.select(F.lower("term").alias("term")).where("term <> ''").distinct()
     low = texts.select(key, F.lower(F.coalesce(text, F.lit(""))).alias("__low"))
-    if terms.limit(bound + 1).count() <= bound:
-        return low.join(F.broadcast(terms), F.contains("__low", F.col("term"))).select(key, "term").distinct()
-    places = F.sequence(F.lit(1), F.greatest(F.length("__low"), F.lit(1)))
-    met = None
-    for n in (1, 2, 3):
-        of_size = terms.where(F.length("term") >= 3 if n == 3 else F.length("term") == n).withColumn("gram", F.left("term", F.lit(n)))
-        grams = low.select(key, F.explode(F.array_distinct(F.transform(places, lambda i: F.substring("__low", i, F.lit(n))))).alias("gram"))
-        part = grams.join(of_size, "gram").select(key, "term")
-        met = part if met is None else met.unionByName(part)
-    met = met.distinct().withColumnRenamed(key, "__key")
-    return low.join(met, F.col(key).eqNullSafe(F.col("__key"))).where(F.contains("__low", F.col("term"))).select(key, "term").distinct()
+    size = terms.agg(F.coalesce(F.sum(F.length("term").cast(LongType())), F.lit(0)).alias("n")).head()["n"]
+    if not size:
+        return low.select(key, F.lit("").alias("term")).limit(0)
+    found = by_automaton(low, key, [r["term"] for r in terms.collect()]) if size <= bound else by_rarest_gram(low, key, terms)
+    return found.distinct()

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storyloom.functions import fixed, stats
 from storyloom.functions import text as T
 from storyloom.operators import topics
 from storyloom.operators.phrases import mentions
-from storyloom.tables import cut
+from storyloom.tables import written
 
 
 #: Terms of an idf table that is broadcast, at most: some 50 MB.
@@ -19,12 +19,16 @@ VOCABULARY = 1_000_000
 def weights(docs: DataFrame, key: str, text: str, idf: DataFrame | None = None, stop: list[str] = fixed.STOP_WORDS["retrieval"]) -> tuple[DataFrame, DataFrame]:
     """Postings (key, term, w = tf * idf) and the idf table; terms without an idf are left out.
 
-    A table of ``VOCABULARY`` terms or fewer is broadcast, so that a document's postings stay where it lies and its
+    Texts that an idf table is made of are cut into terms once, and kept as rows of counts in the shared folder.  A
+    table of ``VOCABULARY`` terms or fewer is broadcast, so that a document's postings stay where it lies and its
     norm is added up there; a larger one is joined by term.
     """
-    counts = topics.term_counts(docs, key, text, stop)
+    rows = docs.select(key, T.frequencies(T.terms(F.col(text), stop)).alias("terms"))
     if idf is None:
-        idf = cut(topics.idf_table(counts, topics.corpus_size(docs), None))
+        rows = written(rows)
+    counts = rows.select(key, F.explode("terms").alias("t")).select(key, "t.term", "t.tf")
+    if idf is None:
+        idf = written(topics.idf_table(counts, topics.corpus_size(rows), None))
     small = idf.limit(VOCABULARY + 1).count() <= VOCABULARY
     table = idf.select("term", "idf")
     return counts.join(F.broadcast(table) if small else table, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w")), idf
@@ -46,6 +50,47 @@ def cosine(queries: DataFrame, docs: DataFrame, q: str, d: str) -> DataFrame:
     return both.select(q, d, F.when((F.col("nq") > 0) & (F.col("nd") > 0), F.col("dot") / (F.col("nq") * F.col("nd"))).otherwise(0.0).alias("sim"))
 
 
+#: What rounding to four places may lift a document by, and then some.
+ROUNDING = 1e-4
+
+
+def top_cosine(queries: DataFrame, docs: DataFrame, q: str, d: str, k: int = 5, least: float = 0.01) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``matches(cosine(...), None, ...)`` without scoring all documents that share a term, and the postings read for it.
+
+    A posting's impact is its share of the document's norm.  The documents of greatest impact for a query's weightiest
+    terms are scored first, and the ``k``-th of them is a bound that the result can't be below.  Terms whose greatest
+    impacts together stay below it can't bring a document in by themselves: only the postings of the other, essential
+    terms are read, and the few documents that could still pass the bound get the rest of their terms.  Exact, and
+    bounds leave room for ties after rounding.
+
+    The second table has one row: postings (of the queries' terms, as often as queries have them) and read, of the essential ones.
+    """
+    nq, nd = norms(queries, q).where("norm > 0"), norms(docs, d).where("norm > 0")
+    y = written(queries.join(nq, q).select(q, "term", F.abs(F.col("w") / F.col("norm")).alias("y")).where("y > 0"))
+    asked = y.select("term").distinct()
+    x = docs.join(asked, "term").join(nd, d).select("term", d, F.abs(F.col("w") / F.col("norm")).alias("x"))
+    # in order of terms and impacts, so that the parts of a term that are read lie together
+    x = written(x.repartitionByRange("term", F.desc("x")).sortWithinPartitions("term", F.desc("x")))
+    tops = x.groupBy("term").agg(F.max("x").alias("top"), F.count("*").alias("df"))
+    by_bound = Window.partitionBy(q).orderBy("bound", "term")  # a query's own terms
+    terms = y.join(tops, "term").withColumn("bound", F.col("y") * F.col("top"))
+    terms = terms.withColumns({"so_far": F.sum("bound").over(by_bound), "place": F.row_number().over(Window.partitionBy(q).orderBy(F.desc("bound"), "term"))})
+    terms = written(terms)
+    heads = stats.top_per_group(x, ["term"], [F.desc("x"), F.col(d)], k, "head")
+    first = terms.where("place <= 3").select(q, "term").join(heads.select("term", d), "term").select(q, d).distinct()
+    sure = first.join(x, d).join(y, [q, "term"]).groupBy(q, d).agg(F.sum(F.col("x") * F.col("y")).alias("s"))
+    floor = stats.top_per_group(sure, [q], [F.desc("s"), F.col(d)], k).groupBy(q).agg(F.min("s").alias("s"), F.count("*").alias("n")).where(F.col("n") >= k)
+    marked = terms.join(floor.select(q, F.col("s").alias("floor")), q, "left").withColumn("floor", F.greatest(F.coalesce(F.col("floor"), F.lit(0.0)) - ROUNDING, F.lit(least - ROUNDING)))
+    marked = written(marked.withColumn("essential", F.col("so_far") >= F.col("floor")))
+    rest = marked.where("not essential").groupBy(q).agg(F.max("so_far").alias("rest"))
+    part = marked.where("essential").select(q, "term", "y", "floor").join(x, "term").groupBy(q, d).agg(F.sum(F.col("x") * F.col("y")).alias("s"), F.first("floor").alias("floor"))
+    open_ = part.join(rest, q, "left").where(F.col("s") + F.coalesce("rest", F.lit(0.0)) >= F.col("floor")).select(q, d, "s")
+    more = open_.select(q, d).join(marked.where("not essential").select(q, "term", "y"), q).join(x, ["term", d]).select(q, d, (F.col("x") * F.col("y")).alias("s"))
+    sims = open_.unionByName(more).groupBy(q, d).agg(F.sum("s").alias("sim"))
+    reads = marked.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("postings"), F.coalesce(F.sum(F.when(F.col("essential"), F.col("df"))), F.lit(0)).alias("read"))
+    return matches(sims, None, q, d, k, least), reads
+
+
 def expanded(queries: DataFrame, q: str, text: str, acronyms: DataFrame, objects: DataFrame) -> DataFrame:
     """Queries with the meanings of the acronyms in them, each time that one occurs, and with names and labels of the objects they mention."""
     capitals = F.regexp_extract_all(text, F.lit("[A-Z]{2,5}"), F.lit(0))

@@ -440,7 +440,7 @@ def top_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, asked = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     postings, idf = retrieval.weights(docs, "doc_id", "text")
     questions, _ = retrieval.weights(asked, "item_id", "text", idf)
-    return retrieval.matches(retrieval.cosine(questions, postings, "item_id", "doc_id"), None, "item_id", "doc_id")
+    return retrieval.top_cosine(questions, postings, "item_id", "doc_id")[0]
 
 
 @query(f"WITH {COSINE} SELECT item_id, doc_id, sim, rank FROM top")
@@ -513,6 +513,35 @@ def gap_terms(spark, sf_dir):
     return retrieval.gap_terms(best.where("best < 0.5"), asked, "item_id", "text")
 
 
+# --- objects ----------------------------------------------------------------
+
+
+NAMED = f"""w AS (SELECT doc_id, source, text, regexp_extract_all(lower(text), '[a-zA-Z]{{2,}}') AS w FROM documents),
+    o AS (SELECT DISTINCT w[1] || '_' || w[2] || '__c' AS api_name, w[1] || ' ' || w[2] AS label, w[1] || w[2] AS glued FROM w WHERE len(w) >= 2),
+    said AS (SELECT doc_id, source, api_name FROM w JOIN o ON length(label) >= 8 AND contains(lower(text), label)
+      UNION SELECT doc_id, source, api_name FROM (SELECT DISTINCT doc_id, source, unnest(w) AS word FROM w) JOIN o ON word = glued WHERE length(glued) >= 5 AND glued NOT IN ({quoted(fixed.COMMON_OBJECT_WORDS)}))"""
+
+
+def named_objects(docs: DataFrame) -> DataFrame:
+    """An object for each pair of words that some document begins with."""
+    w = T.words(F.lower("text"))
+    pairs = docs.select(F.try_element_at(w, F.lit(1)).alias("a"), F.try_element_at(w, F.lit(2)).alias("b")).where("a is not null and b is not null").distinct()
+    rows = pairs.select(F.concat("a", F.lit("_"), "b", F.lit("__c")).alias("api_name"), F.concat_ws(" ", "a", "b").alias("label"))
+    return rows.withColumn("search_variants", T.search_variants(F.col("api_name"), F.col("label")))
+
+
+@query(f"WITH {NAMED} SELECT doc_id, source, api_name FROM said")
+def object_mentions(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return topics.object_mentions(docs, named_objects(docs), "doc_id", "text", "source")
+
+
+@query(f"WITH {NAMED} SELECT api_name, label, count(DISTINCT doc_id) AS stories, count(DISTINCT source) AS sprints FROM o LEFT JOIN said USING (api_name) GROUP BY ALL")
+def object_references(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return topics.object_references(docs, named_objects(docs), "doc_id", "text", "source")
+
+
 # --- conversations ----------------------------------------------------------
 
 

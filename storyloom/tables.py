@@ -3,22 +3,39 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` from a checkpoint in the session's shared folder; a temporary one only on one machine that names none."""
+def shared(df: DataFrame):
+    """The Spark context, whose checkpoint folder is set; a temporary one only on one machine that names none."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
         if not named and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="storyloom-"))
+    return context
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` from a checkpoint in the session's shared folder."""
+    shared(df)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, of which later steps read only the columns they need; it goes with the session."""
+    context = shared(df)
+    path = f"{context.getCheckpointDir().rstrip('/')}/{uuid.uuid4().hex}.parquet"
+    df.write.option("compression", "zstd").parquet(path)
+    there = context._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(there)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def running(rows: DataFrame, order: list[str | Column], value: Column, name: str) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over all rows up to each one in ``order``, which should leave no ties.
 

@@ -1,6 +1,9 @@
 """Operators on small rows."""
 
 import json
+import random
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -248,11 +251,59 @@ def test_object_story_index(spark, tmp_path):
 
 
 def test_mentions_with_small_and_large_dictionaries(spark):
-    texts = spark.createDataFrame([(1, "The ABC of Network claims"), (2, None), (3, "a"), (4, "networks!")], "k int, text string")
-    terms = spark.createDataFrame([("network",), ("BC o",), ("a",), ("ab",), ("s!",), ("",), (None,), ("zebra",), ("claims",)], "term string")
-    want = {(1, "network"), (1, "bc o"), (1, "a"), (1, "ab"), (1, "claims"), (3, "a"), (4, "network"), (4, "s!")}
+    texts = spark.createDataFrame([(1, "The ABC of Network claims"), (2, None), (3, "a"), (4, "networks!"), (None, "claims"), (4, "again a")], "k int, text string")
+    terms = spark.createDataFrame([("network",), ("BC o",), ("a",), ("ab",), ("s!",), ("",), (None,), ("zebra",), ("claims",), ("Claims",)], "term string")
+    want = {(1, "network"), (1, "bc o"), (1, "a"), (1, "ab"), (1, "claims"), (3, "a"), (4, "network"), (4, "s!"), (None, "claims"), (None, "a"), (4, "a")}
     for bound in (100, 0):
-        assert {tuple(r) for r in phrases.mentions(texts, "k", "text", terms, bound).collect()} == want
+        got = [tuple(r) for r in phrases.mentions(texts, "k", "text", terms, bound).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert phrases.mentions(texts, "k", "text", terms.limit(0)).count() == 0 and phrases.mentions(texts.limit(0), "k", "text", terms, 0).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mentions_like_brute_force(spark, seed):
+    rng = random.Random(seed)
+    some = lambda n: "".join(rng.choice("abcé 🙂") for _ in range(n))
+    rows = [(i, some(rng.randrange(60))) for i in range(80)] + [(99, "abc" * 4000)]
+    words = {some(rng.randrange(1, 7)) for _ in range(300)} | {"abc" + some(3) for _ in range(200)}
+    want = sorted((k, w) for k, t in rows for w in words if w in t)
+    texts, terms = spark.createDataFrame(rows, "k long, text string"), spark.createDataFrame([(w,) for w in words], "term string")
+    low = texts.select("k", F.col("text").alias("__low"))
+    assert sorted(map(tuple, phrases.mentions(texts, "k", "text", terms).collect())) == want
+    # hot grams in many parts, and texts that name all of their grams
+    for part, most in ((3, 10_000), (1000, 0)):
+        assert sorted(set(map(tuple, phrases.by_rarest_gram(low, "k", terms, part, most).collect()))) == want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_top_cosine_like_all_pairs(spark, seed):
+    rng = random.Random(seed)
+    # few words, so that there are many ties, and a word that every document has
+    words = [f"word{chr(97 + i)}" for i in range(rng.choice([6, 20]))]
+    docs = [(i, "common " + " ".join(rng.choices(words, k=rng.randrange(9)))) for i in range(200)] + [(900, None), (901, "")]
+    asked = [(i, " ".join(rng.choices(words + ["common", "unheard"], k=rng.randrange(1, 7)))) for i in range(25)] + [(90, ""), (91, None), (92, "common")]
+    d, a = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(asked, "item_id long, text string")
+    postings, idf = retrieval.weights(d, "doc_id", "text")
+    questions, _ = retrieval.weights(a, "item_id", "text", idf)
+    for k in (1, 5):
+        want = retrieval.matches(retrieval.cosine(questions, postings, "item_id", "doc_id"), None, "item_id", "doc_id", k)
+        got, reads = retrieval.top_cosine(questions, postings, "item_id", "doc_id", k)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.columns == want.columns
+        r = reads.head()
+        assert 0 < r["read"] <= r["postings"]
+    none, _ = retrieval.top_cosine(questions.limit(0), postings, "item_id", "doc_id")
+    assert none.count() == 0
+
+
+def test_top_cosine_reads_few_postings(spark):
+    docs = [(i, f"alpha beta gamma delta number{chr(97 + i % 26)}{chr(97 + i // 26)} " + "filler " * (i % 7)) for i in range(400)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    a = spark.createDataFrame([(0, "alpha beta filler numberab"), (1, "gamma filler numberbc numberca")], "item_id long, text string")
+    postings, idf = retrieval.weights(d, "doc_id", "text")
+    questions, _ = retrieval.weights(a, "item_id", "text", idf)
+    got, reads = retrieval.top_cosine(questions, postings, "item_id", "doc_id", 1)
+    r = reads.head()
+    assert r["read"] < r["postings"] / 10 and {(x["item_id"], x["rank"]) for x in got.collect()} == {(0, 1), (1, 1)}
 
 
 def test_quantiles_by_group(spark):
