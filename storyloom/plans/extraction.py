@@ -12,9 +12,10 @@ from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from storyloom.functions import text as T
 from storyloom.operators.dedup import keep_first, keep_last
+from storyloom.plans.parts import Ledger, exists, join_files, json_lines, text_parts
 from storyloom.schemas import INDEXES, index_schema
 from storyloom.sources.responses import salvaged, unfenced
-from storyloom.tables import cut, running
+from storyloom.tables import running, shared
 
 # What the indexes' schemas require, their enumerations and least sizes.
 REQUIRED = {
@@ -78,6 +79,8 @@ class Extractor(Protocol):
 
     def submit(self, requests: DataFrame) -> str: ...
 
+    def resume(self, batch: str) -> str: ...
+
     def poll(self, batch: str) -> str: ...
 
     def collect(self, batch: str) -> DataFrame: ...
@@ -96,6 +99,9 @@ class StubExtractor:
         self.batches[batch] = requests
         return batch
 
+    def resume(self, batch: str) -> str:
+        return batch
+
     def poll(self, batch: str) -> str:
         return "completed" if batch in self.batches else "failed"
 
@@ -117,6 +123,9 @@ class FileExtractor:
         write_prompts(requests, self.prompts)
         return batch_id(requests)
 
+    def resume(self, batch: str) -> str:
+        return batch
+
     def poll(self, batch: str) -> str:
         import os
 
@@ -133,55 +142,76 @@ class FileExtractor:
 class CallExtractor:
     """Sends each request through ``call`` (prompt, settings -> text) from the executors, with retries.
 
-    Answers are written as they come by the job's commit; requests that an earlier
-    run has answered in ``done`` aren't sent again.  ``call`` must be picklable.
+    Every answer is a file in ``folder``, so neither a task that runs again nor another process that goes on with the
+    batch asks again; without a folder answers stay in the session's.  Requests that an earlier run has answered in
+    ``done`` aren't sent either.  ``call`` must be picklable.
     """
 
     name = "call"
 
-    def __init__(self, call, done: DataFrame | None = None, config: ExtractionConfig | None = None, pause: float = 2.0):
-        self.call, self.done, self.config, self.pause, self.batches = call, done, config or ExtractionConfig(), pause, {}
+    def __init__(self, call, done: DataFrame | None = None, config: ExtractionConfig | None = None, pause: float = 2.0, folder: str | None = None):
+        self.call, self.done, self.config, self.pause, self.folder = call, done, config or ExtractionConfig(), pause, folder
 
     def submit(self, requests: DataFrame) -> str:
         batch = batch_id(requests)
         todo = pending(requests, self.done) if self.done is not None else requests
+        ledger_of(self, requests).table(requests.sparkSession, f"{batch}/requests", lambda: todo)
+        return self.resume(batch)
+
+    def resume(self, batch: str) -> str:
+        """Sends what hasn't been answered; the batch may be of another process."""
+        spark, ledger = SparkSession.active(), ledger_of(self)
         call, retries, retry_on, pause = self.call, self.config.max_retries, self.config.retry_on, self.pause
 
-        def run(frames):
+        def answer(r) -> list[dict]:
             import time
 
-            import pandas as pd
+            for k in range(retries):
+                try:
+                    return [{"custom_id": r.custom_id, "status": "success", "output": call(r.prompt, r.model, r.max_tokens, r.temperature), "error": None}]
+                except Exception as e:
+                    if k + 1 == retries or not any(w in str(e) for w in retry_on):
+                        return [{"custom_id": r.custom_id, "status": "error", "output": None, "error": str(e)}]
+                    time.sleep(pause * 2**k)
+            return []
 
+        def run(frames):
             for frame in frames:
-                out = []
                 for r in frame.itertuples():
-                    for k in range(retries):
-                        try:
-                            out.append((r.custom_id, "success", call(r.prompt, r.model, r.max_tokens, r.temperature), None))
-                            break
-                        except Exception as e:
-                            if k + 1 == retries or not any(w in str(e) for w in retry_on):
-                                out.append((r.custom_id, "error", None, str(e)))
-                                break
-                            time.sleep(pause * 2**k)
-                yield pd.DataFrame(out, columns=["custom_id", "status", "output", "error"])
-
-        self.batches[batch] = cut(todo.mapInPandas(run, "custom_id string, status string, output string, error string"))
+                    ledger.once(f"{batch}/answers/{r.custom_id}", lambda r=r: answer(r))
+                yield frame[["custom_id"]]
+
+        spark.read.parquet(f"{ledger.folder}/{batch}/requests").mapInPandas(run, "custom_id string").write.format("noop").mode("overwrite").save()
         return batch
 
     def poll(self, batch: str) -> str:
-        return "completed" if batch in self.batches else "failed"
+        spark, ledger = SparkSession.active(), ledger_of(self)
+        if not exists(spark, f"{ledger.folder}/{batch}/requests/_SUCCESS"):
+            return "failed"
+        asked, answered = spark.read.parquet(f"{ledger.folder}/{batch}/requests"), ledger.rows(spark, f"{batch}/answers", ANSWERS)
+        return "completed" if asked.join(answered, "custom_id", "left_anti").isEmpty() else "in_progress"
 
     def collect(self, batch: str) -> DataFrame:
-        new = self.batches[batch]
+        new = ledger_of(self).rows(SparkSession.active(), f"{batch}/answers", ANSWERS)
         return new if self.done is None else self.done.select(*new.columns).unionByName(new)
 
 
+#: What comes back for a request.
+ANSWERS = "custom_id string, status string, output string, error string"
+
+
+def ledger_of(extractor, rows: DataFrame | None = None) -> Ledger:
+    """The extractor's ledger; without a folder of its own one in the session's, which no other process finds."""
+    if extractor.folder is None:
+        extractor.folder = shared(rows).getCheckpointDir().rstrip("/") + "/extraction" if rows is not None else ""
+    return Ledger(extractor.folder)
+
+
 class Client(Protocol):
     """A provider of batches; picklable, for the executors talk to it."""
 
-    def send(self, requests: list[dict]) -> str:
-        """Takes a sub-batch and names it."""
+    def send(self, requests: list[dict], key: str) -> str:
+        """Takes a sub-batch and names it; for a key that it knows it only tells the name again."""
 
     def state(self, name: str) -> str:
         """completed, failed, or anything else while it goes on."""
@@ -191,36 +221,54 @@ class Client(Protocol):
 
 
 class ProviderExtractor:
-    """Sends requests to a provider in sub-batches of ``size``, each from one task, and asks for all of them."""
+    """Sends requests to a provider in sub-batches of ``size``, each from one task, and asks for all of them.
+
+    Requests, the names of sub-batches that are sent, and answers lie in ``folder``, so a process that dies between any
+    two steps is followed by another that goes on with the batch's id.  A sub-batch whose name is written isn't sent
+    again; one that died before that is sent with the same key, by which the provider tells it.
+    """
 
     name = "provider"
 
-    def __init__(self, client: Client, size: int = 10):
-        self.client, self.size, self.batches = client, size, {}
+    def __init__(self, client: Client, size: int = 10, folder: str | None = None):
+        self.client, self.size, self.folder = client, size, folder
 
     def submit(self, requests: DataFrame) -> str:
-        batch, client = batch_id(requests), self.client
-        columns = requests.columns
+        batch = batch_id(requests)
+        ledger_of(self, requests).table(requests.sparkSession, f"{batch}/requests", lambda: sub_batches(requests, self.size))
+        return self.resume(batch)
 
-        def send(frame):
-            import pandas as pd
+    def resume(self, batch: str) -> str:
+        """Sends the sub-batches that haven't been."""
+        spark, ledger, client = SparkSession.active(), ledger_of(self), self.client
+        rows = spark.read.parquet(f"{ledger.folder}/{batch}/requests")
+        columns = [c for c in rows.columns if c != "sub_batch"]
 
-            name = client.send(frame[columns].to_dict("records"))
-            return pd.DataFrame({"sub_batch": [int(frame["sub_batch"].iloc[0])], "name": [name]})
+        def send(frame):
+            n = int(frame["sub_batch"].iloc[0])
+            ledger.once(f"{batch}/sent/{n:08d}", lambda: [{"sub_batch": n, "name": client.send(frame.sort_values("custom_id")[columns].to_dict("records"), f"{batch}-{n}")}])
+            return frame[["sub_batch"]].head(1)
 
-        self.batches[batch] = cut(sub_batches(requests, self.size).groupBy("sub_batch").applyInPandas(send, "sub_batch long, name string"))
+        rows.groupBy("sub_batch").applyInPandas(send, "sub_batch long").write.format("noop").mode("overwrite").save()
         return batch
 
+    def sent(self, batch: str) -> DataFrame:
+        """sub_batch, name of what the provider has."""
+        return ledger_of(self).rows(SparkSession.active(), f"{batch}/sent", "sub_batch long, name string")
+
     def poll(self, batch: str) -> str:
-        if batch not in self.batches:
+        spark, client = SparkSession.active(), self.client
+        if not exists(spark, f"{ledger_of(self).folder}/{batch}/requests/_SUCCESS"):
             return "failed"
-        client = self.client
 
         def ask(frames):
             for frame in frames:
                 yield frame[["name"]].assign(name=frame["name"].map(client.state))
 
-        states = {r["name"] for r in self.batches[batch].select("name").mapInPandas(ask, "name string").distinct().collect()}  # the few states there are
+        asked = spark.read.parquet(f"{ledger_of(self).folder}/{batch}/requests").select("sub_batch").distinct()
+        if not asked.join(self.sent(batch), "sub_batch", "left_anti").isEmpty():
+            return "in_progress"
+        states = {r["name"] for r in self.sent(batch).select("name").mapInPandas(ask, "name string").distinct().collect()}  # the few states there are
         return "failed" if "failed" in states else "completed" if states <= {"completed"} else "in_progress"
 
     def collect(self, batch: str) -> DataFrame:
@@ -233,7 +281,7 @@ class ProviderExtractor:
                 for name in frame["name"]:
                     yield pd.DataFrame(client.answers(name), columns=["custom_id", "status", "output", "error"])
 
-        return cut(self.batches[batch].select("name").mapInPandas(fetch, "custom_id string, status string, output string, error string"))
+        return ledger_of(self).table(SparkSession.active(), f"{batch}/answers", lambda: self.sent(batch).select("name").mapInPandas(fetch, ANSWERS))
 
 
 def wait(extractor: Extractor, batch: str, every: float = 10.0, most: float = 86_400.0) -> str:
@@ -364,49 +412,52 @@ def validate_responses(responses: DataFrame, index: str, raw: str = "output", mo
     return counts, [(r["custom_id"], r["problem"]) for r in first.collect()]
 
 
-#: Rows that are joined to one file of JSON; larger indexes stay in the parts that the executors write.
-ONE_FILE = 100_000
-
-
 def write_index(rows: DataFrame, index: str, path: str) -> int:
-    """The rows as JSON, a line each, in parts by the executors in the folder ``<path>.d``; how many there were.
+    """The rows as JSON lines in the folder ``<path>.d``, and all of them in one file with kind and total; how many there are.
 
-    An index of ``ONE_FILE`` rows or fewer is joined to one file at ``path`` as well: kind, total and rows.
+    Executors write both in parts, and the parts of the file are joined from stream to stream, at any size.
     """
-    array = INDEXES[index][0]
+    array, spark = INDEXES[index][0], rows.sparkSession
     parts = f"{path}.d"
     rows.write.mode("overwrite").option("ignoreNullFields", "false").json(parts)
-    n = rows.sparkSession.read.text(parts).count()
-    if n <= ONE_FILE:
-        with open(path, "w", encoding="utf-8") as f:
-            f.write('{\n  "index_type": %s,\n  "%s": [' % (json.dumps(index), array))
-            for k, row in enumerate(rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).toLocalIterator()):
-                f.write(("," if k else "") + "\n    " + row["value"])
-            f.write('\n  ],\n  "total_%s": %d\n}\n' % (array, n))
+    n = spark.read.text(parts).count()
+    lines = text_parts(json_lines(rows))
+    join_files(spark, path, [('{\n  "index_type": %s,\n  "%s": [' % (json.dumps(index), array), lines, 1)], '  ],\n  "total_%s": %d\n}\n' % (array, n))
     return n
 
 
-def build(stories: DataFrame, index: str, template: str, extractor: Extractor, order: list[str], dry_run: bool = False, context: str = "", every: float = 10.0, most: float = 86_400.0) -> DataFrame | int:
-    """Requests, answers, checks and the merged index; of a dry run the number of requests.
+def build(
+    stories: DataFrame, index: str, template: str, extractor: Extractor, order: list[str], dry_run: bool = False, context: str = "", every: float = 10.0, most: float = 86_400.0, batch: str | None = None
+) -> tuple[DataFrame, DataFrame] | int:
+    """Requests, answers, checks and the merged index, with a table of what is wrong in its rows; of a dry run the number of requests.
 
-    Polls ``every`` so many seconds until the batch is completed, for ``most`` at most; one that isn't by then can be collected later.
+    With the id of a ``batch`` that was begun before, nothing that it has sent is sent again.  Polls ``every`` so many
+    seconds until the batch is completed, for ``most`` at most; one that isn't by then can be collected later.
     """
     asked = requests(stories, index, template, order, context=context)
     if dry_run:
         return asked.count()
-    batch = extractor.submit(asked)
+    batch = extractor.submit(asked) if batch is None else extractor.resume(batch)
     state = wait(extractor, batch, every, most)
     if state != "completed":
         raise RuntimeError(f"{batch} is {state}")
     return collected(extractor, batch, index)
 
 
-def collected(extractor: Extractor, batch: str, index: str) -> DataFrame:
-    """The merged index of a batch's answers; valid rows only."""
+def collected(extractor: Extractor, batch: str, index: str) -> tuple[DataFrame, DataFrame]:
+    """The merged index of all rows that a batch gave, and custom_id, place, problems, row of those with any.
+
+    Rows with problems stay in the index; answers that hold no rows are in the second table, without a place.
+    """
     answers = extractor.collect(batch)
     if "parsed" not in answers.columns:
-        answers = answers.withColumn("parsed", salvaged(F.col("output"), index)).withColumn("status", F.when(F.col("parsed").isNull(), "error").otherwise(F.col("status")))
+        answers = answers.withColumn("parsed", salvaged(F.col("output"), index)).withColumn("status", F.when(F.col("parsed").isNull() & (F.col("status") == "success"), "error").otherwise(F.col("status")))
     if answers.where("status = 'success'").isEmpty():
         raise RuntimeError("no answer was usable")
     rows = problems(items(answers, index), index)
-    return assemble(rows.where(F.size("problems") == 0).drop("problems"), index)
+    wrong = rows.where(F.size("problems") > 0)
+    fields = [c for c in wrong.columns if c not in ("__o", "problems")]
+    faults = wrong.select(F.col("__o.custom_id").alias("custom_id"), F.col("__o.__p").alias("place"), "problems", F.to_json(F.struct(*fields)).alias("row"))
+    said = F.coalesce(F.col("error"), F.lit("no rows in the answer")) if "error" in answers.columns else F.lit("no rows in the answer")
+    unread = answers.where("status <> 'success'").select("custom_id", F.lit(None).cast("int").alias("place"), F.array(said).alias("problems"), F.lit(None).cast("string").alias("row"))
+    return assemble(rows.drop("problems"), index), faults.unionByName(unread)

@@ -10,6 +10,8 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storyloom.plans.parts import join_files, json_lines, text_parts
+
 
 def records(df: DataFrame, most: int | None = None) -> list[dict[str, Any]]:
     """The rows in their order, the first ``most`` only if asked."""
@@ -58,37 +60,45 @@ def write(path: str, content: str | dict) -> None:
 
 
 def write_table(path: str, title: str, rows: DataFrame) -> int:
-    """A document of all rows in their order, streamed from the driver, a partition at a time; how many there were."""
-    n, names = 0, rows.columns
+    """A document of all rows in their order, its lines written by the executors; how many there were."""
+    import pyarrow as pa
+
+    names = rows.columns
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([table_line(r, names) for r in batch.to_pylist()], pa.string())], names=["value"])
+
+    parts = text_parts(rows.mapInArrow(run, "value string"))
+    n = rows.sparkSession.read.text(parts).count()
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        f.write(f"# {title}\n\n## {title}\n\n")
-        for r in rows.toLocalIterator():
-            f.write(("" if n else table_head(names) + "\n") + table_line(r.asDict(recursive=True), names) + "\n")
-            n += 1
-        if not n:
-            f.write("_None._\n")
+    join_files(rows.sparkSession, path, [(f"# {title}\n\n## {title}\n\n" + (table_head(names) + "\n" if n else "_None._\n"), parts, 0)])
     return n
 
 
 def write_sections(path: str, title: str, rows: DataFrame, column: str) -> int:
     """A document with each row's whole section in a fence under its sprint and key; how many there were.
 
-    Rows come in order of sprint, key and text, and are streamed from the driver, a partition at a time.
+    Rows come in order of sprint, key and text, headings as rows before those of their sprint; executors write them.
     """
-    n, sprint = 0, None
+    import pyarrow as pa
+
+    def section(r: dict[str, Any]) -> str:
+        if r["heading"]:
+            return f"\n## {r['sprint'] or 'Unknown'}"
+        fence = "`" * max(3, 1 + max(map(len, re.findall("`+", r[column])), default=0))  # longer than any in the text
+        return f"\n### {r['story_id']} — {r['summary'] or ''}".rstrip() + f"\n\n_Status: {r['status'] or 'Unknown'} · Components: {r['components'] or 'None'}_\n\n{fence}\n{r[column]}\n{fence}"
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([section(r) for r in batch.to_pylist()], pa.string())], names=["value"])
+
+    each = rows.select("sprint", "story_id", "summary", "status", "components", column, F.lit(False).alias("heading"))
+    both = each.unionByName(rows.select("sprint").distinct().withColumn("heading", F.lit(True)), allowMissingColumns=True)
+    parts = text_parts(both.orderBy("sprint", F.desc("heading"), "story_id", "summary", column).mapInArrow(run, "value string"))
+    n = rows.count()
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        f.write(f"# {title}\n")
-        for r in rows.orderBy("sprint", "story_id", "summary", column).toLocalIterator():
-            if not n or r["sprint"] != sprint:
-                sprint = r["sprint"]
-                f.write(f"\n## {sprint or 'Unknown'}\n")
-            fence = "`" * max(3, 1 + max(map(len, re.findall("`+", r[column])), default=0))  # longer than any in the text
-            f.write(f"\n### {r['story_id']} — {r['summary'] or ''}".rstrip() + f"\n\n_Status: {r['status'] or 'Unknown'} · Components: {r['components'] or 'None'}_\n\n{fence}\n{r[column]}\n{fence}\n")
-            n += 1
-        if not n:
-            f.write("\n_None._\n")
+    join_files(rows.sparkSession, path, [(f"# {title}\n" + ("" if n else "\n_None._\n"), parts, 0)])
     return n
 
 
@@ -179,10 +189,13 @@ def write_object_index(folder: str, objects: DataFrame, stories: DataFrame) -> d
     return one.asDict()
 
 
-def keyword_taxonomy(acronyms: DataFrame, personas: DataFrame, processes: DataFrame, integrations: DataFrame, bigrams: DataFrame, objects: DataFrame) -> dict[str, Any]:
+def keyword_taxonomy(acronyms: DataFrame, personas: DataFrame, processes: DataFrame, integrations: DataFrame, bigrams: DataFrame, objects: DataFrame) -> dict[str, DataFrame]:
     """The taxonomy that retrieval reads: at most 100 objects, 50 processes and 50 bigrams, all of the rest."""
-    top = lambda df, by, k: records(df.orderBy(F.desc(by), df.columns[0]), k)
-    return {
-        "acronyms": top(acronyms, "n", None), "personas": top(personas, "n", None), "processes": top(processes, "n", 50),
-        "integrations": top(integrations, "n", None), "bigrams": top(bigrams, "docs", 50), "objects": top(objects, "stories", 100),
-    }
+    top = lambda df, by, k=None: (lambda o: o if k is None else o.limit(k))(df.orderBy(F.desc(by), df.columns[0]))
+    return {"acronyms": top(acronyms, "n"), "personas": top(personas, "n"), "processes": top(processes, "n", 50), "integrations": top(integrations, "n"), "bigrams": top(bigrams, "docs", 50), "objects": top(objects, "stories", 100)}
+
+
+def write_taxonomy(path: str, taxonomy: dict[str, DataFrame]) -> None:
+    """The taxonomy as one JSON file, a list for each kind, whose rows the executors write."""
+    pieces = [(("{" if not k else "],") + f'\n  "{name}": [', text_parts(json_lines(rows)), 1) for k, (name, rows) in enumerate(taxonomy.items())]
+    join_files(next(iter(taxonomy.values())).sparkSession, path, pieces, "]\n}\n")

@@ -163,12 +163,19 @@ def test_extraction(spark, tmp_path):
     assert rows["glossary-000"]["prompt"].startswith("T ### A-00: s0") and rows["glossary-000"]["prompt"].endswith("C ctx")
     assert extraction.build(s, "glossary", "{{STORIES}}", extraction.StubExtractor("{}"), ["story_id"], dry_run=True) == 3
     answer = json.dumps({"terms": [TERM, TERM | {"term": " phi ", "found_in": ["c"]}, {"term": "bad"}]})
-    built = extraction.build(s, "glossary", "{{STORIES}}", extraction.StubExtractor(answer), ["story_id"])
-    r = built.collect()
-    assert len(r) == 1 and r[0]["found_in"] == ["a", "b", "c"]
+    built, faults = extraction.build(s, "glossary", "{{STORIES}}", extraction.StubExtractor(answer), ["story_id"])
+    r = sorted(built.collect())
+    # a row with faults stays, and they are told
+    assert len(r) == 2 and [x for x in r if x["term"] == "PHI"][0]["found_in"] == ["a", "b", "c"]
+    assert {(f["custom_id"], f["place"], tuple(f["problems"])) for f in faults.collect()} == {(f"glossary-00{i}", 2, ("expansion is missing", "definition is missing", "category is missing")) for i in range(3)}
     assert extraction.batch_id(asked) == extraction.batch_id(asked)
-    assert extraction.write_index(built, "glossary", str(tmp_path / "g.json")) == 1
-    assert json.load(open(tmp_path / "g.json"))["total_terms"] == 1
+    assert extraction.write_index(built, "glossary", str(tmp_path / "g.json")) == 2
+    assert json.load(open(tmp_path / "g.json"))["total_terms"] == 2
+    none, many = built.limit(0), spark.range(100_001).select(F.concat(F.lit("t"), "id").alias("term"))
+    for table, n in ((none, 0), (many, 100_001)):
+        assert extraction.write_index(table, "glossary", str(tmp_path / "n.json")) == n
+        got = json.load(open(tmp_path / "n.json"))
+        assert len(got["terms"]) == got["total_terms"] == n and got["index_type"] == "glossary"
     files = extraction.FileExtractor(spark, str(tmp_path / "p"), str(tmp_path), "glossary")
     files.submit(asked)
     assert (tmp_path / "p" / "manifest.txt").read_text().split() == sorted(rows)
@@ -334,7 +341,7 @@ def test_build_waits_for_sub_batches(spark, tmp_path):
         def __init__(self, folder):
             self.folder = folder
 
-        def send(self, requests):
+        def send(self, requests, key):
             import os
 
             name = f"sub-{requests[0]['custom_id']}"
@@ -359,11 +366,80 @@ def test_build_waits_for_sub_batches(spark, tmp_path):
 
     s = flat(spark, *({"story_id": f"A-{i:03d}", "summary": f"s{i}"} for i in range(205)))
     extractor = extraction.ProviderExtractor(Provider(str(tmp_path)), 2)
-    built = extraction.build(s, "glossary", "{{STORIES}}", extractor, ["story_id"], every=0.01)
+    built, faults = extraction.build(s, "glossary", "{{STORIES}}", extractor, ["story_id"], every=0.01)
+    assert faults.count() == 0
     assert sorted(r["term"] for r in built.collect()) == [f"glossary-{i:03d}" for i in range(6)]
     assert len([x for x in tmp_path.iterdir() if not x.name.endswith(".seen")]) == 3 and extractor.poll("x") == "failed"
 
 
+def crashing(folder, dies):
+    class Crashing:
+        """A provider that takes sub-batches through a folder, notes every call, and whose caller dies after some."""
+
+        def __init__(self, folder, dies):
+            self.folder, self.dies = folder, dies
+
+        def send(self, requests, key):
+            import os
+
+            with open(os.path.join(self.folder, "calls"), "a") as f:
+                f.write(key + "\n")
+            if self.dies and key.endswith(tuple(self.dies)):
+                raise RuntimeError("the machine is gone")
+            with open(os.path.join(self.folder, f"taken-{key}"), "w") as f:
+                json.dump([r["custom_id"] for r in requests], f)
+            return key
+
+        def state(self, name):
+            return "completed"
+
+        def answers(self, name):
+            import os
+
+            with open(os.path.join(self.folder, f"taken-{name}")) as f:
+                return [{"custom_id": c, "status": "success", "output": json.dumps({"terms": [TERM | {"term": c}]}), "error": None} for c in json.load(f)]
+
+    return Crashing(folder, dies)
+
+
+def test_a_batch_outlives_its_process(spark, tmp_path):
+    s = flat(spark, *({"story_id": f"A-{i:03d}", "summary": f"s{i}"} for i in range(205)))
+    asked = extraction.requests(s, "glossary", "{{STORIES}}", ["story_id"])
+    folder, batch = str(tmp_path / "ledger"), extraction.batch_id(asked)
+    first = extraction.ProviderExtractor(crashing(str(tmp_path), ["-1"]), 2, folder)
+    with pytest.raises(Exception, match="the machine is gone"):
+        first.submit(asked)
+    # another process knows the batch's id and nothing else
+    second = extraction.ProviderExtractor(crashing(str(tmp_path), []), 2, folder)
+    sent = {r["sub_batch"] for r in second.sent(batch).collect()}
+    assert 1 not in sent and second.poll(batch) == "in_progress"
+    built, faults = extraction.build(s, "glossary", "{{STORIES}}", second, ["story_id"], every=0.01, batch=batch)
+    assert sorted(r["term"] for r in built.collect()) == [f"glossary-{i:03d}" for i in range(6)] and faults.count() == 0
+    calls = (tmp_path / "calls").read_text().split()
+    taken = [c for c in calls if not c.endswith("-1")]
+    assert sorted(taken) == sorted({f"{batch}-0", f"{batch}-2"}) and len(list(tmp_path.glob("taken-*"))) == 3
+    # a third one finds everything done
+    third = extraction.ProviderExtractor(crashing(str(tmp_path), ["-0", "-1", "-2"]), 2, folder)
+    assert third.submit(asked) == batch and third.poll(batch) == "completed" and third.collect(batch).count() == 6
+    assert (tmp_path / "calls").read_text().split() == calls
+
+
+def test_calls_are_made_once(spark, tmp_path):
+    asked = spark.createDataFrame([(f"g-{i:03d}", f"p{i}", "m", 1, 0.0) for i in range(9)], "custom_id string, prompt string, model string, max_tokens int, temperature double").repartition(3)
+    seen = str(tmp_path / "seen")
+
+    def call(prompt, model, max_tokens, temperature):
+        with open(seen, "a") as f:
+            f.write(prompt + "\n")
+        return json.dumps({"terms": [TERM | {"term": prompt}]})
+
+    for _ in range(2):
+        extractor = extraction.CallExtractor(call, folder=str(tmp_path / "ledger"))
+        batch = extractor.submit(asked)
+        assert extractor.poll(batch) == "completed" and extractor.collect(batch).count() == 9
+    assert sorted(open(seen).read().split()) == [f"p{i}" for i in range(9)]
+
+
 def test_responses_are_checked_by_kind(spark):
     good = {"terms": [TERM]}
     cases = {
@@ -425,8 +501,11 @@ def test_documents_and_taxonomy_hold_all_rows(spark, tmp_path):
     for name in ("criteria", "solutions"):
         assert [x for x in (out / f"{name}.md").read_text().splitlines() if x.startswith("### ")] == sorted(f"### AA-{i} —" for i in range(1205))
     many = spark.range(1205).selectExpr("concat('w', id) AS word", "id AS n", "id AS docs", "id AS stories")
-    got = {k: len(v) for k, v in report.keyword_taxonomy(many, many, many, many, many, many).items()}
-    assert got == {"acronyms": 1205, "personas": 1205, "processes": 50, "integrations": 1205, "bigrams": 50, "objects": 100}
+    taxonomy = report.keyword_taxonomy(many, many, many, many, many, many)
+    report.write_taxonomy(str(tmp_path / "taxonomy.json"), taxonomy)
+    written = json.load(open(tmp_path / "taxonomy.json"))
+    got = {k: len(v) for k, v in written.items()}
+    assert [x["n"] for x in written["processes"]] == list(range(1204, 1154, -1)) and got == {"acronyms": 1205, "personas": 1205, "processes": 50, "integrations": 1205, "bigrams": 50, "objects": 100}
 
 
 def test_calls_with_retries(spark, tmp_path):
@@ -448,7 +527,8 @@ def test_calls_with_retries(spark, tmp_path):
     batch = extractor.submit(asked)
     assert extraction.wait(extractor, batch) == "completed" and extraction.wait(extractor, "x", most=0) == "failed"
     assert {r["custom_id"]: r["status"] for r in extractor.collect(batch).collect()} == {"g-000": "success", "g-001": "error", "g-002": "success", "g-003": "success"}
-    assert sorted(r["term"] for r in extraction.collected(extractor, batch, "glossary").collect()) == ["PHI", "good", "late"]
+    assert sorted(r["term"] for r in extraction.collected(extractor, batch, "glossary")[0].collect()) == ["PHI", "good", "late"]
+    assert [(f["custom_id"], f["place"], f["problems"]) for f in extraction.collected(extractor, batch, "glossary")[1].collect()] == [("g-001", None, ["no"])]
     assert sorted(r["sub_batch"] for r in extraction.sub_batches(asked, 3).collect()) == [0, 0, 0, 1]
 
 
