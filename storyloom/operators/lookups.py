@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storyloom.functions import text as T
@@ -77,8 +77,55 @@ def preferring(stories: DataFrame, metadata: DataFrame, on: str, columns: list[s
     return out.withColumns({c: F.coalesce(f"__{c}", c) for c in columns}).drop(*(f"__{c}" for c in columns))
 
 
-def cheapest(story_id: str, tiers: list[tuple[str, DataFrame]]) -> tuple[str, DataFrame] | None:
-    """The first of the tables, cheapest first, that has the story, and its rows there."""
+#: Folders that a lookup table is dealt to, by its key.
+BUCKETS = 64
+
+
+def bucket(key: Column, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
+
+
+def write_lookup(rows: DataFrame, path: str, key: str = "story_id", buckets: int = BUCKETS) -> None:
+    """A Parquet table for lookups by ``key``: a folder for each bucket, in order of the key, with Bloom filters and
+    statistics, so that one key reads one folder and of it the row groups that may have the key.
+
+    Rows are dealt by (bucket, key) in ranges, so a bucket of very many rows is several files.
+    """
+    placed = rows.withColumn("bucket", bucket(F.col(key), buckets)).repartitionByRange("bucket", key).sortWithinPartitions("bucket", key)
+    writer = placed.write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.block.size", str(16 << 20)).option("parquet.page.row.count.limit", "2000")
+    writer.partitionBy("bucket").parquet(path)
+
+
+def looked_up(spark: SparkSession, path: str, key: str, value, buckets: int = BUCKETS) -> DataFrame:
+    """The rows of one key; the bucket is worked out in the plan, so other folders aren't listed or read."""
+    table = spark.read.parquet(path)
+    return table.where((F.col("bucket") == bucket(F.lit(value), buckets)) & (F.col(key) == F.lit(value))).drop("bucket")
+
+
+def looked_up_all(asked: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """The rows of all keys in ``asked``; where these are few, Spark prunes the buckets as it runs."""
+    table = asked.sparkSession.read.parquet(path)
+    keys = asked.select(F.col(key)).distinct().withColumn("bucket", bucket(F.col(key), buckets))
+    return table.join(keys, ["bucket", key], "left_semi").drop("bucket")
+
+
+def tier_index(tiers: list[tuple[str, DataFrame]], key: str = "story_id") -> DataFrame:
+    """key, tier: the first of the tables, cheapest first, that has it."""
+    each = None
+    for rank, (name, table) in enumerate(tiers):
+        rows = table.select(key, F.lit(rank).alias("rank"), F.lit(name).alias("tier"))
+        each = rows if each is None else each.unionByName(rows)
+    return each.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by("tier", "rank").alias("tier"))
+
+
+def cheapest(story_id: str, tiers: list[tuple[str, DataFrame]], index: DataFrame | None = None) -> tuple[str, DataFrame] | None:
+    """The first of the tables, cheapest first, that has the story, and its rows there.
+
+    With a ``tier_index``, which may be a lookup table, that is one lookup; else each table is asked in turn.
+    """
+    if index is not None:
+        found = story(index, story_id).select("tier").head()
+        return (found["tier"], story(dict(tiers)[found["tier"]], story_id)) if found else None
     for name, table in tiers:
         found = story(table, story_id)
         if not found.isEmpty():

@@ -100,8 +100,8 @@ def dangling(edges: DataFrame, stories: DataFrame) -> DataFrame:
 
 
 def mermaid(edges: DataFrame, most: int = 100) -> str:
-    """The first edges, sorted, as a diagram."""
-    node = lambda c: F.replace(c, F.lit("-"), F.lit("_"))
+    """The first edges, sorted, as a diagram whose nodes are labelled with the ids."""
+    node = lambda c: F.concat(F.replace(c, F.lit("-"), F.lit("_")), F.lit('["'), F.col(c), F.lit('"]'))
     rows = edges.orderBy("from", "to").limit(most).select(F.concat(F.lit("    "), node("from"), F.lit(" --> "), node("to")).alias("line")).collect()
     return "\n".join(["graph LR", *(r["line"] for r in rows)])
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from storyloom.functions import fixed, stats
 from storyloom.functions import text as T
 from storyloom.operators.phrases import mentions
+from storyloom.tables import written
 
 
 def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", stop: list[str] = fixed.STOP_WORDS["base"], keep: list[str] | None = None) -> DataFrame:
@@ -144,7 +145,7 @@ def object_mentions(docs: DataFrame, objects: DataFrame, key: str = "story_id",
     One-word variants (five letters, no filler) join on the texts' words, longer
     ones (eight letters) are looked for as phrases; see ``phrases.mentions``.
     """
-    variants = objects.select("api_name", F.explode("search_variants").alias("variant"))
+    variants = written(objects.select("api_name", F.explode("search_variants").alias("variant")))
     single = variants.where(~F.contains("variant", F.lit(" ")) & (F.length("variant") >= 5) & ~F.col("variant").isin(*fixed.COMMON_OBJECT_WORDS))
     phrase = variants.where(F.contains("variant", F.lit(" ")) & (F.length("variant") >= 8))
     words = docs.select(F.col(key), F.col(span), F.explode(F.array_distinct(T.words(F.lower(text)))).alias("variant"))

@@ -524,8 +524,10 @@ NAMED = f"""w AS (SELECT doc_id, source, text, regexp_extract_all(lower(text), '
 
 def named_objects(docs: DataFrame) -> DataFrame:
     """An object for each pair of words that some document begins with."""
-    w = T.words(F.lower("text"))
-    pairs = docs.select(F.try_element_at(w, F.lit(1)).alias("a"), F.try_element_at(w, F.lit(2)).alias("b")).where("a is not null and b is not null").distinct()
+    low = F.lower("text")
+    # the first two words only, without cutting the whole text
+    first, second = F.regexp_extract(low, "[a-zA-Z]{2,}", 0), F.regexp_extract(low, "(?s)[a-zA-Z]{2,}+.*?([a-zA-Z]{2,})", 1)
+    pairs = docs.select(first.alias("a"), second.alias("b")).where("b <> ''").distinct()
     rows = pairs.select(F.concat("a", F.lit("_"), "b", F.lit("__c")).alias("api_name"), F.concat_ws(" ", "a", "b").alias("label"))
     return rows.withColumn("search_variants", T.search_variants(F.col("api_name"), F.col("label")))
 

@@ -47,7 +47,7 @@ def test_maps(spark):
     known = maps.reference_edges(s, known_only=True)
     assert {(r["from"], r["to"]) for r in known.collect()} == {("AA-1", "AA-2"), ("AA-2", "AA-3")}
     assert [r["to"] for r in maps.dangling(known, s).collect()] == ["AA-3"]
-    assert maps.mermaid(known).splitlines() == ["graph LR", "    AA_1 --> AA_2", "    AA_2 --> AA_3"]
+    assert maps.mermaid(known).splitlines() == ["graph LR", '    AA_1["AA-1"] --> AA_2["AA-2"]', '    AA_2["AA-2"] --> AA_3["AA-3"]']
     assert {r["epic_name"] for r in maps.epics(s).collect()} == {"Pay", "_Unassigned_"}
     chain = spark.createDataFrame([("card", "ip_1"), ("card", "ip_2"), ("ip_2", "dr"), ("dr", "obj"), ("obj", "card")], "from string, to string")
     got = {r["node"]: r["steps"] for r in maps.call_chain(chain, spark.createDataFrame([("card",)], "name string")).collect()}
@@ -547,3 +547,38 @@ def test_transcript_folder(tmp_path):
         (tmp_path / n).mkdir()
     assert transcripts.discover("/home/me/work", str(tmp_path)).endswith("home-me-work")
     assert transcripts.discover("/zzz", str(tmp_path)) is None and transcripts.discover("/x", str(tmp_path / "no")) is None
+
+
+def read_rows(df):
+    """Rows that the scan gave, and the plan, after it has run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value(), plan.toString()
+
+
+def test_a_lookup_reads_one_bucket(spark, tmp_path):
+    rows = spark.range(40_000).select(F.concat(F.lit("S-"), "id").alias("story_id"), F.col("id").alias("n")).unionByName(spark.createDataFrame([(None, -1), ("S-7", -7)], "story_id string, n long"))
+    path = str(tmp_path / "stories")
+    lookups.write_lookup(rows, path, buckets=32)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = lookups.looked_up(spark, path, "story_id", "S-7", 32)
+        n, plan = read_rows(found)
+        assert sorted(r["n"] for r in found.collect()) == [-7, 7] and n < 40_000 / 16
+        assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(story_id,S-7)" in plan
+        absent, _ = read_rows(lookups.looked_up(spark, path, "story_id", "S-none", 32))
+        assert absent == 0  # the Bloom filters tell
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    asked = spark.createDataFrame([("S-1",), ("S-39999",), ("S-x",), (None,), ("S-1",)], "story_id string")
+    assert sorted(r["n"] for r in lookups.looked_up_all(asked, path, "story_id", 32).collect()) == [1, 39999]
+
+
+def test_cheapest_tier_by_index(spark):
+    table = lambda *ids: spark.createDataFrame([(i, "x") for i in ids], "story_id string, v string")
+    tiers = [("index", table("a", "b")), ("stories", table("b", "c", None)), ("pages", table("a", "d"))]
+    index = lookups.tier_index(tiers)
+    assert {tuple(r) for r in index.collect()} == {("a", "index"), ("b", "index"), ("c", "stories"), ("d", "pages")}
+    for i in ("a", "b", "c", "d", "e"):
+        one, other = lookups.cheapest(i, tiers), lookups.cheapest(i, tiers, index)
+        assert (one and one[0]) == (other and other[0])
