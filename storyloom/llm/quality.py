@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm.common import SPACES, Memo, labelled_sample, logistic, mix64, newton_logistic, read, sliced
+from storyloom.llm.common import SPACES, Memo, Scratch, labelled_sample, logistic, mix64, newton_logistic, read, sliced
 
 SYMBOLS = "#*$%&|<>"
 #: Words of a window that counts as repeated text.
@@ -34,6 +34,8 @@ WINDOW = 8
 class QualityParams:
     #: Labelled rows that the model is fitted on, at most.
     max_rows: int = 6_000
+    #: Features of them that the driver takes, at most, of eight bytes each; a row that goes beyond is left out.
+    max_features: int = 16_000_000
     #: log2 of the buckets of characters, and of words.
     bits: int = 17
     #: Passes over the rows, rows of a step, and the step's size.
@@ -138,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParam
     Without labels of both kinds the model says the share of good labels for every text.
     """
     ids = labelled_sample(labels, "quality", params.max_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "label", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(5)).cast("int").alias("part"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "label", F.xxhash64("doc_id", F.lit(17)).alias("place"), F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(5)).cast("int").alias("part"))
 
     def extract(batches):
         memo = Memo(word_hash)
@@ -149,9 +151,22 @@ def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParam
                 parts = [np.unique(b, return_counts=True) for b in text_buckets(text or "", words, memo, params.bits)]
                 index.append(np.concatenate([p[0] for p in parts]).astype(np.int32))
                 share.append(np.concatenate([p[1] / max(p[1].sum(), 1) for p in parts]).astype(np.float32))
-            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("part"), pa.array(index, pa.list_(pa.int32())), pa.array(share, pa.list_(pa.float32()))], names=["label", "part", "index", "share"])
-
-    got = rows.mapInArrow(extract, "label int, part int, index array<int>, share array<float>").toArrow()
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("place"), batch.column("part"), pa.array(index, pa.list_(pa.int32())), pa.array(share, pa.list_(pa.float32()))], names=["label", "place", "part", "index", "share"])
+
+    scratch = Scratch(docs.sparkSession, "quality")
+    every = scratch.table(rows.mapInArrow(extract, "label int, place long, part int, index array<int>, share array<float>"), "features")
+    # what the driver takes is bounded by bytes, too: rows in the sample's order, none that goes beyond
+    sizes = every.select("place", F.size("index").alias("n")).toArrow().sort_by([("place", "ascending"), ("n", "ascending")])
+    taken, total = [], 0
+    for place, n in zip(sizes["place"].to_pylist(), sizes["n"].to_pylist()):
+        if total + n <= params.max_features:
+            taken.append((place, n))
+            total += n
+    if len(taken) < len(sizes):
+        chosen = docs.sparkSession.createDataFrame(sorted(set(taken)), "place long, n int")
+        every = every.join(F.broadcast(chosen), (every["place"] == chosen["place"]) & (F.size("index") == chosen["n"]), "left_semi")
+    got = every.orderBy("place", F.xxhash64("index")).toArrow()
+    scratch.drop("features")
     y, part = got["label"].to_numpy().astype(float), got["part"].to_numpy()
     model = QualityModel(params=params)
     if not len(y) or y.min() == y.max():

@@ -392,3 +392,29 @@ def test_memo_is_bounded():
         memo[str(k)]
     assert memo["x" * 200] and "x" * 200 not in memo
     assert len(memo) + len(memo.old) <= 11
+
+
+def test_quality_fit_is_bounded_by_features(spark):
+    rows = [(i, f"plain words of row {i} " * 5 if i % 2 else f"X{i}$$ %% " * 30) for i in range(60)] + [(100, " ".join(f"w{k}" for k in range(20_000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(100, 1)], "doc_id long, quality int")
+    whole, bounded = quality.fit(docs, labels), quality.fit(docs, labels, quality.QualityParams(max_features=6_000))
+    # the long row alone is beyond the bound, the others are within
+    without = quality.fit(docs.where("doc_id < 100"), labels, quality.QualityParams(max_features=6_000))
+    assert np.array_equal(bounded.weights, without.weights) and bounded.scale == without.scale and not np.array_equal(whole.weights, bounded.weights)
+    none = quality.fit(docs, labels, quality.QualityParams(max_features=0))
+    assert none.weights is None
+
+
+def test_rows_of_one_id_are_many_shards(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"word{k}" for k in rng.integers(0, 500, 30)) for _ in range(300)] + ["the same text again and again"] * 300
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(5, "one")], "doc_id long, text string")
+    scratch = Scratch(spark, "test")
+    blocks = token_store.write(docs, scratch, token_store.StoreParams(shard=1000))
+    assert blocks.select("shard").distinct().count() > 8
+    got = sorted(token_store.read_store(blocks, token_store.frequencies(spark, scratch)).collect(), key=lambda r: r["start"])
+    ends = [0, *np.cumsum([r["n_tokens"] for r in got]).tolist()]
+    assert [r["start"] for r in got] == ends[:-1] and len(got) == 601 and got[-1]["doc_id"] == 5
+    want = sorted(zlib.crc32(x) for x in tokens.encoded(texts + ["one"], "byte_bpe_50k.json", 2))
+    assert sorted(r["ids_crc32"] for r in got) == want
