@@ -17,7 +17,8 @@ doc_ids, body), which gives them an atomic commit on any store; the table of
 frequencies lies beside them.
 
 Null and empty texts are the end id alone.  Rows without an id come first.
-Repeated rows are stored again.
+Repeated rows are stored again.  Rows of one id stand by how their ids begin, and
+are dealt to several shards if they are very many.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ MAGIC = b"SRNS"
 #: log2 of the slots that the frequencies sum to; more than any vocabulary here has ids.
 SLOTS = 20
 LOW = np.uint64(1 << 31)
+#: Bytes of a text's ids by which rows of one id are dealt.
+HEAD_BYTES = 64
 
 
 @dataclass(frozen=True)
@@ -233,7 +236,9 @@ def write(docs: DataFrame, scratch: Scratch, params: StoreParams = StoreParams()
         if docs:
             yield close()
 
-    ordered = rows.where("counts is null").select("doc_id", "ids", "wide").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "ids")
+    # one id may have very many rows, as null has: they are dealt by how their ids begin, and equal ones by where they stand
+    placed = rows.where("counts is null").select("doc_id", "ids", "wide", F.substring("ids", 1, HEAD_BYTES).alias("head"), F.monotonically_increasing_id().alias("place"))
+    ordered = placed.repartitionByRange(shards, "doc_id", "head", "place").select("doc_id", "ids", "wide").sortWithinPartitions("doc_id", "ids")
     out = ordered.mapInArrow(run, "shard int, block int, at long, tokens long, doc_ids array<long>, body binary")
     blocks = scratch.table(out, "blocks")
     scratch.drop("ids")
