@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from storyloom.functions import text as T
 from storyloom.operators import maps, profile
 from storyloom.plans import report
+from storyloom.plans.parts import exists
 from storyloom.sources import html, metadata, stories, tables
+from storyloom.tables import written
 
 
 @dataclass
@@ -54,6 +56,13 @@ def from_markdown(spark: SparkSession, root: str) -> DataFrame:
     return stories.flat(stories.parse(stories.scan(spark, root)))
 
 
+def last_standing(flat: DataFrame) -> DataFrame:
+    """One row for each story of a sprint, the last of those that were read."""
+    fields = [c for c in flat.columns if c not in ("sprint", "story_id", *PLACE)]
+    order = F.struct(*(c for c in PLACE if c in flat.columns), *fields)
+    return flat.groupBy("sprint", "story_id").agg(F.max_by(F.struct(*fields), order).alias("r")).select("story_id", "r.*", "sprint")
+
+
 def write_stories(flat: DataFrame, path: str, force: bool = False) -> None:
     """Stories by sprint, the last of one id standing; sprints that are there already are left, unless ``force``.
 
@@ -61,9 +70,7 @@ def write_stories(flat: DataFrame, path: str, force: bool = False) -> None:
     same rows give the same stories however they are dealt out.
     """
     session = flat.sparkSession
-    fields = [c for c in flat.columns if c not in ("sprint", "story_id", *PLACE)]
-    order = F.struct(*(c for c in PLACE if c in flat.columns), *fields)
-    rows = flat.groupBy("sprint", "story_id").agg(F.max_by(F.struct(*fields), order).alias("r")).select("story_id", "r.*", "sprint")
+    rows = last_standing(flat)
     hadoop = session.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not force and hadoop.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
         there = session.read.parquet(path).select("sprint").distinct()
@@ -156,3 +163,68 @@ def steps(spark: SparkSession, flat: DataFrame, out: str, traceability: str | No
         Step("traceability", trace),
         Step("sprints", table("sprints", "Sprints", profile.status_summary(flat), ["sprint"])),
     ]
+
+
+@dataclass
+class Update:
+    """What a run changes: the sprints, and their stories as they were and as they are."""
+
+    sprints: DataFrame
+    before: DataFrame
+    after: DataFrame
+
+
+def update_stories(flat: DataFrame, path: str) -> Update:
+    """Brings the stories at ``path`` up to date, writing the partitions of changed sprints only.
+
+    A manifest (sprint, story_id, digest of all fields) tells new, changed and gone stories by anti-joins; it is
+    replaced last, so a run that dies is done again from the same state.  Equal to writing all stories anew.
+    """
+    spark = flat.sparkSession
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path
+    files = place(path).getFileSystem(context._jsc.hadoopConfiguration())
+    rows = written(last_standing(flat))
+    fields = [c for c in rows.columns if c not in ("sprint", "story_id")]
+    now = written(rows.select("sprint", "story_id", F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256).alias("digest")))
+    manifest = f"{path}/_manifest"
+    old = spark.read.parquet(manifest) if files.exists(place(manifest)) else spark.createDataFrame([], now.schema)
+    same = lambda a, b: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in now.columns]
+    fresh = now.alias("n").join(old.alias("o"), same("n", "o"), "left_anti").select("sprint")
+    gone = old.alias("o").join(now.alias("n"), same("o", "n"), "left_anti").select("sprint")
+    sprints = written(fresh.union(gone).distinct())
+    of = lambda df: df.join(sprints.withColumnRenamed("sprint", "__s"), F.col("sprint").eqNullSafe(F.col("__s")), "left_semi")
+    there = spark.read.schema(rows.schema).parquet(path) if files.exists(place(manifest)) else spark.createDataFrame([], rows.schema)
+    before, after = written(of(there)), of(rows)
+    after.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sprint").parquet(path)
+    for r in sprints.join(after.select(F.col("sprint").alias("__s")).distinct(), F.col("sprint").eqNullSafe(F.col("__s")), "left_anti").toLocalIterator():  # sprints without stories, a few
+        name = context._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString("sprint", r["sprint"])
+        files.delete(place(f"{path}/{name}"), True)
+    now.write.mode("overwrite").parquet(f"{manifest}.new")
+    files.delete(place(manifest), True)
+    files.rename(place(f"{manifest}.new"), place(manifest))
+    return Update(sprints, before, after)
+
+
+def update_counts(path: str, update: Update, counts: Callable[[DataFrame], DataFrame]) -> None:
+    """Brings a table of counts (keys and ``n``) up to date by what an update took away and brought.
+
+    ``counts`` makes such a table of stories, as ``maps.frequency`` does; sums of signed rows replace counting all.
+    Call it once for each update: it isn't done twice by the same one.
+    """
+    spark = update.after.sparkSession
+    plus, minus = counts(update.after), counts(update.before).withColumn("n", -F.col("n"))
+    delta = plus.unionByName(minus)
+    both = spark.read.parquet(path).unionByName(delta) if exists(spark, path) else delta
+    keys = [c for c in both.columns if c != "n"]
+    written(both.groupBy(*keys).agg(F.sum("n").alias("n")).where("n <> 0")).write.mode("overwrite").parquet(path)
+
+
+def update_by_sprint(path: str, update: Update, rows: Callable[[DataFrame], DataFrame]) -> None:
+    """Brings a table that has its rows by sprint (edges, maps) up to date: those of changed sprints are written anew."""
+    spark = update.after.sparkSession
+    fresh = rows(update.after)
+    if exists(spark, path):
+        kept = spark.read.parquet(path).join(update.sprints.withColumnRenamed("sprint", "__s"), F.col("sprint").eqNullSafe(F.col("__s")), "left_anti")
+        fresh = kept.unionByName(fresh)
+    written(fresh).write.mode("overwrite").parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storyloom.functions import text as T
@@ -23,11 +23,23 @@ def discover(workspace: str, root: str) -> str | None:
     return os.path.join(root, best) if best and likeness[best] else None
 
 
+def lines_of(spark: SparkSession, root: str) -> DataFrame:
+    """file_path, line_no, line of all transcripts; a large file is read by many tasks, in Spark's own ranges of bytes.
+
+    A line's number is its place in its range and the lines of the file's ranges before, of which there is one row each.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").option("lineSep", "\n").text(root)
+    at = F.monotonically_increasing_id()  # in the order of a range's lines
+    rows = files.select(decoded_path(F.col("_metadata.file_path")).alias("file_path"), F.col("_metadata.file_block_start").alias("start"), at.alias("at"), F.regexp_replace("value", "\r$", "").alias("line"))
+    ranges = rows.groupBy("file_path", "start").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file_path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = ranges.withColumn("before", F.coalesce(before, F.lit(0))).select("file_path", "start", "first", "before")
+    return rows.join(ranges, ["file_path", "start"]).select("file_path", (F.col("before") + F.col("at") - F.col("first")).cast("int").alias("line_no"), "line")
+
+
 def scan(spark: SparkSession, root: str) -> DataFrame:
     """conversation_id, is_subagent, line_no, role, content; blank and broken lines and plain-text contents are left out."""
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").text(root, wholetext=True)
-    rows = lines.select(decoded_path(F.col("_metadata.file_path")).alias("file_path"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line")).where("trim(line) <> ''")
-    rows = rows.withColumn("m", F.from_json("line", ITEM))
+    rows = lines_of(spark, root).where("trim(line) <> ''").withColumn("m", F.from_json("line", ITEM))
     sub = F.contains("file_path", F.lit("/subagents/"))
     name = F.regexp_extract("file_path", r"([^/]+)\.jsonl$", 1)
     return rows.where("m.message.content is not null").select(name.alias("conversation_id"), sub.alias("is_subagent"), "line_no", F.col("m.role").alias("role"), F.col("m.message.content").alias("content"))

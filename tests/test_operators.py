@@ -212,7 +212,7 @@ def test_rebuild_and_report(spark, tmp_path):
     steps = rebuild.steps(spark, s, str(tmp_path / "out"))
     assert rebuild.run([*steps, rebuild.Step("bad", lambda: 1 / 0), rebuild.Step("after", lambda: None)]) == 1
     assert all(x.ok for x in steps), [x.error for x in steps]
-    assert "AA_1 --> AA_2" in (tmp_path / "out" / "references.mmd").read_text()
+    assert 'AA_1["AA-1"] --> AA_2["AA-2"]' in (tmp_path / "out" / "references.mmd").read_text()
     assert spark.read.parquet(str(tmp_path / "out" / "stories")).count() == 2
     text = report.document("T", {"S": [{"a": 1234, "b": None}]}, ["do it"])
     assert "| 1,234 |  |" in text and text.endswith("- do it\n")
@@ -582,3 +582,93 @@ def test_cheapest_tier_by_index(spark):
     for i in ("a", "b", "c", "d", "e"):
         one, other = lookups.cheapest(i, tiers), lookups.cheapest(i, tiers, index)
         assert (one and one[0]) == (other and other[0])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_selection_by_histograms(spark, seed):
+    import statistics
+
+    rng = random.Random(seed)
+    draw = [lambda: rng.choice([1.0, 2.0, 2.0]), lambda: rng.gauss(0, 1e6), lambda: 10 ** rng.uniform(-300, 300) * rng.choice([-1, 1]), lambda: rng.choice([1.7e308, -1.7e308, 5e-324, 0.0, 0.1, 0.1 + 1e-17])][seed]
+    for size in (2, 3, 57, 2000):
+        xs = [draw() for _ in range(size)]
+        rows = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")
+        ordered = sorted(xs)
+        ranks = sorted({1, size, (size + 1) // 2})
+        assert stats.selected(rows.where("x is not null"), ranks) == {r: ordered[r - 1] for r in ranks}
+        if seed < 2:
+            got = {r["q"]: r["value"] for r in stats.exclusive_quantiles(rows, "x", 10).collect()}
+            assert [got[q] for q in range(1, 10)] == pytest.approx(statistics.quantiles(xs, n=10))
+    assert stats.exclusive_quantiles(rows.limit(0), "x").count() == 0
+    odd = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("inf"),)], "x double")
+    assert [r["value"] for r in stats.exclusive_quantiles(odd, "x", 2).collect()] == [2.5]
+
+
+def test_quantiles_of_all_rows_sort_nothing(spark, monkeypatch):
+    def no(*_):
+        raise AssertionError("sorted in ranges")
+
+    monkeypatch.setattr(stats, "running", no)
+    rows = spark.range(200_000).select((F.col("id") * 7919 % 100_003).cast("double").alias("x"))
+    want = sorted(float(i * 7919 % 100_003) for i in range(200_000))
+    assert [r["value"] for r in stats.exclusive_quantiles(rows, "x", 2).collect()] == [(want[99_999] + want[100_000]) / 2]
+
+
+def test_only_changed_sprints_are_written(spark, tmp_path):
+    def corpus(changed=()):
+        rows = {f"A-{i}": {"story_id": f"A-{i}", "sprint": f"Sprint {i % 4}", "components": "x; y" if i % 3 else "x", "solution": f"see A-{(i * 7) % 20}"} for i in range(20)}
+        for r in changed:
+            if set(r) == {"story_id"}:
+                del rows[r["story_id"]]
+            else:
+                rows[r["story_id"]] = rows.get(r["story_id"], {}) | r
+        return flat(spark, *rows.values())
+
+    parts = lambda s: maps.frequency(maps.exploded(s, "components", r"[,;\n/|]", "component"), "component")
+    path, counts, edges = (str(tmp_path / n) for n in ("stories", "counts", "edges"))
+    files = lambda: {str(f): f.stat().st_mtime_ns for f in (tmp_path / "stories").glob("sprint=*/*.parquet")}
+    steps = [(), ({"story_id": "A-5", "components": "z"},), ({"story_id": "A-5", "components": "z"}, {"story_id": "B-1", "sprint": "Sprint new/7", "components": "y"}), ({"story_id": "A-5", "components": "z"}, *({"story_id": f"A-{i}"} for i in (2, 6, 10, 14, 18)))]
+    seen = []
+    for changed in steps:
+        before = files()
+        now = corpus(changed)
+        update = rebuild.update_stories(now, path)
+        rebuild.update_counts(counts, update, parts)
+        rebuild.update_by_sprint(edges, update, maps.reference_edges)
+        seen.append(sorted(r["sprint"] for r in update.sprints.collect()))
+        after = files()
+        assert {f for f in before if f not in after or before[f] != after[f]} == {f for f in before if any(f"sprint={s.replace(chr(47), chr(37) + '2F')}/" in f for s in seen[-1])}
+        full = str(tmp_path / f"full{len(seen)}")
+        rebuild.write_stories(now, full, True)
+        rows = lambda p: sorted(map(repr, map(tuple, spark.read.parquet(p).select(*sorted(now.columns)).collect())))
+        assert rows(path) == rows(full)
+        assert sorted(map(tuple, spark.read.parquet(counts).collect())) == sorted(map(tuple, parts(now).collect()))
+        assert sorted(map(tuple, spark.read.parquet(edges).collect())) == sorted(map(tuple, maps.reference_edges(now).collect()))
+    assert seen[1:] == [["Sprint 1"], ["Sprint new/7"], ["Sprint 2", "Sprint new/7"]]
+    assert rebuild.update_stories(corpus(steps[-1]), path).sprints.count() == 0
+
+
+def test_a_large_transcript_is_read_in_ranges(spark, tmp_path):
+    from storyloom.sources import transcripts
+
+    line = lambda i: json.dumps({"role": "user" if i % 2 else "assistant", "message": {"content": [{"type": "text", "text": f"question {i} é🙂" + "x" * (i % 50)}]}}, ensure_ascii=False)
+    (tmp_path / "subagents").mkdir()
+    whole = [line(i) if i % 7 else "" for i in range(3000)]
+    (tmp_path / "big.jsonl").write_text("\n".join(whole) + "\n", encoding="utf-8")
+    (tmp_path / "subagents" / "small.jsonl").write_text("\r\n".join([line(0), "broken", line(2)]), encoding="utf-8")
+    (tmp_path / "none.jsonl").write_text("")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for part in ("7000", size):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", part)
+            lines = transcripts.lines_of(spark, str(tmp_path))
+            got = {(r["file_path"].rsplit("/", 1)[1], r["line_no"]): r["line"] for r in lines.collect()}
+            assert {k: v for k, v in got.items() if k[0] == "big.jsonl"} == {("big.jsonl", i): x for i, x in enumerate(whole)}
+            assert got["small.jsonl", 1] == "broken" and got["small.jsonl", 2] == line(2)
+            if part == "7000":
+                assert spark.read.option("pathGlobFilter", "*.jsonl").option("lineSep", "\n").text(str(tmp_path)).rdd.getNumPartitions() > 10
+            found = transcripts.scan(spark, str(tmp_path))
+            assert {r["line_no"] for r in found.where("conversation_id = 'big'").select("line_no").collect()} == {i for i in range(3000) if i % 7}
+            assert found.where("is_subagent").count() == 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
