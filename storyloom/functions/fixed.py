@@ -151,3 +151,39 @@ CELL_HINTS = {
     "story_points": ["storypoints", "story_points", "customfield_storypoints"], "sprint": ["sprint"],
     "assignee": ["assignee"], "priority": ["priority"],
 }
+
+# How personas, expansions of acronyms and processes are written.
+PERSONA_PATTERN = r"[Aa]s\s+(?:a|an)\s+([A-Za-z][A-Za-z\s/\-]{2,40}?)(?:\s*[,.]|\s+(?:I|i|we|We)\s)"
+NOT_PERSONAS = "user who|person who|member of"
+EXPANDED_NAME = r"[A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,6}"
+WORD_MARKS = r"^[,:;()\[\]\"']+|[,:;()\[\]\"']+$"
+
+# Measures, their limits, and what is advised below or above them.
+ADVICE = {
+    "corpus": [
+        ("ac_pct", "<", 70, "Acceptance Criteria: {ac_missing} % of the stories have none; fill in first: {ac_worst}"),
+        ("solution_pct", "<", 60, "Solution: {solution_missing} % of the stories have none; fill in first: {solution_worst}"),
+        ("mean_quality", "<", 60, "Mean quality is {mean_quality} of 100; start with the stories below 40"),
+        ("missing", ">", 0, "{missing} components of stories have no document; write those first that most stories name"),
+        ("sparse", ">", 0, "{sparse} stories have fewer than 500 bytes; fill them in or take them out"),
+    ],
+    "usage": [
+        ("overall_rate", "<", 50, "{overall_rate} % of the input comes from the cache; longer sessions would raise it"),
+        ("outliers", ">", 5, "{outliers} requests cost more than three times the mean of {cost_per_request}; look for large files in them"),
+        ("daily", ">", 5, "A day costs {daily:.2f} on average; smaller files to read would lower it"),
+    ],
+    "queries": [
+        ("general_pct", ">", 30, "{general_pct} % of the questions have no known intent; add patterns, or make their topics easier to find"),
+        ("with_ids_pct", ">", 50, "{with_ids_pct} % of the questions name a story; keep criteria and solutions of every story full"),
+        ("recurring", ">", 0, "Asked again and again: {phrases}; an index or a page of answers would help"),
+    ],
+    "retrieval": [
+        ("mean_best", "<", 0.2, "The mean best match is {mean_best}; stories and questions use other words, so write the askers' words into the stories"),
+        ("gaps_pct", ">", 30, "{gaps_pct} % of the questions have no good match; write documents for the topics among them that recur"),
+        ("gap_terms", ">", 0, "Terms of questions without a match: {terms}"),
+        ("no_match", ">", 5, "{no_match} questions match nothing at all; they may be about something else"),
+        ("cost", ">", 1, "A request costs {cost:.2f} on average; reading single stories would lower it"),
+    ],
+}
+#: What is said when no limit is passed.
+NO_ADVICE = {"corpus": "Nothing critical is missing", "usage": "Usage looks sound", "queries": "Nothing critical in what is asked", "retrieval": "What is asked is covered"}

@@ -203,8 +203,8 @@ def cache_rate(cached: Column, fresh: Column) -> Column:
 
 def personas(text: Column) -> Column:
     """Roles of "As a ...": lower-cased, 3 to 50 characters, no descriptions of people."""
-    found = F.regexp_extract_all(text, F.lit(r"[Aa]s\s+(?:a|an)\s+([A-Za-z][A-Za-z\s/\-]{2,40}?)(?:\s*[,.]|\s+(?:I|i|we|We)\s)"), F.lit(1))
-    return F.array_distinct(F.filter(F.transform(found, lambda r: F.lower(F.trim(r))), lambda r: F.length(r).between(3, 50) & ~F.rlike(r, F.lit("user who|person who|member of"))))
+    found = F.regexp_extract_all(text, F.lit(fixed.PERSONA_PATTERN), F.lit(1))
+    return F.array_distinct(F.filter(F.transform(found, lambda r: F.lower(F.trim(r))), lambda r: F.length(r).between(3, 50) & ~F.rlike(r, F.lit(fixed.NOT_PERSONAS))))
 
 
 def acronyms(text: Column, whole: bool = False) -> Column:
@@ -215,7 +215,7 @@ def acronyms(text: Column, whole: bool = False) -> Column:
 
 def expansions(text: Column) -> Column:
     """(acronym, expansion) pairs in either order of "ABC (Words)" and "Words (ABC)", as they come."""
-    name = r"[A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,6}"
+    name = fixed.EXPANDED_NAME
     both = F.regexp_extract_all(text, F.lit(rf"[A-Z]{{2,5}}\s*\({name}\)|{name}\s*\([A-Z]{{2,5}}\)"), F.lit(0))
     pair = lambda m: F.struct(F.regexp_extract(m, r"\b([A-Z]{2,5})\b", 1).alias("acronym"), F.regexp_extract(m, rf"({name})", 1).alias("expansion"))
     return F.filter(F.transform(both, pair), lambda p: F.length(p["expansion"]) > 3)
@@ -223,7 +223,7 @@ def expansions(text: Column) -> Column:
 
 def title_gerunds(title: Column) -> Column:
     """Lower-cased words in -ing of a title, of five letters or more."""
-    bare = F.transform(F.split(F.coalesce(title, F.lit("")), r"\s+"), lambda w: F.lower(F.regexp_replace(w, r"^[,:;()\[\]\"']+|[,:;()\[\]\"']+$", "")))
+    bare = F.transform(F.split(F.coalesce(title, F.lit("")), r"\s+"), lambda w: F.lower(F.regexp_replace(w, fixed.WORD_MARKS, "")))
     return F.array_distinct(F.filter(bare, lambda w: F.endswith(w, F.lit("ing")) & (F.length(w) >= 5) & ~_in(w, fixed.NOT_PROCESSES)))
 
 

@@ -66,16 +66,13 @@ def top_cosine(queries: DataFrame, docs: DataFrame, q: str, d: str, k: int = 5,
     The second table has one row: postings (of the queries' terms, as often as queries have them) and read, of the essential ones.
     """
     nq, nd = norms(queries, q).where("norm > 0"), norms(docs, d).where("norm > 0")
-    y = written(queries.join(nq, q).select(q, "term", F.abs(F.col("w") / F.col("norm")).alias("y")).where("y > 0"))
-    asked = y.select("term").distinct()
-    x = docs.join(asked, "term").join(nd, d).select("term", d, F.abs(F.col("w") / F.col("norm")).alias("x"))
-    # in order of terms and impacts, so that the parts of a term that are read lie together
-    x = written(x.repartitionByRange("term", F.desc("x")).sortWithinPartitions("term", F.desc("x")))
+    y = queries.join(nq, q).select(q, "term", F.abs(F.col("w") / F.col("norm")).alias("y")).where("y > 0")
+    x = docs.join(queries.select("term").distinct(), "term", "left_semi").join(nd, d).select("term", d, F.abs(F.col("w") / F.col("norm")).alias("x"))
+    x = written(x)  # postings of the queries' terms only
     tops = x.groupBy("term").agg(F.max("x").alias("top"), F.count("*").alias("df"))
     by_bound = Window.partitionBy(q).orderBy("bound", "term")  # a query's own terms
     terms = y.join(tops, "term").withColumn("bound", F.col("y") * F.col("top"))
     terms = terms.withColumns({"so_far": F.sum("bound").over(by_bound), "place": F.row_number().over(Window.partitionBy(q).orderBy(F.desc("bound"), "term"))})
-    terms = written(terms)
     heads = stats.top_per_group(x, ["term"], [F.desc("x"), F.col(d)], k, "head")
     first = terms.where("place <= 3").select(q, "term").join(heads.select("term", d), "term").select(q, d).distinct()
     sure = first.join(x, d).join(y, [q, "term"]).groupBy(q, d).agg(F.sum(F.col("x") * F.col("y")).alias("s"))

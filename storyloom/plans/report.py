@@ -10,6 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storyloom.functions import fixed
 from storyloom.plans.parts import join_files, json_lines, text_parts
 
 
@@ -114,69 +115,39 @@ def spliced(text: str, heading: str, table: str) -> str:
     return "\n".join([*lines[: at + 1], "", table, "", *lines[end:]]).rstrip("\n") + "\n"
 
 
-def corpus_advice(sprints: list[dict[str, Any]], sections: dict[str, float], mean_quality: float, missing: int = 0, sparse: int = 0) -> list[str]:
-    """What to do about missing sections (``sections``: percent of stories by section), low quality, missing documents and thin files.
+def advice(kind: str, measures: dict[str, Any]) -> list[str]:
+    """What is advised for the measures that pass their limits; one that isn't known passes none."""
+    passed = lambda name, sense, limit: measures.get(name) is not None and (measures[name] < limit if sense == "<" else measures[name] > limit)
+    return [text.format(**measures) for name, sense, limit, text in fixed.ADVICE[kind] if passed(name, sense, limit)] or [fixed.NO_ADVICE[kind]]
 
-    Sections below 70 (criteria) and 60 percent (solutions) are named with the three worst sprints.
-    """
-    out = []
-    for name, key, least in (("Acceptance Criteria", "ac_pct", 70), ("Solution", "solution_pct", 60)):
-        share = sections.get(name, 0.0)
-        if share < least:
-            worst = sorted(sprints, key=lambda s: (s[key], s["sprint"]))[:3]
-            out.append(f"{name}: {round(100 - share)} % of the stories have none; fill in first: " + ", ".join(f"{s['sprint']} ({s[key]} %)" for s in worst))
-    if mean_quality < 60:
-        out.append(f"Mean quality is {mean_quality} of 100; start with the stories below 40")
-    if missing:
-        out.append(f"{missing} components of stories have no document; write those first that most stories name")
-    if sparse:
-        out.append(f"{sparse} stories have fewer than 500 bytes; fill them in or take them out")
-    return out or ["Nothing critical is missing"]
+
+def corpus_advice(sprints: list[dict[str, Any]], sections: dict[str, float], mean_quality: float, missing: int = 0, sparse: int = 0) -> list[str]:
+    """About missing sections (``sections``: percent of stories by section) with the three worst sprints, quality, missing documents and thin files."""
+    measures: dict[str, Any] = {"mean_quality": mean_quality, "missing": missing, "sparse": sparse}
+    for name, short in (("Acceptance Criteria", "ac"), ("Solution", "solution")):
+        share, key = sections.get(name, 0.0), f"{short}_pct"
+        worst = sorted(sprints, key=lambda s, key=key: (s[key], s["sprint"]))[:3]
+        measures |= {key: share, f"{short}_missing": round(100 - share), f"{short}_worst": ", ".join(f"{s['sprint']} ({s[key]} %)" for s in worst)}
+    return advice("corpus", measures)
 
 
 def usage_advice(overview: dict[str, Any], cache: dict[str, Any], outliers: int) -> list[str]:
-    """About the cache (below 50 %), requests of three times the mean cost (more than 5) and the daily cost (above 5)."""
-    out = []
-    if cache["overall_rate"] < 50:
-        out.append(f"{cache['overall_rate']} % of the input comes from the cache; longer sessions would raise it")
-    if outliers > 5:
-        out.append(f"{outliers} requests cost more than three times the mean of {overview['cost_per_request']}; look for large files in them")
+    """About the cache, requests of three times the mean cost and the daily cost."""
     daily = (overview.get("cost") or 0) / max(overview.get("days") or 1, 1)
-    if daily > 5:
-        out.append(f"A day costs {daily:.2f} on average; smaller files to read would lower it")
-    return out or ["Usage looks sound"]
+    return advice("usage", {"overall_rate": cache["overall_rate"], "outliers": outliers, "cost_per_request": overview["cost_per_request"], "daily": daily})
 
 
 def query_advice(distribution: list[dict[str, Any]], total: int, with_ids_pct: float, recurring: list[str]) -> list[str]:
-    """About questions of no known intent (more than 30 %), questions that name a story (more than 50 %) and recurring phrases."""
+    """About questions of no known intent, questions that name a story and recurring phrases."""
     general = sum(d["queries"] for d in distribution if d["intent"] == "general")
-    share = round(general / total * 100, 1) if total else 0.0
-    out = []
-    if share > 30:
-        out.append(f"{share} % of the questions have no known intent; add patterns, or make their topics easier to find")
-    if with_ids_pct > 50:
-        out.append(f"{with_ids_pct} % of the questions name a story; keep criteria and solutions of every story full")
-    if recurring:
-        out.append("Asked again and again: " + ", ".join(recurring[:3]) + "; an index or a page of answers would help")
-    return out or ["Nothing critical in what is asked"]
+    return advice("queries", {"general_pct": round(general / total * 100, 1) if total else 0.0, "with_ids_pct": with_ids_pct, "recurring": len(recurring), "phrases": ", ".join(recurring[:3])})
 
 
 def retrieval_advice(evaluation: dict[str, Any], gaps: int, gap_terms: list[str], cost_per_request: float | None = None) -> list[str]:
-    """About a low mean (below 0.2), gaps (more than 30 %), their terms, questions without any match (more than 5) and cost (above 1)."""
+    """About the mean best match, gaps and their terms, questions without any match and cost."""
     n = evaluation["queries"]
     share = round(gaps / n * 100, 1) if n else 0.0
-    out = []
-    if evaluation["mean_best"] < 0.2:
-        out.append(f"The mean best match is {evaluation['mean_best']}; stories and questions use other words, so write the askers' words into the stories")
-    if share > 30:
-        out.append(f"{share} % of the questions have no good match; write documents for the topics among them that recur")
-    if gap_terms:
-        out.append("Terms of questions without a match: " + ", ".join(gap_terms[:3]))
-    if evaluation["no_match"] > 5:
-        out.append(f"{evaluation['no_match']} questions match nothing at all; they may be about something else")
-    if cost_per_request is not None and cost_per_request > 1:
-        out.append(f"A request costs {cost_per_request:.2f} on average; reading single stories would lower it")
-    return out or ["What is asked is covered"]
+    return advice("retrieval", {"mean_best": evaluation["mean_best"], "no_match": evaluation["no_match"], "gaps_pct": share, "gap_terms": len(gap_terms), "terms": ", ".join(gap_terms[:3]), "cost": cost_per_request})
 
 
 def write_object_index(folder: str, objects: DataFrame, stories: DataFrame) -> dict[str, Any]:
