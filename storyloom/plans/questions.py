@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from storyloom.functions import fixed, stats
 from storyloom.functions import text as T
-from storyloom.operators import conversations, lookups, maps, profile, retrieval, topics
+from storyloom.operators import conversations, lookups, maps, profile, retrieval, sketches, topics
 from storyloom.operators.phrases import mentions
 from storyloom.plans import extraction
 from storyloom.plans.catalogue import EDGES, NAMED, QUANTILE, SCORE, WORDS, _intents_sql, as_stories, component_rows, named_objects, query, questions, quoted, referring, scored, table, tokens_sql
@@ -117,6 +117,16 @@ def epic_quality(spark, sf_dir):
     return maps.epic_quality(scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumn("epic", F.col("source")), score="score")
 
 
+@query("""SELECT event_type AS model, count(*) AS n, count(DISTINCT user_id) AS users, true AS close FROM events GROUP BY 1""")
+def users_by_sketch(spark, sf_dir):
+    """Users of each kind of event from daily sketches, beside the exact numbers: whether they are within four standard errors."""
+    rows = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), F.col("event_type").alias("model"), F.col("user_id").cast("string").alias("user"))
+    about = sketches.distinct_counts(sketches.merged(sketches.sketched(rows, ["day", "model"], ["user"]), ["model"]))
+    exact = rows.groupBy("model").agg(F.count_distinct("user").alias("users"))
+    near = F.abs(F.col("user") - F.col("users")) <= F.greatest(F.lit(2.0), 4 * sketches.distinct_error() * F.col("users"))
+    return exact.join(about, "model").select("model", "n", "users", near.alias("close"))
+
+
 # --- vocabulary -------------------------------------------------------------
 
 

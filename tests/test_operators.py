@@ -672,3 +672,22 @@ def test_a_large_transcript_is_read_in_ranges(spark, tmp_path):
             assert found.where("is_subagent").count() == 2
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_sketches_of_parts_are_sketches_of_all(spark):
+    from storyloom.operators import sketches
+
+    rows = spark.range(30_000).select((F.col("id") % 30).alias("day"), (F.xxhash64("id") % 7000).alias("user"), F.sqrt(F.col("id").cast("double")).alias("cost"))
+    rows = rows.unionByName(spark.createDataFrame([(3, None, None)], "day long, user long, cost double"))
+    days = sketches.sketched(rows, ["day"], ["user"], ["cost"])
+    whole = sketches.distinct_counts(sketches.sketched(rows.withColumn("all", F.lit(1)), ["all"], ["user"], ["cost"])).head()
+    parts = sketches.merged(days, [])
+    got = sketches.quantile(sketches.distinct_counts(parts), "cost", 0.9).head()
+    exact = rows.agg(F.count_distinct("user")).head()[0]
+    assert got["n"] == 30_001 and abs(got["user"] - whole["user"]) <= 0.01 * exact and abs(got["user"] - exact) <= 4 * sketches.distinct_error() * exact
+    rank = rows.where(F.col("cost") <= got["cost_q"]).count() / 30_000
+    assert abs(rank - 0.9) <= 2 * sketches.rank_error()
+    halves = [sketches.sketched(rows.where(c), ["day"], ["user"]) for c in ("user < 3000", "user >= 3000 or user is null")]
+    daily = sketches.distinct_counts(sketches.merged(halves[0].unionByName(halves[1]), ["day"]))
+    want = {r["day"]: r["u"] for r in rows.groupBy("day").agg(F.count_distinct("user").alias("u")).collect()}
+    assert all(abs(r["user"] - want[r["day"]]) <= max(2, 4 * sketches.distinct_error() * want[r["day"]]) for r in daily.collect())
