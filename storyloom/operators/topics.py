@@ -66,14 +66,18 @@ def clusters(counts: DataFrame, idf: DataFrame, key: str = "doc_id", least: int
     return first.groupBy("term", "docs").agg(F.array_sort(F.collect_list(key)).alias("examples"))
 
 
-def supported(pairs: DataFrame, value: str, key: str, least: int, k: int | None = None, examples: int = 5) -> DataFrame:
+def supported(pairs: DataFrame, value: str, key: str, least: int, k: int | None = None, examples: int = 5, ordinal: str | None = None) -> DataFrame:
     """Values found in ``least`` keys or more, with how many and the first keys.
 
-    Pairs are made distinct first; the examples are ranked, not gathered.
+    Pairs are made distinct first; the examples are ranked, not gathered.  Of equal numbers the ``k`` first by value are
+    taken, or, with an ``ordinal``, those that come first in the corpus.
     """
     each = pairs.select(value, key).distinct()
     counts = each.groupBy(value).agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    if k:
+    if k and ordinal:
+        place = pairs.groupBy(value).agg(F.min(ordinal).alias("__first"))
+        counts = counts.join(place, value).orderBy(F.desc("n"), "__first", value).limit(k).drop("__first")
+    elif k:
         counts = counts.orderBy(F.desc("n"), value).limit(k)
     first = stats.top_per_group(each.join(counts, value), [value], [F.col(key)], examples)
     return first.groupBy(value, "n").agg(F.array_sort(F.collect_list(key)).alias("examples"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -444,6 +445,33 @@ def build(
     return collected(extractor, batch, index)
 
 
+def build_all(
+    stories: DataFrame, templates: dict[str, str], extractor: Callable[[str], Extractor], order: list[str], folder: str, dry_run: bool = False, context: str = "", every: float = 10.0, most: float = 86_400.0, batches: dict[str, str] | None = None
+) -> dict[str, int]:
+    """All indexes that have a template, each by an extractor of its own, written to ``<folder>/<index>.json`` with its
+    faults in ``<index>.faults``; how many rows each has, or of a dry run how many requests.
+
+    Every index is submitted before any is waited for.  ``batches`` are the ids of those that an earlier run began.
+    """
+    unknown = set(templates) - set(INDEXES)
+    if unknown:
+        raise ValueError(f"no index {', '.join(sorted(unknown))}")
+    names = [n for n in INDEXES if n in templates]
+    asked = {n: requests(stories, n, templates[n], order, context=context) for n in names}
+    if dry_run:
+        return {n: asked[n].count() for n in names}
+    extractors = {n: extractor(n) for n in names}
+    begun = {n: extractors[n].resume(batches[n]) if batches and n in batches else extractors[n].submit(asked[n]) for n in names}
+    out = {}
+    for n in names:
+        if (state := wait(extractors[n], begun[n], every, most)) != "completed":
+            raise RuntimeError(f"{begun[n]} of {n} is {state}")
+        rows, faults = collected(extractors[n], begun[n], n)
+        faults.write.mode("overwrite").json(f"{folder}/{n}.faults")
+        out[n] = write_index(rows, n, f"{folder}/{n}.json")
+    return out
+
+
 def collected(extractor: Extractor, batch: str, index: str) -> tuple[DataFrame, DataFrame]:
     """The merged index of all rows that a batch gave, and custom_id, place, problems, row of those with any.
 

@@ -691,3 +691,25 @@ def test_sketches_of_parts_are_sketches_of_all(spark):
     daily = sketches.distinct_counts(sketches.merged(halves[0].unionByName(halves[1]), ["day"]))
     want = {r["day"]: r["u"] for r in rows.groupBy("day").agg(F.count_distinct("user").alias("u")).collect()}
     assert all(abs(r["user"] - want[r["day"]]) <= max(2, 4 * sketches.distinct_error() * want[r["day"]]) for r in daily.collect())
+
+
+def test_all_indexes_in_one_call(spark, tmp_path):
+    s = flat(spark, *({"story_id": f"A-{i:02d}", "summary": f"s{i}"} for i in range(50)))
+    answers = {"glossary": {"terms": [TERM]}, "story_summaries": {"summaries": [{"id": "A-01", "summary": "short"}]}}
+    templates = {"story_summaries": "S {{STORIES}}", "glossary": "G {{STORIES}}"}
+    from storyloom.schemas import INDEXES
+
+    made = lambda n: extraction.StubExtractor(json.dumps({INDEXES[n][0]: next(iter(answers[n].values()))}))
+    assert extraction.build_all(s, templates, made, ["story_id"], str(tmp_path), dry_run=True) == {"glossary": 2, "story_summaries": 4}
+    assert extraction.build_all(s, templates, made, ["story_id"], str(tmp_path), every=0.01) == {"glossary": 1, "story_summaries": 1}
+    assert json.load(open(tmp_path / "glossary.json"))["index_type"] == "glossary"
+    faults = spark.read.json(str(tmp_path / "story_summaries.faults"))
+    assert faults.count() == 4 and "summary is too short" in faults.head()["problems"]
+    with pytest.raises(ValueError, match="no index x"):
+        extraction.build_all(s, {"x": ""}, made, ["story_id"], str(tmp_path))
+
+
+def test_support_in_the_corpus_order(spark):
+    pairs = spark.createDataFrame([("b", "k1", 1), ("a", "k1", 2), ("b", "k2", 3), ("a", "k2", 4), ("c", "k1", 0)], "v string, k string, o int")
+    assert [r["v"] for r in topics.supported(pairs, "v", "k", 2, 1).collect()] == ["a"]
+    assert [(r["v"], r["n"], r["examples"]) for r in topics.supported(pairs, "v", "k", 2, 1, ordinal="o").collect()] == [("b", 2, ["k1", "k2"])]
