@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storyloom.functions import fixed, stats
 from storyloom.functions import text as T
 from storyloom.operators import topics
 from storyloom.operators.phrases import mentions
-from storyloom.tables import written
+from storyloom.tables import spread, written
 
 
 #: Terms of an idf table that is broadcast, at most: some 50 MB.
 VOCABULARY = 1_000_000
 
 
+def rows_of(key: str, text: str, stop: list[str]) -> list[Column]:
+    return [F.col(key), T.frequencies(T.terms(F.col(text), stop)).alias("terms")]
+
+
 def weights(docs: DataFrame, key: str, text: str, idf: DataFrame | None = None, stop: list[str] = fixed.STOP_WORDS["retrieval"]) -> tuple[DataFrame, DataFrame]:
     """Postings (key, term, w = tf * idf) and the idf table; terms without an idf are left out.
 
@@ -23,9 +27,9 @@ def weights(docs: DataFrame, key: str, text: str, idf: DataFrame | None = None,
     table of ``VOCABULARY`` terms or fewer is broadcast, so that a document's postings stay where it lies and its
     norm is added up there; a larger one is joined by term.
     """
-    rows = docs.select(key, T.frequencies(T.terms(F.col(text), stop)).alias("terms"))
+    rows = docs.select(*rows_of(key, text, stop))
     if idf is None:
-        rows = written(rows)
+        rows = written(spread(docs.select(key, text)).select(*rows_of(key, text, stop)))
     counts = rows.select(key, F.explode("terms").alias("t")).select(key, "t.term", "t.tf")
     if idf is None:
         idf = written(topics.idf_table(counts, topics.corpus_size(rows), None))
@@ -88,6 +92,18 @@ def top_cosine(queries: DataFrame, docs: DataFrame, q: str, d: str, k: int = 5,
     return matches(sims, None, q, d, k, least), reads
 
 
+#: Postings of the queries' terms, as often as queries have them, up to which scoring all of them costs least.
+PLAIN = 50_000_000
+
+
+def best(queries: DataFrame, docs: DataFrame, idf: DataFrame, q: str, d: str, k: int = 5, least: float = 0.01) -> DataFrame:
+    """The ``k`` best documents of each query by cosine: of few postings all are scored, of more the essential ones; the rows are the same."""
+    size = queries.join(idf.select("term", "df"), "term").agg(F.sum("df").alias("n")).head()["n"]
+    if (size or 0) <= PLAIN:
+        return matches(cosine(queries, docs, q, d), None, q, d, k, least)
+    return top_cosine(queries, docs, q, d, k, least)[0]
+
+
 def expanded(queries: DataFrame, q: str, text: str, acronyms: DataFrame, objects: DataFrame) -> DataFrame:
     """Queries with the meanings of the acronyms in them, each time that one occurs, and with names and labels of the objects they mention."""
     capitals = F.regexp_extract_all(text, F.lit("[A-Z]{2,5}"), F.lit(0))

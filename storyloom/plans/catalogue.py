@@ -17,6 +17,7 @@ from storyloom.functions import text as T
 from storyloom.operators import conversations, dedup, lookups, maps, profile, retrieval, topics, usage
 from storyloom.plans import extraction
 from storyloom.sources import html, stories, tables
+from storyloom.tables import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,7 +57,7 @@ TERMS = f"""
 
 def counted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, sf_dir, "documents")
-    return topics.term_counts(docs, "doc_id", "text", fixed.STOP_WORDS["base"], ["source"]), topics.corpus_size(docs)
+    return topics.term_counts(spread(docs.select("doc_id", "text", "source")), "doc_id", "text", fixed.STOP_WORDS["base"], ["source"]), topics.corpus_size(docs)
 
 
 # --- topics -----------------------------------------------------------------
@@ -96,7 +97,7 @@ def plural_folded_df(spark, sf_dir):
       WHERE length(w[i]) > 2 AND length(w[i + 1]) > 2 AND w[i] NOT IN ({quoted(fixed.STOP_WORDS["export"])}) AND w[i + 1] NOT IN ({quoted(fixed.STOP_WORDS["export"])}))
     SELECT bigram, count(*) AS docs FROM pairs GROUP BY bigram HAVING count(*) >= 5 ORDER BY docs DESC, bigram LIMIT 100""")
 def bigram_support(spark, sf_dir):
-    return topics.bigram_support(table(spark, sf_dir, "documents"))
+    return topics.bigram_support(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 @query("""WITH w AS (SELECT list_filter(regexp_extract_all(lower(text), '[a-zA-Z]{2,}'), lambda x: length(x) > 3) AS w FROM conversations)
@@ -440,7 +441,7 @@ def top_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, asked = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     postings, idf = retrieval.weights(docs, "doc_id", "text")
     questions, _ = retrieval.weights(asked, "item_id", "text", idf)
-    return retrieval.top_cosine(questions, postings, "item_id", "doc_id")[0]
+    return retrieval.best(questions, postings, idf, "item_id", "doc_id")
 
 
 @query(f"WITH {COSINE} SELECT item_id, doc_id, sim, rank FROM top")
@@ -448,6 +449,15 @@ def tfidf_cosine_topk(spark, sf_dir):
     return top_matches(spark, sf_dir)
 
 
+@query(f"WITH {COSINE} SELECT item_id, doc_id, sim, rank FROM top")
+def tfidf_cosine_essential(spark, sf_dir):
+    """The same rows from the postings of essential terms, as very many postings are read."""
+    docs, asked = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    postings, idf = retrieval.weights(docs, "doc_id", "text")
+    questions, _ = retrieval.weights(asked, "item_id", "text", idf)
+    return retrieval.top_cosine(questions, postings, "item_id", "doc_id")[0]
+
+
 @query(f"""WITH {COSINE} SELECT count(*) AS queries, round(avg(best), 4) AS mean_best, count(*) FILTER (best >= 0.5) AS excellent, count(*) FILTER (best >= 0.3 AND best < 0.5) AS good,
     count(*) FILTER (best >= 0.1 AND best < 0.3) AS partial, count(*) FILTER (best < 0.1) AS poor, count(*) FILTER (best = 0) AS no_match FROM best""")
 def retrieval_bands(spark, sf_dir):

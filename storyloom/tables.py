@@ -36,6 +36,15 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A table as it is scanned, or, if its files are too few to keep all cores at work, dealt to as many partitions.
+
+    A file of one row group is one task, whatever its size.  Tables of more parts than cores aren't shuffled.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+
+
 def running(rows: DataFrame, order: list[str | Column], value: Column, name: str) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over all rows up to each one in ``order``, which should leave no ties.
 
