@@ -13,7 +13,8 @@ its documents link each pair of ids.
 
 These partial counts are merged in Spark; each block then gets the counts of its
 own pairs back, one row for a pair and block however often it occurs, and sums
-them over units and documents.
+them over units and documents.  Rows of blocks are megabytes, so they are written
+in row groups of few and come to Python one block at a time.
 
 Texts that are null or empty, or that one of the tokenizers doesn't give back
 byte for byte, have no tokens.  Rows without an id and rows that repeat are rows
@@ -253,22 +254,26 @@ def counted(pairs: DataFrame) -> DataFrame:
 def align(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model", size: int = BLOCK) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every row of ``docs``."""
     scratch = Scratch(docs.sparkSession, "alignment")
-    blocks = scratch.table(blocks_of(docs, a, b, size), "blocks")
+    blocks = scratch.table(blocks_of(docs, a, b, size), "blocks", heavy=True)
     pairs = blocks.select("block", F.posexplode("pairs").alias("k", "pair")).select("block", "k", "pair.*")
     counts = scratch.table(counted(pairs), "counts")
-    met = pairs.join(counts, ["a", "b"]).groupBy("block").agg(F.sort_array(F.collect_list(F.struct("k", "count", "best"))).alias("met"))
-
-    def run(batches):
-        for batch in sliced(batches, 1):  # a block at a time
-            value = {c: batch.column(c)[0] for c in batch.schema.names}
-            flat, links, per = (np.frombuffer(value[c].as_py(), "<u4").astype(np.int64) for c in ("units", "links", "unit_links"))
-            met, sizes = value["met"].values, np.array(value["n_units"].values, dtype=np.int64)
-            own = lambda x: sums(sums(x[links], per)[flat], sizes) if met is not None and len(links) else np.zeros(len(sizes), np.int64)
-            count, best = (pc.struct_field(met, c).to_numpy(zero_copy_only=False).astype(np.int64) if met is not None else None for c in ("count", "best"))
-            yield pa.RecordBatch.from_arrays([value["doc_ids"].values, *(value[c].values for c in FIGURES), pa.array(own(best)), pa.array(own(count)), value["sha"].values], names=["doc_id", *FIGURES, "n_best", "count_sum", "groups_sha256"])
-
-    columns = ["doc_ids", "sha", *FIGURES, "n_units", "units", "links", "unit_links", "met"]
-    return blocks.drop("pairs").join(met, "block", "left").select(*columns).mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
+    met = pairs.join(counts, ["a", "b"]).select(F.col("block").alias("of"), "k", "count", "best")
+
+    def run(own: pa.Table, met: pa.Table) -> pa.Table:
+        """A block and the counts of its pairs: one block at a time is in memory, on either side of the pipe."""
+        value = {c: own.column(c).combine_chunks()[0] for c in own.column_names}
+        flat, links, per = (np.frombuffer(value[c].as_py(), "<u4").astype(np.int64) for c in ("units", "links", "unit_links"))
+        sizes = np.array(value["n_units"].values, dtype=np.int64)
+        count, best = np.zeros((2, met.num_rows), np.int64)
+        if met.num_rows:
+            place = met.column("k").to_numpy()
+            count[place], best[place] = met.column("count").to_numpy(), met.column("best").to_numpy()
+        per_doc = lambda x: sums(sums(x[links], per)[flat], sizes) if len(x) and len(links) else np.zeros(len(sizes), np.int64)
+        return pa.Table.from_arrays([value["doc_ids"].values, *(value[c].values for c in FIGURES), pa.array(per_doc(best)), pa.array(per_doc(count)), value["sha"].values], names=["doc_id", *FIGURES, "n_best", "count_sum", "groups_sha256"])
+
+    columns = ["block", "doc_ids", "sha", *FIGURES, "n_units", "units", "links", "unit_links"]
+    both = blocks.select(*columns).groupBy("block").cogroup(met.groupBy("of"))
+    return both.applyInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

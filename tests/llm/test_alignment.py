@@ -129,3 +129,20 @@ def test_units_are_encoded_as_in_whole_texts(text):
     assert [i for x in _aligner[0].a.encode(units) for i in x] == _aligner[0].a.encode([" " + text])[0]
     if "▁" not in text:  # such texts don't come back byte for byte and have no tokens
         assert [i for x in _aligner[0].b.encode(units) for i in x] == _aligner[0].b.encode([" " + text])[0]
+
+
+def test_blocks_are_written_and_read_few_at_a_time(spark):
+    """Rows of a block are megabytes: row groups are of few, whatever a task has."""
+    import glob
+
+    import numpy as np
+    import pyarrow.parquet as pq
+
+    from storyloom.llm.common import Scratch
+
+    noise = np.random.default_rng(1)
+    rows = spark.createDataFrame([(i, bytearray(noise.bytes(4 << 20))) for i in range(12)], "block long, units binary").coalesce(1)
+    scratch = Scratch(spark, "heavy")
+    assert scratch.table(rows, "blocks", heavy=True).agg(F.sum(F.length("units"))).head()[0] == 12 * (4 << 20)
+    groups = [pq.ParquetFile(f).metadata for f in glob.glob(scratch.path("blocks").removeprefix("file://").removeprefix("file:") + "/*.parquet")]
+    assert max(m.row_group(i).num_rows for m in groups for i in range(m.num_row_groups)) <= 6
