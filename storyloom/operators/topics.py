@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from storyloom.functions import fixed, stats
 from storyloom.functions import text as T
-from storyloom.operators.phrases import mentions
+from storyloom.operators.phrases import mentions, occurrences
 from storyloom.tables import written
 
 
@@ -146,16 +146,19 @@ def integration_support(docs: DataFrame, key: str, text: str, objects: DataFrame
 def object_mentions(docs: DataFrame, objects: DataFrame, key: str = "story_id", text: str = "text", span: str = "sprint") -> DataFrame:
     """key, span, api_name of every object that a text names.
 
-    One-word variants (five letters, no filler) join on the texts' words, longer
-    ones (eight letters) are looked for as phrases; see ``phrases.mentions``.
+    One-word variants (five letters, no filler) are looked for as whole words, longer
+    ones (eight letters) as phrases; see ``phrases.mentions``.
     """
     variants = written(objects.select("api_name", F.explode("search_variants").alias("variant")))
-    single = variants.where(~F.contains("variant", F.lit(" ")) & (F.length("variant") >= 5) & ~F.col("variant").isin(*fixed.COMMON_OBJECT_WORDS))
+    # words of a text are letters only, and lower-cased ones here
+    single = variants.where(F.rlike("variant", F.lit("^[a-z]+$")) & (F.length("variant") >= 5) & ~F.col("variant").isin(*fixed.COMMON_OBJECT_WORDS))
     phrase = variants.where(F.contains("variant", F.lit(" ")) & (F.length("variant") >= 8))
-    words = docs.select(F.col(key), F.col(span), F.explode(F.array_distinct(T.words(F.lower(text)))).alias("variant"))
-    hits = words.join(single, "variant").select(key, span, "api_name")
-    found = mentions(docs, key, text, phrase.withColumnRenamed("variant", "term")).join(phrase.withColumn("term", F.lower("variant")), "term")
-    return hits.unionByName(found.join(docs.select(key, span), key).select(key, span, "api_name")).distinct()
+    each = None
+    for own, words in ((single, True), (phrase, False)):
+        own = own.withColumn("term", F.lower("variant"))
+        found = occurrences(docs, key, text, own, keep=[span], words=words).join(own, "term").select(key, span, "api_name")
+        each = found if each is None else each.unionByName(found)
+    return each.distinct()
 
 
 def object_references(docs: DataFrame, objects: DataFrame, key: str = "story_id", text: str = "text", span: str = "sprint") -> DataFrame:
