@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from storyloom.functions import fixed, stats
 from storyloom.functions import text as T
 from storyloom.operators.phrases import mentions, occurrences
 from storyloom.tables import written
 
+#: Plurals that are broadcast, at most.
+PLURALS = 500_000
+#: Words of lower-cased texts.
+WORDS = re.compile("[a-zA-Z]{2,}")
+
 
 def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", stop: list[str] = fixed.STOP_WORDS["base"], keep: list[str] | None = None) -> DataFrame:
     """key, term, tf of each row of ``docs``, of which ``key`` is the key; ``keep`` are further columns of the document.
@@ -19,6 +28,30 @@ def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", stop:
     return docs.select(key, *(keep or []), F.explode(T.frequencies(T.terms(F.col(text), stop))).alias("t")).select(key, *(keep or []), "t.term", "t.tf")
 
 
+def term_rows(docs: DataFrame, key: str, text: str, stop: list[str]) -> DataFrame:
+    """key, terms (term, tf) of each row of ``docs``: the counts of ``term_counts`` as one array, found in Arrow batches."""
+    import pyarrow as pa
+
+    kind = pa.struct([("term", pa.string()), ("tf", pa.int64())])
+    left_out = frozenset(stop)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part, ends, terms, tfs = batch.slice(at, 500), [0], [], []
+                for low in part.column(1).to_pylist():
+                    for term, tf in Counter(WORDS.findall(low or "")).items():
+                        if len(term) > 2 and term not in left_out:
+                            terms.append(term)
+                            tfs.append(tf)
+                    ends.append(len(terms))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(terms, pa.string()), pa.array(tfs, pa.int64())], fields=list(kind)))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=[key, "terms"])
+
+    schema = StructType([docs.schema[key], StructField("terms", ArrayType(StructType([StructField("term", StringType()), StructField("tf", LongType())])))])
+    return docs.select(key, F.lower(text).alias("__low")).mapInArrow(run, schema)
+
+
 def idf_table(counts: DataFrame, n: DataFrame, noise: float | None = 0.8) -> DataFrame:
     """term, df, idf = ln(N / (1 + df)); terms in more than ``noise`` of the documents are left out."""
     return with_idf(counts.groupBy("term").agg(F.count("*").alias("df")), n, noise).select("term", "df", "idf")
@@ -36,10 +69,13 @@ def corpus_size(docs: DataFrame) -> DataFrame:
 
 def fold_plurals(counts: DataFrame) -> DataFrame:
     """Terms in -s, of four letters or more, whose singular occurs go under the singular."""
-    vocabulary = counts.select(F.col("term").alias("singular")).distinct()
-    cut = F.when(F.endswith("term", F.lit("s")) & (F.length("term") > 3), F.left("term", F.length("term") - 1))
-    joined = counts.withColumn("__cut", cut).join(vocabulary, F.col("__cut") == F.col("singular"), "left")
-    folded = joined.withColumn("term", F.coalesce("singular", "term")).drop("singular", "__cut")
+    # which terms fold is found on the vocabulary, so that rows of terms that don't never meet on one key
+    vocabulary = written(counts.select("term").distinct())
+    plurals = vocabulary.where(F.endswith("term", F.lit("s")) & (F.length("term") > 3)).select(F.col("term").alias("__plural"), F.left("term", F.length("term") - 1).alias("singular"))
+    plurals = written(plurals.join(vocabulary.select(F.col("term").alias("singular")), "singular"))
+    small = plurals.limit(PLURALS + 1).count() <= PLURALS
+    joined = counts.join(F.broadcast(plurals) if small else plurals, F.col("term") == F.col("__plural"), "left")
+    folded = joined.withColumn("term", F.coalesce("singular", "term")).drop("singular", "__plural")
     return folded.groupBy(*(c for c in counts.columns if c != "tf")).agg(F.sum("tf").alias("tf"))
 
 
