@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from storyloom.functions import fixed, stats
 from storyloom.functions import text as T
-from storyloom.operators import topics
+from storyloom.operators import scoring, topics
 from storyloom.operators.phrases import mentions
 from storyloom.tables import spread, written
 
 
+#: The scorer that a worker used last.
+_scorers: dict[str, scoring.Scorer] = {}
+
 #: Terms of an idf table that is broadcast, at most: some 50 MB.
 VOCABULARY = 1_000_000
 
@@ -27,9 +36,13 @@ def weights(docs: DataFrame, key: str, text: str, idf: DataFrame | None = None,
     table of ``VOCABULARY`` terms or fewer is broadcast, so that a document's postings stay where it lies and its
     norm is added up there; a larger one is joined by term.
     """
-    rows = docs.select(*rows_of(key, text, stop))
     if idf is None:
-        rows = written(spread(docs.select(key, text)).select(*rows_of(key, text, stop)))
+        return row_weights(written(topics.term_rows(spread(docs.select(key, text)), key, text, stop)), key)
+    return row_weights(docs.select(*rows_of(key, text, stop)), key, idf)
+
+
+def row_weights(rows: DataFrame, key: str, idf: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The same from rows of a text each (key, terms of term and tf)."""
     counts = rows.select(key, F.explode("terms").alias("t")).select(key, "t.term", "t.tf")
     if idf is None:
         idf = written(topics.idf_table(counts, topics.corpus_size(rows), None))
@@ -104,6 +117,86 @@ def best(queries: DataFrame, docs: DataFrame, idf: DataFrame, q: str, d: str, k:
     return top_cosine(queries, docs, q, d, k, least)[0]
 
 
+#: Postings of queries and queries that every worker may hold, so that documents are scored where they lie, at most.
+HELD, QUERIES = 1_000_000, 20_000
+
+
+def few(df: DataFrame, most: int) -> bool:
+    return df.limit(most + 1).count() <= most
+
+
+def keyed(rows: DataFrame, key: str) -> bool:
+    """Whether every row has a key of its own."""
+    n = rows.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.count_if(F.col(key).isNull()).alias("none")).head()
+    return (n["most"] or 0) <= 1 and not n["none"]
+
+
+def best_where_they_lie(rows: DataFrame, idf: DataFrame, queries: DataFrame, q: str, d: str, k: int, least: float, places: int, mean: float | None = None, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """(q, d, sim): each task's ``k`` best documents of each query by the rounded score, which hold the ``k`` best of all.
+
+    ``rows`` are a document each (d, terms of term and tf), ``idf`` has all terms, ``queries`` (q, term, y) the weights by which
+    scores are summed up.  Nothing but a task's best is shuffled.
+    """
+    sc = rows.sparkSession.sparkContext
+    vocabulary, asked = idf.select("term", "idf").toArrow(), queries.select(q, "term", "y").toArrow()
+    names = asked.column(q).combine_chunks().unique()
+    known = vocabulary.column("term").combine_chunks()
+    held = pc.is_in(asked.column("term").combine_chunks(), known).to_numpy(zero_copy_only=False)
+    place = lambda column, among: pc.index_in(column.combine_chunks(), among).to_numpy(zero_copy_only=False)[held].astype(np.int64)
+    table = (known, vocabulary.column("idf").to_numpy(), place(asked.column(q), names), place(asked.column("term"), known), asked.column("y").to_numpy()[held])
+    shared, name = sc.broadcast((table, names)), uuid.uuid4().hex
+
+    def run(batches):
+        (terms, *numbers), names = shared.value
+        if name not in _scorers:
+            _scorers.clear()
+            _scorers[name] = scoring.Scorer(terms.to_pylist(), *numbers, len(names), mean, k1, b)
+        scorer, best = _scorers[name], None
+        step = max(1, min(200, scoring.CELLS // max(len(names), 1)))
+        for batch in batches:
+            best = best or scoring.Best(batch.column(0).type, len(names), k, least, places)
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                best.add(part.column(0), scorer.scores(part.column(1)))
+        if best:
+            best.prune()
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(best.q)), best.d, pa.array(best.sim, pa.float64())], names=[q, d, "sim"])
+
+    return rows.select(d, "terms").mapInArrow(run, StructType([queries.schema[q], rows.schema[d], StructField("sim", DoubleType())]))
+
+
+def top_documents(docs: DataFrame, questions: DataFrame, q: str, d: str, q_text: str, d_text: str, k: int = 5, least: float = 0.01) -> DataFrame:
+    """The ``k`` best documents of each question by cosine, of texts.
+
+    Questions and vocabulary that a worker can hold are sent to the documents; else postings meet in joins, see ``best``.
+    """
+    rows = written(topics.term_rows(spread(docs.select(d, d_text)), d, d_text, fixed.STOP_WORDS["retrieval"]))
+    postings, idf = row_weights(rows, d)
+    asked, _ = weights(questions, q, q_text, idf)
+    asked = written(asked)
+    if not (few(idf, VOCABULARY) and few(asked, HELD) and few(asked.select(q).distinct(), QUERIES) and keyed(rows, d)):
+        return best(asked, postings, idf, q, d, k, least)
+    y = asked.join(norms(asked, q).where("norm > 0"), q).select(q, "term", (F.col("w") / F.col("norm")).alias("y"))
+    return matches(best_where_they_lie(rows, idf, y, q, d, k, least, 4), None, q, d, k, least)
+
+
+def top_bm25(docs: DataFrame, questions: DataFrame, q: str, d: str, q_text: str, d_text: str, k: int = 10, places: int = 6, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """The ``k`` best documents of each question by BM25, rounded, ties by document."""
+    rows = written(topics.term_rows(spread(docs.select(d, d_text)), d, d_text, fixed.STOP_WORDS["retrieval"]))
+    n = rows.agg(F.count("*").alias("n_docs"))
+    counts = rows.select(d, F.explode("terms").alias("t")).select(d, "t.term", "t.tf")
+    idf = counts.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(n)).select("term", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    idf = written(idf)
+    asked = written(questions.select(q, F.explode(F.array_distinct(T.terms(F.col(q_text)))).alias("term"), F.lit(1.0).alias("y")))
+    if few(idf, VOCABULARY) and few(asked, HELD) and few(asked.select(q).distinct(), QUERIES) and keyed(rows, d):
+        length = F.aggregate("terms", F.lit(0).cast("long"), lambda a, t: a + t["tf"])
+        mean = rows.where(F.size("terms") > 0).agg(F.avg(length).alias("avg_len")).head()["avg_len"] or 1.0
+        scores = best_where_they_lie(rows, idf, asked, q, d, k, 0.0, places, mean, k1, b).withColumnRenamed("sim", "score")
+    else:
+        scores = bm25(questions, docs, q, d, q_text, d_text, k1, b)
+    return stats.top_per_group(scores.withColumn("score", F.round("score", places)), [q], [F.desc("score"), F.col(d)], k)
+
+
 def expanded(queries: DataFrame, q: str, text: str, acronyms: DataFrame, objects: DataFrame) -> DataFrame:
     """Queries with the meanings of the acronyms in them, each time that one occurs, and with names and labels of the objects they mention."""
     capitals = F.regexp_extract_all(text, F.lit("[A-Z]{2,5}"), F.lit(0))

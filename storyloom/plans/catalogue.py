@@ -438,10 +438,7 @@ COSINE = cosine_sql()
 
 
 def top_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, asked = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    postings, idf = retrieval.weights(docs, "doc_id", "text")
-    questions, _ = retrieval.weights(asked, "item_id", "text", idf)
-    return retrieval.best(questions, postings, idf, "item_id", "doc_id")
+    return retrieval.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "item_id", "doc_id", "text", "text")
 
 
 @query(f"WITH {COSINE} SELECT item_id, doc_id, sim, rank FROM top")

@@ -204,8 +204,7 @@ BM25 = f"""counts AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, u
 
 def bm25_top(spark, sf_dir: str) -> DataFrame:
     docs, asked = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").withColumnRenamed("text", "q_text")
-    scores = retrieval.bm25(asked, docs, "item_id", "doc_id", "q_text", "text").withColumn("score", F.round("score", 6))
-    return stats.top_per_group(scores, ["item_id"], [F.desc("score"), F.col("doc_id")], 10)
+    return retrieval.top_bm25(docs, asked, "item_id", "doc_id", "q_text", "text")
 
 
 @query(f"WITH {BM25} SELECT item_id, doc_id, score, rank FROM bm_top")
