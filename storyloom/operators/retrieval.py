@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from storyloom.functions import fixed, stats
 from storyloom.functions import text as T
 from storyloom.operators import scoring, topics
-from storyloom.operators.phrases import mentions
+from storyloom.operators.phrases import BOUND, dictionary, mentions
 from storyloom.tables import spread, written
 
 
@@ -131,23 +131,24 @@ def keyed(rows: DataFrame, key: str) -> bool:
     return (n["most"] or 0) <= 1 and not n["none"]
 
 
-def best_where_they_lie(rows: DataFrame, idf: DataFrame, queries: DataFrame, q: str, d: str, k: int, least: float, places: int, mean: float | None = None, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+def best_where_they_lie(rows: DataFrame, idf: DataFrame, queries: DataFrame, q: str, d: str, k: int, least: float, places: int, mean: float | None = None, k1: float = 1.2, b: float = 0.75, boosts: Entries | None = None) -> DataFrame:
     """(q, d, sim): each task's ``k`` best documents of each query by the rounded score, which hold the ``k`` best of all.
 
     ``rows`` are a document each (d, terms of term and tf), ``idf`` has all terms, ``queries`` (q, term, y) the weights by which
-    scores are summed up.  Nothing but a task's best is shuffled.
+    scores are summed up.  With ``boosts``, whose terms' numbers a row has as ``found``, these are added.  Nothing but a task's
+    best is shuffled.
     """
     sc = rows.sparkSession.sparkContext
     vocabulary, asked = idf.select("term", "idf").toArrow(), queries.select(q, "term", "y").toArrow()
-    names = asked.column(q).combine_chunks().unique()
+    names = asked.column(q).combine_chunks().unique() if boosts is None else pa.concat_arrays([asked.column(q).combine_chunks(), boosts.q]).unique()
     known = vocabulary.column("term").combine_chunks()
     held = pc.is_in(asked.column("term").combine_chunks(), known).to_numpy(zero_copy_only=False)
     place = lambda column, among: pc.index_in(column.combine_chunks(), among).to_numpy(zero_copy_only=False)[held].astype(np.int64)
     table = (known, vocabulary.column("idf").to_numpy(), place(asked.column(q), names), place(asked.column("term"), known), asked.column("y").to_numpy()[held])
-    shared, name = sc.broadcast((table, names)), uuid.uuid4().hex
+    shared, name = sc.broadcast((table, names, boosts.scorer(names) if boosts else None)), uuid.uuid4().hex
 
     def run(batches):
-        (terms, *numbers), names = shared.value
+        (terms, *numbers), names, more = shared.value
         if name not in _scorers:
             _scorers.clear()
             _scorers[name] = scoring.Scorer(terms.to_pylist(), *numbers, len(names), mean, k1, b)
@@ -157,27 +158,31 @@ def best_where_they_lie(rows: DataFrame, idf: DataFrame, queries: DataFrame, q:
             best = best or scoring.Best(batch.column(0).type, len(names), k, least, places)
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                best.add(part.column(0), scorer.scores(part.column(1)))
+                scores = scorer.scores(part.column(1))
+                best.add(part.column(0), scores + more.scores(part.column(2)) if more else scores)
         if best:
             best.prune()
             yield pa.RecordBatch.from_arrays([names.take(pa.array(best.q)), best.d, pa.array(best.sim, pa.float64())], names=[q, d, "sim"])
 
-    return rows.select(d, "terms").mapInArrow(run, StructType([queries.schema[q], rows.schema[d], StructField("sim", DoubleType())]))
+    return rows.select(d, "terms", *(["found"] if boosts else [])).mapInArrow(run, StructType([queries.schema[q], rows.schema[d], StructField("sim", DoubleType())]))
 
 
-def top_documents(docs: DataFrame, questions: DataFrame, q: str, d: str, q_text: str, d_text: str, k: int = 5, least: float = 0.01) -> DataFrame:
-    """The ``k`` best documents of each question by cosine, of texts.
+def top_documents(docs: DataFrame, questions: DataFrame, q: str, d: str, q_text: str, d_text: str, k: int = 5, least: float = 0.01, entries: DataFrame | None = None) -> DataFrame:
+    """The ``k`` best documents of each question by cosine, of texts, and the boost by ``entries`` of questions if there are any.
 
-    Questions and vocabulary that a worker can hold are sent to the documents; else postings meet in joins, see ``best``.
+    Questions, vocabulary and entries that a worker can hold are sent to the documents; else postings meet in joins, see ``best``.
     """
-    rows = written(topics.term_rows(spread(docs.select(d, d_text)), d, d_text, fixed.STOP_WORDS["retrieval"]))
+    boosts = held(entries, q) if entries is not None else None
+    rows = written(topics.term_rows(spread(docs.select(d, d_text)), d, d_text, fixed.STOP_WORDS["retrieval"], boosts.terms if boosts else None))
     postings, idf = row_weights(rows, d)
     asked, _ = weights(questions, q, q_text, idf)
     asked = written(asked)
-    if not (few(idf, VOCABULARY) and few(asked, HELD) and few(asked.select(q).distinct(), QUERIES) and keyed(rows, d)):
+    if not (few(idf, VOCABULARY) and few(asked, HELD) and few(asked.select(q).distinct(), QUERIES) and keyed(rows, d)) or entries is not None and not boosts:
+        if entries is not None:
+            return matches(cosine(asked, postings, q, d), joined_boost(entries, docs, q, d, d_text), q, d, k, least)
         return best(asked, postings, idf, q, d, k, least)
     y = asked.join(norms(asked, q).where("norm > 0"), q).select(q, "term", (F.col("w") / F.col("norm")).alias("y"))
-    return matches(best_where_they_lie(rows, idf, y, q, d, k, least, 4), None, q, d, k, least)
+    return matches(best_where_they_lie(rows, idf, y, q, d, k, least, 4, boosts=boosts), None, q, d, k, least)
 
 
 def top_bm25(docs: DataFrame, questions: DataFrame, q: str, d: str, q_text: str, d_text: str, k: int = 10, places: int = 6, k1: float = 1.2, b: float = 0.75) -> DataFrame:
@@ -208,15 +213,74 @@ def expanded(queries: DataFrame, q: str, text: str, acronyms: DataFrame, objects
     return queries.join(extra, q, "left").withColumn(text, F.concat_ws(" ", text, "more")).drop("more")
 
 
-def boost(queries: DataFrame, docs: DataFrame, q: str, d: str, q_text: str, d_text: str, terms: DataFrame, most: float = 0.15) -> DataFrame:
-    """(q, d, boost): min(most, shared / in query * most) over taxonomy terms of the query that the document has, too.
+#: The greatest boost.
+BOOST = 0.15
+
+
+class Entries:
+    """Taxonomy entries (tax, also) of queries, on the driver to be sent to all workers: rows of q, tax, also."""
+
+    def __init__(self, rows: pa.Table, q: str, most: float):
+        pairs = list(zip(rows.column("tax").to_pylist(), rows.column("also").to_pylist()))
+        self.entries, self.q, self.most = list(dict.fromkeys(pairs)), rows.column(q).combine_chunks(), most
+        number = {e: i for i, e in enumerate(self.entries)}
+        self.entry = np.array([number[p] for p in pairs], np.int64)
+        self.terms = self.scorer(self.q.unique()).terms
+
+    def scorer(self, names: pa.Array) -> scoring.Boosts:
+        """By the places of queries in ``names``."""
+        return scoring.Boosts(self.entries, pc.index_in(self.q, names).to_numpy(zero_copy_only=False).astype(np.int64), self.entry, len(names), self.most)
 
-    ``terms``: term and, if there is one, also (an acronym's meaning, which counts in the document as well).  Only terms
-    that some query has are looked for in documents, each side is matched by itself, and the two meet on the term.
+
+def entries_of(queries: DataFrame, q: str, q_text: str, terms: DataFrame) -> DataFrame:
+    """q, tax, also: the taxonomy terms that a query has, once each.
+
+    ``terms``: term and, if there is one, also (an acronym's meaning, which counts in the document as well).
     """
     also = F.lower("also") if "also" in terms.columns else F.lit(None).cast("string")
     entries = terms.select(F.lower("term").alias("tax"), also.alias("also")).where("tax <> ''").distinct()
-    in_q = mentions(queries, q, q_text, entries.withColumnRenamed("tax", "term")).join(entries, F.col("term") == F.col("tax")).select(q, "tax", "also")
+    return written(mentions(queries, q, q_text, entries.withColumnRenamed("tax", "term")).join(entries, F.col("term") == F.col("tax")).select(q, "tax", "also"))
+
+
+def held(entries: DataFrame, q: str, most: float = BOOST) -> Entries | None:
+    """What all workers are sent, or none if it is more than they may hold."""
+    rows = entries.where(F.col(q).isNotNull())
+    size = F.sum((F.length("tax") + F.coalesce(F.length("also"), F.lit(0))).cast("long"))
+    fits = few(rows, HELD) and few(rows.select(q).distinct(), QUERIES) and (rows.select("tax", "also").distinct().agg(size.alias("n")).head()["n"] or 0) <= BOUND
+    return Entries(rows.toArrow(), q, most) if fits else None
+
+
+def boost(queries: DataFrame, docs: DataFrame, q: str, d: str, q_text: str, d_text: str, terms: DataFrame, most: float = BOOST) -> DataFrame:
+    """(q, d, boost): min(most, shared / in query * most) over taxonomy terms of the query that the document has, too.
+
+    Only terms that some query has are looked for in documents, and boosts are made where a document lies; if workers can't
+    hold the terms or documents share an id, both sides meet in a join.
+    """
+    entries = entries_of(queries, q, q_text, terms)
+    asked = held(entries, q, most)
+    if not asked or not keyed(docs, d):
+        return joined_boost(entries, docs, q, d, d_text, most)
+    names = asked.q.unique()
+    shared, name, step = docs.sparkSession.sparkContext.broadcast((asked.scorer(names), names)), uuid.uuid4().hex, max(1, min(200, scoring.CELLS // max(len(names), 1)))
+
+    def run(batches):
+        scorer, names = shared.value
+        table = dictionary(name, pa.array(scorer.terms, pa.string()))
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                rows, numbers = table.each(part.column(1).to_pylist())
+                found = pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(part.num_rows + 1)), pa.int32()), pa.array(numbers, pa.int32()))
+                scores = scorer.scores(found)
+                doc, query = np.nonzero(scores)
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(query)), part.column(0).take(pa.array(doc)), pa.array(scores[doc, query], pa.float64())], names=[q, d, "boost"])
+
+    low = spread(docs.select(d, F.lower(F.coalesce(d_text, F.lit(""))).alias("__low")))
+    return low.mapInArrow(run, StructType([queries.schema[q], docs.schema[d], StructField("boost", DoubleType())]))
+
+
+def joined_boost(in_q: DataFrame, docs: DataFrame, q: str, d: str, d_text: str, most: float = BOOST) -> DataFrame:
+    """The same from the queries' entries: each side is matched by itself, and the two meet on the term."""
     asked = in_q.select("tax", "also").distinct().select("tax", "also", F.explode(F.array_distinct(F.array_compact(F.array("tax", "also")))).alias("term"))
     in_d = mentions(docs, d, d_text, asked).join(asked, "term").select(d, F.col("tax").alias("found"), F.col("also").alias("found_also")).distinct()
     checks = in_q.groupBy(q).agg(F.count("*").alias("checks"))

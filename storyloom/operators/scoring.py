@@ -61,6 +61,47 @@ class Scorer:
         return out.reshape(len(sizes), self.queries)
 
 
+class Lists:
+    """The values of each number from 0 to ``n``, one after another."""
+
+    def __init__(self, number: np.ndarray, value: np.ndarray, n: int):
+        self.value, self.ends = value[np.argsort(number, kind="stable")], np.cumsum(np.bincount(number, minlength=n))
+
+    def of(self, numbers: np.ndarray):
+        """The place in ``numbers`` and a value of the number there, in arrays of some ``PAIRS``."""
+        many = self.ends[numbers] - np.where(numbers > 0, self.ends[numbers - 1], 0)
+        edges = np.searchsorted(np.cumsum(many), np.arange(0, int(many.sum()) + PAIRS, PAIRS), "left")
+        for lo, hi in zip(edges, [*edges[1:], len(many)]):
+            n = many[lo:hi]
+            yield np.repeat(np.arange(lo, hi), n), self.value[np.repeat(self.ends[numbers[lo:hi]] - n, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+
+
+class Boosts:
+    """min(most, shared / asked * most): ``asked`` are the entries of a query, ``shared`` those that a document has, too.
+
+    An entry is a pair of terms of which a document has one or both; ``q`` and ``entry`` say which query has which, each once.
+    """
+
+    def __init__(self, entries: list[tuple[str, str | None]], q: np.ndarray, entry: np.ndarray, queries: int, most: float):
+        self.terms, self.queries, self.most, self.entries = list(dict.fromkeys(t for e in entries for t in e if t)), queries, most, len(entries)
+        number = {t: i for i, t in enumerate(self.terms)}
+        links = np.array([(number[t], i) for i, e in enumerate(entries) for t in e if t], np.int64).reshape(-1, 2)
+        self.of_term, self.of_entry = Lists(links[:, 0], links[:, 1], len(self.terms)), Lists(entry, q, len(entries))
+        self.asked = np.maximum(np.bincount(q, minlength=queries), 1)
+
+    def scores(self, lists: pa.Array) -> np.ndarray:
+        """A row of boosts for each document of ``lists``, the numbers of ``terms`` in it."""
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        term = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *(doc[at] * self.entries + e for at, e in self.of_term.of(term))]))
+        doc, entry = pairs // max(self.entries, 1), pairs % max(self.entries, 1)
+        shared = np.zeros(len(sizes) * self.queries)
+        for at, q in self.of_entry.of(entry):
+            np.add.at(shared, doc[at] * self.queries + q, 1)
+        return np.minimum(self.most, shared.reshape(len(sizes), self.queries) / self.asked * self.most)
+
+
 class Best:
     """The ``k`` best (query, document, score) of each query above ``least``: by the rounded score, then by document."""
 

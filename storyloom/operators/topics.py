@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from storyloom.functions import fixed, stats
 from storyloom.functions import text as T
-from storyloom.operators.phrases import mentions, occurrences
+from storyloom.operators.phrases import dictionary, mentions, occurrences
 from storyloom.tables import written
 
 #: Plurals that are broadcast, at most.
@@ -28,27 +30,38 @@ def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", stop:
     return docs.select(key, *(keep or []), F.explode(T.frequencies(T.terms(F.col(text), stop))).alias("t")).select(key, *(keep or []), "t.term", "t.tf")
 
 
-def term_rows(docs: DataFrame, key: str, text: str, stop: list[str]) -> DataFrame:
-    """key, terms (term, tf) of each row of ``docs``: the counts of ``term_counts`` as one array, found in Arrow batches."""
+def term_rows(docs: DataFrame, key: str, text: str, stop: list[str], named: list[str] | None = None) -> DataFrame:
+    """key, terms (term, tf) of each row of ``docs``: the counts of ``term_counts`` as one array, found in Arrow batches.
+
+    With ``named``, lower-cased terms that workers can hold, also found: the numbers of those that stand in the text.
+    """
     import pyarrow as pa
 
     kind = pa.struct([("term", pa.string()), ("tf", pa.int64())])
     left_out = frozenset(stop)
+    shared, name = docs.sparkSession.sparkContext.broadcast(pa.array(named, pa.string())) if named is not None else None, uuid.uuid4().hex
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part, ends, terms, tfs = batch.slice(at, 500), [0], [], []
-                for low in part.column(1).to_pylist():
+                texts = part.column(1).to_pylist()
+                for low in texts:
                     for term, tf in Counter(WORDS.findall(low or "")).items():
                         if len(term) > 2 and term not in left_out:
                             terms.append(term)
                             tfs.append(tf)
                     ends.append(len(terms))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(terms, pa.string()), pa.array(tfs, pa.int64())], fields=list(kind)))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=[key, "terms"])
+                if shared:
+                    rows, numbers = dictionary(name, shared.value).each([low or "" for low in texts])
+                    found = pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(len(texts) + 1)), pa.int32()), pa.array(numbers, pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, *([found] if shared else [])], names=names)
 
     schema = StructType([docs.schema[key], StructField("terms", ArrayType(StructType([StructField("term", StringType()), StructField("tf", LongType())])))])
+    if shared:
+        schema.add("found", ArrayType(IntegerType()))
+    names = schema.names
     return docs.select(key, F.lower(text).alias("__low")).mapInArrow(run, schema)
 
 

@@ -124,8 +124,12 @@ class Dictionary:
         text, start, term, size = self.candidates(texts)
         if not len(text):
             return text, term
-        cut = [texts[i][s : s + n] for i, s, n in zip(text.tolist(), start.tolist(), size.tolist())]
-        same = pc.equal(self.terms.take(pa.array(term)), pa.array(cut, self.terms.type)).to_numpy(zero_copy_only=False)
+        if not words:
+            # a term's first place in a text tells for all, unless another string of its hash stands there
+            first = np.unique(text * np.int64(len(self.terms)) + term, return_index=True)[1]
+            if self.same(texts, text[first], start[first], term[first], size[first]).all():
+                return text[first], term[first]
+        same = self.same(texts, text, start, term, size)
         if words:
             # where a piece goes on, the piece beside it sees this place from inside
             before = lambda i, s: words[i][0] if s == 0 else texts[i][s - 1].isascii() and texts[i][s - 1].isalpha()
@@ -134,6 +138,20 @@ class Dictionary:
         key = np.unique(text[same] * np.int64(len(self.terms)) + term[same])
         return key // len(self.terms), key % len(self.terms)
 
+    def same(self, texts: list[str], text: np.ndarray, start: np.ndarray, term: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the term stands there."""
+        cut = [texts[i][s : s + n] for i, s, n in zip(text.tolist(), start.tolist(), size.tolist())]
+        return pc.equal(self.terms.take(pa.array(term)), pa.array(cut, self.terms.type)).to_numpy(zero_copy_only=False)
+
+    def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """text, term of each term that stands in a text, once, in their order, of any number of texts."""
+        keys = [np.zeros(0, np.int64)]
+        for numbers, pieces, _ in self.slices(texts):
+            text, term = self.found(pieces)
+            keys.append(np.array(numbers, np.int64)[text] * len(self.terms) + term)
+        key = np.unique(np.concatenate(keys))
+        return key // max(len(self.terms), 1), key % max(len(self.terms), 1)
+
     def slices(self, texts: list[str]):
         """Numbers of texts, pieces of them and whether these go on before and after, in lists of some ``CHARS``.
 

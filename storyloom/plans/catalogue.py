@@ -487,14 +487,10 @@ def taxonomy(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
     return acronyms, objects, acronyms.select(F.col("acronym").alias("term"), F.col("meaning").alias("also")).unionByName(more, allowMissingColumns=True)
 
 
-def boosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = table(spark, sf_dir, "benchmark").withColumnRenamed("text", "q_text")
-    return retrieval.boost(asked, table(spark, sf_dir, "documents"), "item_id", "doc_id", "q_text", "text", taxonomy(spark, sf_dir)[2])
-
-
 @query(f"WITH {TAXONOMY} SELECT item_id, doc_id, round(boost, 6) AS boost FROM boosts")
 def taxonomy_boost(spark, sf_dir):
-    return boosts(spark, sf_dir).withColumn("boost", F.round("boost", 6))
+    docs, asked = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return retrieval.boost(asked, docs, "item_id", "doc_id", "text", "text", taxonomy(spark, sf_dir)[2]).withColumn("boost", F.round("boost", 6))
 
 
 EXPANDED = """a AS (SELECT item_id, meaning AS more FROM (SELECT item_id, unnest(regexp_extract_all(text, '[A-Z]{2,5}')) AS acronym FROM benchmark) JOIN acronyms USING (acronym)),
@@ -506,10 +502,9 @@ EXPANDED = """a AS (SELECT item_id, meaning AS more FROM (SELECT item_id, unnest
 def retrieval_with_taxonomy(spark, sf_dir):
     """The reference's whole ranking: expanded questions, cosine, boost by the taxonomy."""
     docs, asked = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    acronyms, objects, _ = taxonomy(spark, sf_dir)
-    postings, idf = retrieval.weights(docs, "doc_id", "text")
-    questions, _ = retrieval.weights(retrieval.expanded(asked, "item_id", "text", acronyms, objects), "item_id", "text", idf)
-    return retrieval.matches(retrieval.cosine(questions, postings, "item_id", "doc_id"), boosts(spark, sf_dir), "item_id", "doc_id")
+    acronyms, objects, terms = taxonomy(spark, sf_dir)
+    questions = retrieval.expanded(asked, "item_id", "text", acronyms, objects)
+    return retrieval.top_documents(docs, questions, "item_id", "doc_id", "text", "text", entries=retrieval.entries_of(asked, "item_id", "text", terms))
 
 
 @query(f"WITH {COSINE}, gap AS (SELECT item_id FROM best WHERE best < 0.5) SELECT term, count(*) AS n FROM (SELECT unnest({tokens_sql('text', 'retrieval')}) AS term FROM benchmark JOIN gap USING (item_id)) GROUP BY term ORDER BY n DESC, term LIMIT 20")

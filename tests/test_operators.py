@@ -713,3 +713,39 @@ def test_support_in_the_corpus_order(spark):
     pairs = spark.createDataFrame([("b", "k1", 1), ("a", "k1", 2), ("b", "k2", 3), ("a", "k2", 4), ("c", "k1", 0)], "v string, k string, o int")
     assert [r["v"] for r in topics.supported(pairs, "v", "k", 2, 1).collect()] == ["a"]
     assert [(r["v"], r["n"], r["examples"]) for r in topics.supported(pairs, "v", "k", 2, 1, ordinal="o").collect()] == [("b", 2, ["k1", "k2"])]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_boosts_where_documents_lie(spark, monkeypatch, seed):
+    """The same boosts and rows as by joins, from a plan without any join of documents and queries."""
+    from storyloom.operators import scoring, windows
+
+    rng = random.Random(seed)
+    monkeypatch.setattr(scoring, "PAIRS", 7)
+    words = ["claim", "network", "ledger", "al", "alb", "pay", "notes", "zed"]
+    docs = [(i, " ".join(rng.choices(words + ["x"], k=rng.randrange(9)))) for i in range(120)] + [(900, None), (901, ""), (902, "Claim Network")]
+    asked = [(i, " ".join(rng.choices(words, k=rng.randrange(1, 5)))) for i in range(12)] + [(90, ""), (91, None)]
+    terms = spark.createDataFrame([("AL", "network"), ("al", "ledger"), ("claim", None), ("pay", "pay"), ("zed", ""), ("zed", "nowhere"), ("", "x")], "term string, also string")
+    d, a = spark.createDataFrame(docs, "d long, text string"), spark.createDataFrame(asked, "q long, text string")
+    entries = retrieval.entries_of(a, "q", "text", terms)
+    got = retrieval.boost(a, d, "q", "d", "text", "text", terms)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    joined = retrieval.joined_boost(entries, d, "q", "d", "text")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, joined.collect())) and got.columns == joined.columns
+    postings, idf = retrieval.weights(d, "d", "text")
+    want = retrieval.matches(retrieval.cosine(retrieval.weights(a, "q", "text", idf)[0], postings, "q", "d"), joined, "q", "d")
+    top = retrieval.top_documents(d, a, "q", "d", "text", "text", entries=entries)
+    assert "Join" not in top._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, top.collect())) == sorted(map(tuple, want.collect()))
+    # documents that share an id, and more entries than workers may hold, go by joins
+    twice = d.unionByName(d.limit(20))
+    assert sorted(map(tuple, retrieval.boost(a, twice, "q", "d", "text", "text", terms).collect())) == sorted(map(tuple, retrieval.joined_boost(entries, twice, "q", "d", "text").collect()))
+    monkeypatch.setattr(retrieval, "BOUND", 5)
+    assert sorted(map(tuple, retrieval.top_documents(d, a, "q", "d", "text", "text", entries=entries).collect())) == sorted(map(tuple, want.collect()))
+    # of many places of a term in a text one is compared
+    compared = []
+    same = windows.Dictionary.same
+    monkeypatch.setattr(windows.Dictionary, "same", lambda self, texts, text, *x: compared.append(len(text)) or same(self, texts, text, *x))
+    import pyarrow as pa
+
+    assert [x.tolist() for x in windows.Dictionary(pa.array(["al", "zz"])).each(["al" * 1000, "", "zz al"])] == [[0, 2, 2], [0, 0, 1]] and sum(compared) == 3
