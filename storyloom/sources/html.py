@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
+from html import unescape
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,11 +73,41 @@ class IssueTable(HTMLParser):
         self.cell = None
 
 
+#: A plain tag with the text after it: lower-case names, attributes in quotes without references.
+TAG = re.compile(r"""(<(/?)([a-z][a-z0-9]*)((?:\s+[a-z][a-z0-9-]*=(?:"[^"<>&]*"|'[^'<>&]*'))*)\s*(/?)>([^<]*))""", re.ASCII)
+ATTRIBUTE = re.compile(r"""([a-z][a-z0-9-]*)=(?:"([^"]*)"|'([^']*)')""")
+#: Elements whose content isn't markup.
+RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext"}
+
+
+@lru_cache(4096)
+def attributes(text: str) -> list[tuple[str, str]]:
+    return [(name, a or b) for name, a, b in ATTRIBUTE.findall(text)]
+
+
+def plain_tags(html: str) -> list[tuple] | None:
+    """The page's tags if all of it is plain markup and text; none if it needs the parser."""
+    tags = TAG.findall(html)
+    first = html.find("<")
+    whole = (len(html) if first < 0 else first) + sum(len(t[0]) for t in tags) == len(html)
+    return tags if whole and not any(t[2] in RAW or t[1] and (t[3] or t[4]) for t in tags) else None
+
+
 def cells_of(html: str, rich: bool) -> list[tuple[int, list[dict]]]:
     """Rows of a page's issue tables, from 1, with the class and content of each cell."""
     parser = IssueTable(rich)
-    parser.feed(html)
-    parser.close()
+    tags = plain_tags(html)
+    if tags is None:
+        parser.feed(html)
+        parser.close()
+    else:  # the same calls, without looking for anything but plain tags
+        for _, end, tag, given, _, data in tags:
+            if end:
+                parser.handle_endtag(tag)
+            else:
+                parser.handle_starttag(tag, attributes(given) if given else [])
+            if data and parser.cell is not None:
+                parser.handle_data(unescape(data) if "&" in data else data)
     return list(enumerate(parser.rows, 1))
 
 
@@ -152,7 +184,7 @@ def fields_hinted(rows: DataFrame, id_pattern: str = T.STORY_ID, hints: dict[str
     """
     hints = hints or fixed.CELL_HINTS
     names = list(hints)
-    state = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.lit(None).cast("string")] * len(names)))
+    state = F.array(*[F.lit(None).cast("string")] * len(names))
 
     def hit(c, name):
         any_of = F.lit(False)
@@ -161,13 +193,13 @@ def fields_hinted(rows: DataFrame, id_pattern: str = T.STORY_ID, hints: dict[str
         return any_of & ~(F.contains(c["class"], F.lit("statuscategory")) & F.lit("status" in hints[name]))
 
     def step(acc, c):
-        taken = F.lit(None).cast("string")
-        for name in reversed(names):
-            taken = F.when(hit(c, name) & F.element_at(acc, F.lit(name)).isNull(), F.lit(name)).otherwise(taken)
+        # the field is found once for a cell, and only then its value
+        hits = F.array(*(F.when(hit(c, name) & F.get(acc, F.lit(i)).isNull(), F.lit(i)) for i, name in enumerate(names)))
         found = F.nullif(F.regexp_extract(c["content"], f"({id_pattern})", 1), F.lit(""))
-        value = F.when(taken == "issue_key", found).otherwise(c["content"])
-        return F.transform_values(acc, lambda k, v: F.when(v.isNull() & (k == taken), value).otherwise(v))
+        value = lambda i: F.when(i == names.index("issue_key"), found).otherwise(c["content"]) if "issue_key" in names else c["content"]
+        put = lambda i: F.when(i.isNull(), acc).otherwise(F.transform(acc, lambda v, k: F.when(k == i, value(i)).otherwise(v)))
+        return T.let(F.array_min(hits), put)
 
     filled = rows.withColumn("__f", F.aggregate("cells", state, step))
-    out = filled.select(*(F.element_at("__f", F.lit(n)).alias(n) for n in names if n != "sprint"), "sprint")
+    out = filled.select(*(F.get("__f", F.lit(i)).alias(n) for i, n in enumerate(names) if n != "sprint"), "sprint")
     return out.where("issue_key is not null").withColumn("sprint_no", sprint_number(F.col("sprint")))

@@ -1,7 +1,9 @@
 """Readers and parsers on small files."""
 
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from storyloom import config
@@ -185,3 +187,38 @@ def test_config(tmp_path):
     for n in ("Sprint 10", "Sprint 2", "x"):
         (tmp_path / n).mkdir()
     assert config.sprint_folders(str(tmp_path)) == ["Sprint 2", "Sprint 10"]
+
+
+def parsed_cells(page, rich):
+    parser = html.IssueTable(rich)
+    parser.feed(page)
+    parser.close()
+    return list(enumerate(parser.rows, 1))
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_plain_markup_like_the_parser(seed):
+    """Pages of plain tags don't need the parser, any others do; the cells are the same."""
+    rng = random.Random(seed)
+    bits = ['<table id="issuetable">', "<table class='issue x'>", "</table>", '<tr class="issuerow odd">', "<tr>", "</tr>", '<td class="Status" data-id="a">', "<td>", "</td>", "<th class=\"k\">", "</th>", "<br/>", "<br />", "<p>", "<li >",
+            "text", " a &amp; b", "&lt", "&#65;x &", "\xa0", "é", "1 > 2", "\n"]
+    odd = ["<TD>", "<td class=x>", "<!-- <td> -->", "<script>", "</script>", "<td class=\"a&amp;b\">", "<", "<td", "</td x>", "<?x>", "<td hidden>", "<title>", "</ td>", "<a:b>"]
+    for i in range(60):
+        page = '<table id="issuetable"><tr class="issuerow"><td>' * rng.randrange(2) + "".join(rng.choices(bits + odd * (i % 2), k=rng.randrange(30)))
+        for rich in (False, True):
+            assert html.cells_of(page, rich) == parsed_cells(page, rich), page
+
+
+def test_plain_pages_are_not_parsed(monkeypatch):
+    monkeypatch.setattr(html.IssueTable, "feed", lambda *_: 1 / 0)
+    assert html.cells_of(PAGE, True)[0][1][1] == {"class": "summary", "content": "Fish & chips"}
+
+
+def test_hinted_fields_in_order(spark):
+    """Each cell goes to one field, found once: the plan grows with the hints, not with their square."""
+    cell = lambda c, x: {"class": c, "content": x}
+    cells = [[cell("statuscategory", "no"), cell("status summary", "a"), cell("status", "b"), cell("issuekey", "none"), cell("issuekey", "see AB-1"), cell("issuekey", "AB-2"), cell("status", "c"), cell("acceptance", "")], [cell("summary", "x")], []]
+    rows = spark.createDataFrame([("Sprint 4", c) for c in cells], "sprint string, cells array<struct<class:string,content:string>>")
+    out = html.fields_hinted(rows)
+    assert [(r["issue_key"], r["summary"], r["status"], r["ac"], r["components"], r["sprint_no"]) for r in out.collect()] == [("AB-1", "a", "b", "", None, 4)]
+    assert out._jdf.queryExecution().analyzed().toString().count("contains(") < 30
