@@ -21,9 +21,6 @@ from storyloom.tables import spread, written
 #: The scorer that a worker used last.
 _scorers: dict[str, scoring.Scorer] = {}
 
-#: Terms of an idf table that is broadcast, at most: some 50 MB.
-VOCABULARY = 1_000_000
-
 
 def rows_of(key: str, text: str, stop: list[str]) -> list[Column]:
     return [F.col(key), T.frequencies(T.terms(F.col(text), stop)).alias("terms")]
@@ -32,9 +29,9 @@ def rows_of(key: str, text: str, stop: list[str]) -> list[Column]:
 def weights(docs: DataFrame, key: str, text: str, idf: DataFrame | None = None, stop: list[str] = fixed.STOP_WORDS["retrieval"]) -> tuple[DataFrame, DataFrame]:
     """Postings (key, term, w = tf * idf) and the idf table; terms without an idf are left out.
 
-    Texts that an idf table is made of are cut into terms once, and kept as rows of counts in the shared folder.  A
-    table of ``VOCABULARY`` terms or fewer is broadcast, so that a document's postings stay where it lies and its
-    norm is added up there; a larger one is joined by term.
+    Texts that an idf table is made of are cut into terms once, and kept as rows of counts in the shared folder.  The
+    idf of common terms is broadcast, so that most of a document's postings stay where it lies and its
+    norm is added up there; that of rare ones is joined by term.
     """
     if idf is None:
         return row_weights(written(topics.term_rows(spread(docs.select(key, text)), key, text, stop)), key)
@@ -46,9 +43,7 @@ def row_weights(rows: DataFrame, key: str, idf: DataFrame | None = None) -> tupl
     counts = rows.select(key, F.explode("terms").alias("t")).select(key, "t.term", "t.tf")
     if idf is None:
         idf = written(topics.idf_table(counts, topics.corpus_size(rows), None))
-    small = idf.limit(VOCABULARY + 1).count() <= VOCABULARY
-    table = idf.select("term", "idf")
-    return counts.join(F.broadcast(table) if small else table, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w")), idf
+    return topics.joined_idf(counts, idf).select(key, "term", (F.col("tf") * F.col("idf")).alias("w")), idf
 
 
 def norms(postings: DataFrame, key: str) -> DataFrame:
@@ -134,8 +129,9 @@ def keyed(rows: DataFrame, key: str) -> bool:
 def best_where_they_lie(rows: DataFrame, idf: DataFrame, queries: DataFrame, q: str, d: str, k: int, least: float, places: int, mean: float | None = None, k1: float = 1.2, b: float = 0.75, boosts: Entries | None = None) -> DataFrame:
     """(q, d, sim): each task's ``k`` best documents of each query by the rounded score, which hold the ``k`` best of all.
 
-    ``rows`` are a document each (d, terms of term and tf), ``idf`` has all terms, ``queries`` (q, term, y) the weights by which
-    scores are summed up.  With ``boosts``, whose terms' numbers a row has as ``found``, these are added.  Nothing but a task's
+    ``rows`` are a document each (d, terms of term and tf), ``idf`` has the terms, ``queries`` (q, term, y) the weights by which
+    scores are summed up; terms without an idf have no query, and with a column ``rest`` rows say what they add to the square of
+    the norm.  With ``boosts``, whose terms' numbers a row has as ``found``, these are added.  Nothing but a task's
     best is shuffled.
     """
     sc = rows.sparkSession.sparkContext
@@ -158,13 +154,31 @@ def best_where_they_lie(rows: DataFrame, idf: DataFrame, queries: DataFrame, q:
             best = best or scoring.Best(batch.column(0).type, len(names), k, least, places)
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                scores = scorer.scores(part.column(1))
-                best.add(part.column(0), scores + more.scores(part.column(2)) if more else scores)
+                scores = scorer.scores(part.column(1), part.column("rest").to_numpy(zero_copy_only=False) if rest else None)
+                best.add(part.column(0), scores + more.scores(part.column("found")) if more else scores)
         if best:
             best.prune()
             yield pa.RecordBatch.from_arrays([names.take(pa.array(best.q)), best.d, pa.array(best.sim, pa.float64())], names=[q, d, "sim"])
 
-    return rows.select(d, "terms", *(["found"] if boosts else [])).mapInArrow(run, StructType([queries.schema[q], rows.schema[d], StructField("sim", DoubleType())]))
+    rest = "rest" in rows.columns
+    return rows.select(d, "terms", *(["found"] if boosts else []), *(["rest"] if rest else [])).mapInArrow(run, StructType([queries.schema[q], rows.schema[d], StructField("sim", DoubleType())]))
+
+
+def held_terms(rows: DataFrame, idf: DataFrame, asked: DataFrame, d: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` and the part of ``idf`` that workers hold: common terms and the queries'; rows get what the others add to the square of their norm.
+
+    A vocabulary grows with the documents, but rare terms have few postings: only these are shuffled, and what they add up to
+    is joined to the rows.
+    """
+    if few(idf, topics.COMMON):
+        return rows, idf
+    common, rare = topics.common_terms(idf)
+    own = asked.select("term").distinct()
+    known = written(common.unionByName(rare.join(own, "term", "left_semi")))
+    postings = rows.select(d, F.explode("terms").alias("t")).select(d, "t.term", "t.tf").join(F.broadcast(known.select("term")), "term", "left_anti")
+    square = F.pow(F.col("tf") * F.col("idf"), F.lit(2.0))
+    rest = postings.join(rare.select("term", "idf"), "term").groupBy(d).agg(F.sum(square).alias("rest"))
+    return rows.join(rest, d, "left").withColumn("rest", F.coalesce("rest", F.lit(0.0))), known
 
 
 def top_documents(docs: DataFrame, questions: DataFrame, q: str, d: str, q_text: str, d_text: str, k: int = 5, least: float = 0.01, entries: DataFrame | None = None) -> DataFrame:
@@ -177,11 +191,12 @@ def top_documents(docs: DataFrame, questions: DataFrame, q: str, d: str, q_text:
     postings, idf = row_weights(rows, d)
     asked, _ = weights(questions, q, q_text, idf)
     asked = written(asked)
-    if not (few(idf, VOCABULARY) and few(asked, HELD) and few(asked.select(q).distinct(), QUERIES) and keyed(rows, d)) or entries is not None and not boosts:
+    if not (few(asked, HELD) and few(asked.select(q).distinct(), QUERIES) and keyed(rows, d)) or entries is not None and not boosts:
         if entries is not None:
             return matches(cosine(asked, postings, q, d), joined_boost(entries, docs, q, d, d_text), q, d, k, least)
         return best(asked, postings, idf, q, d, k, least)
     y = asked.join(norms(asked, q).where("norm > 0"), q).select(q, "term", (F.col("w") / F.col("norm")).alias("y"))
+    rows, idf = held_terms(rows, idf, asked, d)
     return matches(best_where_they_lie(rows, idf, y, q, d, k, least, 4, boosts=boosts), None, q, d, k, least)
 
 
@@ -191,9 +206,9 @@ def top_bm25(docs: DataFrame, questions: DataFrame, q: str, d: str, q_text: str,
     n = rows.agg(F.count("*").alias("n_docs"))
     counts = rows.select(d, F.explode("terms").alias("t")).select(d, "t.term", "t.tf")
     idf = counts.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(n)).select("term", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    idf = written(idf)
     asked = written(questions.select(q, F.explode(F.array_distinct(T.terms(F.col(q_text)))).alias("term"), F.lit(1.0).alias("y")))
-    if few(idf, VOCABULARY) and few(asked, HELD) and few(asked.select(q).distinct(), QUERIES) and keyed(rows, d):
+    idf = written(idf.join(asked.select("term").distinct(), "term", "left_semi"))  # other terms count for a document's length only
+    if few(asked, HELD) and few(asked.select(q).distinct(), QUERIES) and keyed(rows, d):
         length = F.aggregate("terms", F.lit(0).cast("long"), lambda a, t: a + t["tf"])
         mean = rows.where(F.size("terms") > 0).agg(F.avg(length).alias("avg_len")).head()["avg_len"] or 1.0
         scores = best_where_they_lie(rows, idf, asked, q, d, k, 0.0, places, mean, k1, b).withColumnRenamed("sim", "score")

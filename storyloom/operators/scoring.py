@@ -33,8 +33,11 @@ class Scorer:
         self.q, self.weight = q[order], weight[order]
         self.ends = np.cumsum(np.bincount(term, minlength=len(terms)))
 
-    def scores(self, lists: pa.Array) -> np.ndarray:
-        """A row of scores for each document of ``lists`` (term, tf); 0 if it has no term of the query."""
+    def scores(self, lists: pa.Array, rest: np.ndarray | None = None) -> np.ndarray:
+        """A row of scores for each document of ``lists`` (term, tf); 0 if it has no term of the query.
+
+        ``rest`` is what terms that aren't among the scorer's add to the square of each document's norm.
+        """
         sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         flat = lists.flatten()
         term = np.fromiter((self.index.get(t, -1) for t in pc.struct_field(flat, "term").to_pylist()), np.int64, len(flat))
@@ -44,7 +47,7 @@ class Scorer:
         doc, term, tf = doc[term >= 0], term[term >= 0], tf[term >= 0]
         if self.mean is None:
             w = tf * self.idf[term]
-            norm = np.sqrt(np.bincount(doc, w * w, len(sizes)))
+            norm = np.sqrt(np.bincount(doc, w * w, len(sizes)) + (0.0 if rest is None else rest))
             w = np.divide(w, norm[doc], out=np.zeros_like(w), where=norm[doc] > 0)
         else:
             w = self.idf[term] * tf * (self.k1 + 1) / (tf + self.k1 * (1 - self.b + self.b * length[doc] / self.mean))

@@ -70,6 +70,34 @@ def idf_table(counts: DataFrame, n: DataFrame, noise: float | None = 0.8) -> Dat
     return with_idf(counts.groupBy("term").agg(F.count("*").alias("df")), n, noise).select("term", "df", "idf")
 
 
+#: Terms that are broadcast as the common ones of a larger vocabulary, at most; they have all but some hundredths of the postings.
+COMMON = 400_000
+
+
+def common_terms(idf: DataFrame, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The ``most`` terms or fewer in most documents, and the others, parted by df.
+
+    Different numbers of documents are few: their sum is at most that of the postings, so they grow with its root.
+    """
+    n, least = 0, None
+    for r in idf.groupBy("df").agg(F.count("*").alias("n")).orderBy(F.desc("df")).collect():
+        n += r["n"]
+        if n > (COMMON if most is None else most):
+            break
+        least = r["df"]
+    common = F.col("df") >= least if least is not None else F.lit(False)
+    return idf.where(common), idf.where(~common)
+
+
+def joined_idf(counts: DataFrame, idf: DataFrame, most: int | None = None) -> DataFrame:
+    """``counts`` with their idf: common terms meet it where the documents lie, only the postings of the others are shuffled."""
+    common, rare = common_terms(idf.select("term", "df", "idf"), most)
+    here = counts.join(F.broadcast(common.select("term", "idf")), "term")
+    if rare.isEmpty():
+        return here
+    return here.unionByName(counts.join(F.broadcast(common.select("term")), "term", "left_anti").join(rare.select("term", "idf"), "term"))
+
+
 def with_idf(terms: DataFrame, n: DataFrame, noise: float | None = 0.8) -> DataFrame:
     """``terms`` (term, df, ...) with their idf, those in more than ``noise`` of the documents left out."""
     out = terms.crossJoin(F.broadcast(n)).withColumn("idf", F.log(F.col("n_docs") / (1 + F.col("df"))))

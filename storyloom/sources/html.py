@@ -186,19 +186,19 @@ def fields_hinted(rows: DataFrame, id_pattern: str = T.STORY_ID, hints: dict[str
     names = list(hints)
     state = F.array(*[F.lit(None).cast("string")] * len(names))
 
-    def hit(c, name):
+    def hit(cls, name):
         any_of = F.lit(False)
         for h in hints[name]:
-            any_of = any_of | F.contains(c["class"], F.lit(h))
-        return any_of & ~(F.contains(c["class"], F.lit("statuscategory")) & F.lit("status" in hints[name]))
+            any_of = any_of | F.contains(cls, F.lit(h))
+        return any_of & ~F.contains(cls, F.lit("statuscategory")) if "status" in hints[name] else any_of
 
     def step(acc, c):
         # the field is found once for a cell, and only then its value
-        hits = F.array(*(F.when(hit(c, name) & F.get(acc, F.lit(i)).isNull(), F.lit(i)) for i, name in enumerate(names)))
+        hits = T.let(c["class"], lambda cls: F.coalesce(*(F.when(hit(cls, name) & F.get(acc, F.lit(i)).isNull(), F.lit(i)) for i, name in enumerate(names))))
         found = F.nullif(F.regexp_extract(c["content"], f"({id_pattern})", 1), F.lit(""))
         value = lambda i: F.when(i == names.index("issue_key"), found).otherwise(c["content"]) if "issue_key" in names else c["content"]
         put = lambda i: F.when(i.isNull(), acc).otherwise(F.transform(acc, lambda v, k: F.when(k == i, value(i)).otherwise(v)))
-        return T.let(F.array_min(hits), put)
+        return T.let(hits, put)
 
     filled = rows.withColumn("__f", F.aggregate("cells", state, step))
     out = filled.select(*(F.get("__f", F.lit(i)).alias(n) for i, n in enumerate(names) if n != "sprint"), "sprint")

@@ -749,3 +749,20 @@ def test_boosts_where_documents_lie(spark, monkeypatch, seed):
     import pyarrow as pa
 
     assert [x.tolist() for x in windows.Dictionary(pa.array(["al", "zz"])).each(["al" * 1000, "", "zz al"])] == [[0, 2, 2], [0, 0, 1]] and sum(compared) == 3
+
+
+def test_rare_terms_of_large_vocabularies(spark, monkeypatch):
+    """A vocabulary that workers can't hold: common terms go to the documents, rare ones add to the norms, the rows are the same."""
+    rng = random.Random(5)
+    words = [f"word{chr(97 + i)}" for i in range(8)]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randrange(9)) + [f"rare{chr(97 + i % 26)}{chr(97 + i // 26)}"] * rng.randrange(4))) for i in range(150)] + [(901, "")]
+    asked = [(i, " ".join(rng.choices(words, k=3)) + f" rare{chr(97 + i)}a unheard") for i in range(10)]
+    d, a = spark.createDataFrame(docs, "d long, text string"), spark.createDataFrame(asked, "q long, text string")
+    entries = retrieval.entries_of(a, "q", "text", spark.createDataFrame([("worda",), ("raref",)], "term string"))
+    calls = {"top": lambda: retrieval.top_documents(d, a, "q", "d", "text", "text"), "boosted": lambda: retrieval.top_documents(d, a, "q", "d", "text", "text", entries=entries), "bm25": lambda: retrieval.top_bm25(d, a, "q", "d", "text", "text")}
+    want = {k: sorted(map(tuple, f().collect())) for k, f in calls.items()}
+    for most in (0, 5, 20):
+        monkeypatch.setattr(topics, "COMMON", most)
+        monkeypatch.setattr(retrieval, "best", lambda *_: 1 / 0)
+        monkeypatch.setattr(retrieval, "cosine", lambda *_: 1 / 0)
+        assert {k: sorted(map(tuple, f().collect())) for k, f in calls.items()} == want and want["boosted"] != want["top"]
