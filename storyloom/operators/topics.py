@@ -136,7 +136,7 @@ def top_terms_by(counts: DataFrame, n: DataFrame, group: str, k: int = 5, noise:
 
 def clusters(counts: DataFrame, idf: DataFrame, key: str = "doc_id", least: int = 3, k: int = 15, examples: int = 5) -> DataFrame:
     """Documents by their best term (positive scores only, ties by term); terms of ``least`` documents or more."""
-    scored = counts.join(idf, "term").withColumn("score", F.round(F.col("tf") * F.col("idf"), 6)).where("score > 0")
+    scored = joined_idf(counts, idf).withColumn("score", F.round(F.col("tf") * F.col("idf"), 6)).where("score > 0")
     best = scored.groupBy(key).agg(F.min_by("term", F.struct(-F.col("score"), F.col("term"))).alias("term"))
     sizes = best.groupBy("term").agg(F.count("*").alias("docs")).where(F.col("docs") >= least).orderBy(F.desc("docs"), "term").limit(k)
     first = stats.top_per_group(best.join(F.broadcast(sizes), "term"), ["term"], [F.col(key)], examples)

@@ -17,7 +17,7 @@ from storyloom.functions import text as T
 from storyloom.operators import conversations, dedup, lookups, maps, profile, retrieval, topics, usage
 from storyloom.plans import extraction
 from storyloom.sources import html, stories, tables
-from storyloom.tables import spread
+from storyloom.tables import spread, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,8 +79,11 @@ def tfidf_top_terms_by_source(spark, sf_dir):
     sizes AS (SELECT term, count(*) AS docs FROM best GROUP BY term HAVING count(*) >= 3 ORDER BY docs DESC, term LIMIT 15)
     SELECT term, docs, list(doc_id ORDER BY doc_id)[1:5] AS examples FROM best JOIN sizes USING (term) GROUP BY term, docs""")
 def dominant_term_clusters(spark, sf_dir):
-    counts, n = counted(spark, sf_dir)
-    return topics.clusters(counts, topics.idf_table(counts, n))
+    docs = table(spark, sf_dir, "documents")
+    # read twice: for the idf, and for the scores
+    rows = written(topics.term_rows(spread(docs.select("doc_id", "text")), "doc_id", "text", fixed.STOP_WORDS["base"]))
+    counts = rows.select("doc_id", F.explode("terms").alias("t")).select("doc_id", "t.term", "t.tf")
+    return topics.clusters(counts, written(topics.idf_table(counts, topics.corpus_size(docs))))
 
 
 @query(f"""WITH counts AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({tokens_sql("text", "base")}) AS term FROM documents) GROUP BY ALL),

@@ -766,3 +766,18 @@ def test_rare_terms_of_large_vocabularies(spark, monkeypatch):
         monkeypatch.setattr(retrieval, "best", lambda *_: 1 / 0)
         monkeypatch.setattr(retrieval, "cosine", lambda *_: 1 / 0)
         assert {k: sorted(map(tuple, f().collect())) for k, f in calls.items()} == want and want["boosted"] != want["top"]
+
+
+def test_clusters_of_large_vocabularies(spark, monkeypatch):
+    """Postings of common terms are scored where they lie; the clusters are those of one join."""
+    rng = random.Random(3)
+    words = [f"word{chr(97 + i)}" for i in range(9)]
+    d = spark.createDataFrame([(i, " ".join(rng.choices(words, k=5))) for i in range(150)] + [(900, None)], "doc_id long, text string")
+    counts = topics.term_counts(d)
+    idf = topics.idf_table(counts, topics.corpus_size(d)).cache()
+    want = sorted(map(tuple, topics.clusters(counts, idf).collect()))
+    for most in (0, 4):
+        monkeypatch.setattr(topics, "COMMON", most)
+        assert sorted(map(tuple, topics.clusters(counts, idf).collect())) == want and len(want) > 3
+    plan = topics.joined_idf(counts, idf, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
