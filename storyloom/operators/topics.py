@@ -160,9 +160,38 @@ def supported(pairs: DataFrame, value: str, key: str, least: int, k: int | None
     return first.groupBy(value, "n").agg(F.array_sort(F.collect_list(key)).alias("examples"))
 
 
+#: Different bigrams that a task holds before it hands them on, about, and bytes of texts for each part of the sums.
+BIGRAMS, PER_PART = 200_000, 8 << 20
+
+
+def bigram_counts(docs: DataFrame, text: str, stop: list[str] = fixed.STOP_WORDS["export"]) -> DataFrame:
+    """bigram, n: in how many rows of a stretch it stands; the pairs of ``T.document_bigrams``, counted in Arrow batches."""
+    import pyarrow as pa
+
+    left_out = frozenset(stop)
+
+    def run(batches):
+        counts: Counter = Counter()
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["bigram", "n"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, 100):
+                for low in batch.slice(at, 100).column(0).to_pylist():
+                    words = [w if len(w) > 2 and w not in left_out else None for w in WORDS.findall(low or "")]
+                    counts.update({f"{a} {b}" for a, b in zip(words, words[1:]) if a and b})
+                    if len(counts) >= BIGRAMS:
+                        yield out()
+                        counts.clear()
+        yield out()
+
+    return docs.select(F.lower(text).alias("__low")).mapInArrow(run, "bigram string, n long")
+
+
 def bigram_support(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 5, k: int = 100) -> DataFrame:
-    pairs = docs.select(F.col(key), F.explode(T.document_bigrams(F.col(text))).alias("bigram"))
-    return pairs.groupBy("bigram").agg(F.count("*").alias("docs")).where(F.col("docs") >= least).orderBy(F.desc("docs"), "bigram").limit(k)
+    """Bigrams by the documents (rows) that have them; parts of the sums grow in number with the texts, not in size."""
+    size = docs.agg(F.sum(F.octet_length(text).cast("long")).alias("n")).head()["n"] or 0
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // PER_PART))
+    counts = bigram_counts(docs, text).repartition(parts, "bigram")
+    return counts.groupBy("bigram").agg(F.sum("n").alias("docs")).where(F.col("docs") >= least).orderBy(F.desc("docs"), "bigram").limit(k)
 
 
 def recurring_bigrams(rows: DataFrame, text: str = "text", least: int = 2, k: int = 20) -> DataFrame:

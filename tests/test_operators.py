@@ -781,3 +781,18 @@ def test_clusters_of_large_vocabularies(spark, monkeypatch):
         assert sorted(map(tuple, topics.clusters(counts, idf).collect())) == want and len(want) > 3
     plan = topics.joined_idf(counts, idf, 100)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_bigrams_in_parts_by_size(spark, monkeypatch):
+    """Each task holds some bigrams only, and there are more parts of more text; the rows are those of the columns."""
+    from storyloom.functions import text as T
+
+    rng = random.Random(9)
+    words = ["Alpha", "beta", "the", "ab", "gamma2delta", "x", "É", "omega"]
+    d = spark.createDataFrame([(i, " ".join(rng.choices(words, k=rng.randrange(12)))) for i in range(300)] + [(900, None), (901, "")], "doc_id long, text string")
+    pairs = d.select(F.explode(T.document_bigrams(F.col("text"))).alias("bigram")).groupBy("bigram").agg(F.count("*").alias("docs")).where("docs >= 5")
+    monkeypatch.setattr(topics, "BIGRAMS", 10)
+    monkeypatch.setattr(topics, "PER_PART", 400)
+    got = topics.bigram_support(d)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, pairs.collect())) and pairs.count() > 5
+    assert "hashpartitioning(bigram" in (plan := got._jdf.queryExecution().executedPlan().toString()) and "REPARTITION_BY_NUM" in plan
