@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from storyloom.functions import fixed, stats
 from storyloom.functions import text as T
@@ -66,6 +66,24 @@ def cosine(queries: DataFrame, docs: DataFrame, q: str, d: str) -> DataFrame:
 ROUNDING = 1e-4
 
 
+def bounded(y: DataFrame, tops: DataFrame, q: str) -> DataFrame:
+    """The queries' terms with what each can bring a document at most, alone and with all lesser ones, and their place from the greatest."""
+    by_bound = Window.partitionBy(q).orderBy("bound", "term")  # a query's own terms
+    terms = y.join(tops, "term").withColumn("bound", F.col("y") * F.col("top"))
+    return terms.withColumns({"so_far": F.sum("bound").over(by_bound), "place": F.row_number().over(Window.partitionBy(q).orderBy(F.desc("bound"), "term"))})
+
+
+def essential(terms: DataFrame, sure: DataFrame, q: str, d: str, k: int, least: float) -> DataFrame:
+    """``terms`` with the query's floor by the scores ``sure`` (q, d, s) of some documents, and whether a document needs one of them to reach it."""
+    floor = stats.top_per_group(sure, [q], [F.desc("s"), F.col(d)], k).groupBy(q).agg(F.min("s").alias("s"), F.count("*").alias("n")).where(F.col("n") >= k)
+    marked = terms.join(floor.select(q, F.col("s").alias("floor")), q, "left").withColumn("floor", F.greatest(F.coalesce(F.col("floor"), F.lit(0.0)) - ROUNDING, F.lit(least - ROUNDING)))
+    return marked.withColumn("essential", F.col("so_far") >= F.col("floor"))
+
+
+def postings_read(marked: DataFrame) -> DataFrame:
+    return marked.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("postings"), F.coalesce(F.sum(F.when(F.col("essential"), F.col("df"))), F.lit(0)).alias("read"))
+
+
 def top_cosine(queries: DataFrame, docs: DataFrame, q: str, d: str, k: int = 5, least: float = 0.01) -> tuple[DataFrame, DataFrame]:
     """The rows of ``matches(cosine(...), None, ...)`` without scoring all documents that share a term, and the postings read for it.
 
@@ -82,22 +100,17 @@ def top_cosine(queries: DataFrame, docs: DataFrame, q: str, d: str, k: int = 5,
     x = docs.join(queries.select("term").distinct(), "term", "left_semi").join(nd, d).select("term", d, F.abs(F.col("w") / F.col("norm")).alias("x"))
     x = written(x)  # postings of the queries' terms only
     tops = x.groupBy("term").agg(F.max("x").alias("top"), F.count("*").alias("df"))
-    by_bound = Window.partitionBy(q).orderBy("bound", "term")  # a query's own terms
-    terms = y.join(tops, "term").withColumn("bound", F.col("y") * F.col("top"))
-    terms = terms.withColumns({"so_far": F.sum("bound").over(by_bound), "place": F.row_number().over(Window.partitionBy(q).orderBy(F.desc("bound"), "term"))})
+    terms = bounded(y, tops, q)
     heads = stats.top_per_group(x, ["term"], [F.desc("x"), F.col(d)], k, "head")
     first = terms.where("place <= 3").select(q, "term").join(heads.select("term", d), "term").select(q, d).distinct()
     sure = first.join(x, d).join(y, [q, "term"]).groupBy(q, d).agg(F.sum(F.col("x") * F.col("y")).alias("s"))
-    floor = stats.top_per_group(sure, [q], [F.desc("s"), F.col(d)], k).groupBy(q).agg(F.min("s").alias("s"), F.count("*").alias("n")).where(F.col("n") >= k)
-    marked = terms.join(floor.select(q, F.col("s").alias("floor")), q, "left").withColumn("floor", F.greatest(F.coalesce(F.col("floor"), F.lit(0.0)) - ROUNDING, F.lit(least - ROUNDING)))
-    marked = written(marked.withColumn("essential", F.col("so_far") >= F.col("floor")))
+    marked = written(essential(terms, sure, q, d, k, least))
     rest = marked.where("not essential").groupBy(q).agg(F.max("so_far").alias("rest"))
     part = marked.where("essential").select(q, "term", "y", "floor").join(x, "term").groupBy(q, d).agg(F.sum(F.col("x") * F.col("y")).alias("s"), F.first("floor").alias("floor"))
     open_ = part.join(rest, q, "left").where(F.col("s") + F.coalesce("rest", F.lit(0.0)) >= F.col("floor")).select(q, d, "s")
     more = open_.select(q, d).join(marked.where("not essential").select(q, "term", "y"), q).join(x, ["term", d]).select(q, d, (F.col("x") * F.col("y")).alias("s"))
     sims = open_.unionByName(more).groupBy(q, d).agg(F.sum("s").alias("sim"))
-    reads = marked.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("postings"), F.coalesce(F.sum(F.when(F.col("essential"), F.col("df"))), F.lit(0)).alias("read"))
-    return matches(sims, None, q, d, k, least), reads
+    return matches(sims, None, q, d, k, least), postings_read(marked)
 
 
 #: Postings of the queries' terms, as often as queries have them, up to which scoring all of them costs least.
@@ -200,6 +213,109 @@ def top_documents(docs: DataFrame, questions: DataFrame, q: str, d: str, q_text:
     return matches(best_where_they_lie(rows, idf, y, q, d, k, least, 4, boosts=boosts), None, q, d, k, least)
 
 
+def query_impacts(rows: DataFrame, idf: DataFrame, asked: DataFrame, d: str) -> tuple[DataFrame, pa.Array, np.ndarray]:
+    """Rows of d, terms (number, tf) and norm of the documents with a term of the queries, of which only these are kept; the terms by number, and their idf.
+
+    Workers hold common terms and the queries'; postings of the others are shuffled for what they add to the norm, which is
+    joined to the numbers.
+    """
+    common, rare = topics.common_terms(idf)
+    own = asked.select("term").distinct()
+    known = common.unionByName(rare.join(own, "term", "left_semi")).select("term", "idf").toArrow()
+    terms = known.column("term").combine_chunks()
+    mine = pc.is_in(terms, own.toArrow().column("term").combine_chunks()).to_numpy(zero_copy_only=False)
+    order, n = np.argsort(~mine, kind="stable"), int(mine.sum())  # the queries' come first
+    terms, numbers = terms.take(pa.array(order)), known.column("idf").to_numpy()[order]
+    shared = rows.sparkSession.sparkContext.broadcast((terms, numbers, n))
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2500):  # the terms are hashed anew for each slice
+                part = batch.slice(at, 2500)
+                yield pa.RecordBatch.from_arrays([part.column(0), *scoring.numbered(part.column(1), *shared.value)], names=[d, "terms", "square", "others"])
+
+    lists = lambda name, kind: ArrayType(StructType([StructField(name, kind), StructField("tf", LongType())]))
+    kind = StructType([rows.schema[d], StructField("terms", lists("number", IntegerType())), StructField("square", DoubleType()), StructField("others", lists("term", StringType()))])
+    each = written(rows.select(d, "terms").mapInArrow(run, kind))
+    found = each.where(F.size("terms") > 0).select(d, "terms", "square")
+    if rare.isEmpty():
+        return found.select(d, "terms", F.sqrt("square").alias("norm")).where("norm > 0"), terms[:n], numbers[:n]
+    postings = each.where((F.size("terms") > 0) & (F.size("others") > 0)).select(d, F.explode("others").alias("t")).select(d, "t.term", "t.tf")
+    rest = postings.join(rare.select("term", "idf"), "term").groupBy(d).agg(F.sum(F.pow(F.col("tf") * F.col("idf"), F.lit(2.0))).alias("rest"))
+    norm = F.sqrt(F.col("square") + F.coalesce("rest", F.lit(0.0))).alias("norm")
+    return written(found.join(rest, d, "left").select(d, "terms", norm).where("norm > 0")), terms[:n], numbers[:n]
+
+
+def heads_where_they_lie(x: DataFrame, terms: pa.Array, idf: np.ndarray, d: str, k: int) -> DataFrame:
+    """term, d, x, df: each task's ``k`` documents of greatest impact for a term, the first with the number of the task's postings."""
+    shared = x.sparkSession.sparkContext.broadcast((terms, idf))
+
+    def run(batches):
+        (terms, idf), heads = shared.value, None
+        for batch in batches:
+            heads = heads or scoring.Heads(batch.column(0).type, len(terms), k)
+            heads.add(batch.column(0), *scoring.impacts(batch.column(1), batch.column(2), idf))
+        if heads:
+            df = np.where(np.diff(heads.term, prepend=-1) > 0, heads.df[heads.term], 0)
+            yield pa.RecordBatch.from_arrays([terms.take(pa.array(heads.term)), heads.d, pa.array(heads.x), pa.array(df)], names=["term", d, "x", "df"])
+
+    return x.select(d, "terms", "norm").mapInArrow(run, StructType([StructField("term", StringType()), x.schema[d], StructField("x", DoubleType()), StructField("df", LongType())]))
+
+
+def essential_where_they_lie(x: DataFrame, terms: pa.Array, idf: np.ndarray, marked: DataFrame, q: str, d: str, k: int, least: float, places: int = 4) -> DataFrame:
+    """(q, d, sim): each task's ``k`` best documents of each query of those that reach its floor, as ``best_where_they_lie``.
+
+    ``marked`` (q, term, y, so_far, floor, essential) are the queries' terms.
+    """
+    asked = marked.select(q, "term", "y", "so_far", "floor", "essential").toArrow()
+    names = asked.column(q).combine_chunks().unique()
+    place = lambda column, among: pc.index_in(column.combine_chunks(), among).to_numpy(zero_copy_only=False).astype(np.int64)
+    number, mark = place(asked.column(q), names), asked.column("essential").to_numpy().astype(bool)
+    floor, rest = np.zeros(len(names)), np.zeros(len(names))
+    floor[number] = asked.column("floor").to_numpy()
+    np.maximum.at(rest, number[~mark], asked.column("so_far").to_numpy()[~mark])
+    shared = x.sparkSession.sparkContext.broadcast((number, place(asked.column("term"), terms), asked.column("y").to_numpy(), mark, floor, rest, names, idf))
+
+    def run(batches):
+        *numbers, names, idf = shared.value
+        scorer, best = scoring.Essentials(*numbers, len(idf)), None
+        step = max(1, min(1000, scoring.CELLS // max(len(names), 1)))
+        for batch in batches:
+            best = best or scoring.Best(batch.column(0).type, len(names), k, least, places)
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                best.add(part.column(0), scorer.scores(*scoring.impacts(part.column(1), part.column(2), idf), part.num_rows))
+        if best:
+            best.prune()
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(best.q)), best.d, pa.array(best.sim, pa.float64())], names=[q, d, "sim"])
+
+    return x.select(d, "terms", "norm").mapInArrow(run, StructType([marked.schema[q], x.schema[d], StructField("sim", DoubleType())]))
+
+
+def top_essential(docs: DataFrame, questions: DataFrame, q: str, d: str, q_text: str, d_text: str, k: int = 5, least: float = 0.01) -> tuple[DataFrame, DataFrame]:
+    """``top_cosine`` of texts: a document's essential postings, and the others if it can still pass the bound, are read where it lies.
+
+    Neither postings nor pairs of a query and a document are shuffled, but for rare terms' shares of norms.  If workers can't
+    hold the queries, or documents share an id, postings meet in joins.
+    """
+    rows = written(topics.term_rows(spread(docs.select(d, d_text)), d, d_text, fixed.STOP_WORDS["retrieval"]))
+    counts = rows.select(F.explode("terms").alias("t")).select("t.term")
+    idf = written(topics.idf_table(counts, topics.corpus_size(rows), None))
+    asked = written(weights(questions, q, q_text, idf)[0])
+    if not (few(asked, HELD) and few(asked.select(q).distinct(), QUERIES) and keyed(rows, d)):
+        return top_cosine(asked, row_weights(rows, d, idf)[0], q, d, k, least)
+    x, terms, numbers = query_impacts(rows, idf, asked, d)
+    y = asked.join(norms(asked, q).where("norm > 0"), q).select(q, "term", F.abs(F.col("w") / F.col("norm")).alias("y")).where("y > 0")
+    heads = written(heads_where_they_lie(x, terms, numbers, d, k))
+    bounds = written(bounded(y, heads.groupBy("term").agg(F.max("x").alias("top"), F.sum("df").alias("df")), q))
+    best = stats.top_per_group(heads, ["term"], [F.desc("x"), F.col(d)], k, "head")
+    first = bounds.where("place <= 3").select("term").distinct().join(best, "term").select(d).distinct()  # at most 3 * k for each query
+    all_of = bounds.withColumns({"so_far": F.lit(0.0), "floor": F.lit(0.0), "essential": F.lit(True)})
+    sure = essential_where_they_lie(x.join(F.broadcast(first), d, "left_semi"), terms, numbers, all_of, q, d, k, least).withColumnRenamed("sim", "s")
+    marked = written(essential(bounds, sure, q, d, k, least))
+    return matches(essential_where_they_lie(x, terms, numbers, marked, q, d, k, least), None, q, d, k, least), postings_read(marked)
+
+
 def top_bm25(docs: DataFrame, questions: DataFrame, q: str, d: str, q_text: str, d_text: str, k: int = 10, places: int = 6, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """The ``k`` best documents of each question by BM25, rounded, ties by document."""
     rows = written(topics.term_rows(spread(docs.select(d, d_text)), d, d_text, fixed.STOP_WORDS["retrieval"]))

@@ -79,6 +79,83 @@ class Lists:
             yield np.repeat(np.arange(lo, hi), n), self.value[np.repeat(self.ends[numbers[lo:hi]] - n, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
 
 
+class Essentials:
+    """Scores of the documents that can reach a query's floor, from the postings of essential terms; the rest is read for these only.
+
+    A query's terms that aren't essential add up to ``rest`` at most, which is below its floor.
+    """
+
+    def __init__(self, q: np.ndarray, term: np.ndarray, weight: np.ndarray, essential: np.ndarray, floor: np.ndarray, rest: np.ndarray, terms: int):
+        self.q, self.weight, self.floor, self.rest = q, weight, floor, rest
+        self.essential, self.others = (Lists(term[i], i, terms) for i in (np.nonzero(essential)[0], np.nonzero(~essential)[0]))
+
+    def scores(self, doc: np.ndarray, term: np.ndarray, x: np.ndarray, docs: int) -> np.ndarray:
+        """A row of scores for each of ``docs`` documents, whose postings are given in their order; 0 if it can't reach the floor."""
+        queries = len(self.floor)
+        out = np.zeros(docs * queries)
+        for at, i in self.essential.of(term):
+            np.add.at(out, doc[at] * queries + self.q[i], x[at] * self.weight[i])
+        open_ = (out.reshape(docs, queries) + self.rest >= self.floor).ravel()
+        out[~open_] = 0.0
+        more = np.nonzero(open_.reshape(docs, queries).any(axis=1)[doc])[0]
+        for at, i in self.others.of(term[more]):
+            cell = doc[more[at]] * queries + self.q[i]
+            here = open_[cell]
+            np.add.at(out, cell[here], x[more[at[here]]] * self.weight[i[here]])
+        return out.reshape(docs, queries)
+
+
+class Heads:
+    """For each of ``terms`` its number of postings and the ``k`` documents of greatest impact or fewer; of equal impacts any."""
+
+    def __init__(self, kind: pa.DataType, terms: int, k: int):
+        self.k, self.df, self.floor = k, np.zeros(terms, np.int64), np.full(terms, -np.inf)
+        self.term, self.x, self.d = np.zeros(0, np.int64), np.zeros(0), pa.array([], kind)
+
+    def add(self, docs: pa.Array, doc: np.ndarray, term: np.ndarray, x: np.ndarray) -> None:
+        self.df += np.bincount(term, minlength=len(self.df))
+        new = np.nonzero(x > self.floor[term])[0]
+        term, x, d = np.concatenate([self.term, term[new]]), np.concatenate([self.x, x[new]]), pa.concat_arrays([self.d, docs.take(pa.array(doc[new]))])
+        order = np.lexsort((-x, term))
+        place = np.arange(len(order)) - np.searchsorted(term[order], term[order], "left")
+        order, place = order[place < self.k], place[place < self.k]
+        self.term, self.x, self.d = term[order], x[order], d.take(pa.array(order))
+        last = place == self.k - 1
+        self.floor[self.term[last]] = self.x[last]
+
+
+def lists_of(doc: np.ndarray, docs: int, **columns: pa.Array) -> pa.Array:
+    """A list of structs for each of ``docs`` rows from those of ``columns``, which are in the order of ``doc``."""
+    ends = np.searchsorted(doc, np.arange(docs + 1))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(list(columns.values()), names=list(columns)))
+
+
+def numbered(lists: pa.Array, terms: pa.Array, idf: np.ndarray, own: int) -> list[pa.Array]:
+    """Of lists (term, tf): lists (number, tf) of the first ``own`` of ``terms``, what ``terms`` add to the square of the norm, lists (term, tf) of others."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten()
+    term, tf = pc.struct_field(flat, "term"), pc.struct_field(flat, "tf").to_numpy(zero_copy_only=False).astype(np.int64)
+    number = pc.fill_null(pc.index_in(term, terms), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    known = np.nonzero(number >= 0)[0]
+    square = np.bincount(doc[known], (tf[known] * idf[number[known]]) ** 2, len(sizes))
+    mine, others = known[number[known] < own], np.nonzero(number < 0)[0]
+    return [
+        lists_of(doc[mine], len(sizes), number=pa.array(number[mine], pa.int32()), tf=pa.array(tf[mine])),
+        pa.array(square, pa.float64()),
+        lists_of(doc[others], len(sizes), term=term.take(pa.array(others)), tf=pa.array(tf[others])),
+    ]
+
+
+def impacts(lists: pa.Array, norm: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of lists (number, tf): document, number and share of the document's norm of each posting."""
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten()
+    doc, number = np.repeat(np.arange(len(sizes)), sizes), pc.struct_field(flat, "number").to_numpy(zero_copy_only=False).astype(np.int64)
+    w = pc.struct_field(flat, "tf").to_numpy(zero_copy_only=False) * idf[number]
+    return doc, number, np.abs(w / norm.to_numpy(zero_copy_only=False)[doc])
+
+
 class Boosts:
     """min(most, shared / asked * most): ``asked`` are the entries of a query, ``shared`` those that a document has, too.
 

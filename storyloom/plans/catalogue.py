@@ -452,10 +452,7 @@ def tfidf_cosine_topk(spark, sf_dir):
 @query(f"WITH {COSINE} SELECT item_id, doc_id, sim, rank FROM top")
 def tfidf_cosine_essential(spark, sf_dir):
     """The same rows from the postings of essential terms, as very many postings are read."""
-    docs, asked = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    postings, idf = retrieval.weights(docs, "doc_id", "text")
-    questions, _ = retrieval.weights(asked, "item_id", "text", idf)
-    return retrieval.top_cosine(questions, postings, "item_id", "doc_id")[0]
+    return retrieval.top_essential(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "item_id", "doc_id", "text", "text")[0]
 
 
 @query(f"""WITH {COSINE} SELECT count(*) AS queries, round(avg(best), 4) AS mean_best, count(*) FILTER (best >= 0.5) AS excellent, count(*) FILTER (best >= 0.3 AND best < 0.5) AS good,

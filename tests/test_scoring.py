@@ -3,11 +3,13 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from storyloom.functions import fixed
 from storyloom.functions import text as T
 from storyloom.operators import maps, retrieval, scoring, topics
+from storyloom.plans import catalogue
 
 
 def test_rounded_like_spark(spark):
@@ -29,6 +31,56 @@ def test_top_documents_like_the_joins(spark, monkeypatch):
     assert got == [sorted(map(tuple, x.select(*y.columns).collect())) for x, y in zip(want, local)] and got[0] and got[1]
 
 
+def some_texts(spark, seed, words):
+    """Few words, so that there are many ties, one that every document has, and one in a document only."""
+    rng = random.Random(seed)
+    words = [f"word{chr(97 + i)}" for i in range(words)]
+    docs = [(i, "common " + " ".join(rng.choices(words, k=rng.randrange(9)))) for i in range(200)] + [(900, None), (901, ""), (902, "lonely"), (903, "common lonely single")]
+    asked = [(i, " ".join(rng.choices([*words, "common", "lonely", "unheard"], k=rng.randrange(1, 7)))) for i in range(25)] + [(90, ""), (91, None), (92, "common"), (None, "common")]
+    return spark.createDataFrame(docs, "d long, text string").repartition(5), spark.createDataFrame(asked, "q long, text string")
+
+
+def all_pairs(d, a, k):
+    postings, idf = retrieval.weights(d, "d", "text")
+    return sorted(map(tuple, retrieval.matches(retrieval.cosine(retrieval.weights(a, "q", "text", idf)[0], postings, "q", "d"), None, "q", "d", k).collect()))
+
+
+@pytest.mark.parametrize(("words", "k", "common"), [(6, 1, 400_000), (20, 5, 3), (26, 5, 400_000)])
+def test_top_essential_like_all_pairs(spark, monkeypatch, words, k, common):
+    """Essential postings are read where documents lie: the rows of all pairs, and no pair or posting goes through a join."""
+    d, a = some_texts(spark, words, words)
+    monkeypatch.setattr(topics, "COMMON", common)
+    got, reads = retrieval.top_essential(d, a, "q", "d", "text", "text", k)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString() and got.columns == ["q", "d", "sim", "rank"]
+    assert sorted(map(tuple, got.collect())) == all_pairs(d, a, k)
+    r = reads.head()
+    assert 0 < r["read"] <= r["postings"]
+
+
+def test_top_essential_by_joins(spark, monkeypatch):
+    """Documents that share an id, and queries that workers can't hold; no queries at all."""
+    d, a = some_texts(spark, 1, 6)
+    twice = d.unionByName(spark.createDataFrame([(1, "common worda wordb")], d.schema))
+    assert sorted(map(tuple, retrieval.top_essential(twice, a, "q", "d", "text", "text")[0].collect())) == all_pairs(twice, a, 5)
+    assert retrieval.top_essential(d, a.limit(0), "q", "d", "text", "text")[0].count() == 0
+    monkeypatch.setattr(retrieval, "HELD", 0)
+    assert sorted(map(tuple, retrieval.top_essential(d, a, "q", "d", "text", "text")[0].collect())) == all_pairs(d, a, 5)
+
+
+def test_essential_postings_are_few(spark):
+    docs = [(i, f"alpha beta gamma delta number{chr(97 + i % 26)}{chr(97 + i // 26)} " + "filler " * (i % 7)) for i in range(400)]
+    asked = spark.createDataFrame([(0, "alpha beta filler numberab"), (1, "gamma filler numberbc numberca")], "q long, text string")
+    got, reads = retrieval.top_essential(spark.createDataFrame(docs, "d long, text string"), asked, "q", "d", "text", "text", 1)
+    r = reads.head()
+    assert r["read"] < r["postings"] / 10 and {(x["q"], x["rank"]) for x in got.collect()} == {(0, 1), (1, 1)}
+
+
+def test_the_essential_query_joins_no_pairs(spark):
+    """The catalogue's query: its rows come from a map over documents, not from a join of postings."""
+    plan = catalogue.QUERIES["tfidf_cosine_essential"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Join" not in plan
+
+
 def test_terms_like_the_columns(spark):
     docs = spark.createDataFrame([(1, "The Claim claim of é networks x ab abc"), (2, None), (3, "")], "d int, text string")
     stop = fixed.STOP_WORDS["retrieval"]
